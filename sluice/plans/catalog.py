@@ -87,3 +87,280 @@ SELECT * FROM ({merge_oracle_sql(STANDINS['orders'], DUCK)}) m
 WHERE _is_current AND NOT _is_deleted""")
 def q_current_rows(spark, sf_dir):
     return current_rows(_merged(spark, sf_dir, "orders"))
+
+
+# ---------------------------------------------------------------------------
+# Sources: S2, S3, X4, S6, S9, T8
+# ---------------------------------------------------------------------------
+from sluice.sources.extract import (extract, read_csv, read_landing, read_source,  # noqa: E402
+                                    landing_path, with_source_file)
+from sluice.session import scratch_dir  # noqa: E402
+
+
+@register("extract_full", "SELECT * FROM customer")
+def q_extract_full(spark, sf_dir):
+    return extract(_table(spark, sf_dir, "customer"), "FULL")
+
+
+@register("extract_incremental",
+          "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-12-29 00:00:00'")
+def q_extract_incremental(spark, sf_dir):
+    # stored watermark 2000-01-01, re-read with a 3-day lookback
+    return extract(_table(spark, sf_dir, "orders"), "CDC", "o_orderdate",
+                   "2000-01-01 00:00:00", lookback=dt.timedelta(days=3))
+
+
+@register("extract_integer_watermark", """
+SELECT * FROM events WHERE event_id >=
+  (SELECT max(event_id) FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00')""")
+def q_extract_integer_watermark(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    # the watermark a first run stored: max(event_id) of what it extracted
+    stored = ev.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 15))).agg(
+        F.max("event_id")).scalar()
+    return extract(ev, "INCREMENTAL", "event_id", stored, cdc_column_type="BIGINT")
+
+
+def _custom_query(d: Dialect) -> str:
+    return (f"SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice, c.c_name, c.c_mktsegment "
+            f"FROM {d.t('orders')} o JOIN {d.t('customer')} c ON o.o_custkey = c.c_custkey "
+            f"WHERE o.o_orderstatus = 'O'")
+
+
+@register("extract_custom_query",
+          f"SELECT * FROM ({_custom_query(DUCK)}) q "
+          f"WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'")
+def q_extract_custom_query(spark, sf_dir):
+    cfg = {"source_type": "PARQUET", "source_table": "orders",
+           "source_query": _custom_query(SparkDialect(sf_dir))}
+    return extract(read_source(spark, cfg), "INCREMENTAL", "o_orderdate", "1998-01-01 00:00:00")
+
+
+@register("extract_csv", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt FROM customer")
+def q_extract_csv(spark, sf_dir):
+    src = _table(spark, sf_dir, "customer")
+    path = scratch_dir(spark, "csv") + "/customer"
+    src.write.mode("overwrite").option("header", "true").csv(path)
+    cfg = {"source_type": "CSV", "source_server": path.rsplit("/", 1)[0],
+           "source_table": "customer"}
+    return read_source(spark, cfg, csv_schema=src.schema)
+
+
+# ---------------------------------------------------------------------------
+# Load: K1, S7, S8, S14, K3, P1, P3, P4, P5, S10, N7
+# ---------------------------------------------------------------------------
+from sluice.operators.projection import (split_bad_rows, stamp_audit,  # noqa: E402
+                                         typed_projection, BAD_COLUMNS, lineage)
+from sluice.sinks.write import land, load_raw, read_raw  # noqa: E402
+from sluice.spec import schema_of  # noqa: E402
+from sluice.functions.scalar import batch_id as _batch_id_of  # noqa: E402
+
+SUPPLIER_TARGET = schema_of("S_SUPPKEY bigint, S_NAME string, S_NATIONKEY int, "
+                            "S_ACCTBAL decimal(12,2), S_RATING decimal(3,2)")
+
+
+@register("land_and_reload", f"""
+SELECT CAST(s_suppkey AS BIGINT) AS S_SUPPKEY, s_name AS S_NAME, s_nationkey AS S_NATIONKEY,
+       CAST(s_acctbal AS DECIMAL(12,2)) AS S_ACCTBAL, CAST(NULL AS DECIMAL(3,2)) AS S_RATING,
+       'pl_supplier' AS _pipeline_name, '{BATCH1}' AS _batch_id, 'run-1' AS _run_id,
+       'FULL' AS _load_type, 'supplier_20250101.parquet' AS _source_file,
+       false AS _is_deleted, TIMESTAMP '{NOW}' AS _ingestion_timestamp
+FROM supplier""")
+def q_land_and_reload(spark, sf_dir):
+    root = scratch_dir(spark, "landing")
+    path = landing_path(root, "raw", "supply_chain/supplier", "supplier", NOW_DT)
+    land(extract(_table(spark, sf_dir, "supplier"), "FULL"), path, BATCH1)
+    landed = read_landing(spark, path, BATCH1)
+    raw_path = root + "/RAW/RAW_SUPPLIER"
+    load_raw(landed, SUPPLIER_TARGET, raw_path, pipeline_name="pl_supplier", batch_id=BATCH1,
+             run_id="run-1", load_type="FULL", now=NOW_DT)
+    raw = read_raw(spark, raw_path)
+    return raw.withColumn("_source_file",
+                          F.regexp_extract("_source_file", r"([^/]+\.parquet)/batch_id=", 1))
+
+
+PART_TARGET = schema_of("P_PARTKEY bigint, P_NAME string, P_SIZE int, "
+                        "P_RETAILPRICE decimal(12,2), P_TYPE string, P_AVAILABLE_FROM date")
+
+
+@register("typed_projection", """
+SELECT CAST(CAST(p_partkey AS VARCHAR) AS BIGINT) AS P_PARTKEY, p_name AS P_NAME,
+       CAST(CAST(p_size AS VARCHAR) AS INTEGER) AS P_SIZE,
+       CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(12,2)) AS P_RETAILPRICE,
+       p_type AS P_TYPE, CAST(NULL AS DATE) AS P_AVAILABLE_FROM
+FROM part""")
+def q_typed_projection(spark, sf_dir):
+    part = _table(spark, sf_dir, "part")
+    # the landed file holds text only, lower-case names
+    text = part.select(*[F.col(c).cast("string").alias(c.lower()) for c in part.columns])
+    return typed_projection(text, PART_TARGET)
+
+
+def _junk_part(df: DataFrame) -> DataFrame:
+    return df.select(
+        "p_partkey", "p_name",
+        F.when(F.col("p_partkey") % 10 == 0, F.concat(F.lit("x"), F.col("p_size").cast("string")))
+         .otherwise(F.col("p_size").cast("string")).alias("p_size"),
+        F.col("p_retailprice"))
+
+
+BAD_TARGET = schema_of("p_partkey bigint, p_name string, p_size int, p_retailprice decimal(6,2)")
+_BAD_SQL = """
+WITH t AS (
+  SELECT p_partkey, substr(p_name, 1, 20) AS p_name,
+         TRY_CAST(CASE WHEN p_partkey % 10 = 0 THEN 'x' || CAST(p_size AS VARCHAR)
+                       ELSE CAST(p_size AS VARCHAR) END AS INTEGER) AS p_size,
+         TRY_CAST(p_retailprice AS DECIMAL(6,2)) AS p_retailprice,
+         concat_ws(',', CASE WHEN p_partkey % 10 = 0 THEN 'p_size' END,
+                   CASE WHEN TRY_CAST(p_retailprice AS DECIMAL(6,2)) IS NULL THEN 'p_retailprice' END)
+           AS bad_columns
+  FROM part)
+"""
+
+
+@register("bad_rows", _BAD_SQL + "SELECT * FROM t WHERE bad_columns <> ''")
+def q_bad_rows(spark, sf_dir):
+    src = _junk_part(_table(spark, sf_dir, "part"))
+    _, bad = split_bad_rows(src, BAD_TARGET, max_lengths={"p_name": 20})
+    return bad.withColumn("bad_columns", F.array_join(BAD_COLUMNS, ",")).drop(BAD_COLUMNS)
+
+
+@register("good_rows", _BAD_SQL + "SELECT * EXCLUDE (bad_columns) FROM t WHERE bad_columns = ''")
+def q_good_rows(spark, sf_dir):
+    src = _junk_part(_table(spark, sf_dir, "part"))
+    good, _ = split_bad_rows(src, BAD_TARGET, max_lengths={"p_name": 20})
+    return good
+
+
+@register("audit_stamp", f"""
+SELECT o_orderkey, 'pl_orders' AS _pipeline_name, '{BATCH1}' AS _batch_id, 'run-1' AS _run_id,
+       'FULL' AS _load_type, 'orders.parquet' AS _source_file, false AS _is_deleted,
+       TIMESTAMP '{NOW}' AS _ingestion_timestamp
+FROM orders""")
+def q_audit_stamp(spark, sf_dir):
+    src = with_source_file(_table(spark, sf_dir, "orders"))
+    stamped = stamp_audit(src, "pl_orders", BATCH1, "run-1", "FULL", NOW_DT)
+    cols = lineage(stamped, ["o_orderkey"]).columns + ["_is_deleted", "_ingestion_timestamp"]
+    # the lineage lookup (N7), with the file name reduced to its last part
+    return (stamped.select(*cols)
+                   .withColumn("_source_file", F.regexp_extract("_source_file", r"[^/]+$", 0)))
+
+
+# ---------------------------------------------------------------------------
+# Scalar functions F1-F4, F6-F9, F12
+# ---------------------------------------------------------------------------
+from sluice.functions.scalar import batch_id_col, dated_path_col, hours_before  # noqa: E402
+
+
+@register("scalar_functions", f"""
+SELECT o_orderkey,
+       'BATCH-' || strftime(o_orderdate, '%Y%m%d-%H%M%S') AS batch_id,
+       strftime(o_orderdate, '%Y/%m/%d') AS day_path,
+       'orders_' || strftime(o_orderdate, '%Y%m%d') || '.parquet' AS file_name,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS watermark_text,
+       upper(o_orderpriority) AS priority_upper, lower(o_orderstatus) AS status_lower,
+       CASE WHEN o_totalprice > 200000 THEN 'LARGE' WHEN o_totalprice > 50000 THEN 'MEDIUM'
+            ELSE 'SMALL' END AS size_class,
+       regexp_matches(o_orderpriority, '^[12]-') AS is_priority,
+       COALESCE(NULLIF(o_orderpriority, '5-LOW'), 'NONE') AS priority_or_none,
+       CAST(o_orderdate AS DATE) AS order_day,
+       o_orderdate >= TIMESTAMP '{NOW}' - INTERVAL 24 HOUR AS in_last_24h
+FROM orders""")
+def q_scalar_functions(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    return o.select(
+        "o_orderkey", batch_id_col(d).alias("batch_id"), dated_path_col(d).alias("day_path"),
+        F.concat(F.lit("orders_"), F.date_format(d, "yyyyMMdd"), F.lit(".parquet"))
+         .alias("file_name"),
+        F.date_format(d, "yyyy-MM-dd HH:mm:ss").alias("watermark_text"),
+        F.upper("o_orderpriority").alias("priority_upper"),
+        F.lower("o_orderstatus").alias("status_lower"),
+        F.when(F.col("o_totalprice") > 200000, "LARGE").when(F.col("o_totalprice") > 50000, "MEDIUM")
+         .otherwise("SMALL").alias("size_class"),
+        F.col("o_orderpriority").rlike("^[12]-").alias("is_priority"),
+        F.coalesce(F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")), F.lit("NONE"))
+         .alias("priority_or_none"),
+        F.to_date(d).alias("order_day"),
+        (d >= hours_before(NOW_DT, 24)).alias("in_last_24h"))
+
+
+# ---------------------------------------------------------------------------
+# G2 ordered concat, W1 latest per key
+# ---------------------------------------------------------------------------
+from sluice.operators.aggregate import ordered_concat  # noqa: E402
+from sluice.operators.dedup import latest_per_key  # noqa: E402
+
+
+@register("ordered_concat", """
+SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey)
+         AS part_list
+FROM lineitem GROUP BY l_orderkey""")
+def q_ordered_concat(spark, sf_dir):
+    return ordered_concat(_table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_partkey",
+                          ["l_linenumber", "l_partkey"], alias="part_list")
+
+
+@register("latest_per_key", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def q_latest_per_key(spark, sf_dir):
+    return latest_per_key(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"],
+                          ["l_shipdate", "l_partkey", "l_suppkey"])
+
+
+@register("latest_per_key_nulls", """
+SELECT o_custkey, o_orderkey, updated_at FROM (
+  SELECT o_custkey, o_orderkey,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderdate END AS updated_at,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY
+           CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderdate END DESC NULLS FIRST,
+           o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1""")
+def q_latest_per_key_nulls(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderkey",
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None))
+         .otherwise(F.col("o_orderdate")).alias("updated_at"))
+    return latest_per_key(o, ["o_custkey"], ["updated_at", "o_orderkey"], nulls_first=True)
+
+
+# ---------------------------------------------------------------------------
+# Watermarks: G5, G6, G3, F8, F11
+# ---------------------------------------------------------------------------
+from sluice.operators.watermark import next_watermark, watermark_current  # noqa: E402
+
+
+def _wm_log_sql(d: Dialect) -> str:
+    return (f"SELECT 'pl_' || event_type AS pipeline_name, "
+            f"'t' || CAST(user_id % 10 AS {d.str_type}) AS source_table, 'ts' AS cdc_column, "
+            f"{d.fmt('ts', 'yyyy-MM-dd HH:mm:ss')} AS watermark_value, "
+            f"'TIMESTAMP' AS watermark_type, "
+            f"CASE WHEN event_type = 'error' THEN NULL ELSE CAST(floor(value) AS BIGINT) END "
+            f"AS rows_loaded, ts AS updated_at, event_id AS seq FROM {d.t('events')}")
+
+
+@register("watermark_state", f"""
+WITH log AS ({_wm_log_sql(DUCK)}),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_name, source_table
+                        ORDER BY updated_at DESC, seq DESC) AS rn FROM log) WHERE rn = 1),
+agg AS (SELECT pipeline_name, source_table, max(updated_at) AS mx,
+               CAST(sum(COALESCE(rows_loaded, 0)) AS BIGINT) AS total_rows_loaded,
+               count(*) AS updates
+        FROM log GROUP BY pipeline_name, source_table)
+SELECT a.pipeline_name, a.source_table, l.watermark_value AS last_watermark_value,
+       a.mx AS last_watermark_datetime, true AS initial_load_done, a.mx AS last_successful_run,
+       l.rows_loaded AS last_rows_loaded, a.total_rows_loaded, a.updates
+FROM agg a JOIN last l USING (pipeline_name, source_table)""")
+def q_watermark_state(spark, sf_dir):
+    return watermark_current(_sql(spark, sf_dir, _wm_log_sql))
+
+
+@register("next_watermark", """
+SELECT count(*) AS rows_extracted, CAST(max(ts) AS VARCHAR) AS new_watermark
+FROM events WHERE ts >= TIMESTAMP '1900-01-01 00:00:00'""")
+def q_next_watermark(spark, sf_dir):
+    ev = extract(_table(spark, sf_dir, "events"), "CDC", "ts", None)  # first run: default 1900
+    return next_watermark(ev, "ts", "1900-01-01 00:00:00")
