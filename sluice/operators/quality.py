@@ -258,3 +258,23 @@ def fk_violations(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -
     parents = ref.select(F.col(ref_column).alias("__p")).where(F.col("__p").isNotNull())
     return (df.where(F.col(column).isNotNull())
               .join(parents, F.col(column) == F.col("__p"), "left_anti"))
+
+
+def dq_results(summary: DataFrame, run_id: str, pipeline_name: str, source_table: str,
+               run_date, dq_file_path: str | None = None) -> DataFrame:
+    """K9 rows: the summary stamped with run, pipeline, table and date."""
+    return summary.select(
+        F.lit(run_id).alias("run_id"), F.lit(pipeline_name).alias("pipeline_name"),
+        F.lit(source_table).alias("source_table"), "rule_id", "rule_name", "rule_type",
+        "column_name", "severity", "total_records", "passed_records", "failed_records",
+        "pass_rate_pct", "status", "action_taken",
+        F.lit(dq_file_path).cast("string").alias("dq_file_path"),
+        F.lit(run_date).cast("timestamp_ntz").alias("run_date"))
+
+
+def dq_report(results: DataFrame) -> DataFrame:
+    """Per pipeline, day and rule severity: rules, rules not passed, failed rows."""
+    return (results.groupBy("pipeline_name", F.to_date("run_date").alias("run_date"), "severity")
+                   .agg(F.count(F.lit(1)).alias("rules"),
+                        F.count_if(F.col("status") != "PASS").alias("rules_not_passed"),
+                        F.sum("failed_records").cast("bigint").alias("failed_records")))

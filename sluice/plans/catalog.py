@@ -364,3 +364,312 @@ FROM events WHERE ts >= TIMESTAMP '1900-01-01 00:00:00'""")
 def q_next_watermark(spark, sf_dir):
     ev = extract(_table(spark, sf_dir, "events"), "CDC", "ts", None)  # first run: default 1900
     return next_watermark(ev, "ts", "1900-01-01 00:00:00")
+
+
+# ---------------------------------------------------------------------------
+# Run log and monitoring: G4, G8, N1, N2, N4, N6, N8, O2, P12, F5, F6, F7, J4
+# Events recast as a run-event log: even event_id = START, odd = END of run
+# event_id DIV 2; END status from the event type.
+# ---------------------------------------------------------------------------
+from sluice.operators.runlog import (failed_since, open_errors, run_history,  # noqa: E402
+                                     run_log_current, run_trend)
+
+MONITOR_NOW = "2024-01-30 12:00:00"
+
+
+def _run_events_sql(d: Dialect) -> str:
+    run = d.int_div("event_id", "2")
+    return (
+        f"SELECT CASE WHEN event_id % 2 = 0 THEN 'START' ELSE 'END' END AS event, "
+        f"'run-' || CAST({run} AS {d.str_type}) AS run_id, "
+        f"'pl_' || CAST({run} % 7 AS {d.str_type}) AS pipeline_name, "
+        f"'t' || CAST({run} % 7 AS {d.str_type}) AS source_table, ts AS event_time, "
+        f"CASE WHEN event_id % 2 = 0 THEN 'RUNNING' WHEN event_type = 'error' THEN 'FAILED' "
+        f"WHEN event_type = 'signup' THEN 'SKIPPED' ELSE 'SUCCESS' END AS status, "
+        f"CAST(floor(value * 10) AS BIGINT) AS rows_extracted, "
+        f"CAST(NULL AS BIGINT) AS rows_passed_dq, CAST(NULL AS BIGINT) AS rows_failed_dq, "
+        f"CASE WHEN event_type = 'error' THEN CAST(0 AS BIGINT) "
+        f"ELSE CAST(floor(value * 10) AS BIGINT) END AS rows_loaded, "
+        f"CAST(NULL AS {d.str_type}) AS watermark_start, CAST(NULL AS {d.str_type}) AS watermark_end, "
+        f"'PL_MASTER_INGESTION' AS adf_pipeline_name, 'daily' AS adf_trigger_name, "
+        f"CASE WHEN event_type = 'error' THEN props END AS error_message "
+        f"FROM {d.t('events')}")
+
+
+_RUNS_SQL = f"""
+WITH ev AS ({_run_events_sql(DUCK)}),
+s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run_id, pipeline_name
+                     ORDER BY event_time DESC) AS rn FROM ev WHERE event = 'START') WHERE rn = 1),
+e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run_id, pipeline_name
+                     ORDER BY event_time DESC) AS rn FROM ev WHERE event = 'END') WHERE rn = 1),
+runs AS (
+SELECT s.run_id, s.pipeline_name, s.source_table, CAST(s.event_time AS DATE) AS run_date,
+       s.event_time AS start_time, e.event_time AS end_time,
+       date_diff('second', s.event_time, e.event_time) AS duration_seconds,
+       COALESCE(e.status, 'RUNNING') AS status,
+       COALESCE(e.rows_extracted, 0) AS rows_extracted,
+       COALESCE(e.rows_passed_dq, 0) AS rows_passed_dq,
+       COALESCE(e.rows_failed_dq, 0) AS rows_failed_dq,
+       COALESCE(e.rows_loaded, 0) AS rows_loaded,
+       s.watermark_start, e.watermark_end, s.adf_pipeline_name, s.adf_trigger_name,
+       e.error_message
+FROM s LEFT JOIN e ON s.run_id = e.run_id AND s.pipeline_name = e.pipeline_name)
+"""
+
+
+def _runs(spark, sf_dir):
+    return run_log_current(_sql(spark, sf_dir, _run_events_sql))
+
+
+@register("run_log_current", _RUNS_SQL + "SELECT * FROM runs")
+def q_run_log_current(spark, sf_dir):
+    return _runs(spark, sf_dir)
+
+
+@register("run_history", _RUNS_SQL + """
+SELECT pipeline_name, source_table, status, start_time, end_time, duration_seconds,
+       rows_extracted, rows_loaded FROM runs ORDER BY start_time DESC""")
+def q_run_history(spark, sf_dir):
+    return run_history(_runs(spark, sf_dir))
+
+
+@register("failed_24h", _RUNS_SQL + f"""
+SELECT * FROM runs WHERE status = 'FAILED'
+  AND start_time >= TIMESTAMP '{MONITOR_NOW}' - INTERVAL 24 HOUR ORDER BY start_time DESC""")
+def q_failed_24h(spark, sf_dir):
+    return failed_since(_runs(spark, sf_dir), dt.datetime(2024, 1, 30, 12), 24)
+
+
+@register("run_trend", _RUNS_SQL + """
+SELECT pipeline_name, run_date, status, count(*) AS runs,
+       CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded,
+       avg(duration_seconds) AS avg_duration_seconds,
+       max(duration_seconds) AS max_duration_seconds
+FROM runs GROUP BY pipeline_name, run_date, status""")
+def q_run_trend(spark, sf_dir):
+    return run_trend(_runs(spark, sf_dir))
+
+
+def _errors_sql(d: Dialect) -> str:
+    run = d.int_div("event_id", "2")
+    return (
+        f"SELECT 'err-' || CAST(event_id AS {d.str_type}) AS error_id, "
+        f"'run-' || CAST({run} AS {d.str_type}) AS run_id, "
+        f"'pl_' || CAST({run} % 7 AS {d.str_type}) AS pipeline_name, "
+        f"'t' || CAST({run} % 7 AS {d.str_type}) AS source_table, "
+        f"CASE WHEN value > 50 THEN 'LOAD' ELSE 'EXTRACTION' END AS error_type, "
+        f"props AS error_message, ts AS created_date, (event_id % 4 = 0) AS is_resolved "
+        f"FROM {d.t('events')} WHERE event_type = 'error'")
+
+
+@register("open_errors", _RUNS_SQL + f"""
+SELECT er.*, r.status AS run_status, r.start_time
+FROM ({_errors_sql(DUCK)}) er LEFT JOIN runs r
+  ON er.run_id = r.run_id AND er.pipeline_name = r.pipeline_name
+WHERE NOT COALESCE(er.is_resolved, false) ORDER BY er.created_date DESC""")
+def q_open_errors(spark, sf_dir):
+    return open_errors(_sql(spark, sf_dir, _errors_sql), _runs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Constraint checks V1-V4 and the rule engine Q1-Q11, G7, W2, J3, N5, K9
+# ---------------------------------------------------------------------------
+from sluice.operators import quality as Q  # noqa: E402
+
+
+@register("constraint_violations", """
+SELECT 'status_domain' AS check_name, CAST(o_orderkey AS VARCHAR) AS row_key FROM orders
+  WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')
+UNION ALL
+SELECT 'priority_not_null', CAST(o_orderkey AS VARCHAR) FROM orders
+  WHERE NULLIF(o_orderpriority, '5-LOW') IS NULL
+UNION ALL
+SELECT 'line_unique', CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+  FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+UNION ALL
+SELECT 'customer_fk', CAST(o_orderkey AS VARCHAR) FROM orders o
+  WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey + 100)""")
+def q_constraint_violations(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    li = _table(spark, sf_dir, "lineitem")
+    c = _table(spark, sf_dir, "customer")
+    key = F.col("o_orderkey").cast("string").alias("row_key")
+    v1 = Q.domain_violations(o, "o_orderstatus", ["F", "O"]).select(
+        F.lit("status_domain").alias("check_name"), key)
+    o2 = o.withColumn("o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
+    v2 = Q.not_null_violations(o2, "o_orderpriority").select(
+        F.lit("priority_not_null").alias("check_name"), key)
+    v3 = Q.unique_violations(li, ["l_orderkey", "l_linenumber"]).select(
+        F.lit("line_unique").alias("check_name"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"),
+                    F.col("l_linenumber").cast("string")).alias("row_key"))
+    o4 = o.withColumn("o_custkey", F.col("o_custkey") + 100)
+    v4 = Q.fk_violations(o4, "o_custkey", c, "c_custkey").select(
+        F.lit("customer_fk").alias("check_name"), key)
+    return v1.unionByName(v2).unionByName(v3).unionByName(v4)
+
+
+def _dq_input_sql(d: Dialect) -> str:
+    return (f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, "
+            f"l_tax, NULLIF(l_returnflag, 'A') AS l_returnflag, "
+            f"CASE WHEN l_partkey % 97 = 0 THEN lower(l_linestatus) ELSE l_linestatus END "
+            f"AS l_linestatus, "
+            f"l_suppkey + CASE WHEN l_partkey % 50 = 0 THEN 1000000 ELSE 0 END AS l_suppkey_x "
+            f"FROM {d.t('lineitem')}")
+
+
+DQ_RULES = [
+    Q.Rule("rq_returnflag_nn", "NOT_NULL", "l_returnflag", action_on_failure="QUARANTINE",
+           severity="HIGH", rule_order=1, rule_id=1),
+    Q.Rule("rq_line_unique", "UNIQUENESS", "l_orderkey,l_linenumber", action_on_failure="FLAG",
+           severity="MEDIUM", rule_order=2, rule_id=2),
+    Q.Rule("rq_qty_range", "RANGE", "l_quantity", min_value="1", max_value="45",
+           action_on_failure="WARN", severity="LOW", rule_order=3, rule_id=3),
+    Q.Rule("rq_status_regex", "REGEX", "l_linestatus", regex_pattern="^[OF]$",
+           action_on_failure="QUARANTINE", severity="HIGH", rule_order=4, rule_id=4),
+    Q.Rule("rq_supp_ref", "REFERENTIAL", "l_suppkey_x", ref_table="supplier",
+           ref_column="s_suppkey", action_on_failure="REJECT", severity="HIGH", rule_order=5,
+           rule_id=5),
+    Q.Rule("rq_discount_threshold", "THRESHOLD", rule_expression="l_discount <= 0.08",
+           threshold_pct=80, action_on_failure="WARN", severity="MEDIUM", rule_order=6,
+           rule_id=6),
+    Q.Rule("rq_tax_custom", "CUSTOM", rule_expression="l_tax <= l_discount + 0.06",
+           action_on_failure="FLAG", severity="LOW", rule_order=7, rule_id=7),
+]
+
+# DuckDB restatement of each rule's row-level pass condition.
+_DQ_PASS = {
+    "rq_returnflag_nn": "l_returnflag IS NOT NULL",
+    "rq_line_unique": "NOT COALESCE(d.__dup, false)",
+    "rq_qty_range": "(l_quantity IS NULL OR (l_quantity >= 1 AND l_quantity <= 45))",
+    "rq_status_regex": "(l_linestatus IS NULL OR regexp_matches(l_linestatus, '^[OF]$'))",
+    "rq_supp_ref": "(l_suppkey_x IS NULL OR r.__hit IS NOT NULL)",
+    "rq_discount_threshold": "COALESCE(l_discount <= 0.08, false)",
+    "rq_tax_custom": "COALESCE(l_tax <= l_discount + 0.06, true)",
+}
+_DQ_EVAL = f"""
+WITH src AS ({_dq_input_sql(DUCK)}),
+dups AS (SELECT l_orderkey, l_linenumber, true AS __dup FROM src
+         WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1),
+refs AS (SELECT DISTINCT s_suppkey AS __ref, true AS __hit FROM supplier WHERE s_suppkey IS NOT NULL),
+ev AS (
+  SELECT src.*, {", ".join(f"{v} AS {r}" for r, v in _DQ_PASS.items())}
+  FROM src LEFT JOIN dups d ON src.l_orderkey = d.l_orderkey AND src.l_linenumber = d.l_linenumber
+           LEFT JOIN refs r ON src.l_suppkey_x = r.__ref)
+"""
+
+
+def _dq_eval(spark, sf_dir, rules=None):
+    df = _sql(spark, sf_dir, _dq_input_sql)
+    refs = {"supplier": _table(spark, sf_dir, "supplier")}
+    return Q.evaluate_rules(df, rules or DQ_RULES, refs)
+
+
+_DQ_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+for _r in DQ_RULES:
+    if _r.rule_type == "THRESHOLD":
+        continue
+    _qn = "dq_" + _r.rule_type.lower()
+
+    def _mk(rule):
+        def q(spark, sf_dir):
+            ev = _dq_eval(spark, sf_dir, [rule])
+            return ev.where(~F.col(rule.pass_column)).select(
+                *_DQ_KEYS, F.lit(rule.rule_name).alias("rule_name"))
+        return q
+    register(_qn, _DQ_EVAL + f"SELECT {', '.join(_DQ_KEYS)}, '{_r.rule_name}' AS rule_name "
+                             f"FROM ev WHERE NOT {_r.rule_name}")(_mk(_r))
+
+
+def _summary_sql_rows() -> str:
+    parts = []
+    for r in DQ_RULES:
+        thr = "NULL" if r.threshold_pct is None else f"CAST({r.threshold_pct} AS DECIMAL(5,2))"
+        col = "NULL" if r.column_name is None else f"'{r.column_name}'"
+        parts.append(
+            f"SELECT {r.rule_id} AS rule_id, '{r.rule_name}' AS rule_name, '{r.rule_type}' AS rule_type, "
+            f"{col} AS column_name, '{r.severity}' AS severity, '{r.action_on_failure}' AS act, "
+            f"{thr} AS thr, count(*) AS total, count(*) FILTER (WHERE NOT {r.rule_name}) AS failed, "
+            f"count(*) FILTER (WHERE NOT ({' AND '.join(x.rule_name for x in DQ_RULES if x.rule_type != 'THRESHOLD')})) AS rows_failed "
+            f"FROM ev")
+    return " UNION ALL ".join(parts)
+
+
+_DQ_SUMMARY = _DQ_EVAL + f""",
+s AS ({_summary_sql_rows()}),
+s2 AS (SELECT *, CAST(ROUND((total - failed) * 100 / total, 2) AS DECIMAL(5,2)) AS rate FROM s),
+s3 AS (SELECT *, CASE WHEN rule_type = 'THRESHOLD' THEN COALESCE(rate < thr, true) AND total > 0
+                      ELSE failed > 0 END AS breached FROM s2),
+summary AS (
+SELECT rule_id, rule_name, rule_type, column_name, severity, CAST(total AS BIGINT) AS total_records,
+       CAST(total - failed AS BIGINT) AS passed_records, CAST(failed AS BIGINT) AS failed_records,
+       rate AS pass_rate_pct,
+       CASE WHEN NOT breached THEN 'PASS' WHEN act = 'WARN' THEN 'WARN' ELSE 'FAIL' END AS status,
+       CASE WHEN breached THEN act ELSE 'NONE' END AS action_taken,
+       CAST(total - rows_failed AS BIGINT) AS rows_passed_dq, CAST(rows_failed AS BIGINT) AS rows_failed_dq
+FROM s3)
+"""
+
+
+def _summary(spark, sf_dir):
+    return Q.dq_summary(_dq_eval(spark, sf_dir), DQ_RULES)
+
+
+@register("dq_threshold", _DQ_SUMMARY + "SELECT * FROM summary WHERE rule_type = 'THRESHOLD'")
+def q_dq_threshold(spark, sf_dir):
+    return _summary(spark, sf_dir).where(F.col("rule_type") == "THRESHOLD")
+
+
+@register("dq_summary", _DQ_SUMMARY + "SELECT * FROM summary")
+def q_dq_summary(spark, sf_dir):
+    return _summary(spark, sf_dir)
+
+
+@register("dq_report", _DQ_SUMMARY + f"""
+SELECT 'pl_lineitem' AS pipeline_name, CAST(TIMESTAMP '{NOW}' AS DATE) AS run_date, severity,
+       count(*) AS rules, count(*) FILTER (WHERE status <> 'PASS') AS rules_not_passed,
+       CAST(sum(failed_records) AS BIGINT) AS failed_records
+FROM summary GROUP BY severity""")
+def q_dq_report(spark, sf_dir):
+    res = Q.dq_results(_summary(spark, sf_dir), run_id="run-1", pipeline_name="pl_lineitem",
+                       source_table="lineitem", run_date=NOW_DT)
+    return Q.dq_report(res)
+
+
+@register("dq_quarantine", _DQ_EVAL + f"""
+SELECT {', '.join(_DQ_KEYS)},
+       concat_ws(',', CASE WHEN NOT rq_returnflag_nn THEN 'rq_returnflag_nn' END,
+                      CASE WHEN NOT rq_status_regex THEN 'rq_status_regex' END) AS failed_rules
+FROM ev WHERE NOT rq_returnflag_nn OR NOT rq_status_regex""")
+def q_dq_quarantine(spark, sf_dir):
+    ev = _dq_eval(spark, sf_dir)
+    return Q.quarantined(ev, DQ_RULES).select(
+        *_DQ_KEYS, F.array_join(F.array_intersect(
+            F.col(Q.FAILED), F.array(F.lit("rq_returnflag_nn"), F.lit("rq_status_regex"))), ",")
+        .alias("failed_rules"))
+
+
+@register("dq_flag", _DQ_EVAL + f"""
+SELECT {', '.join(_DQ_KEYS)},
+       concat_ws(',', CASE WHEN NOT rq_line_unique THEN 'rq_line_unique' END,
+                      CASE WHEN NOT rq_tax_custom THEN 'rq_tax_custom' END) AS dq_flags
+FROM ev WHERE rq_returnflag_nn AND rq_status_regex""")
+def q_dq_flag(spark, sf_dir):
+    ev = _dq_eval(spark, sf_dir)
+    return Q.loadable(ev, DQ_RULES).select(*_DQ_KEYS,
+                                           F.array_join(Q.FLAGS, ",").alias("dq_flags"))
+
+
+@register("dq_reject", _DQ_SUMMARY + """
+SELECT COALESCE(max(CASE WHEN action_taken = 'REJECT' THEN 1 ELSE 0 END), 0) = 1 AS batch_rejected,
+       count(*) FILTER (WHERE status = 'FAIL') AS rules_failed,
+       count(*) FILTER (WHERE status = 'WARN') AS rules_warned
+FROM summary""")
+def q_dq_reject(spark, sf_dir):
+    return Q.batch_verdict(_summary(spark, sf_dir))
+
+
+@register("dq_warn", _DQ_SUMMARY + "SELECT * FROM summary WHERE status = 'WARN'")
+def q_dq_warn(spark, sf_dir):
+    return _summary(spark, sf_dir).where(F.col("status") == "WARN")
