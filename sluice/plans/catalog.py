@@ -673,3 +673,104 @@ def q_dq_reject(spark, sf_dir):
 @register("dq_warn", _DQ_SUMMARY + "SELECT * FROM summary WHERE status = 'WARN'")
 def q_dq_warn(spark, sf_dir):
     return _summary(spark, sf_dir).where(F.col("status") == "WARN")
+
+
+# ---------------------------------------------------------------------------
+# Q12 row counts, Q13 drift, Q14 schema evolution, X3 late rows
+# ---------------------------------------------------------------------------
+from sluice.operators.drift import evolve_schema, load_drift, row_count_check  # noqa: E402
+from sluice.streaming.incremental import late_rows  # noqa: E402
+
+
+@register("row_count_check", """
+WITH c AS (SELECT 'source' AS stage, count(*) AS row_count FROM orders
+           UNION ALL SELECT 'extracted', count(*) FROM orders
+           UNION ALL SELECT 'landed', count(*) FROM orders
+           UNION ALL SELECT 'typed_good', count(*) FROM orders)
+SELECT stage, row_count, (SELECT count(*) FROM orders) AS expected,
+       row_count = (SELECT count(*) FROM orders) AS matches FROM c""")
+def q_row_count_check(spark, sf_dir):
+    src = _table(spark, sf_dir, "orders")
+    ext = extract(src, "FULL")
+    landed = land(ext, scratch_dir(spark, "rowcount") + "/orders", BATCH1)
+    good, _ = split_bad_rows(ext, src.schema)
+    return row_count_check(source=src, extracted=ext, landed=landed.rows, typed_good=good)
+
+
+_DRIFT_PREV_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"),
+                    ("o_orderstatus", "string"), ("o_totalprice", "double"),
+                    ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+_DRIFT_CURR_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"),
+                    ("o_orderstatus", "string"), ("o_totalprice", "decimal(12,2)"),
+                    ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"),
+                    ("o_status_final", "string")]
+_DRIFT_PREV_SQL = "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'"
+_DRIFT_CURR_SQL = ("SELECT o_orderkey, o_custkey, o_orderstatus, "
+                   "CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, o_orderdate, "
+                   "o_orderpriority, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END "
+                   "AS o_status_final FROM orders "
+                   "WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'")
+
+
+def _profile_sql(src: str, cols) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS row_count, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, CAST(min({c}) AS VARCHAR) AS min_value, "
+        f"CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS distinct_count "
+        f"FROM ({src}) x" for c, t in cols)
+
+
+def _rate(p: str) -> str:
+    return (f"CASE WHEN {p}.row_count > 0 THEN round({p}.null_count * CAST(100 AS DOUBLE) "
+            f"/ {p}.row_count, 4) END")
+
+
+@register("load_drift", f"""
+WITH a AS ({_profile_sql(_DRIFT_PREV_SQL, _DRIFT_PREV_COLS)}),
+b AS ({_profile_sql(_DRIFT_CURR_SQL, _DRIFT_CURR_COLS)})
+SELECT COALESCE(b.column_name, a.column_name) AS column_name,
+       CASE WHEN a.column_name IS NULL THEN 'ADDED' WHEN b.column_name IS NULL THEN 'REMOVED'
+            WHEN a.data_type <> b.data_type THEN 'RETYPED' ELSE 'SAME' END AS change,
+       a.data_type AS prev_data_type, b.data_type AS curr_data_type,
+       {_rate('a')} AS prev_null_pct, {_rate('b')} AS curr_null_pct,
+       COALESCE({_rate('b')}, 0.0) - COALESCE({_rate('a')}, 0.0) AS null_pct_shift,
+       a.min_value AS prev_min_value, b.min_value AS curr_min_value,
+       a.max_value AS prev_max_value, b.max_value AS curr_max_value,
+       a.distinct_count AS prev_distinct_count, b.distinct_count AS curr_distinct_count
+FROM a FULL OUTER JOIN b ON a.column_name = b.column_name""")
+def q_load_drift(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    cut = F.lit(dt.datetime(1998, 1, 1))
+    prev = o.where(F.col("o_orderdate") < cut)
+    curr = (o.where(F.col("o_orderdate") >= cut)
+             .withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
+             .withColumn("o_status_final", F.when(F.col("o_orderstatus") != "P",
+                                                  F.col("o_orderstatus"))))
+    return load_drift(prev, curr)
+
+
+@register("schema_evolve", """
+SELECT *, CAST(NULL AS VARCHAR) AS p_container FROM part WHERE p_size <= 25
+UNION ALL
+SELECT *, 'BOX-' || CAST(p_size AS VARCHAR) AS p_container FROM part WHERE p_size > 25""")
+def q_schema_evolve(spark, sf_dir):
+    part = _table(spark, sf_dir, "part")
+    first = part.where(F.col("p_size") <= 25)
+    second = part.where(F.col("p_size") > 25).withColumn(
+        "p_container", F.concat(F.lit("BOX-"), F.col("p_size").cast("string")))
+    return evolve_schema(first, second)
+
+
+LATE_WM = "2024-01-20 00:00:00"
+
+
+@register("late_rows", f"""
+SELECT * FROM events e WHERE ts <= TIMESTAMP '{LATE_WM}' AND NOT EXISTS (
+  SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '{LATE_WM}' AND t.value <= 90
+    AND t.event_id = e.event_id AND t.ts = e.ts)""")
+def q_late_rows(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    wm = dt.datetime(2024, 1, 20)
+    # what the earlier load held: rows before the watermark that had arrived (value <= 90)
+    held = ev.where((F.col("ts") < F.lit(wm)) & (F.col("value") <= 90))
+    return late_rows(ev, held, ["event_id"], "ts", wm)
