@@ -774,3 +774,159 @@ def q_late_rows(spark, sf_dir):
     # what the earlier load held: rows before the watermark that had arrived (value <= 90)
     held = ev.where((F.col("ts") < F.lit(wm)) & (F.col("value") <= 90))
     return late_rows(ev, held, ["event_id"], "ts", wm)
+
+
+# ---------------------------------------------------------------------------
+# Flows: E1, E2, E5, E6, E8, K4 (written to a fresh folder under the
+# session's shared checkpoint root, then read back)
+# ---------------------------------------------------------------------------
+from sluice.plans.flow import Control, ingest_all, ingest_table  # noqa: E402
+from sluice.plans.standins import (change_source_sql, raw_rows_sql,  # noqa: E402
+                                   staging_sql)
+
+FLOW_NOW1 = dt.datetime(2025, 1, 1)
+FLOW_NOW2 = dt.datetime(2025, 1, 2)
+
+
+def _flow_cfg(name, table, sink, query, load_type="CDC", pid=1):
+    return {"pipeline_id": pid, "pipeline_name": name, "source_type": "PARQUET",
+            "source_table": table, "source_query": query, "load_type": load_type,
+            "cdc_column": "updated_at" if load_type != "FULL" else None,
+            "cdc_column_type": "TIMESTAMP", "sink_schema": "STAGING", "sink_table": sink,
+            "adls_container": "raw", "adls_folder_path": f"supply_chain/{table}",
+            "is_active": True}
+
+
+def _ingest_table_oracle() -> str:
+    si = STANDINS["purchase_orders"]
+    d = DUCK
+    base = si.base(d)
+    first = staging_sql(si, d, base, "pl_purchase_orders", "BATCH-20250101-000000", "run-1",
+                        "2025-01-01 00:00:00")
+    changed = (f"SELECT * FROM ({change_source_sql(si, d)}) c "
+               f"WHERE updated_at >= (SELECT max(updated_at) FROM ({base}) b)")
+    raw2 = raw_rows_sql(si, d, changed, "pl_purchase_orders", "BATCH-20250102-000000", "run-2",
+                        "2025-01-02 00:00:00", deleted="s._is_deleted")
+    return merge_oracle_sql(si, d, target=first, raw=raw2, now="2025-01-02 00:00:00")
+
+
+@register("ingest_table", _ingest_table_oracle())
+def q_ingest_table(spark, sf_dir):
+    """Initial run (default watermark: everything), then an incremental run of the
+    changed source from the stored watermark (max updated_at of the first extract)."""
+    si = STANDINS["purchase_orders"]
+    work = scratch_dir(spark, "ingest_table")
+    control = Control(spark, work + "/control")
+    sd = SparkDialect(sf_dir)
+    cfg1 = _flow_cfg("pl_purchase_orders", "purchase_orders", "STG_PURCHASE_ORDERS", si.base(sd))
+    r1 = ingest_table(spark, cfg1, control=control, lake_root=work, now=FLOW_NOW1,
+                      run_id="run-1")
+    cfg2 = dict(cfg1, source_query=change_source_sql(si, sd))
+    r2 = ingest_table(spark, cfg2, control=control, lake_root=work, now=FLOW_NOW2,
+                      run_id="run-2")
+    for r in (r1, r2):
+        if r.status not in ("SUCCESS", "PARTIAL", "SKIPPED"):
+            raise RuntimeError(f"ingest run failed: {r.error}")
+    return spark.read.parquet(r1.staging_path).drop("_bucket")
+
+
+@register("ingest_all", """
+SELECT 'pl_suppliers' AS pipeline_name, 'supplier' AS source_table, 'SUCCESS' AS status,
+       count(*) AS rows_extracted, count(*) AS rows_loaded, false AS has_error FROM supplier
+UNION ALL
+SELECT 'pl_sales_orders', 'orders', 'SUCCESS', count(*), count(*), false FROM orders
+UNION ALL
+SELECT 'pl_inventory', 'part', 'SUCCESS', count(*), count(*), false FROM part
+UNION ALL
+SELECT 'pl_orders', 'orders', 'FAILED', 0, 0, true""")
+def q_ingest_all(spark, sf_dir):
+    """Three tables and one without a merge spec (fails alone); one inactive row."""
+    work = scratch_dir(spark, "ingest_all")
+    control = Control(spark, work + "/control")
+    sd = SparkDialect(sf_dir)
+    configs = [
+        _flow_cfg("pl_suppliers", "supplier", "STG_SUPPLIERS",
+                  STANDINS["suppliers"].base(sd), "FULL", 1),
+        _flow_cfg("pl_sales_orders", "orders", "STG_SALES_ORDERS",
+                  STANDINS["sales_orders"].base(sd), "CDC", 2),
+        _flow_cfg("pl_inventory", "part", "STG_INVENTORY",
+                  STANDINS["inventory"].base(sd), "INCREMENTAL", 3),
+        _flow_cfg("pl_orders", "orders", "STG_ORDERS", STANDINS["orders"].base(sd), "CDC", 4),
+        dict(_flow_cfg("pl_inactive", "region", "STG_SUPPLIERS", "SELECT 1", "FULL", 5),
+             is_active=False),
+    ]
+    ingest_all(spark, configs, control=control, lake_root=work, now=FLOW_NOW1)
+    return control.runs().select("pipeline_name", "source_table", "status", "rows_extracted",
+                                 "rows_loaded",
+                                 F.col("error_message").isNotNull().alias("has_error"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming: X1, X2, M13 (two file drops, two available-now runs, one checkpoint)
+# ---------------------------------------------------------------------------
+from sluice.operators.dedup import latest_per_key as _lpk  # noqa: E402,F401
+from sluice.plans.standins import EVENTS_SPEC, SpecOnly  # noqa: E402
+from sluice.sinks.staging import StagingTable  # noqa: E402
+from sluice.streaming.incremental import stream_landing, stream_merge  # noqa: E402
+
+STREAM_CUT = "2024-01-15 00:00:00"
+
+
+def _drops(spark, sf_dir, landing):
+    ev = _table(spark, sf_dir, "events")
+    cut = F.lit(dt.datetime(2024, 1, 15))
+    return ev, (lambda: ev.where(F.col("ts") < cut).write.mode("append").parquet(landing)), \
+        (lambda: ev.where(F.col("ts") >= cut).write.mode("append").parquet(landing))
+
+
+@register("stream_landing", f"""
+SELECT *, CASE WHEN ts < TIMESTAMP '{STREAM_CUT}' THEN 1 ELSE 2 END AS stream_run FROM events""")
+def q_stream_landing(spark, sf_dir):
+    work = scratch_dir(spark, "stream_landing")
+    landing, sink, ckpt = work + "/landing", work + "/sink", work + "/ckpt"
+    ev, drop1, drop2 = _drops(spark, sf_dir, landing)
+
+    def to_sink(run_no):
+        def f(batch_df, epoch_id):
+            # one folder per micro-batch, overwritten on retry: exactly-once output
+            (batch_df.drop("_source_file").withColumn("stream_run", F.lit(run_no))
+                     .write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}"))
+        return f
+    drop1()
+    stream_merge(stream_landing(spark, landing, ev.schema), to_sink(1), ckpt)
+    drop2()
+    stream_merge(stream_landing(spark, landing, ev.schema), to_sink(2), ckpt)
+    return spark.read.parquet(sink).drop("epoch")
+
+
+def _stream_merge_oracle() -> str:
+    si, d = SpecOnly(EVENTS_SPEC), DUCK
+    cols = "user_id, event_id, event_type, value, ts AS created_at, ts AS updated_at"
+    d1 = f"SELECT {cols} FROM events WHERE ts < TIMESTAMP '{STREAM_CUT}'"
+    d2 = f"SELECT {cols} FROM events WHERE ts >= TIMESTAMP '{STREAM_CUT}'"
+    l1 = (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
+          f"ORDER BY updated_at DESC NULLS FIRST) AS rn FROM ({d1})) WHERE rn = 1")
+    first = staging_sql(si, d, l1, "pl_events", "EPOCH-0", "stream", "2025-01-01 00:00:00")
+    raw2 = raw_rows_sql(si, d, d2, "pl_events", "EPOCH-1", "stream", "2025-01-02 00:00:00")
+    return merge_oracle_sql(si, d, target=first, raw=raw2, now="2025-01-02 00:00:00")
+
+
+@register("stream_merge", _stream_merge_oracle())
+def q_stream_merge(spark, sf_dir):
+    work = scratch_dir(spark, "stream_merge")
+    landing, ckpt = work + "/landing", work + "/ckpt"
+    ev, drop1, drop2 = _drops(spark, sf_dir, landing)
+    table = StagingTable(spark, work + "/staging/EVENTS", EVENTS_SPEC, buckets=16)
+
+    def merge_batch(batch_df, epoch_id):
+        now = NOW_DT + dt.timedelta(days=int(epoch_id))
+        rows = batch_df.select("user_id", "event_id", "event_type", "value",
+                               F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"),
+                               "_source_file")
+        raw = stamp_audit(rows, "pl_events", f"EPOCH-{epoch_id}", "stream", "STREAM", now)
+        table.merge(raw, now, f"EPOCH-{epoch_id}")
+    drop1()
+    stream_merge(stream_landing(spark, landing, ev.schema), merge_batch, ckpt)
+    drop2()
+    stream_merge(stream_landing(spark, landing, ev.schema), merge_batch, ckpt)
+    return table.read()

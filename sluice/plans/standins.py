@@ -245,3 +245,41 @@ def merge_oracle_sql(si: StandIn, d: Dialect, target: str | None = None,
     ]
     return (f"SELECT {', '.join(out)} FROM (SELECT {t_cols} FROM ({target}) t) tt "
             f"FULL OUTER JOIN (SELECT {s_cols} FROM ({src}) s) ss ON {on}")
+
+
+def change_source_sql(si: StandIn, d: Dialect) -> str:
+    """A source table after changes: the raw batch's business rows and delete flag."""
+    spec = si.spec
+    k = si.mod_key
+    cols = [f"{d.add_days(c, f'{k} % 5 - 2')} AS {c}" if c == spec.updated_column else c
+            for c in spec.column_names]
+    return (f"SELECT {', '.join(cols)}, ({k} % 11 = 0) AS _is_deleted "
+            f"FROM ({si.base(d)}) b WHERE {k} % 3 = 0 OR {k} % 2 = 0")
+
+
+def staging_sql(si: StandIn, d: Dialect, source: str, pipeline: str, batch: str, run: str,
+                now: str) -> str:
+    """STAGING after a first load of ``source`` into an empty table (all INSERT)."""
+    cols = ", ".join(si.spec.column_names)
+    return (f"SELECT {cols}, 'INSERT' AS _cdc_operation, {d.ts(now)} AS _cdc_timestamp, "
+            f"false AS _is_deleted, true AS _is_current, '{pipeline}' AS _pipeline_name, "
+            f"'{batch}' AS _batch_id, '{run}' AS _run_id, {d.ts(now)} AS _created_at, "
+            f"{d.ts(now)} AS _updated_at FROM ({source}) s")
+
+
+def raw_rows_sql(si: StandIn, d: Dialect, source: str, pipeline: str, batch: str, run: str,
+                 now: str, deleted: str = "false") -> str:
+    cols = ", ".join(si.spec.column_names)
+    return (f"SELECT {cols}, '{pipeline}' AS _pipeline_name, '{batch}' AS _batch_id, "
+            f"'{run}' AS _run_id, {deleted} AS _is_deleted, {d.ts(now)} AS _ingestion_timestamp "
+            f"FROM ({source}) s")
+
+
+EVENTS_SPEC = TableSpec("EVENTS", ("user_id",), _cols(
+    "user_id bigint, event_id bigint, event_type string, value double, "
+    "created_at timestamp_ntz, updated_at timestamp_ntz"))
+
+
+@dataclass(frozen=True)
+class SpecOnly:
+    spec: TableSpec

@@ -79,8 +79,9 @@ def has_data(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return any(not s.getPath().getName().startswith(("_", "."))
-               for s in fs.listStatus(p))
+    # Same rule as Spark's file index: "_x" and ".x" are hidden unless "_x=v" partitions.
+    return any(not n.startswith(".") and (not n.startswith("_") or "=" in n)
+               for n in (s.getPath().getName() for s in fs.listStatus(p)))
 
 
 __all__ = ["get_session", "checkpoint_root", "scratch_dir", "local_path", "exists",

@@ -7,6 +7,7 @@ rows written and the largest CDC value, with no second pass.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -96,15 +97,22 @@ def append_log(spark: SparkSession, rows: list[dict], schema: T.StructType, path
     """Append control rows (run events, watermark updates, errors).
 
     Control state is append-only; current state is derived by aggregation,
-    so parallel table loads never update the same row.
+    so parallel table loads never update the same row.  Every append goes
+    to its own ``writer=<id>`` folder: concurrent appends from parallel
+    table loads never share a job's temporary folder.
     """
     df = spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows],
                                schema)
-    w = df.coalesce(1).write.mode("append")
-    if partition_by:
-        df = df.withColumn(partition_by, F.to_date("event_time"))
-        w = df.coalesce(1).write.mode("append").partitionBy(partition_by)
-    w.parquet(path)
+    df.coalesce(1).write.mode("append").parquet(f"{path}/writer={uuid.uuid4().hex}")
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All appended control rows (the ``writer`` folder column dropped)."""
+    from sluice.session import has_data
+    if not has_data(spark, path):
+        return spark.createDataFrame([], schema)
+    df = spark.read.parquet(path)
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 def write_dq_results(results: DataFrame, path: str) -> None:
