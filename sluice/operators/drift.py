@@ -34,26 +34,30 @@ def row_count_check(**counts: DataFrame | int) -> DataFrame:
                       (F.col("row_count") == expected).alias("matches"))
 
 
-def _profile_exprs(df: DataFrame, c: str):
+def _profile_exprs(df: DataFrame, c: str, exact_distinct: bool):
     col = F.col(f"`{c}`")
+    distinct = F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col, 0.01)
     return [F.count_if(col.isNull()).alias(f"{c}__nulls"),
             F.min(col).cast("string").alias(f"{c}__min"),
             F.max(col).cast("string").alias(f"{c}__max"),
-            F.count_distinct(col).alias(f"{c}__distinct")]
+            distinct.alias(f"{c}__distinct")]
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """One aggregate over all columns -> one row per column.
 
     Columns: column_name, data_type, row_count, null_count, min_value,
-    max_value (as text), distinct_count (exact).  Complex-typed columns get
-    counts only.
+    max_value (as text), distinct_count.  Complex-typed columns are left
+    out.  Exact distinct counts make Spark expand every row once per column
+    before the shuffle; on very wide or very large loads pass
+    ``exact_distinct=False`` (HyperLogLog++, 1 % error, map-side partial
+    aggregation, no expansion).
     """
     aggs = [F.count(F.lit(1)).alias("__rows")]
     simple = [f for f in df.schema.fields
               if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     for f in simple:
-        aggs += _profile_exprs(df, f.name)
+        aggs += _profile_exprs(df, f.name, exact_distinct)
     wide = df.agg(*aggs)
     structs = [F.struct(F.lit(f.name).alias("column_name"),
                         F.lit(f.dataType.simpleString()).alias("data_type"),
@@ -68,16 +72,16 @@ def profile(df: DataFrame) -> DataFrame:
                         "p.min_value", "p.max_value", "p.distinct_count"))
 
 
-def load_drift(previous: DataFrame, current: DataFrame) -> DataFrame:
+def load_drift(previous: DataFrame, current: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """Q13: per column, ADDED / REMOVED / RETYPED / SAME, with profile shifts.
 
     Each load is profiled in one aggregate; the two profiles (one row per
     column) are joined on the column name.
     """
-    a = profile(previous).select(*[F.col(c).alias("prev_" + c) for c in
+    a = profile(previous, exact_distinct).select(*[F.col(c).alias("prev_" + c) for c in
                                    ("column_name", "data_type", "row_count", "null_count",
                                     "min_value", "max_value", "distinct_count")])
-    b = profile(current).select(*[F.col(c).alias("curr_" + c) for c in
+    b = profile(current, exact_distinct).select(*[F.col(c).alias("curr_" + c) for c in
                                   ("column_name", "data_type", "row_count", "null_count",
                                    "min_value", "max_value", "distinct_count")])
     j = a.join(b, F.col("prev_column_name") == F.col("curr_column_name"), "full_outer")

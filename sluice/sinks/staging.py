@@ -38,8 +38,15 @@ class StagingTable:
         self.spark, self.path, self.spec, self.buckets = spark, path, spec, buckets
 
     def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.keys]),
-                      F.lit(self.buckets)).cast("int")
+        """``pmod(xxhash64(keys), N)``; a row whose key holds a NULL can never
+        match, so it is spread by a hash of its whole content instead of
+        piling every NULL key into one bucket."""
+        keyed = F.xxhash64(*[F.col(k) for k in self.spec.keys])
+        any_null = F.lit(False)
+        for k in self.spec.keys:
+            any_null = any_null | F.col(k).isNull()
+        spread = F.xxhash64(*[F.col(c) for c in self.spec.column_names], F.col("_batch_id"))
+        return F.pmod(F.when(any_null, spread).otherwise(keyed), F.lit(self.buckets)).cast("int")
 
     def exists(self) -> bool:
         return has_data(self.spark, self.path)
@@ -57,8 +64,9 @@ class StagingTable:
         src = source_latest(raw, self.spec, batch_id).withColumn(BUCKET, self.bucket_of())
         # At most ``buckets`` small ints reach the driver: a proven bound.
         touched = [r[0] for r in src.select(BUCKET).distinct().collect()]
-        nparts = partitions or min(max(len(touched), 1),
-                                   int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        # one write task per touched bucket: bucket size, not the session's
+        # shuffle setting, bounds a task; size ``buckets`` so a bucket is ~1 GB.
+        nparts = partitions or max(len(touched), 1)
         tgt = self.read(with_bucket=True)
         if touched:
             tgt = tgt.where(F.col(BUCKET).isin(touched))
