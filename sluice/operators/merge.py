@@ -49,41 +49,10 @@ def source_latest(raw: DataFrame, spec: TableSpec, batch_id: str | None = None)
     return latest_per_key(rows, spec.keys, list(spec.order_columns), nulls_first=True)
 
 
-def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.datetime | Column,
-                 batch_id: str | None = None, dedupe: bool = True,
-                 partition_column: str | None = None) -> DataFrame:
-    """Return the table after merging ``raw`` (RAW rows) into ``target``.
-
-    ``target`` has the STAGING layout (business columns + metadata); the
-    result has the same columns in the same order.  ``now`` is the one
-    instant of the merge.  ``partition_column`` (a function of the key
-    present on both sides, e.g. a hash bucket) joins the equality and is
-    carried to the output, so inputs already partitioned by it need no
-    further exchange.
-    """
-    now_c = now if isinstance(now, Column) else F.lit(now).cast(T.TimestampNTZType())
-    src = source_latest(raw, spec, batch_id) if dedupe else batch_rows(raw, batch_id)
-    business = spec.column_names
-    keys = list(spec.keys)
-
-    part = [partition_column] if partition_column else []
-    src = src.select(*[F.col(c).alias("s__" + c) for c in business + part],
-                     *[F.col(c).alias("s__" + c) for c in
-                       ("_pipeline_name", "_batch_id", "_run_id", "_is_deleted")])
-    tgt = target.select(*[F.col(c).alias("t__" + c) for c in business + part],
-                        *[F.col(c).alias("t__" + c) for c in STAGING_META_COLUMNS])
-
-    # NULL keys never compare equal: keep them out of the shuffle join.
-    tgt_nullkey = tgt.where(_any_null(keys, "t__"))
-    tgt_keyed = tgt.where(~_any_null(keys, "t__")).withColumn("t__present", F.lit(True))
-    src_nullkey = src.where(_any_null(keys, "s__"))
-    src_keyed = src.where(~_any_null(keys, "s__")).withColumn("s__present", F.lit(True))
-
-    cond = [F.col("t__" + k) == F.col("s__" + k) for k in part + keys]
-    joined = tgt_keyed.join(src_keyed, on=cond, how="full_outer")
-
-    t_in = F.coalesce(F.col("t__present"), F.lit(False))
-    s_in = F.coalesce(F.col("s__present"), F.lit(False))
+def _merged_columns(spec: TableSpec, part: list[str], t_in: Column, s_in: Column,
+                    now_c: Column) -> list[Column]:
+    """Per-column MERGE result over a joined row (``t__*`` / ``s__*`` columns)."""
+    business, keys = spec.column_names, list(spec.keys)
     upd_guard = ((F.col("t__" + spec.updated_column) < F.col("s__" + spec.updated_column))
                  | (F.col("t___is_deleted") != F.col("s___is_deleted")))
     is_update = t_in & s_in & F.coalesce(upd_guard, F.lit(False))
@@ -114,19 +83,84 @@ def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.dat
         F.when(is_insert, now_c).otherwise(F.col("t___created_at")).alias("_created_at"),
         pick("_updated_at", now_c, F.col("t___updated_at")),
     ]
-    merged = joined.select(*out)
-
-    # Rows that cannot match: target rows kept as they are, source rows inserted.
-    kept = tgt_nullkey.select(*[F.col("t__" + c).alias(c) for c in business + part],
-                              *[F.col("t__" + c).alias(c) for c in STAGING_META_COLUMNS])
-    inserted = src_nullkey.select(
-        *[F.col("s__" + c).alias(c) for c in business + part],
-        F.lit("INSERT").alias("_cdc_operation"), now_c.alias("_cdc_timestamp"),
-        F.col("s___is_deleted").alias("_is_deleted"), F.lit(True).alias("_is_current"),
-        F.col("s___pipeline_name").alias("_pipeline_name"),
-        F.col("s___batch_id").alias("_batch_id"), F.col("s___run_id").alias("_run_id"),
-        now_c.alias("_created_at"), now_c.alias("_updated_at"))
-    result = merged.unionByName(kept).unionByName(inserted)
+    return out
+
+
+def _insert_columns(spec: TableSpec, part: list[str], now_c: Column) -> list[Column]:
+    return [*[F.col("s__" + c).alias(c) for c in spec.column_names + part],
+            F.lit("INSERT").alias("_cdc_operation"), now_c.alias("_cdc_timestamp"),
+            F.col("s___is_deleted").alias("_is_deleted"), F.lit(True).alias("_is_current"),
+            F.col("s___pipeline_name").alias("_pipeline_name"),
+            F.col("s___batch_id").alias("_batch_id"), F.col("s___run_id").alias("_run_id"),
+            now_c.alias("_created_at"), now_c.alias("_updated_at")]
+
+
+def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.datetime | Column,
+                 batch_id: str | None = None, dedupe: bool = True,
+                 partition_column: str | None = None,
+                 broadcast_source: bool = False) -> DataFrame:
+    """Return the table after merging ``raw`` (RAW rows) into ``target``.
+
+    ``target`` has the STAGING layout (business columns + metadata); the
+    result has the same columns in the same order.  ``now`` is the one
+    instant of the merge.  ``partition_column`` (a function of the key
+    present on both sides, e.g. a hash bucket) joins the equality and is
+    carried to the output, so inputs already partitioned by it need no
+    further exchange.
+
+    Two physical forms, same result:
+
+    * shuffle (default): one full outer join on the key; the W1 exchange of
+      the source is reused by the join, the target is shuffled once;
+    * ``broadcast_source=True`` -- only for a batch whose size the caller
+      has checked: ``target LEFT JOIN broadcast(batch)`` gives every
+      existing row (kept or updated) without moving the target, and the
+      inserts are the batch rows whose key no target row holds (a semi
+      join of the target's key column against the broadcast keys, then an
+      anti join of two batch-sized sides).
+    """
+    now_c = now if isinstance(now, Column) else F.lit(now).cast(T.TimestampNTZType())
+    src = source_latest(raw, spec, batch_id) if dedupe else batch_rows(raw, batch_id)
+    business = spec.column_names
+    keys = list(spec.keys)
+
+    part = [partition_column] if partition_column else []
+    src = src.select(*[F.col(c).alias("s__" + c) for c in business + part],
+                     *[F.col(c).alias("s__" + c) for c in
+                       ("_pipeline_name", "_batch_id", "_run_id", "_is_deleted")])
+    tgt = target.select(*[F.col(c).alias("t__" + c) for c in business + part],
+                        *[F.col(c).alias("t__" + c) for c in STAGING_META_COLUMNS])
+    cond = [F.col("t__" + k) == F.col("s__" + k) for k in part + keys]
+    src_keyed = src.where(~_any_null(keys, "s__")).withColumn("s__present", F.lit(True))
+
+    if broadcast_source:
+        existing = (tgt.join(F.broadcast(src_keyed), on=cond, how="left_outer")
+                       .select(*_merged_columns(spec, part, F.lit(True),
+                                                F.coalesce(F.col("s__present"), F.lit(False)),
+                                                now_c)))
+        held = (tgt.select(*[F.col("t__" + k) for k in part + keys])
+                   .join(F.broadcast(src_keyed.select(*[F.col("s__" + k)
+                                                        for k in part + keys])),
+                         on=cond, how="left_semi"))
+        # NULL keys never match, so they stay in ``src`` and are inserted
+        inserted = (src.join(F.broadcast(held), on=[F.col("s__" + k) == F.col("t__" + k)
+                                                    for k in part + keys], how="left_anti")
+                       .select(*_insert_columns(spec, part, now_c)))
+        result = existing.unionByName(inserted)
+    else:
+        # NULL keys never compare equal: keep them out of the shuffle join.
+        tgt_nullkey = tgt.where(_any_null(keys, "t__"))
+        tgt_keyed = tgt.where(~_any_null(keys, "t__")).withColumn("t__present", F.lit(True))
+        src_nullkey = src.where(_any_null(keys, "s__"))
+        joined = tgt_keyed.join(src_keyed, on=cond, how="full_outer")
+        merged = joined.select(*_merged_columns(
+            spec, part, F.coalesce(F.col("t__present"), F.lit(False)),
+            F.coalesce(F.col("s__present"), F.lit(False)), now_c))
+        # Rows that cannot match: target rows kept as they are, source rows inserted.
+        kept = tgt_nullkey.select(*[F.col("t__" + c).alias(c) for c in business + part],
+                                  *[F.col("t__" + c).alias(c) for c in STAGING_META_COLUMNS])
+        inserted = src_nullkey.select(*_insert_columns(spec, part, now_c))
+        result = merged.unionByName(kept).unionByName(inserted)
     return result.select(*[F.col(c).cast(t).alias(c) for c, t in spec.columns],
                          *[F.col(c).cast(STAGING_META_TYPES[c]).alias(c)
                            for c in STAGING_META_COLUMNS],

@@ -34,8 +34,11 @@ BUCKET = "_bucket"
 
 
 class StagingTable:
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64,
+                 broadcast_bytes: int = 256 * 1024 ** 2, compact_writes: bool = True):
         self.spark, self.path, self.spec, self.buckets = spark, path, spec, buckets
+        self.broadcast_bytes = broadcast_bytes
+        self.compact_writes = compact_writes
 
     def bucket_of(self) -> Column:
         """``pmod(xxhash64(keys), N)``; a row whose key holds a NULL can never
@@ -58,25 +61,62 @@ class StagingTable:
         df = self.spark.read.parquet(self.path)
         return df if with_bucket else df.drop(BUCKET)
 
+    def _fixed_width(self) -> int:
+        from pyspark.sql import types as T
+        return sum(16 if isinstance(t, T.DecimalType) else 8 for _, t in self.spec.columns
+                   if not isinstance(t, T.StringType)) + 64   # + metadata columns
+
     def merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None = None,
-              partitions: int | None = None) -> dict:
-        """Merge one batch of RAW rows; returns INSERT / UPDATE counts (G1)."""
-        src = source_latest(raw, self.spec, batch_id).withColumn(BUCKET, self.bucket_of())
-        # At most ``buckets`` small ints reach the driver: a proven bound.
-        touched = [r[0] for r in src.select(BUCKET).distinct().collect()]
-        # one write task per touched bucket: bucket size, not the session's
-        # shuffle setting, bounds a task; size ``buckets`` so a bucket is ~1 GB.
-        nparts = partitions or max(len(touched), 1)
+              partitions: int | None = None, broadcast_bytes: int | None = None) -> dict:
+        """Merge one batch of RAW rows; returns INSERT / UPDATE counts (G1).
+
+        The deduplicated batch is checkpointed once (lineage cut in the
+        session's shared checkpoint folder: it is read three times below,
+        and a lost executor does not re-run the RAW scan and W1).  One
+        aggregate over it gives the rows per touched bucket and an exact
+        byte estimate; a batch under ``broadcast_bytes`` is merged with the
+        broadcast form (the target is never shuffled), a larger one with
+        the co-partitioned shuffle form.
+        """
+        from pyspark.sql import types as T
+        from sluice.session import checkpoint_root
+        checkpoint_root(self.spark)
+        limit = self.broadcast_bytes if broadcast_bytes is None else broadcast_bytes
+        src = (source_latest(raw, self.spec, batch_id)
+               .withColumn(BUCKET, self.bucket_of()).checkpoint(eager=True))
+        strings = [F.coalesce(F.length(c), F.lit(0)) for c, t in self.spec.columns
+                   if isinstance(t, T.StringType)] + [
+            F.coalesce(F.length(c), F.lit(0)) for c in ("_pipeline_name", "_batch_id", "_run_id")]
+        width = F.lit(self._fixed_width())
+        for e in strings:
+            width = width + e
+        # at most ``buckets`` rows reach the driver: a proven bound
+        per_bucket = (src.groupBy(BUCKET)
+                         .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
+                         .collect())
+        touched = [r[BUCKET] for r in per_bucket]
+        src_bytes = sum(int(r["bytes"] or 0) for r in per_bucket)
+        use_broadcast = src_bytes <= limit
         tgt = self.read(with_bucket=True)
-        if touched:
-            tgt = tgt.where(F.col(BUCKET).isin(touched))
+        tgt = tgt.where(F.col(BUCKET).isin(touched)) if touched else tgt.limit(0)
+        if use_broadcast:
+            merged = merge_upsert(tgt, src, self.spec, now, dedupe=False,
+                                  partition_column=BUCKET, broadcast_source=True)
+            # group each bucket's rows in one write task: one file per bucket
+            merged = merged.repartition(max(len(touched), 1), BUCKET) \
+                if self.compact_writes else merged
         else:
-            tgt = tgt.limit(0)
-        merged = merge_upsert(tgt.repartition(nparts, BUCKET), src.repartition(nparts, BUCKET),
-                              self.spec, now, dedupe=False, partition_column=BUCKET)
+            # one write task per touched bucket: bucket size, not the session's
+            # shuffle setting, bounds a task; size ``buckets`` so a bucket is ~1 GB.
+            nparts = partitions or max(len(touched), 1)
+            merged = merge_upsert(tgt.repartition(nparts, BUCKET),
+                                  src.repartition(nparts, BUCKET), self.spec, now,
+                                  dedupe=False, partition_column=BUCKET)
         bid = batch_id if batch_id is not None else F.col("_batch_id")
         this_batch = F.col("_batch_id") == bid
         obs = Observation(f"merge_{abs(hash((self.path, str(batch_id), str(now)))) % 10**9}")
+        # The observation sits in the write's own (result) stage: a retried task
+        # replaces its update, so the counts are exact under executor loss.
         (merged.observe(obs,
                         F.count_if(this_batch & (F.col("_cdc_operation") == "INSERT"))
                          .alias("rows_inserted"),
@@ -89,4 +129,5 @@ class StagingTable:
         return {"rows_inserted": int(got.get("rows_inserted") or 0),
                 "rows_updated": int(got.get("rows_updated") or 0),
                 "rows_written": int(got.get("rows_written") or 0),
-                "buckets_rewritten": len(touched)}
+                "buckets_rewritten": len(touched),
+                "strategy": "broadcast" if use_broadcast else "shuffle"}
