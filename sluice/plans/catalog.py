@@ -788,15 +788,25 @@ FLOW_NOW1 = dt.datetime(2025, 1, 1)
 FLOW_NOW2 = dt.datetime(2025, 1, 2)
 
 
-def _flow_cfg(name, table, sink, query, load_type="CDC", pid=1):
+def _flow_cfg(name, table, sink, source_dir, load_type="CDC", pid=1):
     return {"pipeline_id": pid, "pipeline_name": name, "source_type": "PARQUET",
-            "source_table": table, "source_query": query, "load_type": load_type,
+            "source_server": source_dir, "source_table": table, "load_type": load_type,
             "cdc_column": "updated_at" if load_type != "FULL" else None,
             "cdc_column_type": "TIMESTAMP", "sink_schema": "STAGING", "sink_table": sink,
             "adls_container": "raw", "adls_folder_path": f"supply_chain/{table}",
             "is_active": True}
 
 
+def _source_system(spark, sf_dir, work, tables: dict[str, Callable[[Dialect], str]]) -> str:
+    """Write the derived source tables once as Parquet: the "source system" the
+    configuration rows point at."""
+    root = work + "/source"
+    sd = SparkDialect(sf_dir)
+    for name, build in tables.items():
+        spark.sql(build(sd)).write.mode("overwrite").parquet(f"{root}/{name}")
+    return root
+
+
 def _ingest_table_oracle() -> str:
     si = STANDINS["purchase_orders"]
     d = DUCK
@@ -817,11 +827,14 @@ def q_ingest_table(spark, sf_dir):
     si = STANDINS["purchase_orders"]
     work = scratch_dir(spark, "ingest_table")
     control = Control(spark, work + "/control")
-    sd = SparkDialect(sf_dir)
-    cfg1 = _flow_cfg("pl_purchase_orders", "purchase_orders", "STG_PURCHASE_ORDERS", si.base(sd))
+    src = _source_system(spark, sf_dir, work, {"v1/purchase_orders": si.base,
+                                               "v2/purchase_orders": lambda d: change_source_sql(si, d)})
+    cfg1 = dict(_flow_cfg("pl_purchase_orders", "purchase_orders", "STG_PURCHASE_ORDERS", src),
+                source_database="v1")
     r1 = ingest_table(spark, cfg1, control=control, lake_root=work, now=FLOW_NOW1,
                       run_id="run-1")
-    cfg2 = dict(cfg1, source_query=change_source_sql(si, sd))
+    # the source table has changed since: same pipeline, next day
+    cfg2 = dict(cfg1, source_database="v2")
     r2 = ingest_table(spark, cfg2, control=control, lake_root=work, now=FLOW_NOW2,
                       run_id="run-2")
     for r in (r1, r2):
@@ -843,16 +856,15 @@ def q_ingest_all(spark, sf_dir):
     """Three tables and one without a merge spec (fails alone); one inactive row."""
     work = scratch_dir(spark, "ingest_all")
     control = Control(spark, work + "/control")
-    sd = SparkDialect(sf_dir)
+    src = _source_system(spark, sf_dir, work, {"supplier": STANDINS["suppliers"].base,
+                                               "orders": STANDINS["sales_orders"].base,
+                                               "part": STANDINS["inventory"].base})
     configs = [
-        _flow_cfg("pl_suppliers", "supplier", "STG_SUPPLIERS",
-                  STANDINS["suppliers"].base(sd), "FULL", 1),
-        _flow_cfg("pl_sales_orders", "orders", "STG_SALES_ORDERS",
-                  STANDINS["sales_orders"].base(sd), "CDC", 2),
-        _flow_cfg("pl_inventory", "part", "STG_INVENTORY",
-                  STANDINS["inventory"].base(sd), "INCREMENTAL", 3),
-        _flow_cfg("pl_orders", "orders", "STG_ORDERS", STANDINS["orders"].base(sd), "CDC", 4),
-        dict(_flow_cfg("pl_inactive", "region", "STG_SUPPLIERS", "SELECT 1", "FULL", 5),
+        _flow_cfg("pl_suppliers", "supplier", "STG_SUPPLIERS", src, "FULL", 1),
+        _flow_cfg("pl_sales_orders", "orders", "STG_SALES_ORDERS", src, "CDC", 2),
+        _flow_cfg("pl_inventory", "part", "STG_INVENTORY", src, "INCREMENTAL", 3),
+        _flow_cfg("pl_orders", "orders", "STG_ORDERS", src, "CDC", 4),
+        dict(_flow_cfg("pl_inactive", "region", "STG_SUPPLIERS", src, "FULL", 5),
              is_active=False),
     ]
     ingest_all(spark, configs, control=control, lake_root=work, now=FLOW_NOW1)

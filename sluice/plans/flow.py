@@ -135,6 +135,7 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                  refs: dict[str, DataFrame] | None = None,
                  clock: Callable[[], dt.datetime] | None = None,
                  watermark_mode: str = "data", buckets: int = 64,
+                 broadcast_bytes: int = 256 * 1024 ** 2,
                  source_reader: Callable[[SparkSession, dict], DataFrame] | None = None
                  ) -> RunResult:
     """Ingest one configured table.  See the module docstring for the steps.
@@ -191,7 +192,8 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
             res.rows_loaded = raw_res.rows_loaded - res.rows_quarantined
             # M1 + K4: copy-on-write merge of the touched buckets.
             stg_path = f"{lake_root}/staging/{c.get('sink_schema') or 'STAGING'}/{spec.name}"
-            counts = StagingTable(spark, stg_path, spec, buckets).merge(raw, now, batch_id)
+            counts = StagingTable(spark, stg_path, spec, buckets,
+                                  broadcast_bytes=broadcast_bytes).merge(raw, now, batch_id)
             res.rows_inserted, res.rows_updated = counts["rows_inserted"], counts["rows_updated"]
             res.staging_path = stg_path
             # K7: advance the watermark only after the merge committed.

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -85,4 +87,34 @@ def has_data(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["get_session", "checkpoint_root", "scratch_dir", "local_path", "exists",
-           "has_data"]
+           "has_data", "without_constraint_propagation"]
+
+
+_CP_KEY = "spark.sql.constraintPropagation.enabled"
+_CP_LOCK = threading.Lock()
+_CP_STATE = {"depth": 0, "saved": None}
+
+
+@contextmanager
+def without_constraint_propagation(spark: SparkSession):
+    """Plan wide MERGE projections without Catalyst's constraint propagation.
+
+    A merge projects every column through a CASE over both sides; Catalyst's
+    constraint inference substitutes each alias into every known constraint
+    and grows exponentially with the column count (it only adds inferred
+    IS NOT NULL filters, which the merge does not need).  Switched off while
+    a merge is planned and run, restored afterwards; nested and concurrent
+    merges of one session share one switch.
+    """
+    with _CP_LOCK:
+        if _CP_STATE["depth"] == 0:
+            _CP_STATE["saved"] = spark.conf.get(_CP_KEY, "true")
+            spark.conf.set(_CP_KEY, "false")
+        _CP_STATE["depth"] += 1
+    try:
+        yield
+    finally:
+        with _CP_LOCK:
+            _CP_STATE["depth"] -= 1
+            if _CP_STATE["depth"] == 0:
+                spark.conf.set(_CP_KEY, _CP_STATE["saved"])

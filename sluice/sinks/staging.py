@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sluice.operators.merge import merge_upsert, source_latest
 from sluice.session import has_data
@@ -56,8 +56,10 @@ class StagingTable:
 
     def read(self, with_bucket: bool = False) -> DataFrame:
         if not self.exists():
-            df = self.spark.createDataFrame([], self.spec.staging_schema())
-            return df.withColumn(BUCKET, self.bucket_of()) if with_bucket else df
+            schema = self.spec.staging_schema()
+            if with_bucket:
+                schema = schema.add(BUCKET, T.IntegerType(), True)
+            return self.spark.createDataFrame([], schema)
         df = self.spark.read.parquet(self.path)
         return df if with_bucket else df.drop(BUCKET)
 
@@ -68,6 +70,12 @@ class StagingTable:
 
     def merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None = None,
               partitions: int | None = None, broadcast_bytes: int | None = None) -> dict:
+        from sluice.session import without_constraint_propagation
+        with without_constraint_propagation(self.spark):
+            return self._merge(raw, now, batch_id, partitions, broadcast_bytes)
+
+    def _merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None,
+               partitions: int | None, broadcast_bytes: int | None) -> dict:
         """Merge one batch of RAW rows; returns INSERT / UPDATE counts (G1).
 
         The deduplicated batch is checkpointed once (lineage cut in the
@@ -98,7 +106,8 @@ class StagingTable:
         src_bytes = sum(int(r["bytes"] or 0) for r in per_bucket)
         use_broadcast = src_bytes <= limit
         tgt = self.read(with_bucket=True)
-        tgt = tgt.where(F.col(BUCKET).isin(touched)) if touched else tgt.limit(0)
+        if self.exists():
+            tgt = tgt.where(F.col(BUCKET).isin(touched)) if touched else tgt.limit(0)
         if use_broadcast:
             merged = merge_upsert(tgt, src, self.spec, now, dedupe=False,
                                   partition_column=BUCKET, broadcast_source=True)
