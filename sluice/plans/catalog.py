@@ -942,3 +942,79 @@ def q_stream_merge(spark, sf_dir):
     drop2()
     stream_merge(stream_landing(spark, landing, ev.schema), merge_batch, ckpt)
     return table.read()
+
+
+# ---------------------------------------------------------------------------
+# E1 with rules: Q8 (rules read from a rules table), Q9 inside the flow,
+# K9 result rows, E8 PARTIAL status
+# ---------------------------------------------------------------------------
+from sluice.plans.standins import LINEITEM_SPEC  # noqa: E402
+from sluice.spec import DQ_RULES_SCHEMA  # noqa: E402
+
+
+def _quality_source_sql(d: Dialect) -> str:
+    return (f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, "
+            f"NULLIF(l_returnflag, 'A') AS l_returnflag, "
+            f"CASE WHEN l_partkey % 97 = 0 THEN lower(l_linestatus) ELSE l_linestatus END "
+            f"AS l_linestatus, l_shipdate AS created_at, l_shipdate AS updated_at "
+            f"FROM {d.t('lineitem')}")
+
+
+_QUALITY_RULE_ROWS = [
+    # rule_id, rule_name, rule_type, column_name, regex, min, max, ref_table, ref_column, action, severity, order
+    (1, "lq_returnflag_nn", "NOT_NULL", "l_returnflag", None, None, None, None, None,
+     "QUARANTINE", "HIGH", 1),
+    (2, "lq_status_regex", "REGEX", "l_linestatus", "^[OF]$", None, None, None, None,
+     "QUARANTINE", "HIGH", 2),
+    (3, "lq_qty_range", "RANGE", "l_quantity", None, "1", "45", None, None, "WARN", "LOW", 3),
+    (4, "lq_line_unique", "UNIQUENESS", "l_orderkey,l_linenumber", None, None, None, None,
+     None, "FLAG", "MEDIUM", 4),
+    (5, "lq_supplier_ref", "REFERENTIAL", "l_suppkey", None, None, None, "supplier",
+     "s_suppkey", "WARN", "MEDIUM", 5),
+]
+
+
+def _quality_rules_df(spark):
+    rows = [(rid, "pl_lineitem", name, typ, col, None, mn, mx, rx, None, None, rt, rc, act, sev,
+             None, order, True, None)
+            for rid, name, typ, col, rx, mn, mx, rt, rc, act, sev, order in _QUALITY_RULE_ROWS]
+    return spark.createDataFrame(rows, DQ_RULES_SCHEMA)
+
+
+@register("ingest_quality", f"""
+WITH src AS ({_quality_source_sql(DUCK)}),
+dups AS (SELECT l_orderkey AS dk, l_linenumber AS dl FROM src
+         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1),
+ev AS (
+  SELECT s.l_orderkey, s.l_linenumber,
+         s.l_returnflag IS NOT NULL AS r1,
+         (s.l_linestatus IS NULL OR regexp_matches(s.l_linestatus, '^[OF]$')) AS r2,
+         (s.l_quantity IS NULL OR (s.l_quantity >= 1 AND s.l_quantity <= 45)) AS r3,
+         d.dk IS NULL AS r4,
+         (s.l_suppkey IS NULL OR s.l_suppkey IN (SELECT s_suppkey FROM supplier)) AS r5
+  FROM src s LEFT JOIN dups d ON s.l_orderkey = d.dk AND s.l_linenumber = d.dl)
+SELECT 'pl_lineitem' AS pipeline_name, 'PARTIAL' AS status, count(*) AS rows_extracted,
+       count(*) FILTER (WHERE r1 AND r2) AS rows_loaded,
+       count(*) FILTER (WHERE r1 AND r2 AND r3 AND r4 AND r5) AS rows_passed_dq,
+       count(*) FILTER (WHERE NOT (r1 AND r2 AND r3 AND r4 AND r5)) AS rows_failed_dq,
+       (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM ev WHERE r1 AND r2))
+         AS staging_rows,
+       CAST({len(_QUALITY_RULE_ROWS)} AS BIGINT) AS rule_results
+FROM ev""")
+def q_ingest_quality(spark, sf_dir):
+    work = scratch_dir(spark, "ingest_quality")
+    control = Control(spark, work + "/control")
+    src = _source_system(spark, sf_dir, work, {"lineitem": _quality_source_sql})
+    rules = Q.rules_from_table(_quality_rules_df(spark), "pl_lineitem")
+    cfg = _flow_cfg("pl_lineitem", "lineitem", "STG_LINEITEM", src, "FULL")
+    r = ingest_table(spark, cfg, control=control, lake_root=work, now=FLOW_NOW1,
+                     specs={"LINEITEM": LINEITEM_SPEC}, rules=rules,
+                     refs={"supplier": _table(spark, sf_dir, "supplier")})
+    if r.status not in ("SUCCESS", "PARTIAL"):
+        raise RuntimeError(f"ingest run failed: {r.error}")
+    staging_rows = spark.read.parquet(r.staging_path).agg(F.count(F.lit(1))).scalar()
+    rule_results = control.dq_results().agg(F.count(F.lit(1))).scalar()
+    return control.runs().select("pipeline_name", "status", "rows_extracted", "rows_loaded",
+                                 "rows_passed_dq", "rows_failed_dq",
+                                 staging_rows.alias("staging_rows"),
+                                 rule_results.alias("rule_results"))

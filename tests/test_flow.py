@@ -89,3 +89,30 @@ def test_replay_is_idempotent(spark, work):
                              work + "/replay_raw", pipeline_name="pl_po", run_id="r1")
     assert sorted(table.read().collect()) == before
     assert counts["rows_inserted"] == len(before)   # labels of the batch, as the reference counts
+
+
+def test_rules_quarantine_partial_and_reject_fails(spark, work):
+    from sluice.operators.quality import Rule
+    src = work + "/src/po"
+    _src(spark, src)
+    ctl = Control(spark, work + "/control")
+    n = spark.read.parquet(src).count()
+    quarantine = [Rule("price_range", "RANGE", "total_amount", max_value="100000")]
+    r = ingest_table(spark, _cfg(src), control=ctl, lake_root=work, now=NOW1, run_id="q1",
+                     rules=quarantine)
+    over = spark.read.parquet(src).where("total_amount > 100000").count()
+    assert 0 < over < n
+    assert r.status == "PARTIAL" and r.rows_quarantined == over
+    assert r.rows_loaded == n - over
+    assert spark.read.parquet(r.staging_path).count() == n - over
+    assert ctl.dq_results().count() == 1
+    # a REJECT rule that fails refuses the whole batch and keeps the watermark
+    reject = [Rule("price_cap", "RANGE", "total_amount", max_value="1000",
+                   action_on_failure="REJECT")]
+    ctl2 = Control(spark, work + "/control2")
+    r2 = ingest_table(spark, _cfg(src), control=ctl2, lake_root=work + "/lake2", now=NOW1,
+                      run_id="q2", rules=reject)
+    assert r2.status == "FAILED" and "REJECT" in r2.error
+    assert ctl2.watermarks().count() == 0
+    assert ctl2.errors().first()["error_type"] == "DQ"
+    assert r2.staging_path is None
