@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from sluice.functions.scalar import batch_id as make_batch_id
 from sluice.operators import quality as Q
-from sluice.operators.runlog import error_row, run_log_current
+from sluice.operators.runlog import error_row, failed_since, run_log_current
 from sluice.operators.watermark import watermark_current, watermark_lookup
 from sluice.session import exists, has_data
 from sluice.sinks.staging import StagingTable
@@ -67,11 +67,18 @@ class Control:
     def _read(self, path, schema) -> DataFrame:
         return read_log(self.spark, path, schema)
 
-    def run_events(self) -> DataFrame:
-        return self._read(self.run_events_path, RUN_EVENT_SCHEMA)
+    def run_events(self, since: dt.date | None = None) -> DataFrame:
+        return read_log(self.spark, self.run_events_path, RUN_EVENT_SCHEMA, since)
 
-    def runs(self) -> DataFrame:
-        return run_log_current(self.run_events())
+    def runs(self, since: dt.date | None = None) -> DataFrame:
+        """G4 over the run events; ``since`` limits the read to runs started
+        on or after that day (partition pruning on ``event_date``)."""
+        return run_log_current(self.run_events(since))
+
+    def failed_recently(self, now: dt.datetime, hours: int = 24) -> DataFrame:
+        """N2/N8 reading only the event days the window can touch."""
+        since = (now - dt.timedelta(hours=hours)).date()
+        return failed_since(self.runs(since), now, hours)
 
     def watermark_log(self) -> DataFrame:
         return self._read(self.watermark_path, WATERMARK_LOG_SCHEMA)
@@ -86,7 +93,8 @@ class Control:
         return self._read(self.dq_results_path, DQ_RESULTS_SCHEMA)
 
     def event(self, **row):
-        append_log(self.spark, [row], RUN_EVENT_SCHEMA, self.run_events_path)
+        append_log(self.spark, [row], RUN_EVENT_SCHEMA, self.run_events_path,
+                   date_column="event_time")
 
     def advance_watermark(self, **row):
         append_log(self.spark, [row], WATERMARK_LOG_SCHEMA, self.watermark_path)

@@ -93,25 +93,39 @@ def write_rejects(bad: DataFrame, path: str) -> None:
 
 
 def append_log(spark: SparkSession, rows: list[dict], schema: T.StructType, path: str,
-               partition_by: str | None = None) -> None:
+               date_column: str | None = None) -> None:
     """Append control rows (run events, watermark updates, errors).
 
     Control state is append-only; current state is derived by aggregation,
     so parallel table loads never update the same row.  Every append goes
     to its own ``writer=<id>`` folder: concurrent appends from parallel
-    table loads never share a job's temporary folder.
+    table loads never share a job's temporary folder.  With ``date_column``
+    the rows land under ``event_date=<day>/`` so time-bounded monitoring
+    reads prune to the days they need.
     """
     df = spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows],
                                schema)
-    df.coalesce(1).write.mode("append").parquet(f"{path}/writer={uuid.uuid4().hex}")
+    target = path
+    if date_column:
+        days = {r.get(date_column).date() for r in rows if r.get(date_column) is not None}
+        if len(days) == 1:
+            target = f"{path}/event_date={days.pop().isoformat()}"
+    df.coalesce(1).write.mode("append").parquet(f"{target}/writer={uuid.uuid4().hex}")
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All appended control rows (the ``writer`` folder column dropped)."""
+def read_log(spark: SparkSession, path: str, schema: T.StructType,
+             since: dt.date | None = None) -> DataFrame:
+    """Appended control rows (folder columns dropped).
+
+    ``since`` keeps the ``event_date=`` folders from that day on: a
+    partition filter, so older days are not listed into the scan.
+    """
     from sluice.session import has_data
     if not has_data(spark, path):
         return spark.createDataFrame([], schema)
     df = spark.read.parquet(path)
+    if since is not None and "event_date" in df.columns:
+        df = df.where(F.col("event_date") >= F.lit(since))
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 

@@ -116,3 +116,19 @@ def test_rules_quarantine_partial_and_reject_fails(spark, work):
     assert ctl2.watermarks().count() == 0
     assert ctl2.errors().first()["error_type"] == "DQ"
     assert r2.staging_path is None
+
+
+def test_run_events_partitioned_by_day(spark, work):
+    ctl = Control(spark, work + "/control")
+    for day, status in ((1, "FAILED"), (10, "FAILED"), (10, "SUCCESS")):
+        t = dt.datetime(2025, 1, day, 12)
+        rid = f"r{day}{status}"
+        ctl.event(event="START", run_id=rid, pipeline_name="p", source_table="t", event_time=t,
+                  status="RUNNING")
+        ctl.event(event="END", run_id=rid, pipeline_name="p", source_table="t",
+                  event_time=t + dt.timedelta(minutes=5), status=status)
+    recent = ctl.failed_recently(dt.datetime(2025, 1, 10, 20), 24)
+    assert [r.run_id for r in recent.collect()] == ["r10FAILED"]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert ctl.runs().count() == 3
