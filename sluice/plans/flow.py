@@ -230,8 +230,15 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
 
 
 def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec):
-    """Q9: evaluate once; REJECT refuses the batch; QUARANTINE diverts rows."""
-    evaluated = Q.evaluate_rules(raw, rules, refs)
+    """Q9: evaluate once; REJECT refuses the batch; QUARANTINE diverts rows.
+
+    The evaluated batch feeds the summary, the quarantine write and the
+    merge; it is checkpointed once (shared checkpoint folder) so the rule
+    joins run once and a lost executor does not re-run them.
+    """
+    from sluice.session import checkpoint_root
+    checkpoint_root(spark)
+    evaluated = Q.evaluate_rules(raw, rules, refs).checkpoint(eager=True)
     qpath = f"{lake_root}/quarantine/{spec.name}/batch_id={res.run_id}"
     summary = Q.dq_summary(evaluated, rules)
     rows = summary.collect()  # one row per rule: bounded by the rule count

@@ -132,3 +132,27 @@ def test_run_events_partitioned_by_day(spark, work):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert ctl.runs().count() == 3
+
+
+def test_stream_rerun_without_new_files_changes_nothing(spark, work):
+    from sluice.operators.projection import stamp_audit
+    from sluice.plans.standins import EVENTS_SPEC
+    from sluice.streaming.incremental import stream_landing, stream_merge
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    landing, ckpt = work + "/landing", work + "/ckpt"
+    table = StagingTable(spark, work + "/stg", EVENTS_SPEC, buckets=4)
+    epochs = []
+
+    def on_batch(df, epoch_id):
+        epochs.append(epoch_id)
+        rows = df.select("user_id", "event_id", "event_type", "value",
+                         F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"))
+        table.merge(stamp_audit(rows, "p", f"E{epoch_id}", "s", "STREAM", NOW1), NOW1,
+                    f"E{epoch_id}")
+    ev.write.mode("append").parquet(landing)
+    stream_merge(stream_landing(spark, landing, ev.schema), on_batch, ckpt)
+    first = sorted(table.read().collect())
+    stream_merge(stream_landing(spark, landing, ev.schema), on_batch, ckpt)
+    assert epochs == [0]                      # nothing new: no micro-batch
+    assert sorted(table.read().collect()) == first
+    assert len(first) == ev.select("user_id").distinct().count()
