@@ -63,6 +63,37 @@ class StagingTable:
         df = self.spark.read.parquet(self.path)
         return df if with_bucket else df.drop(BUCKET)
 
+    def _write(self, merged: DataFrame, batch_id: str | None, now) -> dict:
+        bid = batch_id if batch_id is not None else F.col("_batch_id")
+        this_batch = F.col("_batch_id") == bid
+        obs = Observation(f"merge_{abs(hash((self.path, str(batch_id), str(now)))) % 10**9}")
+        # The observation sits in the write's own (result) stage: a retried task
+        # replaces its update, so the counts are exact under executor loss.
+        (merged.observe(obs,
+                        F.count_if(this_batch & (F.col("_cdc_operation") == "INSERT"))
+                         .alias("rows_inserted"),
+                        F.count_if(this_batch & (F.col("_cdc_operation") == "UPDATE"))
+                         .alias("rows_updated"),
+                        F.count(F.lit(1)).alias("rows_written"))
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(BUCKET).parquet(self.path))
+        got = obs.get
+        return {"rows_inserted": int(got.get("rows_inserted") or 0),
+                "rows_updated": int(got.get("rows_updated") or 0),
+                "rows_written": int(got.get("rows_written") or 0)}
+
+    def _initial_load(self, raw: DataFrame, now, batch_id, partitions) -> dict:
+        """First load: every row is an INSERT, so no checkpoint and no size
+        check; W1 (partial top-1 before its shuffle) and one shuffle by bucket
+        so each write task holds whole buckets."""
+        empty = self.read(with_bucket=True)
+        src = source_latest(raw, self.spec, batch_id).withColumn(BUCKET, self.bucket_of())
+        merged = merge_upsert(empty, src, self.spec, now, dedupe=False, partition_column=BUCKET)
+        merged = merged.repartition(partitions or self.buckets, BUCKET)
+        out = self._write(merged, batch_id, now)
+        out.update(buckets_rewritten=self.buckets, strategy="initial")
+        return out
+
     def _fixed_width(self) -> int:
         from pyspark.sql import types as T
         return sum(16 if isinstance(t, T.DecimalType) else 8 for _, t in self.spec.columns
@@ -88,6 +119,8 @@ class StagingTable:
         """
         from pyspark.sql import types as T
         from sluice.session import checkpoint_root
+        if not self.exists():
+            return self._initial_load(raw, now, batch_id, partitions)
         checkpoint_root(self.spark)
         limit = self.broadcast_bytes if broadcast_bytes is None else broadcast_bytes
         src = (source_latest(raw, self.spec, batch_id)
@@ -121,22 +154,8 @@ class StagingTable:
             merged = merge_upsert(tgt.repartition(nparts, BUCKET),
                                   src.repartition(nparts, BUCKET), self.spec, now,
                                   dedupe=False, partition_column=BUCKET)
-        bid = batch_id if batch_id is not None else F.col("_batch_id")
-        this_batch = F.col("_batch_id") == bid
-        obs = Observation(f"merge_{abs(hash((self.path, str(batch_id), str(now)))) % 10**9}")
-        # The observation sits in the write's own (result) stage: a retried task
-        # replaces its update, so the counts are exact under executor loss.
-        (merged.observe(obs,
-                        F.count_if(this_batch & (F.col("_cdc_operation") == "INSERT"))
-                         .alias("rows_inserted"),
-                        F.count_if(this_batch & (F.col("_cdc_operation") == "UPDATE"))
-                         .alias("rows_updated"),
-                        F.count(F.lit(1)).alias("rows_written"))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(BUCKET).parquet(self.path))
-        got = obs.get
-        return {"rows_inserted": int(got.get("rows_inserted") or 0),
-                "rows_updated": int(got.get("rows_updated") or 0),
-                "rows_written": int(got.get("rows_written") or 0),
-                "buckets_rewritten": len(touched),
-                "strategy": "broadcast" if use_broadcast else "shuffle"}
+        out = self._write(merged, batch_id, now)
+        out.update(buckets_rewritten=len(touched),
+                   strategy="broadcast" if use_broadcast else "shuffle")
+        return out
+
