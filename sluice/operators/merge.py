@@ -97,7 +97,7 @@ def _insert_columns(spec: TableSpec, part: list[str], now_c: Column) -> list[Col
 
 def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.datetime | Column,
                  batch_id: str | None = None, dedupe: bool = True,
-                 partition_column: str | None = None,
+                 partition_column: str | list[str] | None = None,
                  broadcast_source: bool = False) -> DataFrame:
     """Return the table after merging ``raw`` (RAW rows) into ``target``.
 
@@ -124,7 +124,8 @@ def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.dat
     business = spec.column_names
     keys = list(spec.keys)
 
-    part = [partition_column] if partition_column else []
+    part = ([partition_column] if isinstance(partition_column, str)
+            else list(partition_column or []))
     src = src.select(*[F.col(c).alias("s__" + c) for c in business + part],
                      *[F.col(c).alias("s__" + c) for c in
                        ("_pipeline_name", "_batch_id", "_run_id", "_is_deleted")])

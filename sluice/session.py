@@ -87,34 +87,44 @@ def has_data(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["get_session", "checkpoint_root", "scratch_dir", "local_path", "exists",
-           "has_data", "without_constraint_propagation"]
+           "has_data", "merge_planning", "MERGE_CONFS"]
 
 
-_CP_KEY = "spark.sql.constraintPropagation.enabled"
-_CP_LOCK = threading.Lock()
-_CP_STATE = {"depth": 0, "saved": None}
+# Session settings a merge is planned with (restored afterwards).
+MERGE_CONFS = {
+    # Constraint inference substitutes every alias into every known constraint
+    # and grows exponentially with the width of the merge's CASE projection;
+    # it only adds inferred IS NOT NULL filters, which the merge does not need.
+    "spark.sql.constraintPropagation.enabled": "false",
+    # Let sides hash-partitioned on (bucket, split) count as co-partitioned for
+    # a join on (bucket, split, key): no second exchange of the target.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+_MC_LOCK = threading.Lock()
+_MC_STATE = {"depth": 0, "saved": {}}
 
 
 @contextmanager
-def without_constraint_propagation(spark: SparkSession):
-    """Plan wide MERGE projections without Catalyst's constraint propagation.
-
-    A merge projects every column through a CASE over both sides; Catalyst's
-    constraint inference substitutes each alias into every known constraint
-    and grows exponentially with the column count (it only adds inferred
-    IS NOT NULL filters, which the merge does not need).  Switched off while
-    a merge is planned and run, restored afterwards; nested and concurrent
-    merges of one session share one switch.
-    """
-    with _CP_LOCK:
-        if _CP_STATE["depth"] == 0:
-            _CP_STATE["saved"] = spark.conf.get(_CP_KEY, "true")
-            spark.conf.set(_CP_KEY, "false")
-        _CP_STATE["depth"] += 1
+def merge_planning(spark: SparkSession):
+    """Plan and run a MERGE with ``MERGE_CONFS``; nested and concurrent merges
+    of one session share one switch, the last one out restores the settings."""
+    with _MC_LOCK:
+        if _MC_STATE["depth"] == 0:
+            _MC_STATE["saved"] = {k: spark.conf.get(k, None) for k in MERGE_CONFS}
+            for k, v in MERGE_CONFS.items():
+                spark.conf.set(k, v)
+        _MC_STATE["depth"] += 1
     try:
         yield
     finally:
-        with _CP_LOCK:
-            _CP_STATE["depth"] -= 1
-            if _CP_STATE["depth"] == 0:
-                spark.conf.set(_CP_KEY, _CP_STATE["saved"])
+        with _MC_LOCK:
+            _MC_STATE["depth"] -= 1
+            if _MC_STATE["depth"] == 0:
+                for k, v in _MC_STATE["saved"].items():
+                    if v is None:
+                        spark.conf.unset(k)
+                    else:
+                        spark.conf.set(k, v)
+
+
+without_constraint_propagation = merge_planning

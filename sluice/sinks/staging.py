@@ -35,10 +35,33 @@ BUCKET = "_bucket"
 
 class StagingTable:
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64,
-                 broadcast_bytes: int = 256 * 1024 ** 2, compact_writes: bool = True):
+                 broadcast_bytes: int = 256 * 1024 ** 2, compact_writes: bool = False,
+                 target_task_bytes: int = 512 * 1024 ** 2):
         self.spark, self.path, self.spec, self.buckets = spark, path, spec, buckets
         self.broadcast_bytes = broadcast_bytes
         self.compact_writes = compact_writes
+        self.target_task_bytes = target_task_bytes
+
+    @staticmethod
+    def _plan_bytes(df: DataFrame) -> int:
+        """Catalyst's size estimate (file sizes of the pruned scan); 0 when
+        Catalyst has none (it then reports its ``defaultSizeInBytes``)."""
+        try:
+            est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        except Exception:  # noqa: BLE001
+            return 0
+        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes",
+                                                str(2 ** 63 - 1)).rstrip("bB") or 2 ** 63 - 1)
+        return 0 if est >= min(unknown, 2 ** 62) else est
+
+    def _split_of(self, k: int) -> Column:
+        """Sub-bucket of a row: a second hash of the key, ``k`` ways."""
+        return F.pmod(F.xxhash64(*[F.col(c) for c in self.spec.keys], F.lit(7)),
+                      F.lit(k)).cast("int")
+
+    def _splits(self, total_bytes: int, buckets: int) -> int:
+        per_bucket = total_bytes / max(buckets, 1)
+        return min(4096, max(1, -(-int(per_bucket) // self.target_task_bytes)))
 
     def bucket_of(self) -> Column:
         """``pmod(xxhash64(keys), N)``; a row whose key holds a NULL can never
@@ -89,7 +112,12 @@ class StagingTable:
         empty = self.read(with_bucket=True)
         src = source_latest(raw, self.spec, batch_id).withColumn(BUCKET, self.bucket_of())
         merged = merge_upsert(empty, src, self.spec, now, dedupe=False, partition_column=BUCKET)
-        merged = merged.repartition(partitions or self.buckets, BUCKET)
+        k = self._splits(self._plan_bytes(raw), self.buckets)
+        if k > 1:   # a bucket larger than one task: split it by a second key hash
+            merged = merged.repartition(partitions or self.buckets * k, BUCKET,
+                                        self._split_of(k))
+        else:
+            merged = merged.repartition(partitions or self.buckets, BUCKET)
         out = self._write(merged, batch_id, now)
         out.update(buckets_rewritten=self.buckets, strategy="initial")
         return out
@@ -101,8 +129,8 @@ class StagingTable:
 
     def merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None = None,
               partitions: int | None = None, broadcast_bytes: int | None = None) -> dict:
-        from sluice.session import without_constraint_propagation
-        with without_constraint_propagation(self.spark):
+        from sluice.session import merge_planning
+        with merge_planning(self.spark):
             return self._merge(raw, now, batch_id, partitions, broadcast_bytes)
 
     def _merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None,
@@ -142,18 +170,23 @@ class StagingTable:
         if self.exists():
             tgt = tgt.where(F.col(BUCKET).isin(touched)) if touched else tgt.limit(0)
         if use_broadcast:
+            # map-only over the target: each scan task writes the buckets its
+            # files belong to (a few files per bucket, no shuffle of the target)
             merged = merge_upsert(tgt, src, self.spec, now, dedupe=False,
                                   partition_column=BUCKET, broadcast_source=True)
-            # group each bucket's rows in one write task: one file per bucket
-            merged = merged.repartition(max(len(touched), 1), BUCKET) \
-                if self.compact_writes else merged
+            if self.compact_writes:   # one file per bucket, at the price of a shuffle
+                merged = merged.repartition(max(len(touched), 1), BUCKET)
         else:
-            # one write task per touched bucket: bucket size, not the session's
-            # shuffle setting, bounds a task; size ``buckets`` so a bucket is ~1 GB.
-            nparts = partitions or max(len(touched), 1)
-            merged = merge_upsert(tgt.repartition(nparts, BUCKET),
-                                  src.repartition(nparts, BUCKET), self.spec, now,
-                                  dedupe=False, partition_column=BUCKET)
+            # co-partition both sides on (bucket, split): the join on
+            # (bucket, split, key) needs no further exchange, and a write task
+            # holds at most ~target_task_bytes whatever the bucket count.
+            k = self._splits(self._plan_bytes(tgt) + src_bytes, len(touched))
+            nparts = partitions or max(len(touched), 1) * k
+            split = "_split"
+            t2 = tgt.withColumn(split, self._split_of(k)).repartition(nparts, BUCKET, split)
+            s2 = src.withColumn(split, self._split_of(k)).repartition(nparts, BUCKET, split)
+            merged = merge_upsert(t2, s2, self.spec, now, dedupe=False,
+                                  partition_column=[BUCKET, split]).drop(split)
         out = self._write(merged, batch_id, now)
         out.update(buckets_rewritten=len(touched),
                    strategy="broadcast" if use_broadcast else "shuffle")

@@ -73,3 +73,35 @@ def test_broadcast_and_shuffle_forms_agree(spark, work):
         assert (c["rows_inserted"], c["rows_updated"]) == (301, 300)
         out[name] = sorted(t.read().collect(), key=repr)
     assert out["bc"] == out["sh"] and len(out["bc"]) == 901
+
+
+def test_task_sizing_splits_large_buckets(spark, work):
+    # a tiny task budget forces several write tasks per bucket; results unchanged
+    base = _raw(spark, range(0, 2000), 0, "B1")
+    change = _raw(spark, range(1000, 3000), 1, "B2")
+    out = {}
+    for name, budget in (("split", 1024), ("whole", 1 << 40)):
+        t = StagingTable(spark, f"{work}/{name}", SPEC, buckets=4, broadcast_bytes=0,
+                         target_task_bytes=budget)
+        t.merge(base, D, "B1")
+        c = t.merge(change, D + dt.timedelta(days=1), "B2")
+        assert (c["rows_inserted"], c["rows_updated"], c["strategy"]) == (1000, 1000, "shuffle")
+        out[name] = sorted(t.read().collect(), key=repr)
+    assert out["split"] == out["whole"] and len(out["split"]) == 3000
+
+
+def test_shuffle_form_join_needs_no_extra_exchange(spark, work):
+    from sluice.operators.merge import merge_upsert
+    t = StagingTable(spark, work + "/stg", SPEC, buckets=4)
+    t.merge(_raw(spark, range(100), 0, "B1"), D, "B1")
+    tgt = t.read(with_bucket=True).withColumn("_split", t._split_of(2)).repartition(8, "_bucket", "_split")
+    src = (_raw(spark, range(50, 150), 1, "B2").withColumn("_bucket", t.bucket_of())
+           .withColumn("_split", t._split_of(2)).repartition(8, "_bucket", "_split"))
+    from sluice.session import merge_planning
+    with merge_planning(spark):
+        m = merge_upsert(tgt, src, SPEC, D, dedupe=False, partition_column=["_bucket", "_split"])
+        plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    # the explicit repartitions only (two keyed sides, two NULL-key branches):
+    # no exchange on the join keys themselves
+    assert plan.count("ENSURE_REQUIREMENTS") == 0, plan
