@@ -242,8 +242,11 @@ def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec):
     qpath = f"{lake_root}/quarantine/{spec.name}/batch_id={res.run_id}"
     summary = Q.dq_summary(evaluated, rules)
     rows = summary.collect()  # one row per rule: bounded by the rule count
-    results = Q.dq_results(summary, res.run_id, res.pipeline_name, res.source_table, now, qpath)
-    results.write.mode("append").parquet(f"{control.dq_results_path}/writer={uuid.uuid4().hex}")
+    # K9 result rows from the collected summary: no second pass over the batch
+    small = spark.createDataFrame(rows, summary.schema)
+    results = Q.dq_results(small, res.run_id, res.pipeline_name, res.source_table, now, qpath)
+    results.coalesce(1).write.mode("append").parquet(
+        f"{control.dq_results_path}/writer={uuid.uuid4().hex}")
     if rows:
         res.extra["rows_passed_dq"] = rows[0]["rows_passed_dq"]
         res.extra["rows_failed_dq"] = rows[0]["rows_failed_dq"]
