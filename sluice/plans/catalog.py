@@ -1018,3 +1018,35 @@ def q_ingest_quality(spark, sf_dir):
                                  "rows_passed_dq", "rows_failed_dq",
                                  staging_rows.alias("staging_rows"),
                                  rule_results.alias("rule_results"))
+
+
+# ---------------------------------------------------------------------------
+# Replay a landed batch (no new extract); the merge leaves STAGING as it was
+# ---------------------------------------------------------------------------
+from sluice.plans.flow import reprocess_batch  # noqa: E402
+from sluice.sources.extract import replay  # noqa: E402
+
+
+@register("replay_batch", staging_sql(STANDINS["purchase_orders"], DUCK,
+                                      STANDINS["purchase_orders"].base(DUCK),
+                                      "pl_purchase_orders", "BATCH-20250101-000000", "run-1",
+                                      "2025-01-01 00:00:00"))
+def q_replay_batch(spark, sf_dir):
+    si = STANDINS["purchase_orders"]
+    work = scratch_dir(spark, "replay_batch")
+    control = Control(spark, work + "/control")
+    src = _source_system(spark, sf_dir, work, {"purchase_orders": si.base})
+    cfg = _flow_cfg("pl_purchase_orders", "purchase_orders", "STG_PURCHASE_ORDERS", src)
+    r1 = ingest_table(spark, cfg, control=control, lake_root=work, now=FLOW_NOW1,
+                      run_id="run-1")
+    r1_batch = "BATCH-20250101-000000"
+    landed = replay(spark, work + "/landing", "raw", "supply_chain/purchase_orders",
+                    "purchase_orders", FLOW_NOW1, r1_batch)
+    if landed.limit(1).count() == 0:
+        raise RuntimeError("nothing landed to replay")
+    table = StagingTable(spark, r1.staging_path, si.spec)
+    landing = landing_path(work + "/landing", "raw", "supply_chain/purchase_orders",
+                           "purchase_orders", FLOW_NOW1)
+    reprocess_batch(spark, landing, r1_batch, si.spec, table, FLOW_NOW2, work + "/replay_raw",
+                    pipeline_name="pl_purchase_orders", run_id="run-1")
+    return table.read()
