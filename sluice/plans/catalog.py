@@ -391,7 +391,7 @@ def _run_events_sql(d: Dialect) -> str:
         f"CASE WHEN event_type = 'error' THEN CAST(0 AS BIGINT) "
         f"ELSE CAST(floor(value * 10) AS BIGINT) END AS rows_loaded, "
         f"CAST(NULL AS {d.str_type}) AS watermark_start, CAST(NULL AS {d.str_type}) AS watermark_end, "
-        f"'PL_MASTER_INGESTION' AS adf_pipeline_name, 'daily' AS adf_trigger_name, "
+        f"'ingest_all' AS adf_pipeline_name, 'daily' AS adf_trigger_name, "
         f"CASE WHEN event_type = 'error' THEN props END AS error_message "
         f"FROM {d.t('events')}")
 
