@@ -142,7 +142,7 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                  rules: list[Q.Rule] | None = None,
                  refs: dict[str, DataFrame] | None = None,
                  clock: Callable[[], dt.datetime] | None = None,
-                 watermark_mode: str = "data", buckets: int = 64,
+                 watermark_mode: str = "data", buckets: int | None = None,
                  broadcast_bytes: int = 256 * 1024 ** 2,
                  source_reader: Callable[[SparkSession, dict], DataFrame] | None = None
                  ) -> RunResult:

@@ -34,14 +34,67 @@ BUCKET = "_bucket"
 
 
 class StagingTable:
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64,
-                 broadcast_bytes: int = 256 * 1024 ** 2, compact_writes: bool = False,
-                 target_task_bytes: int = 512 * 1024 ** 2):
-        self.spark, self.path, self.spec, self.buckets = spark, path, spec, buckets
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec,
+                 buckets: int | None = None, broadcast_bytes: int = 256 * 1024 ** 2,
+                 compact_writes: bool = False, target_task_bytes: int = 512 * 1024 ** 2,
+                 bucket_bytes: int = 1024 ** 3):
+        self.spark, self.path, self.spec = spark, path, spec
+        self._requested_buckets = buckets
+        self._buckets: int | None = None
+        self.bucket_bytes = bucket_bytes
         self.broadcast_bytes = broadcast_bytes
         self.compact_writes = compact_writes
         self.target_task_bytes = target_task_bytes
 
+    # -- bucket count: a table property kept in an ``_buckets_N`` marker ------
+    MARKER = "_buckets_"   # leading "_" and no "=": hidden from Spark file listing
+    DEFAULT_BUCKETS = 64
+
+    def _fs(self):
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
+
+    def _marker_buckets(self) -> int | None:
+        fs, jvm = self._fs()
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        if not fs.exists(root):
+            return None
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.startswith(self.MARKER):
+                return int(name[len(self.MARKER):])
+        return None
+
+    def _write_marker(self, n: int) -> None:
+        fs, jvm = self._fs()
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self.path))
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{self.MARKER}{n}"), True).close()
+
+    @property
+    def buckets(self) -> int:
+        """N of ``pmod(xxhash64(keys), N)``: the marker value when the table
+        has one, else the requested value, else the default."""
+        if self._buckets is None:
+            self._buckets = (self._marker_buckets() or self._requested_buckets
+                             or self.DEFAULT_BUCKETS)
+        return self._buckets
+
+    def _choose_buckets(self, est_bytes: int) -> int:
+        """For a new table: the requested N, or a power of two giving about
+        ``bucket_bytes`` per bucket from the first batch's estimated size."""
+        have = self._marker_buckets()
+        if have:
+            return have
+        if self._requested_buckets:
+            return self._requested_buckets
+        if est_bytes <= 0:
+            return self.DEFAULT_BUCKETS
+        n = 1
+        while n * self.bucket_bytes < est_bytes:
+            n *= 2
+        return n
+
     @staticmethod
     def _plan_bytes(df: DataFrame) -> int:
         """Catalyst's size estimate (file sizes of the pruned scan); 0 when
@@ -108,11 +161,16 @@ class StagingTable:
     def _initial_load(self, raw: DataFrame, now, batch_id, partitions) -> dict:
         """First load: every row is an INSERT, so no checkpoint and no size
         check; W1 (partial top-1 before its shuffle) and one shuffle by bucket
-        so each write task holds whole buckets."""
+        so each write task holds whole buckets.  The bucket count is fixed here
+        (marker written before the data, so a retried first load reuses it)."""
+        est = self._plan_bytes(raw)
+        n = self._choose_buckets(est)
+        self._write_marker(n)
+        self._buckets = n
         empty = self.read(with_bucket=True)
         src = source_latest(raw, self.spec, batch_id).withColumn(BUCKET, self.bucket_of())
         merged = merge_upsert(empty, src, self.spec, now, dedupe=False, partition_column=BUCKET)
-        k = self._splits(self._plan_bytes(raw), self.buckets)
+        k = self._splits(est, self.buckets)
         if k > 1:   # a bucket larger than one task: split it by a second key hash
             merged = merged.repartition(partitions or self.buckets * k, BUCKET,
                                         self._split_of(k))

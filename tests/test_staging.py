@@ -105,3 +105,20 @@ def test_shuffle_form_join_needs_no_extra_exchange(spark, work):
     # the explicit repartitions only (two keyed sides, two NULL-key branches):
     # no exchange on the join keys themselves
     assert plan.count("ENSURE_REQUIREMENTS") == 0, plan
+
+
+def test_bucket_count_is_chosen_once_and_kept(spark, work):
+    path = work + "/auto"
+    _raw(spark, range(200), 0, "B1").write.parquet(work + "/rawfile")
+    raw = spark.read.parquet(work + "/rawfile")      # file-backed: Catalyst knows its size
+    t = StagingTable(spark, path, SPEC)              # nothing requested: sized from data
+    t.merge(raw, D, "B1")
+    assert t.buckets == 1                             # a tiny table: one bucket
+    # another handle asking for a different N still uses the table's own
+    t2 = StagingTable(spark, path, SPEC, buckets=32)
+    c = t2.merge(_raw(spark, range(100, 300), 1, "B2"), D, "B2")
+    assert t2.buckets == 1 and (c["rows_inserted"], c["rows_updated"]) == (100, 100)
+    assert t2.read().count() == 300
+    t3 = StagingTable(spark, work + "/explicit", SPEC, buckets=8)
+    t3.merge(_raw(spark, range(50), 0, "B1"), D, "B1")
+    assert StagingTable(spark, work + "/explicit", SPEC).buckets == 8
