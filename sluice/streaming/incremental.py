@@ -29,7 +29,9 @@ def late_rows(source: DataFrame, target: DataFrame, keys: list[str], cdc_column:
     """
     dtype = source.schema[cdc_column].dataType
     wm = F.lit(watermark).cast(dtype) if not hasattr(watermark, "_jc") else watermark
-    held = target.select(*keys, cdc_column)
+    # only target rows at or below the watermark can match: the filter reaches
+    # the target's scan, so the anti join shuffles the old rows' keys only
+    held = target.where(F.col(cdc_column) <= wm).select(*keys, cdc_column)
     return source.where(F.col(cdc_column) <= wm).join(held, [*keys, cdc_column], "left_anti")
 
 
