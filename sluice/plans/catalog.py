@@ -1050,3 +1050,25 @@ def q_replay_batch(spark, sf_dir):
     reprocess_batch(spark, landing, r1_batch, si.spec, table, FLOW_NOW2, work + "/replay_raw",
                     pipeline_name="pl_purchase_orders", run_id="run-1")
     return table.read()
+
+
+# ---------------------------------------------------------------------------
+# K8 through the single-pass RAW load: rejects read back from the RAW folder
+# ---------------------------------------------------------------------------
+from sluice.sinks.write import read_rejects  # noqa: E402
+
+
+@register("raw_rejects", f"""
+SELECT p_partkey, CAST(NULL AS INTEGER) AS p_size, 'p_size' AS bad_columns,
+       '{BATCH1}' AS _batch_id, 'FULL' AS _load_type, false AS _is_deleted
+FROM part WHERE p_partkey % 10 = 0""")
+def q_raw_rejects(spark, sf_dir):
+    work = scratch_dir(spark, "raw_rejects")
+    path = landing_path(work, "raw", "supply_chain/part", "part", NOW_DT)
+    land(_junk_part(_table(spark, sf_dir, "part")), path, BATCH1)
+    raw_path = work + "/RAW/RAW_PART"
+    load_raw(read_landing(spark, path, BATCH1), BAD_TARGET, raw_path, pipeline_name="pl_part",
+             batch_id=BATCH1, run_id="run-1", load_type="FULL", now=NOW_DT)
+    rej = read_rejects(spark, raw_path)
+    return rej.select("p_partkey", "p_size", F.array_join(BAD_COLUMNS, ",").alias("bad_columns"),
+                      "_batch_id", "_load_type", "_is_deleted")

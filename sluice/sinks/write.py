@@ -82,7 +82,8 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """K8: skipped incompatible rows with the list of failing columns."""
     from sluice.session import exists
     if not exists(spark, f"{path}/_rejected=true"):
-        return None
+        # no rejects in this batch: the same columns, no rows
+        return spark.read.parquet(path).where(F.lit(False)).drop("_rejected")
     return (spark.read.option("basePath", path).parquet(f"{path}/_rejected=true")
                  .drop("_rejected"))
 

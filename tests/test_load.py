@@ -60,3 +60,14 @@ def test_stamp_audit(spark):
     rows = {r["id"]: r for r in out.collect()}
     assert rows[1]["_is_deleted"] is False and rows[2]["_is_deleted"] is True
     assert rows[1]["_ingestion_timestamp"] == now and rows[1]["_source_file"] == "f.parquet"
+
+
+def test_raw_load_single_pass_and_empty_rejects(spark, work):
+    from sluice.sinks.write import load_raw, read_raw, read_rejects
+    df = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
+    res = load_raw(df, schema_of("id int, name string"), work + "/raw", pipeline_name="p",
+                   batch_id="B", run_id="r", load_type="FULL", now=dt.datetime(2025, 1, 1))
+    assert (res.rows_loaded, res.rows_rejected) == (2, 0)
+    assert read_raw(spark, work + "/raw").count() == 2
+    rej = read_rejects(spark, work + "/raw")
+    assert rej.count() == 0 and BAD_COLUMNS in rej.columns
