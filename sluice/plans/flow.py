@@ -31,7 +31,8 @@ from sluice.operators.runlog import error_row, failed_since, run_log_current
 from sluice.operators.watermark import watermark_current, watermark_lookup
 from sluice.session import exists, has_data
 from sluice.sinks.staging import StagingTable
-from sluice.sinks.write import append_log, land, load_raw, read_log, read_raw, read_rejects
+from sluice.sinks.write import (append_log, compact_log, land, load_raw, read_log, read_raw,
+                                read_rejects)
 from sluice.sources.extract import extract, landing_path, read_landing, read_source
 from sluice.spec import (CONFIG_DEFAULTS, ERROR_LOG_SCHEMA, RUN_EVENT_SCHEMA,
                          WATERMARK_LOG_SCHEMA, DQ_RESULTS_SCHEMA, TableSpec, spec_for)
@@ -92,6 +93,11 @@ class Control:
     def dq_results(self) -> DataFrame:
         return self._read(self.dq_results_path, DQ_RESULTS_SCHEMA)
 
+    def compact(self) -> int:
+        """Fold each log's one-row appends into one folder per day."""
+        return sum(compact_log(self.spark, p) for p in (
+            self.run_events_path, self.watermark_path, self.error_path, self.dq_results_path))
+
     def event(self, **row):
         append_log(self.spark, [row], RUN_EVENT_SCHEMA, self.run_events_path,
                    date_column="event_time")

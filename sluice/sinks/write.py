@@ -127,7 +127,42 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType,
     df = spark.read.parquet(path)
     if since is not None and "event_date" in df.columns:
         df = df.where(F.col("event_date") >= F.lit(since))
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    # exact duplicates can exist for a moment while a compaction swaps folders
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).dropDuplicates()
+
+
+def compact_log(spark: SparkSession, path: str) -> int:
+    """Rewrite a control log's many one-row ``writer=`` folders as one folder
+    per day (or one in all), then delete exactly the folders that were read.
+
+    Appends that arrive meanwhile land in new folders and are kept; readers
+    drop the exact duplicates visible between the write and the delete.
+    Returns the number of folders folded in.
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    groups: dict[str, list[str]] = {}
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("event_date=") and st.isDirectory():
+            groups[name] = [c.getPath().toString() for c in fs.listStatus(st.getPath())
+                            if c.getPath().getName().startswith("writer=")]
+        elif name.startswith("writer="):
+            groups.setdefault("", []).append(st.getPath().toString())
+    folded = 0
+    for day, folders in groups.items():
+        if len(folders) < 2:
+            continue
+        rows = spark.read.parquet(*folders).dropDuplicates()
+        dest = f"{path}/{day + '/' if day else ''}writer=compact-{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(dest)
+        for f in folders:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f), True)
+        folded += len(folders)
+    return folded
 
 
 def write_dq_results(results: DataFrame, path: str) -> None:

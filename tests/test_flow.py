@@ -156,3 +156,25 @@ def test_stream_rerun_without_new_files_changes_nothing(spark, work):
     assert epochs == [0]                      # nothing new: no micro-batch
     assert sorted(table.read().collect()) == first
     assert len(first) == ev.select("user_id").distinct().count()
+
+
+def test_compact_control_logs(spark, work):
+    import os
+    from sluice.session import local_path
+    ctl = Control(spark, work + "/control")
+    for i in range(6):
+        t = dt.datetime(2025, 1, 1 + i % 2, 12)
+        ctl.event(event="START", run_id=f"r{i}", pipeline_name="p", source_table="t",
+                  event_time=t, status="RUNNING")
+        ctl.advance_watermark(pipeline_name="p", source_table="t", cdc_column="c",
+                              watermark_value=str(i), watermark_type="BIGINT", rows_loaded=1,
+                              updated_at=t, seq=i)
+    before_runs = sorted(ctl.runs().collect())
+    before_wm = ctl.watermarks().collect()
+    assert ctl.compact() == 12
+    assert sorted(ctl.runs().collect()) == before_runs
+    assert ctl.watermarks().collect() == before_wm
+    days = os.listdir(local_path(ctl.run_events_path))
+    assert sorted(days) == ["event_date=2025-01-01", "event_date=2025-01-02"]
+    for d in days:
+        assert len(os.listdir(os.path.join(local_path(ctl.run_events_path), d))) == 1
