@@ -41,10 +41,17 @@ def lookback_extract(source: DataFrame, cdc_column: str, watermark,
     return extract(source, "CDC", cdc_column, watermark, lookback=lookback)
 
 
-def stream_landing(spark: SparkSession, landing_dir: str, schema: T.StructType) -> DataFrame:
-    """The landing folder as a file stream (new files only, per checkpoint)."""
-    return (spark.readStream.schema(schema).option("basePath", landing_dir)
-                 .parquet(landing_dir)
+def stream_landing(spark: SparkSession, landing_dir: str, schema: T.StructType,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """The landing folder as a file stream (new files only, per checkpoint).
+
+    ``max_files_per_trigger`` bounds each micro-batch; an ``availableNow``
+    run then works through a large backlog in several bounded batches.
+    """
+    r = spark.readStream.schema(schema).option("basePath", landing_dir)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return (r.parquet(landing_dir)
                  .select("*", F.col("_metadata.file_path").alias("_source_file")))
 
 

@@ -178,3 +178,13 @@ def test_compact_control_logs(spark, work):
     assert sorted(days) == ["event_date=2025-01-01", "event_date=2025-01-02"]
     for d in days:
         assert len(os.listdir(os.path.join(local_path(ctl.run_events_path), d))) == 1
+
+
+def test_clock_watermark_mode(spark, work):
+    src = work + "/src/po"
+    _src(spark, src)
+    ctl = Control(spark, work + "/control")
+    r = ingest_table(spark, _cfg(src), control=ctl, lake_root=work, now=NOW1,
+                     watermark_mode="clock")
+    assert r.watermark_end == "2025-01-01 00:00:00"
+    assert ctl.watermarks().first()["last_watermark_value"] == "2025-01-01 00:00:00"
