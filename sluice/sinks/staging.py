@@ -225,8 +225,10 @@ class StagingTable:
         src_bytes = sum(int(r["bytes"] or 0) for r in per_bucket)
         use_broadcast = src_bytes <= limit
         tgt = self.read(with_bucket=True)
-        if self.exists():
-            tgt = tgt.where(F.col(BUCKET).isin(touched)) if touched else tgt.limit(0)
+        if not touched:
+            tgt = tgt.limit(0)
+        elif len(touched) < self.buckets:   # every bucket touched: nothing to prune
+            tgt = tgt.where(F.col(BUCKET).isin(touched))
         if use_broadcast:
             # map-only over the target: each scan task writes the buckets its
             # files belong to (a few files per bucket, no shuffle of the target)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sluice.sources.extract import extract
 
@@ -28,7 +28,7 @@ def late_rows(source: DataFrame, target: DataFrame, keys: list[str], cdc_column:
     and the CDC value.
     """
     dtype = source.schema[cdc_column].dataType
-    wm = F.lit(watermark).cast(dtype) if not hasattr(watermark, "_jc") else watermark
+    wm = watermark if isinstance(watermark, Column) else F.lit(watermark).cast(dtype)
     # only target rows at or below the watermark can match: the filter reaches
     # the target's scan, so the anti join shuffles the old rows' keys only
     held = target.where(F.col(cdc_column) <= wm).select(*keys, cdc_column)
