@@ -122,3 +122,22 @@ def test_bucket_count_is_chosen_once_and_kept(spark, work):
     t3 = StagingTable(spark, work + "/explicit", SPEC, buckets=8)
     t3.merge(_raw(spark, range(50), 0, "B1"), D, "B1")
     assert StagingTable(spark, work + "/explicit", SPEC).buckets == 8
+
+
+def test_broadcast_form_never_shuffles_the_target(spark, work):
+    from sluice.operators.merge import merge_upsert
+    from sluice.session import merge_planning
+    t = StagingTable(spark, work + "/stg", SPEC, buckets=4)
+    t.merge(_raw(spark, range(1000), 0, "B1"), D, "B1")
+    tgt = t.read(with_bucket=True)
+    src = _raw(spark, [5, 6, 2000], 1, "B2").withColumn("_bucket", t.bucket_of())
+    with merge_planning(spark):
+        m = merge_upsert(tgt, src, SPEC, D, partition_column="_bucket", broadcast_source=True)
+        plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    # the only hash exchange is the batch's own W1 (source side); the target is never shuffled
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert all("id#" in ln and "_bucket" not in ln for ln in exchanges), exchanges
+    rows = {r["id"]: r for r in m.collect()}
+    assert len(rows) == 1001 and rows[2000]["_cdc_operation"] == "INSERT"
+    assert rows[5]["_cdc_operation"] == "UPDATE"
