@@ -121,6 +121,9 @@ def safe_cast(col: Column, src: T.DataType, dst: T.DataType,
     """
     if src == dst:
         return col
+    if isinstance(src, (T.ArrayType, T.MapType, T.StructType)):
+        # nested values fall to the text branch of the type map: as JSON
+        return F.to_json(col) if isinstance(dst, T.StringType) else F.lit(None).cast(dst)
     if isinstance(src, T.BooleanType) and isinstance(dst, _NUMERIC) and not booleans_as_numbers:
         return F.lit(None).cast(dst)
     if castable(src, dst):

@@ -71,3 +71,9 @@ def test_raw_load_single_pass_and_empty_rejects(spark, work):
     assert read_raw(spark, work + "/raw").count() == 2
     rej = read_rejects(spark, work + "/raw")
     assert rej.count() == 0 and BAD_COLUMNS in rej.columns
+
+
+def test_nested_values_become_json(spark):
+    df = spark.createDataFrame([(1, [1, 2], {"k": "v"})], "id int, a array<int>, m map<string,string>")
+    out = typed_projection(df, schema_of("id int, a string, m string"), keep_bad_columns=True).first()
+    assert out["a"] == "[1,2]" and out["m"] == '{"k":"v"}' and list(out[BAD_COLUMNS]) == []
