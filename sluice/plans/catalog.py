@@ -867,7 +867,12 @@ def q_ingest_all(spark, sf_dir):
         dict(_flow_cfg("pl_inactive", "region", "STG_SUPPLIERS", src, "FULL", 5),
              is_active=False),
     ]
-    ingest_all(spark, configs, control=control, lake_root=work, now=FLOW_NOW1)
+    # the control table itself, with the reference's columns; defaults filled on read
+    from sluice.spec import PIPELINE_CONFIG_SCHEMA
+    config = spark.createDataFrame(
+        [tuple(c.get(f.name) for f in PIPELINE_CONFIG_SCHEMA.fields) for c in configs],
+        PIPELINE_CONFIG_SCHEMA)
+    ingest_all(spark, config, control=control, lake_root=work, now=FLOW_NOW1)
     return control.runs().select("pipeline_name", "source_table", "status", "rows_extracted",
                                  "rows_loaded",
                                  F.col("error_message").isNotNull().alias("has_error"))

@@ -266,24 +266,60 @@ def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec):
     return keep.select(*raw.columns)
 
 
+def config_violations(config: DataFrame) -> DataFrame:
+    """V1-V3 on the config table: allowed load and source types, required
+    names, one row per pipeline_name.  One row per (pipeline_name, check)."""
+    from sluice.spec import LOAD_TYPES, SOURCE_TYPES
+    name = F.col("pipeline_name")
+    checks = [
+        Q.domain_violations(config, "load_type", LOAD_TYPES)
+         .select(name, F.lit("load_type").alias("check_name")),
+        Q.domain_violations(config, "source_type", SOURCE_TYPES)
+         .select(name, F.lit("source_type").alias("check_name")),
+        config.where(F.col("source_table").isNull() | F.col("sink_table").isNull())
+              .select(name, F.lit("not_null").alias("check_name")),
+        Q.unique_violations(config, ["pipeline_name"])
+         .select(name, F.lit("unique_pipeline_name").alias("check_name")),
+    ]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 def active_configs(config: DataFrame) -> list[dict]:
-    """Active config rows in pipeline_id order (control rows only)."""
-    rows = (config.where(F.coalesce(F.col("is_active"), F.lit(True)))
-                  .orderBy("pipeline_id").collect())
+    """S1 + V2: active config rows with defaults filled, in pipeline_id order
+    (control rows only reach the driver)."""
+    from sluice.spec import CONFIG_DEFAULTS
+    rows = (Q.with_defaults(config, CONFIG_DEFAULTS)
+              .where(F.coalesce(F.col("is_active"), F.lit(True)))
+              .orderBy("pipeline_id").collect())
     return [r.asDict() for r in rows]
 
 
 def ingest_all(spark: SparkSession, config: DataFrame | list[dict], *, control: Control,
                lake_root: str, now: dt.datetime, parallelism: int = 3,
                run_ids: Mapping[str, str] | None = None, **kw) -> list[RunResult]:
-    """Every active table, ``parallelism`` at a time; failures stay per table."""
-    rows = active_configs(config) if isinstance(config, DataFrame) else \
-        [r for r in config if r.get("is_active", True)]
+    """Every active table, ``parallelism`` at a time; failures stay per table.
+
+    A config table is validated first (``config_violations``); rows that break
+    a check are not run and are logged as FAILED runs with the reason.
+    """
+    bad: dict[str, str] = {}
+    if isinstance(config, DataFrame):
+        for r in config_violations(config).collect():   # control rows only
+            bad.setdefault(r["pipeline_name"], r["check_name"])
+        rows = active_configs(config)
+    else:
+        rows = [r for r in config if r.get("is_active", True)]
     rows = sorted(rows, key=lambda r: r.get("pipeline_id") or 0)
     batch = make_batch_id(now)
     run_ids = run_ids or {}
 
     def one(cfg):
+        if cfg["pipeline_name"] in bad:
+            return _refused(control, cfg, now, run_ids.get(cfg["pipeline_name"]),
+                            f"config check failed: {bad[cfg['pipeline_name']]}")
         return ingest_table(spark, cfg, control=control, lake_root=lake_root, now=now,
                             batch_id=batch, run_id=run_ids.get(cfg["pipeline_name"]), **kw)
 
@@ -291,6 +327,20 @@ def ingest_all(spark: SparkSession, config: DataFrame | list[dict], *, control:
         return list(pool.map(one, rows))
 
 
+def _refused(control: Control, cfg: Mapping, now: dt.datetime, run_id: str | None,
+             reason: str) -> RunResult:
+    run_id = run_id or str(uuid.uuid4())
+    res = RunResult(cfg["pipeline_name"], cfg.get("source_table"), run_id, "FAILED", error=reason)
+    for ev, st in (("START", "RUNNING"), ("END", "FAILED")):
+        control.event(event=ev, run_id=run_id, pipeline_name=res.pipeline_name,
+                      source_table=res.source_table, event_time=now, status=st,
+                      rows_extracted=0, rows_loaded=0,
+                      error_message=reason if ev == "END" else None)
+    control.error(error_row(run_id, res.pipeline_name, res.source_table, "TRANSFORMATION",
+                            reason, now, "config_check"))
+    return res
+
+
 def reprocess_batch(spark: SparkSession, landing: str, batch_id: str, spec: TableSpec,
                     staging: StagingTable, now: dt.datetime, raw_path: str, *,
                     pipeline_name: str, run_id: str, load_type: str = "REPLAY") -> dict:
@@ -302,4 +352,4 @@ def reprocess_batch(spark: SparkSession, landing: str, batch_id: str, spec: Tabl
 
 
 __all__ = ["Control", "RunResult", "BatchRejected", "ingest_table", "ingest_all",
-           "active_configs", "reprocess_batch", "exists", "read_rejects"]
+           "active_configs", "config_violations", "reprocess_batch", "exists", "read_rejects"]

@@ -188,3 +188,21 @@ def test_clock_watermark_mode(spark, work):
                      watermark_mode="clock")
     assert r.watermark_end == "2025-01-01 00:00:00"
     assert ctl.watermarks().first()["last_watermark_value"] == "2025-01-01 00:00:00"
+
+
+def test_config_table_validation(spark, work):
+    from sluice.plans.flow import config_violations
+    from sluice.spec import PIPELINE_CONFIG_SCHEMA
+    src = work + "/src/po"
+    _src(spark, src)
+    good = _cfg(src)
+    rows = [good, dict(good, pipeline_id=2, pipeline_name="pl_bad", load_type="DELTA"),
+            dict(good, pipeline_id=3)]        # duplicate pipeline_name
+    df = spark.createDataFrame([tuple(r.get(f.name) for f in PIPELINE_CONFIG_SCHEMA.fields)
+                                for r in rows], PIPELINE_CONFIG_SCHEMA)
+    v = {(r["pipeline_name"], r["check_name"]) for r in config_violations(df).collect()}
+    assert v == {("pl_bad", "load_type"), ("pl_po", "unique_pipeline_name")}
+    ctl = Control(spark, work + "/control")
+    res = ingest_all(spark, df, control=ctl, lake_root=work, now=NOW1)
+    assert {r.status for r in res} == {"FAILED"}
+    assert ctl.runs().where("status = 'FAILED'").count() == 3
