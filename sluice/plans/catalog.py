@@ -12,11 +12,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.operators.merge import merge_counts, merge_message, merge_upsert, current_rows
+from sluice.functions.scalar import batch_id_col, dated_path_col, hours_before
+from sluice.operators import quality as Q
+from sluice.operators.aggregate import ordered_concat
+from sluice.operators.dedup import latest_per_key
+from sluice.operators.drift import evolve_schema, load_drift, row_count_check
+from sluice.operators.merge import current_rows, merge_counts, merge_message, merge_upsert
+from sluice.operators.projection import (BAD_COLUMNS, lineage, split_bad_rows, stamp_audit,
+                                         typed_projection)
+from sluice.operators.runlog import (failed_since, open_errors, run_history, run_log_current,
+                                     run_trend)
+from sluice.operators.watermark import next_watermark, watermark_current
 from sluice.plans.dialect import Dialect, SparkDialect
-from sluice.plans import standins as si_mod
-from sluice.plans.standins import (NOW, BATCH1, STANDINS, merge_oracle_sql, raw_sql,
-                                   target_sql)
+from sluice.plans.flow import Control, ingest_all, ingest_table, reprocess_batch
+from sluice.plans.standins import (BATCH1, EVENTS_SPEC, LINEITEM_SPEC, NOW, STANDINS,
+                                   SpecOnly, change_source_sql, merge_oracle_sql,
+                                   raw_rows_sql, raw_sql, staging_sql, target_sql)
+from sluice.session import scratch_dir
+from sluice.sinks.staging import StagingTable
+from sluice.sinks.write import land, load_raw, read_raw, read_rejects
+from sluice.sources.extract import (extract, landing_path, read_landing, read_source,
+                                    replay, with_source_file)
+from sluice.spec import DQ_RULES_SCHEMA, schema_of
+from sluice.streaming.incremental import late_rows, stream_landing, stream_merge
 
 NOW_DT = dt.datetime(2025, 1, 1)
 DUCK = Dialect()
@@ -92,9 +110,6 @@ def q_current_rows(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Sources: S2, S3, X4, S6, S9, T8
 # ---------------------------------------------------------------------------
-from sluice.sources.extract import (extract, read_csv, read_landing, read_source,  # noqa: E402
-                                    landing_path, with_source_file)
-from sluice.session import scratch_dir  # noqa: E402
 
 
 @register("extract_full", "SELECT * FROM customer")
@@ -149,11 +164,6 @@ def q_extract_csv(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Load: K1, S7, S8, S14, K3, P1, P3, P4, P5, S10, N7
 # ---------------------------------------------------------------------------
-from sluice.operators.projection import (split_bad_rows, stamp_audit,  # noqa: E402
-                                         typed_projection, BAD_COLUMNS, lineage)
-from sluice.sinks.write import land, load_raw, read_raw  # noqa: E402
-from sluice.spec import schema_of  # noqa: E402
-from sluice.functions.scalar import batch_id as _batch_id_of  # noqa: E402
 
 SUPPLIER_TARGET = schema_of("S_SUPPKEY bigint, S_NAME string, S_NATIONKEY int, "
                             "S_ACCTBAL decimal(12,2), S_RATING decimal(3,2)")
@@ -249,7 +259,6 @@ def q_audit_stamp(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Scalar functions F1-F4, F6-F9, F12
 # ---------------------------------------------------------------------------
-from sluice.functions.scalar import batch_id_col, dated_path_col, hours_before  # noqa: E402
 
 
 @register("scalar_functions", f"""
@@ -288,8 +297,6 @@ def q_scalar_functions(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # G2 ordered concat, W1 latest per key
 # ---------------------------------------------------------------------------
-from sluice.operators.aggregate import ordered_concat  # noqa: E402
-from sluice.operators.dedup import latest_per_key  # noqa: E402
 
 
 @register("ordered_concat", """
@@ -330,7 +337,6 @@ def q_latest_per_key_nulls(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Watermarks: G5, G6, G3, F8, F11
 # ---------------------------------------------------------------------------
-from sluice.operators.watermark import next_watermark, watermark_current  # noqa: E402
 
 
 def _wm_log_sql(d: Dialect) -> str:
@@ -371,8 +377,6 @@ def q_next_watermark(spark, sf_dir):
 # Events recast as a run-event log: even event_id = START, odd = END of run
 # event_id DIV 2; END status from the event type.
 # ---------------------------------------------------------------------------
-from sluice.operators.runlog import (failed_since, open_errors, run_history,  # noqa: E402
-                                     run_log_current, run_trend)
 
 MONITOR_NOW = "2024-01-30 12:00:00"
 
@@ -474,7 +478,6 @@ def q_open_errors(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Constraint checks V1-V4 and the rule engine Q1-Q11, G7, W2, J3, N5, K9
 # ---------------------------------------------------------------------------
-from sluice.operators import quality as Q  # noqa: E402
 
 
 @register("constraint_violations", """
@@ -678,8 +681,6 @@ def q_dq_warn(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Q12 row counts, Q13 drift, Q14 schema evolution, X3 late rows
 # ---------------------------------------------------------------------------
-from sluice.operators.drift import evolve_schema, load_drift, row_count_check  # noqa: E402
-from sluice.streaming.incremental import late_rows  # noqa: E402
 
 
 @register("row_count_check", """
@@ -780,9 +781,6 @@ def q_late_rows(spark, sf_dir):
 # Flows: E1, E2, E5, E6, E8, K4 (written to a fresh folder under the
 # session's shared checkpoint root, then read back)
 # ---------------------------------------------------------------------------
-from sluice.plans.flow import Control, ingest_all, ingest_table  # noqa: E402
-from sluice.plans.standins import (change_source_sql, raw_rows_sql,  # noqa: E402
-                                   staging_sql)
 
 FLOW_NOW1 = dt.datetime(2025, 1, 1)
 FLOW_NOW2 = dt.datetime(2025, 1, 2)
@@ -881,10 +879,6 @@ def q_ingest_all(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Streaming: X1, X2, M13 (two file drops, two available-now runs, one checkpoint)
 # ---------------------------------------------------------------------------
-from sluice.operators.dedup import latest_per_key as _lpk  # noqa: E402,F401
-from sluice.plans.standins import EVENTS_SPEC, SpecOnly  # noqa: E402
-from sluice.sinks.staging import StagingTable  # noqa: E402
-from sluice.streaming.incremental import stream_landing, stream_merge  # noqa: E402
 
 STREAM_CUT = "2024-01-15 00:00:00"
 
@@ -953,8 +947,6 @@ def q_stream_merge(spark, sf_dir):
 # E1 with rules: Q8 (rules read from a rules table), Q9 inside the flow,
 # K9 result rows, E8 PARTIAL status
 # ---------------------------------------------------------------------------
-from sluice.plans.standins import LINEITEM_SPEC  # noqa: E402
-from sluice.spec import DQ_RULES_SCHEMA  # noqa: E402
 
 
 def _quality_source_sql(d: Dialect) -> str:
@@ -1028,8 +1020,6 @@ def q_ingest_quality(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Replay a landed batch (no new extract); the merge leaves STAGING as it was
 # ---------------------------------------------------------------------------
-from sluice.plans.flow import reprocess_batch  # noqa: E402
-from sluice.sources.extract import replay  # noqa: E402
 
 
 @register("replay_batch", staging_sql(STANDINS["purchase_orders"], DUCK,
@@ -1060,7 +1050,6 @@ def q_replay_batch(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # K8 through the single-pass RAW load: rejects read back from the RAW folder
 # ---------------------------------------------------------------------------
-from sluice.sinks.write import read_rejects  # noqa: E402
 
 
 @register("raw_rejects", f"""
