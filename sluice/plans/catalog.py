@@ -26,8 +26,9 @@ from sluice.operators.watermark import next_watermark, watermark_current
 from sluice.plans.dialect import Dialect, SparkDialect
 from sluice.plans.flow import Control, ingest_all, ingest_table, reprocess_batch
 from sluice.plans.standins import (BATCH1, EVENTS_SPEC, LINEITEM_SPEC, NOW, STANDINS,
-                                   SpecOnly, change_source_sql, merge_oracle_sql,
-                                   raw_rows_sql, raw_sql, staging_sql, target_sql)
+                                   SpecOnly, change_source_sql, initial_raw_sql,
+                                   merge_oracle_sql, raw_rows_sql, raw_sql, staging_sql,
+                                   target_sql)
 from sluice.session import scratch_dir
 from sluice.sinks.staging import StagingTable
 from sluice.sinks.write import land, load_raw, read_raw, read_rejects
@@ -1066,3 +1067,26 @@ def q_raw_rejects(spark, sf_dir):
     rej = read_rejects(spark, raw_path)
     return rej.select("p_partkey", "p_size", F.array_join(BAD_COLUMNS, ",").alias("bad_columns"),
                       "_batch_id", "_load_type", "_is_deleted")
+
+
+# ---------------------------------------------------------------------------
+# K4 on its own: the STAGING sink, initial load then a change batch, both forms
+# ---------------------------------------------------------------------------
+T0_DT = dt.datetime(2024, 12, 31)
+
+
+def _staging_merge(spark, sf_dir, key: str, broadcast_bytes: int | None) -> DataFrame:
+    si = STANDINS[key]
+    work = scratch_dir(spark, f"staging_{key}")
+    kw = {} if broadcast_bytes is None else {"broadcast_bytes": broadcast_bytes}
+    table = StagingTable(spark, work + "/staging", si.spec, **kw)
+    table.merge(_sql(spark, sf_dir, lambda d: initial_raw_sql(si, d)), T0_DT,
+                "BATCH-20241231-000000")
+    table.merge(_sql(spark, sf_dir, lambda d: raw_sql(si, d)), NOW_DT, BATCH1)
+    return table.read()
+
+
+register("merge_staging_shipments", merge_oracle_sql(STANDINS["shipments"], DUCK))(
+    lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments", None))
+register("merge_staging_shuffle", merge_oracle_sql(STANDINS["shipments"], DUCK))(
+    lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments", 0))

@@ -283,3 +283,15 @@ EVENTS_SPEC = TableSpec("EVENTS", ("user_id",), _cols(
 @dataclass(frozen=True)
 class SpecOnly:
     spec: TableSpec
+
+
+def initial_raw_sql(si: StandIn, d: Dialect) -> str:
+    """RAW rows whose initial load gives exactly ``target_sql``: the target's keys,
+    stamped at T0, with ``_tb`` making the ingestion time distinct within a key."""
+    spec = si.spec
+    return (
+        f"SELECT {', '.join(spec.column_names)}, 'pl_{spec.name.lower()}' AS _pipeline_name, "
+        f"'{BATCH0}' AS _batch_id, 'run-0' AS _run_id, 'FULL' AS _load_type, "
+        f"'{si.source_table}.parquet' AS _source_file, false AS _is_deleted, "
+        f"{d.add_micros(d.ts(T0), '_tb')} AS _ingestion_timestamp "
+        f"FROM ({si.base(d)}) b WHERE {si.mod_key} % 3 <> 0")
