@@ -37,11 +37,12 @@ class StagingTable:
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec,
                  buckets: int | None = None, broadcast_bytes: int = 256 * 1024 ** 2,
                  compact_writes: bool = False, target_task_bytes: int = 512 * 1024 ** 2,
-                 bucket_bytes: int = 1024 ** 3):
+                 bucket_bytes: int = 1024 ** 3, min_buckets: int = 16):
         self.spark, self.path, self.spec = spark, path, spec
         self._requested_buckets = buckets
         self._buckets: int | None = None
         self.bucket_bytes = bucket_bytes
+        self.min_buckets = min_buckets
         self.broadcast_bytes = broadcast_bytes
         self.compact_writes = compact_writes
         self.target_task_bytes = target_task_bytes
@@ -82,7 +83,9 @@ class StagingTable:
 
     def _choose_buckets(self, est_bytes: int) -> int:
         """For a new table: the requested N, or a power of two giving about
-        ``bucket_bytes`` per bucket from the first batch's estimated size."""
+        ``bucket_bytes`` per bucket from the first batch's estimated size, at
+        least ``min_buckets`` so even a small table is written and merged by
+        several tasks."""
         have = self._marker_buckets()
         if have:
             return have
@@ -91,7 +94,7 @@ class StagingTable:
         if est_bytes <= 0:
             return self.DEFAULT_BUCKETS
         n = 1
-        while n * self.bucket_bytes < est_bytes:
+        while n < self.min_buckets or n * self.bucket_bytes < est_bytes:
             n *= 2
         return n
 

@@ -111,13 +111,13 @@ def test_bucket_count_is_chosen_once_and_kept(spark, work):
     path = work + "/auto"
     _raw(spark, range(200), 0, "B1").write.parquet(work + "/rawfile")
     raw = spark.read.parquet(work + "/rawfile")      # file-backed: Catalyst knows its size
-    t = StagingTable(spark, path, SPEC)              # nothing requested: sized from data
+    t = StagingTable(spark, path, SPEC, min_buckets=2)   # nothing requested: sized from data
     t.merge(raw, D, "B1")
-    assert t.buckets == 1                             # a tiny table: one bucket
+    assert t.buckets == 2                             # a tiny table: the floor
     # another handle asking for a different N still uses the table's own
     t2 = StagingTable(spark, path, SPEC, buckets=32)
     c = t2.merge(_raw(spark, range(100, 300), 1, "B2"), D, "B2")
-    assert t2.buckets == 1 and (c["rows_inserted"], c["rows_updated"]) == (100, 100)
+    assert t2.buckets == 2 and (c["rows_inserted"], c["rows_updated"]) == (100, 100)
     assert t2.read().count() == 300
     t3 = StagingTable(spark, work + "/explicit", SPEC, buckets=8)
     t3.merge(_raw(spark, range(50), 0, "B1"), D, "B1")
@@ -141,3 +141,12 @@ def test_broadcast_form_never_shuffles_the_target(spark, work):
     rows = {r["id"]: r for r in m.collect()}
     assert len(rows) == 1001 and rows[2000]["_cdc_operation"] == "INSERT"
     assert rows[5]["_cdc_operation"] == "UPDATE"
+
+
+def test_bucket_count_grows_with_size():
+    t = StagingTable.__new__(StagingTable)
+    t._requested_buckets, t.bucket_bytes, t.min_buckets = None, 1 << 30, 16
+    t._marker_buckets = lambda: None
+    assert t._choose_buckets(10 << 20) == 16
+    assert t._choose_buckets(100 << 30) == 128        # ~1 GB per bucket
+    assert t._choose_buckets(100 << 40) == 1 << 17    # 100 TB: 131072 buckets
