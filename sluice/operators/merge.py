@@ -98,7 +98,8 @@ def _insert_columns(spec: TableSpec, part: list[str], now_c: Column) -> list[Col
 def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.datetime | Column,
                  batch_id: str | None = None, dedupe: bool = True,
                  partition_column: str | list[str] | None = None,
-                 broadcast_source: bool = False) -> DataFrame:
+                 broadcast_source: bool = False,
+                 insert_partitions: int | None = None) -> DataFrame:
     """Return the table after merging ``raw`` (RAW rows) into ``target``.
 
     ``target`` has the STAGING layout (business columns + metadata); the
@@ -147,6 +148,9 @@ def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.dat
         inserted = (src.join(F.broadcast(held), on=[F.col("s__" + k) == F.col("t__" + k)
                                                     for k in part + keys], how="left_anti")
                        .select(*_insert_columns(spec, part, now_c)))
+        if insert_partitions and part:
+            # batch-sized: group the new rows by partition so each lands in one file
+            inserted = inserted.repartition(insert_partitions, *part)
         result = existing.unionByName(inserted)
     else:
         # NULL keys never compare equal: keep them out of the shuffle join.

@@ -236,7 +236,8 @@ class StagingTable:
             # map-only over the target: each scan task writes the buckets its
             # files belong to (a few files per bucket, no shuffle of the target)
             merged = merge_upsert(tgt, src, self.spec, now, dedupe=False,
-                                  partition_column=BUCKET, broadcast_source=True)
+                                  partition_column=BUCKET, broadcast_source=True,
+                                  insert_partitions=max(len(touched), 1))
             if self.compact_writes:   # one file per bucket, at the price of a shuffle
                 merged = merged.repartition(max(len(touched), 1), BUCKET)
         else:
