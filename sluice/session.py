@@ -11,7 +11,8 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, app: str = "sluice",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None,
+                extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session with AQE and skew-join handling on, UI off, UTC clock.
 
     On a cluster the master and partition counts come from the launcher;
@@ -29,6 +30,8 @@ def get_session(master: str | None = None, app: str = "sluice",
           .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra_conf or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
