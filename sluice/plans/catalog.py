@@ -801,8 +801,12 @@ def _source_system(spark, sf_dir, work, tables: dict[str, Callable[[Dialect], st
     configuration rows point at."""
     root = work + "/source"
     sd = SparkDialect(sf_dir)
+    # a source table lives in several files, as a real one would (the test
+    # tables are single row groups, which would make every read one task)
+    files = spark.sparkContext.defaultParallelism
     for name, build in tables.items():
-        spark.sql(build(sd)).write.mode("overwrite").parquet(f"{root}/{name}")
+        (spark.sql(build(sd)).repartition(files).write.mode("overwrite")
+              .parquet(f"{root}/{name}"))
     return root
 
 
