@@ -68,6 +68,15 @@ def run_trend(runs: DataFrame) -> DataFrame:
                      F.max("duration_seconds").alias("max_duration_seconds")))
 
 
+def errors_current(errors: DataFrame) -> DataFrame:
+    """K10/K11 current state: the latest row of each error id (a resolution is
+    appended as its own row, later than the error it closes)."""
+    stamp = F.coalesce(F.col("resolved_date"), F.col("created_date"))
+    return latest_per_key(errors.withColumn("__stamp", stamp), ["error_id"],
+                          ["__stamp", F.col("is_resolved").cast("int")],
+                          nulls_first=False).drop("__stamp")
+
+
 def open_errors(errors: DataFrame, runs: DataFrame) -> DataFrame:
     """Unresolved errors with their run's status, newest first."""
     r = runs.select("run_id", "pipeline_name", F.col("status").alias("run_status"),
@@ -77,6 +86,12 @@ def open_errors(errors: DataFrame, runs: DataFrame) -> DataFrame:
                   .orderBy(F.col("created_date").desc()))
 
 
+def resolution_row(error: dict, resolved_by: str, when: dt.datetime, notes: str | None = None) -> dict:
+    """The row that closes an error (same id, resolved)."""
+    return dict(error, is_resolved=True, resolved_by=resolved_by, resolved_date=when,
+                resolution_notes=notes)
+
+
 def error_row(run_id: str, pipeline_name: str, source_table: str | None, error_type: str,
               message: str, created: dt.datetime, activity: str | None = None) -> dict:
     """One error-log row (resolution appended later as its own row)."""

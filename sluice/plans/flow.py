@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from sluice.functions.scalar import batch_id as make_batch_id
 from sluice.operators import quality as Q
-from sluice.operators.runlog import error_row, failed_since, run_log_current
+from sluice.operators.runlog import (error_row, errors_current, failed_since, open_errors,
+                                     resolution_row, run_log_current)
 from sluice.operators.watermark import watermark_current, watermark_lookup
 from sluice.session import exists
 from sluice.sinks.staging import StagingTable
@@ -88,7 +89,20 @@ class Control:
         return watermark_current(self.watermark_log())
 
     def errors(self) -> DataFrame:
-        return self._read(self.error_path, ERROR_LOG_SCHEMA)
+        """Current state of each error (its resolution row, once appended)."""
+        return errors_current(self._read(self.error_path, ERROR_LOG_SCHEMA))
+
+    def open_errors(self) -> DataFrame:
+        """Unresolved errors with their run's status, newest first."""
+        return open_errors(self.errors(), self.runs())
+
+    def resolve_error(self, error_id: str, resolved_by: str, when: dt.datetime,
+                      notes: str | None = None) -> None:
+        """Append the resolution of one error (control rows only)."""
+        row = self.errors().where(F.col("error_id") == error_id).first()
+        if row is None:
+            raise KeyError(f"no error {error_id!r}")
+        self.error(resolution_row(row.asDict(), resolved_by, when, notes))
 
     def dq_results(self) -> DataFrame:
         return self._read(self.dq_results_path, DQ_RESULTS_SCHEMA)

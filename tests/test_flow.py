@@ -206,3 +206,17 @@ def test_config_table_validation(spark, work):
     res = ingest_all(spark, df, control=ctl, lake_root=work, now=NOW1)
     assert {r.status for r in res} == {"FAILED"}
     assert ctl.runs().where("status = 'FAILED'").count() == 3
+
+
+def test_error_resolution_closes_it(spark, work):
+    src = work + "/src/po"
+    _src(spark, src)
+    ctl = Control(spark, work + "/control")
+    bad = _cfg(src, pipeline_name="pl_bad", sink_table="STG_ORDERS")
+    ingest_table(spark, bad, control=ctl, lake_root=work, now=NOW1, run_id="rb")
+    opened = ctl.open_errors().collect()
+    assert len(opened) == 1 and opened[0]["run_status"] == "FAILED"
+    ctl.resolve_error(opened[0]["error_id"], "ops", NOW2, "spec added")
+    assert ctl.open_errors().count() == 0
+    e = ctl.errors().first()
+    assert e["is_resolved"] is True and e["resolved_by"] == "ops"
