@@ -272,9 +272,19 @@ def dq_results(summary: DataFrame, run_id: str, pipeline_name: str, source_table
         F.lit(run_date).cast("timestamp_ntz").alias("run_date"))
 
 
-def dq_report(results: DataFrame) -> DataFrame:
-    """Per pipeline, day and rule severity: rules, rules not passed, failed rows."""
-    return (results.groupBy("pipeline_name", F.to_date("run_date").alias("run_date"), "severity")
+def dq_report(results: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """Per pipeline, day and rule severity: rules, rules not passed, failed rows.
+
+    With ``runs`` (the run log's current view) the results are first joined to
+    their run (J4, left join on run id and pipeline) and the report is also
+    split by the run's final status.
+    """
+    keys = ["pipeline_name", F.to_date("run_date").alias("run_date"), "severity"]
+    if runs is not None:
+        r = runs.select("run_id", "pipeline_name", F.col("status").alias("run_status"))
+        results = results.join(r, ["run_id", "pipeline_name"], "left")
+        keys.append("run_status")
+    return (results.groupBy(*keys)
                    .agg(F.count(F.lit(1)).alias("rules"),
                         F.count_if(F.col("status") != "PASS").alias("rules_not_passed"),
                         F.sum("failed_records").cast("bigint").alias("failed_records")))

@@ -92,6 +92,10 @@ class Control:
         """Current state of each error (its resolution row, once appended)."""
         return errors_current(self._read(self.error_path, ERROR_LOG_SCHEMA))
 
+    def dq_report(self) -> DataFrame:
+        """N5 + J4: DQ results with their runs' status, per pipeline, day, severity."""
+        return Q.dq_report(self.dq_results(), self.runs())
+
     def open_errors(self) -> DataFrame:
         """Unresolved errors with their run's status, newest first."""
         return open_errors(self.errors(), self.runs())

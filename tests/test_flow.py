@@ -106,6 +106,9 @@ def test_rules_quarantine_partial_and_reject_fails(spark, work):
     assert r.rows_loaded == n - over
     assert spark.read.parquet(r.staging_path).count() == n - over
     assert ctl.dq_results().count() == 1
+    rep = ctl.dq_report().first()
+    assert (rep["run_status"], rep["rules"], rep["rules_not_passed"]) == ("PARTIAL", 1, 1)
+    assert rep["failed_records"] == over
     # a REJECT rule that fails refuses the whole batch and keeps the watermark
     reject = [Rule("price_cap", "RANGE", "total_amount", max_value="1000",
                    action_on_failure="REJECT")]
