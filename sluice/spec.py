@@ -249,4 +249,7 @@ DQ_RESULTS_SCHEMA = schema_of(
     "run_id string, pipeline_name string, source_table string, rule_id int, "
     "rule_name string, rule_type string, column_name string, total_records bigint, "
     "passed_records bigint, failed_records bigint, pass_rate_pct decimal(5,2), "
-    "status string, action_taken string, dq_file_path string, run_date timestamp_ntz")
+    "status string, action_taken string, dq_file_path string, run_date timestamp_ntz, "
+    # ours: the rule's severity at evaluation time, so a later change to the
+    # rule does not rewrite the history of results
+    "severity string")
