@@ -120,9 +120,9 @@ def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.dat
       join of the target's key column against the broadcast keys, then an
       anti join of two batch-sized sides).
 
-    For wide tables run the action under ``sluice.session.merge_planning``
-    (``StagingTable`` does): it switches off Catalyst's constraint
-    propagation, which grows exponentially with the CASE projection's width.
+    For the co-partitioned form run the action under
+    ``sluice.session.merge_planning`` (``StagingTable`` does), so sides
+    partitioned on ``partition_column`` count as co-partitioned.
     """
     now_c = now if isinstance(now, Column) else F.lit(now).cast(T.TimestampNTZType())
     src = source_latest(raw, spec, batch_id) if dedupe else batch_rows(raw, batch_id)

@@ -94,10 +94,6 @@ __all__ = ["get_session", "checkpoint_root", "scratch_dir", "local_path", "exist
 
 # Session settings a merge is planned with (restored afterwards).
 MERGE_CONFS = {
-    # Constraint inference substitutes every alias into every known constraint
-    # and grows exponentially with the width of the merge's CASE projection;
-    # it only adds inferred IS NOT NULL filters, which the merge does not need.
-    "spark.sql.constraintPropagation.enabled": "false",
     # Let sides hash-partitioned on (bucket, split) count as co-partitioned for
     # a join on (bucket, split, key): no second exchange of the target.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
@@ -129,4 +125,3 @@ def merge_planning(spark: SparkSession):
                         spark.conf.set(k, v)
 
 
-without_constraint_propagation = merge_planning

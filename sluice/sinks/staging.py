@@ -120,14 +120,19 @@ class StagingTable:
         return min(4096, max(1, -(-int(per_bucket) // self.target_task_bytes)))
 
     def bucket_of(self) -> Column:
-        """``pmod(xxhash64(keys), N)``; a row whose key holds a NULL can never
-        match, so it is spread by a hash of its whole content instead of
-        piling every NULL key into one bucket."""
+        """``pmod(xxhash64(keys), N)``.  A row whose key holds a NULL can never
+        match; W1 keeps at most one such row per batch, so those rows are
+        spread by a hash of their batch id instead of piling into one bucket.
+
+        The expression references only the keys and ``_batch_id`` on purpose:
+        a checkpointed batch keeps its plan's constraints, and a constraint
+        over every column would double with each column the merge renames.
+        """
         keyed = F.xxhash64(*[F.col(k) for k in self.spec.keys])
         any_null = F.lit(False)
         for k in self.spec.keys:
             any_null = any_null | F.col(k).isNull()
-        spread = F.xxhash64(*[F.col(c) for c in self.spec.column_names], F.col("_batch_id"))
+        spread = F.xxhash64(F.col("_batch_id"))
         return F.pmod(F.when(any_null, spread).otherwise(keyed), F.lit(self.buckets)).cast("int")
 
     def exists(self) -> bool:
