@@ -150,3 +150,24 @@ def test_bucket_count_grows_with_size():
     assert t._choose_buckets(10 << 20) == 16
     assert t._choose_buckets(100 << 30) == 128        # ~1 GB per bucket
     assert t._choose_buckets(100 << 40) == 1 << 17    # 100 TB: 131072 buckets
+
+
+def test_wide_merge_plans_fast_with_default_constraint_propagation(spark, work):
+    import time
+    from sluice.operators.merge import merge_upsert, source_latest
+    from sluice.plans import catalog as C
+    from sluice.plans.standins import STANDINS, raw_sql
+    from sluice.session import checkpoint_root
+    from conftest import SF_SMALL
+    assert spark.conf.get("spark.sql.constraintPropagation.enabled") == "true"
+    checkpoint_root(spark)
+    si = STANDINS["sales_orders"]                       # 17 business columns
+    C._sql(spark, SF_SMALL, lambda d: raw_sql(si, d)).write.parquet(work + "/raw")
+    raw = spark.read.parquet(work + "/raw")
+    t = StagingTable(spark, work + "/stg", si.spec, buckets=8)
+    src = source_latest(raw, si.spec).withColumn("_bucket", t.bucket_of()).checkpoint(eager=True)
+    m = merge_upsert(t.read(with_bucket=True), src, si.spec, D, dedupe=False,
+                     partition_column="_bucket", broadcast_source=True, insert_partitions=8)
+    t0 = time.time()
+    m._jdf.queryExecution().optimizedPlan()
+    assert time.time() - t0 < 10
