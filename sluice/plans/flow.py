@@ -43,6 +43,10 @@ class BatchRejected(RuntimeError):
     """A REJECT rule failed: the batch is refused and nothing is merged."""
 
 
+class RowCountMismatch(RuntimeError):
+    """Landed rows are not all accounted for by RAW (loaded + rejected)."""
+
+
 @dataclass
 class Control:
     """Append-only control logs under one folder (shared storage)."""
@@ -155,6 +159,8 @@ def _cfg(cfg: Mapping) -> dict:
 def _error_type(exc: Exception) -> str:
     if isinstance(exc, BatchRejected):
         return "DQ"
+    if isinstance(exc, RowCountMismatch):
+        return "LOAD"
     if isinstance(exc, KeyError):
         return "TRANSFORMATION"
     return "UNKNOWN"
@@ -217,6 +223,12 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                                raw_path, pipeline_name=pname, batch_id=batch_id, run_id=run_id,
                                load_type=load_type, now=now)
             res.rows_rejected = raw_res.rows_rejected
+            # Q12: every landed row is either loaded or rejected (counts observed
+            # during the two writes); anything else is lost data, so stop here
+            if raw_res.rows_loaded + raw_res.rows_rejected != landed.rows:
+                raise RowCountMismatch(
+                    f"{pname}: landed {landed.rows} rows, RAW holds {raw_res.rows_loaded} "
+                    f"loaded + {raw_res.rows_rejected} rejected")
             raw = read_raw(spark, raw_path)
             if rules and c.get("dq_enabled", True):
                 raw = _apply_rules(spark, control, raw, rules, refs or {}, res, lake_root, now,

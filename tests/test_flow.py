@@ -223,3 +223,21 @@ def test_error_resolution_closes_it(spark, work):
     assert ctl.open_errors().count() == 0
     e = ctl.errors().first()
     assert e["is_resolved"] is True and e["resolved_by"] == "ops"
+
+
+def test_row_count_mismatch_fails_the_run(spark, work, monkeypatch):
+    import sluice.plans.flow as flow
+    src = work + "/src/po"
+    _src(spark, src)
+    real = flow.load_raw
+
+    def lossy(*a, **k):
+        r = real(*a, **k)
+        r.rows_loaded -= 1          # as if a row went missing between landing and RAW
+        return r
+    monkeypatch.setattr(flow, "load_raw", lossy)
+    ctl = Control(spark, work + "/control")
+    r = ingest_table(spark, _cfg(src), control=ctl, lake_root=work, now=NOW1)
+    assert r.status == "FAILED" and "RowCountMismatch" in r.error
+    assert ctl.errors().first()["error_type"] == "LOAD"
+    assert ctl.watermarks().count() == 0 and r.staging_path is None
