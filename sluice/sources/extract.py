@@ -128,7 +128,9 @@ def read_source(spark: SparkSession, cfg: Mapping, csv_schema=None,
                 jdbc_properties: Mapping[str, str] | None = None) -> DataFrame:
     """Read a configured source by ``source_type``.
 
-    PARQUET / CSV: files under ``source_server/source_database/source_schema/source_table``.
+    PARQUET / CSV / API (landed JSON pages): files under
+    ``source_server/source_database/source_schema/source_table``; ``csv_schema``
+    is the explicit schema for CSV and JSON.
     SQLSERVER: JDBC (``source_server`` is the URL).  A ``source_query`` replaces
     the table: run through JDBC, or as Spark SQL over registered views.
     """
@@ -149,8 +151,12 @@ def read_source(spark: SparkSession, cfg: Mapping, csv_schema=None,
         if csv_schema is None:
             raise ValueError("a CSV source needs an explicit schema")
         return read_csv(spark, path, csv_schema)
-    raise ValueError(f"source_type {stype} is not readable as a Spark source "
-                     "(API sources land JSON files first)")
+    if stype == "API":
+        # API pages are landed as JSON files by the caller; they are read as files
+        # (an explicit schema avoids an inference pass over the pages)
+        r = spark.read.option("mode", "PERMISSIVE")
+        return (r.schema(csv_schema) if csv_schema is not None else r).json(path)
+    raise ValueError(f"source_type {stype} is not a readable source type")
 
 
 def landing_path(root: str, container: str | None, folder: str, table: str,

@@ -44,3 +44,12 @@ def test_watermark_state_and_lookup(spark):
     assert watermark_lookup(watermark_current(log), "p", "b").first()["watermark"] == "w1"
     miss = watermark_lookup(watermark_current(log), "p", "zzz").first()
     assert miss["watermark"] == "1900-01-01 00:00:00" and miss["initial_load_done"] is False
+
+
+def test_api_source_reads_landed_json(spark, work):
+    from sluice.sources.extract import read_source
+    cust = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    cust.write.json(work + "/api/customer")
+    df = read_source(spark, {"source_type": "API", "source_server": work + "/api",
+                             "source_table": "customer"}, csv_schema=cust.schema)
+    assert sorted(df.collect()) == sorted(cust.collect())
