@@ -381,5 +381,20 @@ def reprocess_batch(spark: SparkSession, landing: str, batch_id: str, spec: Tabl
     return staging.merge(read_raw(spark, raw_path), now, batch_id)
 
 
-__all__ = ["Control", "RunResult", "BatchRejected", "ingest_table", "ingest_all",
+__all__ = ["Control", "RunResult", "BatchRejected", "RowCountMismatch", "ingest_table", "ingest_all", "list_tables",
            "active_configs", "config_violations", "reprocess_batch", "exists", "read_rejects"]
+
+
+def list_tables(spark: SparkSession, lake_root: str, layer: str = "staging") -> DataFrame:
+    """The tables of a layer (``raw`` or ``staging``) as (schema, table) rows,
+    from the lake's folder listing (metadata only, no data read)."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{lake_root}/{layer}")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows = []
+    if fs.exists(root):
+        for sch in fs.listStatus(root):
+            if sch.isDirectory():
+                rows += [(sch.getPath().getName(), t.getPath().getName())
+                         for t in fs.listStatus(sch.getPath()) if t.isDirectory()]
+    return spark.createDataFrame(sorted(rows), "table_schema string, table_name string")

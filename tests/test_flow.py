@@ -241,3 +241,14 @@ def test_row_count_mismatch_fails_the_run(spark, work, monkeypatch):
     assert r.status == "FAILED" and "RowCountMismatch" in r.error
     assert ctl.errors().first()["error_type"] == "LOAD"
     assert ctl.watermarks().count() == 0 and r.staging_path is None
+
+
+def test_list_tables(spark, work):
+    from sluice.plans.flow import list_tables
+    src = work + "/src/po"
+    _src(spark, src)
+    ingest_table(spark, _cfg(src), control=Control(spark, work + "/control"), lake_root=work,
+                 now=NOW1)
+    assert [tuple(r) for r in list_tables(spark, work).collect()] == \
+        [("STAGING", "PURCHASE_ORDERS")]
+    assert list_tables(spark, work, "raw").count() == 1
