@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import piece_codec
 from .ann import nearest
+from .cotrain import classify
 from .decontam import find_contamination
+from .html_wrap import extract_pages
 from .jaccard import jaccard_components
+from .line_dedup import dedup_lines
+from .pyp_lm import score_texts
 from .shards import shard_rows
 from .token_count import count_tokens
 
@@ -22,10 +26,18 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_docs(spark, sf_dir), "doc_id", "text", tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = jaccard_components(_docs(spark, sf_dir), "doc_id", "text", width=3, percent=90)
     return out.withColumnRenamed("id", "doc_id")
@@ -40,6 +52,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_docs(spark, sf_dir).select("doc_id", "text"), "doc_id", "text").select(
+        "doc_id", "n_lines", "n_removed", "text")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     docs = _docs(spark, sf_dir).select(
@@ -67,6 +84,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (n_hit > 0).alias("contaminated"))
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_docs(spark, sf_dir), "doc_id", "text")
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op4_ngram_jaccard, op5_sentencepiece, op7_sharding, op8_nearest, op9_decontamination)}
+    op1_html_wrapper, op2_token_counts, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_line_dedup,
+    op7_sharding, op8_nearest, op9_decontamination, op10_pitman_yor)}
 ORACLE: dict[str, str] = {}
