@@ -2,20 +2,20 @@
 
 A uniform random permutation of all rows, dealt into shards whose sizes differ
 by one row at most.  Rows fall into blocks by a seeded hash of the whole row.
-The number of a block's rows that go to each target is a multivariate
-hypergeometric draw, exactly as a uniform permutation would give it.  Targets
-are cells: equal slices of the shards' slots, so no task ever holds a shard.
+The number of a block's rows that go to each shard is a multivariate
+hypergeometric draw, exactly as a uniform permutation would give it.
 
-The matrix (blocks x cells) is never built whole.  A binary tree over the blocks
-carries it: at a node, the cells' remaining rows are split between the node's
+The matrix (blocks x shards) is never built whole.  A binary tree over the blocks
+carries it: at a node, the shards' remaining rows are split between the node's
 two halves by one hypergeometric draw seeded with the node; a block walks from
 the root to its leaf and gets its row of the matrix.  All blocks that share a
 node draw the same split, so columns add up exactly.
 
 Then: rows are permuted within their block (order of a seeded hash), cut by the
-matrix row, exchanged by cell, and permuted again within the cell; a row's slot
-is its cell's first slot plus its place.  Only the blocks' row counts come to
-the driver (one number for ``block_rows`` rows).
+matrix row, exchanged, and permuted again within the shard: a second hash orders
+them, its range is cut into cells, and a row's slot is the rows of the cells
+before plus its place in the cell, so no task ever holds a shard.  Only row
+counts of blocks and cells come to the driver (one number for some thousand rows).
 
 Null values hash as values; repeated rows keep their own slots (they are
 interchangeable); an empty table gives no rows; columns named ``shard`` or
@@ -28,25 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .work import Work
+
 
 def _bounds(total: int, parts: int) -> np.ndarray:
     """First slot of each of ``parts`` near-equal slices, and the end."""
     return np.arange(parts + 1) * (total // parts) + np.minimum(np.arange(parts + 1), total % parts)
 
 
-def cell_plan(total: int, shards: int, cell_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shard, first slot in the shard, rows) of every cell."""
-    shard, first, rows = [], [], []
-    ends = _bounds(total, shards)
-    for s in range(shards):
-        n = int(ends[s + 1] - ends[s])
-        cut = _bounds(n, max(1, -(-n // cell_rows)))
-        shard += [s] * (len(cut) - 1)
-        first += cut[:-1].tolist()
-        rows += np.diff(cut).tolist()
-    return np.array(shard), np.array(first), np.array(rows)
-
-
 def _multi_hypergeometric(rng, left: np.ndarray, n: int) -> np.ndarray:
     """Of rows with ``left[i]`` of kind i, the kinds of ``n`` drawn ones."""
     out, rest = np.zeros_like(left), int(left.sum())
@@ -67,9 +56,9 @@ def _hypergeometric(rng, good: int, bad: int, n: int) -> int:
     return int(rng.hypergeometric(good, bad, n))
 
 
-def matrix_row(sizes: np.ndarray, cells: np.ndarray, block: int, seed: int) -> np.ndarray:
-    """Row ``block`` of the matrix: how many of its rows go to each cell."""
-    lo, hi, left = 0, len(sizes), cells.astype(np.int64)
+def matrix_row(sizes: np.ndarray, shards: np.ndarray, block: int, seed: int) -> np.ndarray:
+    """Row ``block`` of the matrix: how many of its rows go to each shard."""
+    lo, hi, left = 0, len(sizes), shards.astype(np.int64)
     while hi - lo > 1:
         mid = (lo + hi) // 2
         rng = np.random.default_rng([seed, lo, hi])
@@ -78,70 +67,76 @@ def matrix_row(sizes: np.ndarray, cells: np.ndarray, block: int, seed: int) -> n
     return left
 
 
-def _send(sizes, cells, seed):
+def _send(sizes, shards, seed):
     def run(batches):
         now, ends, at = None, None, 0
         for batch in batches:
             block = batch.column("_block").to_numpy()
-            cell = np.empty(len(block), np.int32)
+            shard = np.empty(len(block), np.int32)
             cut = np.flatnonzero(block[1:] != block[:-1]) + 1
             for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(block)]):
                 if hi <= lo:
                     continue
                 if block[lo] != now:
                     now, at = block[lo], 0
-                    ends = np.cumsum(matrix_row(sizes.value, cells, int(now), seed))
-                cell[lo:hi] = np.searchsorted(ends, np.arange(at, at + hi - lo), "right")
+                    ends = np.cumsum(matrix_row(sizes.value, shards, int(now), seed))
+                shard[lo:hi] = np.searchsorted(ends, np.arange(at, at + hi - lo), "right")
                 at += hi - lo
-            names = batch.schema.names
-            keep = [n for n in names if n != "_block"]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [pa.array(cell)],
-                                             keep + ["_cell"])
+            keep = [n for n in batch.schema.names if n != "_block"]
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [pa.array(shard)],
+                                             keep + ["shard"])
     return run
 
 
-def _place(shard, first):
+def _place(first):
+    """Slots of rows that come in the order of shard, cell and key."""
     def run(batches):
         now, at = None, 0
         for batch in batches:
-            cell = batch.column("_cell").to_numpy()
-            slot = np.empty(len(cell), np.int64)
-            cut = np.flatnonzero(cell[1:] != cell[:-1]) + 1
-            for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(cell)]):
+            pair = batch.column("shard").to_numpy().astype(np.int64) << 32 | batch.column("_cell").to_numpy()
+            slot = np.empty(len(pair), np.int64)
+            cut = np.flatnonzero(pair[1:] != pair[:-1]) + 1
+            for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(pair)]):
                 if hi <= lo:
                     continue
-                if cell[lo] != now:
-                    now, at = cell[lo], 0
-                slot[lo:hi] = first[now] + np.arange(at, at + hi - lo)
+                if pair[lo] != now:
+                    now, at = pair[lo], first.value[int(pair[lo])]
+                slot[lo:hi] = np.arange(at, at + hi - lo)
                 at += hi - lo
             keep = [n for n in batch.schema.names if n not in ("_cell", "_key")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in keep] + [pa.array(shard[cell].astype(np.int32)), pa.array(slot)],
-                keep + ["shard", "slot"])
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [pa.array(slot)], keep + ["slot"])
     return run
 
 
-def shard_rows(df: DataFrame, shards: int, seed: int = 0, block_rows: int = 1 << 14,
-               cell_rows: int = 1 << 14) -> DataFrame:
+def shard_rows(df: DataFrame, shards: int, seed: int = 0, block_rows: int = 1 << 12,
+               cell_rows: int = 1 << 12) -> DataFrame:
     """``df`` plus ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in a shard)."""
     spark = df.sparkSession
+    work = Work(spark, "shards")
     df = df.drop("shard", "slot")
     cols = [F.col(f"`{c}`") for c in df.columns]
-    keyed = df.withColumn("_key", F.xxhash64(F.lit(seed), *cols))
+    key = lambda n, *more: F.xxhash64(F.lit(seed + n), *more, *cols)
     total = df.count()
     blocks = max(1, -(-total // block_rows))
-    keyed = keyed.withColumn("_block", F.pmod(F.col("_key"), F.lit(blocks)).cast("int"))
+    keyed = df.withColumn("_block", F.pmod(key(0), F.lit(blocks)).cast("int"))
     sizes = np.zeros(blocks, np.int64)
     for r in keyed.groupBy("_block").count().collect():
         sizes[r["_block"]] = r["count"]
-    shard, first, rows = cell_plan(total, shards, cell_rows)
     counts = spark.sparkContext.broadcast(sizes)  # eight bytes for block_rows rows
-    base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    sep = ", " if base else ""
-    sent = (keyed.drop("_key").withColumn("_key", F.xxhash64(F.lit(seed + 1), *cols))
-            .repartition("_block").sortWithinPartitions("_block", "_key", *cols)
-            .mapInArrow(_send(counts, rows, seed),
-                        f"{base}{sep}_key long, _cell int"))
-    return (sent.withColumn("_key", F.xxhash64(F.lit(seed + 2), "_key", *cols))
-            .repartition("_cell").sortWithinPartitions("_cell", "_key", *cols)
-            .mapInArrow(_place(shard, first), f"{base}{sep}shard int, slot long"))
+    base = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)
+    sent = (keyed.withColumn("_key", key(1)).repartition("_block")
+            .sortWithinPartitions("_block", "_key", *cols)
+            .mapInArrow(_send(counts, np.diff(_bounds(total, shards)), seed), f"{base}_key long, shard int"))
+    cells = max(1, -(-total // (shards * cell_rows)))
+    # the cell is the upper end of the second key's range
+    sent = (sent.withColumn("_key", key(2, F.col("_key")))
+            .withColumn("_cell", F.expr(f"cast(shiftrightunsigned(_key, 32) * {cells} div 4294967296 as int)"))
+            .withColumn("_key", F.expr("shiftrightunsigned(_key, 1)")))
+    sent = work.keep(sent, "sent")
+    first, at, last = {}, 0, None
+    for r in sent.groupBy("shard", "_cell").count().orderBy("shard", "_cell").collect():
+        at = at if r["shard"] == last else 0
+        first[r["shard"] << 32 | r["_cell"]] = at
+        at, last = at + r["count"], r["shard"]
+    return (sent.repartition("shard", "_cell").sortWithinPartitions("shard", "_cell", "_key", *cols)
+            .mapInArrow(_place(spark.sparkContext.broadcast(first)), f"{base}shard int, slot long"))
