@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 VECTOR_BLOCK, QUERY_BLOCK = 1 << 15, 1 << 13
-QUERY_BITS = 8
+QUERY_BITS = 5
 SAMPLE_ROWS = 20_000
 ERROR = 4.0
 
@@ -53,6 +53,12 @@ class Codes:
         self.ones = on.sum(1).astype(np.int64)
         self.fit = np.abs(unit).sum(1) / np.sqrt(self.dim)  # <code, unit residual>
         self.along = vecs @ centre - centre @ centre
+        fit = np.maximum(self.fit, 1e-12)
+        self.gain = self.norm / fit / np.sqrt(self.dim)
+        self.lean = self.gain * (2 * self.ones - self.dim)
+        spread = np.sqrt(np.maximum(0, 1 - fit * fit)) / fit / np.sqrt(max(1, self.dim - 1))
+        self.doubt = ERROR * self.norm * spread
+        self.grain = self.norm * np.sqrt(self.dim) / 2 / fit
 
     def bounds(self, query: np.ndarray, centre: np.ndarray, rot: np.ndarray):
         """Estimated inner products of a query with the block, and their errors."""
@@ -65,16 +71,21 @@ class Codes:
         planes = np.zeros((QUERY_BITS, width), np.uint8)
         planes[:, :self.dim] = (level >> np.arange(QUERY_BITS)[:, None]) & 1
         planes = np.packbits(planes, axis=1).view(np.uint64)
-        hit = np.zeros(len(self.words), np.int64)
+        hit = np.zeros(len(self.words), np.int32)
         for j in range(QUERY_BITS):
-            hit += np.bitwise_count(self.words & planes[j]).sum(1, dtype=np.int64) << j
+            both = np.bitwise_count(self.words & planes[j])
+            hit += (both[:, 0] if both.shape[1] == 1 else both.sum(1, dtype=np.int32)) * np.int32(1 << j)
         total = int(level.sum())
         # <code, rounded query>: the code has +1 / -1 over sqrt(dim)
-        dot = (low * (2 * self.ones - self.dim) + step * (2 * hit - total)) / np.sqrt(self.dim)
-        fit = np.maximum(self.fit, 1e-12)
-        est = self.norm * dot / fit + self.along + float(query @ centre)
-        spread = np.sqrt(np.maximum(0, 1 - fit * fit)) / fit / np.sqrt(max(1, self.dim - 1))
-        err = self.norm * (ERROR * length * spread + step * np.sqrt(self.dim) / 2 / fit) + 1e-9
+        est = hit * (2.0 * step)
+        est -= step * total
+        est *= self.gain
+        est += low * self.lean
+        est += self.along
+        est += float(query @ centre)
+        err = self.doubt * length
+        err += self.grain * step
+        err += 1e-9
         return est, err
 
 

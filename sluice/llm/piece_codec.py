@@ -24,12 +24,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import textutil as tu
 
 SPACE = "▁"
-MEMO = 1_000_000
+MEMO = 400_000
 PAIRS = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -65,8 +66,10 @@ class Model:
             raise ValueError("two pieces have one key")
         self.pair_key = np.full(PAIRS, -1, np.int64)
         self.pair_ok = np.zeros(PAIRS, bool)
-        self.memo: dict[str, tuple] = {}
-        self.runs: dict[int, list[int]] = {}
+        self.code = [int(i).to_bytes(4, "little") for i in range(n)]
+        self.table = None
+        self.memo: dict[str, bytes] = {}  # units to their ids, four bytes each
+        self.runs: dict[int, bytes] = {}
 
     def _merge(self, s: str) -> tuple[list[str], tuple | None]:
         """Merges in the library's order, for the few strings of the vocabulary."""
@@ -124,7 +127,7 @@ class Model:
         return out
 
     def _hashes(self, words: list[str], m: int):
-        codes = np.array([[ord(c) for c in w] for w in words], np.uint64).reshape(len(words), m)
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), m).astype(np.uint64)
         h = np.zeros((m + 1, len(words)), np.uint64)
         for j in range(m):
             h[j + 1] = h[j] * _P + codes[:, j] + np.uint64(1)
@@ -133,7 +136,7 @@ class Model:
         sub[:, 0, m] = tu.mix64(h[m] + np.uint64(m))
         return (h, power), sub
 
-    def _solve(self, words: list[str], m: int) -> list[tuple]:
+    def _solve(self, words: list[str], m: int) -> list[bytes]:
         """Ids of words of m characters each."""
         (h, power), _ = self._hashes(words, m)
         n = len(words)
@@ -161,14 +164,15 @@ class Model:
                 rows = np.delete(rows, hit)
                 if not len(rows):
                     break
-        out = []
+        out, code = [], self.code
         last, back = last.T.tolist(), back.T.tolist()
         for ends, starts in zip(last, back):
             ids, at = [], m
             while at:
-                ids.append(ends[at])
+                ids.append(code[ends[at]])
                 at = starts[at]
-            out.append(tuple(ids[::-1]))
+            ids.reverse()
+            out.append(b"".join(ids))
         return out
 
     def _allowed(self, pair: np.ndarray) -> np.ndarray:
@@ -184,7 +188,7 @@ class Model:
             self.pair_ok[slot[new]] = got[inv]
         return ok
 
-    def _run(self, k: int) -> list[int]:
+    def _run(self, k: int) -> bytes:
         """Ids of k space marks that no word took: merged from the left."""
         if k not in self.runs:
             parts, at = [1] * k, 0
@@ -194,25 +198,26 @@ class Model:
                     at = max(0, at - 1)
                 else:
                     at += 1
-            self.runs[k] = [self.space_runs[p] for p in parts]
+            self.runs[k] = b"".join(self.code[self.space_runs[p]] for p in parts)
         return self.runs[k]
 
-    def _unit(self, unit: str, solved: dict[str, tuple]) -> tuple:
+    def _unit(self, unit: str, solved: dict[str, bytes]) -> bytes:
         """Ids of a unit: a character of no piece, a run of spaces, or a word."""
         word = unit.lstrip(SPACE)
         run = len(unit) - len(word)
         if not word:
-            return tuple(self._run(run))
+            return self._run(run)
         if word not in self.known and len(word) == 1:
-            return tuple(self.byte_id[b] for b in word.encode("utf-8"))
+            return b"".join(self.code[self.byte_id[b]] for b in word.encode("utf-8"))
         got = solved[unit[max(0, run - 1):]]
         if run < 2:
             return got
-        if got[0] == self.id_of[SPACE]:
-            return (*self._run(run), *got[1:])
-        return (*self._run(run - 1), *got)
+        if got[:4] == self.code[self.id_of[SPACE]]:
+            return self._run(run) + got[4:]
+        return self._run(run - 1) + got
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit numbers."""
         units = [self.units.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         seen = set(chain.from_iterable(units))
         need = seen - self.memo.keys()
@@ -222,7 +227,7 @@ class Model:
             if word and (len(word) > 1 or word in self.known):
                 w = SPACE + word if len(u) > len(word) else word
                 by_len.setdefault(len(w), set()).add(w)
-        solved: dict[str, tuple] = {}
+        solved: dict[str, bytes] = {}
         for m, ws in by_len.items():
             part = sorted(ws)
             step = max(1, (1 << 20) // m)
@@ -233,16 +238,21 @@ class Model:
         for u in need:
             self.memo[u] = self._unit(u, solved)
         get = self.memo.__getitem__
-        return [list(chain.from_iterable(map(get, u))) for u in units]
-
-    def decode(self, rows: list[list[int]]) -> list[str]:
-        table = getattr(self, "_table", None)
-        if table is None:
-            table = self._table = [
-                bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.control
-                else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(self.pieces)]
-        return [b"".join([table[i] for i in ids]).decode("utf-8", "replace")[1:] if ids else ""
-                for ids in rows]
+        return [b"".join(map(get, u)) for u in units]
+
+    def decode(self, ids: np.ndarray, offs: np.ndarray) -> list[str]:
+        """Texts of the rows ids[offs[i]:offs[i + 1]]."""
+        if self.table is None:
+            raw = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.control
+                   else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(self.pieces)]
+            size = np.array([len(r) for r in raw])
+            self.table = np.frombuffer(b"".join(raw), np.uint8), np.cumsum(size) - size, size
+        data, start, size = self.table
+        n = size[ids]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        text = data[np.arange(ends[-1]) - np.repeat(ends[:-1], n) + np.repeat(start[ids], n)].tobytes()
+        cut = ends[offs].tolist()
+        return [text[a + 1:b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
 
 
 _WORKER: dict[str, Model] = {}
@@ -269,8 +279,9 @@ def encode(docs: DataFrame, text_col: str, path: str, ids_col: str = "piece_ids"
         for batch in batches:
             for c in tu.chunks(batch, text_col, 4 << 20):
                 ids = m.encode([t or "" for t in c.column(text_col).to_pylist()])
-                yield pa.RecordBatch.from_arrays([c.column(n) for n in names]
-                                                 + [pa.array(ids, pa.list_(pa.int32()))], names + [ids_col])
+                ends = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                yield pa.RecordBatch.from_arrays([c.column(n) for n in names] + [ids], names + [ids_col])
     return docs.mapInArrow(run, f"{ddl}`{ids_col}` array<int>")
 
 
@@ -281,9 +292,12 @@ def decode(df: DataFrame, ids_col: str, path: str, text_col: str = "decoded") ->
     def run(batches):
         m = model(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                c = batch.slice(lo, 256)
-                texts = m.decode([i or [] for i in c.column(ids_col).to_pylist()])
+            for lo in range(0, batch.num_rows, 512):
+                c = batch.slice(lo, 512)
+                ids = c.column(ids_col)
+                n = np.nan_to_num(pc.list_value_length(ids).to_numpy(zero_copy_only=False)).astype(np.int64)
+                texts = m.decode(ids.flatten().to_numpy(zero_copy_only=False),
+                                 np.concatenate(([0], np.cumsum(n))))
                 yield pa.RecordBatch.from_arrays([c.column(n) for n in names]
                                                  + [pa.array(texts, pa.string())], names + [text_col])
     return df.mapInArrow(run, f"{ddl}`{text_col}` string")
