@@ -172,27 +172,27 @@ def _pairs_of(t, n, pos, comp, grp, sk, percent, k):
 
 
 def _propose(percent, k):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("held", pa.int64())])
 
     def flush(rows):
         if rows.num_rows < 2:
-            return [], False
+            return []
         get = lambda c: rows.column(c).combine_chunks().to_numpy(zero_copy_only=False)
         tok, own, other = get("token"), get("own"), get("other")
         n, pos, comp, node, grp = (get(c) for c in ("n", "pos", "comp", "node", "grp"))
         sk = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
         cut = np.flatnonzero((tok[1:] != tok[:-1]) | (own[1:] != own[:-1]) | (other[1:] != other[:-1])) + 1
-        out, held = [], False
+        out = []
         for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(n)]):
             if hi - lo < 2:
                 continue
             got, more = _pairs_of((own[lo], other[lo]), n[lo:hi], pos[lo:hi], comp[lo:hi],
                                   grp[lo:hi], sk[lo:hi], percent, k)
-            held |= more
+            token = int(tok[lo]) if more else None
             for i, j in got:
-                x, y = node[lo + i], node[lo + j]
-                out.append((min(x, y), max(x, y)))
-        return out, held
+                x, y = int(node[lo + i]), int(node[lo + j])
+                out.append((min(x, y), max(x, y), token))
+        return out
 
     def run(batches):
         rest = None
@@ -212,13 +212,10 @@ def _propose(percent, k):
             yield from emit(rest)
 
     def emit(rows):
-        got, held = flush(rows)
-        got = sorted(set(got))
+        got = list(dict.fromkeys(flush(rows)))
         if got:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in got], pa.int64()), pa.array([y for _, y in got], pa.int64()),
-                 pa.array([held] * len(got), pa.bool_())], schema=schema)
-    return run, "a long, b long, more boolean"
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*got)], schema=schema)
+    return run, "a long, b long, held long"
 
 
 def _segments(width, order, wanted):
@@ -299,9 +296,10 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, width: int =
                  .withColumn("own", F.least("grp", "cell")).withColumn("other", F.greatest("grp", "cell"))
                  .select("token", "own", "other", "n", "node", "pos", "comp", "grp", "sketch"))
         fn, schema = _propose(percent, k)
-        asked = (cells.repartition("token", "own", "other")
-                 .sortWithinPartitions("token", "own", "other", F.desc("n"), "node")
-                 .mapInArrow(fn, schema).groupBy("a", "b").agg(F.max("more").alias("more")))
+        raw = work.keep(cells.repartition("token", "own", "other")
+                        .sortWithinPartitions("token", "own", "other", F.desc("n"), "node")
+                        .mapInArrow(fn, schema), f"raw_{step}")
+        asked = raw.select("a", "b").distinct()
         if done is not None:
             asked = asked.join(done, ["a", "b"], "left_anti")
         asked = work.keep(asked, f"asked_{step}")
@@ -310,13 +308,16 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, width: int =
         fn, schema = _segments(width, order, wanted)
         seg = base.select("text").mapInArrow(fn, schema).dropDuplicates(["node", "frag"])
         seg = work.keep(seg, f"seg_{step}")
-        found = work.keep(_overlaps(asked.select("a", "b"), seg, nodes, percent), f"links_{step}")
+        found = work.keep(_overlaps(asked, seg, nodes, percent), f"links_{step}")
         work.drop(f"seg_{step}")
         links = found if links is None else links.unionAll(found)
-        done = asked.select("a", "b") if done is None else done.unionAll(asked.select("a", "b"))
+        done = asked if done is None else done.unionAll(asked)
         labels = work.keep(components(work, links), f"labels_{step}")
-        if not asked.filter("more").limit(1).count():
+        # only shingles whose bucket held a pair back need another round
+        held = raw.filter("held is not null").select(F.col("held").alias("token")).distinct()
+        if not held.limit(1).count():
             break
+        shared = work.keep(shared.join(held, "token", "left_semi"), f"shared_{step}")
         k, step = k * 8, step + 1
 
     named = nodes.select("node", "min_id").join(labels, "node", "left")
