@@ -146,26 +146,41 @@ def _take_spans(data: np.ndarray, lens: np.ndarray, pick: np.ndarray) -> np.ndar
     return data[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[pick], n)]
 
 
+def _merge_words(parts: list[dict]) -> dict:
+    h = np.concatenate([p["hash"] for p in parts])
+    uniq, first, inv = np.unique(h, return_index=True, return_inverse=True)
+    own = np.concatenate([p["c"] for p in parts])
+    c = np.stack([np.bincount(inv, own[:, k], len(uniq)) for k in range(KINDS)], 1).astype(np.int64)
+    lens = np.concatenate([p["len"] for p in parts])
+    spell = _take_spans(np.concatenate([p["spell"] for p in parts]), lens, first)
+    return {"hash": uniq, "c": c, "len": lens[first], "spell": spell}
+
+
 def _first_state(batches):
-    """Words of a shard with their counts from all chunks; one table per dish."""
-    state = {}
-    for b in batches:
-        for place, blob in zip(b.column("place").to_pylist(), b.column("blob").to_pylist()):
-            new = _unpack(blob)
-            old = state.get(place)
-            parts = [new] if old is None else [old, new]
-            h = np.concatenate([p["hash"] for p in parts])
-            uniq, first, inv = np.unique(h, return_index=True, return_inverse=True)
-            c = np.zeros((len(uniq), KINDS), np.int64)
-            np.add.at(c, inv, np.concatenate([p["c"] for p in parts]))
-            lens = np.concatenate([p["len"] for p in parts])
-            spell = _take_spans(np.concatenate([p["spell"] for p in parts]), lens, first)
-            state[place] = {"hash": uniq, "c": c, "len": lens[first], "spell": spell}
-    for place, s in state.items():
+    """Words of each shard (rows come in shard order) with their counts from all
+    chunks; one table per dish."""
+    now, parts, rows = None, [], 0
+
+    def done():
+        s = _merge_words(parts)
         t = (s["c"] > 0).astype(np.int32)
         blob = _pack(hash=s["hash"], c=s["c"].astype(np.int32), len=s["len"], spell=s["spell"], t=t,
                      up=(t.sum(1) > 0).astype(np.int32), mean=np.zeros((len(t), KINDS), np.float32))
-        yield _state_row(place, blob, _totals(s["c"], t, (t.sum(1) > 0)))
+        return _state_row(now, blob, _totals(s["c"], t, (t.sum(1) > 0)))
+    for b in batches:
+        for i in range(b.num_rows):
+            place = b.column("place")[i].as_py()
+            if place != now:
+                if parts:
+                    yield done()
+                now, parts, rows = place, [], 0
+            parts.append(_unpack(b.column("blob")[i].as_py()))
+            rows += len(parts[-1]["hash"])
+            if rows > 1_000_000 and len(parts) > 8:
+                parts = [_merge_words(parts)]
+                rows = 0
+    if parts:
+        yield done()
 
 
 _STATE = pa.schema([("place", pa.int64()), ("blob", pa.binary()), ("totals", pa.list_(pa.int64())),
@@ -286,8 +301,8 @@ def _sweep(glob, number, keep, seed):
     def run(batches):
         g, letters = glob.value
         for b in batches:
-            for place, blob in zip(b.column("place").to_pylist(), b.column("blob").to_pylist()):
-                s = _unpack(blob)
+            for i in range(b.num_rows):
+                place, s = b.column("place")[i].as_py(), _unpack(b.column("blob")[i].as_py())
                 rng = np.random.default_rng([seed, number, place])
                 spelled = letters.words(s["len"], s["spell"]) if letters.depths else np.zeros(len(s["hash"]))
                 base = (spelled + 1 / (g["V"] + 1)) / 2
@@ -314,7 +329,8 @@ def _answer(glob):
         g, letters = glob.value
         own, s, mean = None, None, None
         for b in batches:
-            for role, place, chunk, blob in zip(*(b.column(c).to_pylist() for c in _CHUNK.names)):
+            for i in range(b.num_rows):
+                role, place, chunk, blob = (b.column(c)[i].as_py() for c in _CHUNK.names)
                 q = _unpack(blob)
                 if role == -1:
                     own, s = place, q
@@ -335,7 +351,8 @@ def _score(total, distinct):
     def run(batches):
         now, parts = None, []
         for b in batches:
-            for role, place, blob in zip(*(b.column(c).to_pylist() for c in ("role", "place", "blob"))):
+            for i in range(b.num_rows):
+                role, place, blob = (b.column(c)[i].as_py() for c in ("role", "place", "blob"))
                 if place != now:
                     now, parts = place, []
                 if role == 0:
@@ -364,11 +381,11 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
     spark = docs.sparkSession
     work = Work(spark, "lm")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    shards = shards or max(12, base.rdd.getNumPartitions())
+    shards = shards or max(32, 4 * base.rdd.getNumPartitions())
     read = work.keep(base.mapInArrow(_read(shards), _CHUNK_DDL), "read")
     asked = read.filter("role = 0")
     state = work.keep(asked.select("place", "blob").repartition(shards, "place")
-                      .mapInArrow(_first_state, _STATE_DDL), "state_0")
+                      .sortWithinPartitions("place").mapInArrow(_first_state, _STATE_DDL), "state_0")
 
     def totals(df):
         rows = np.array([r.totals for r in df.select("totals").collect()], np.int64)
