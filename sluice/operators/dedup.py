@@ -12,6 +12,20 @@ def _order(df: DataFrame, c: str | Column, nulls_first: bool) -> Column:
     return col.desc_nulls_first() if nulls_first else col.desc_nulls_last()
 
 
+def _known(df: DataFrame, columns: Sequence[str | Column]) -> list[str | Column]:
+    """The order columns, names found as Spark finds them; an unknown name is an
+    error, only the optional ``_ingestion_timestamp`` may be absent."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = (lambda c: c) if sensitive else str.lower
+    names, out = {fold(c) for c in df.columns}, []
+    for c in columns:
+        if not isinstance(c, str) or fold(c) in names:
+            out.append(c)
+        elif c != "_ingestion_timestamp":
+            raise ValueError(f"unknown order column {c!r}; the table has {', '.join(df.columns)}")
+    return out
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_columns: Sequence[str | Column],
                    nulls_first: bool = True, tiebreak: bool = True) -> DataFrame:
     """Keep one row per key: the greatest by ``order_columns``, descending.
@@ -28,8 +42,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_columns: Sequence[s
     it is shuffled.
     """
     cols = [c for c in df.columns]
-    order = [_order(df, c, nulls_first) for c in order_columns if
-             (not isinstance(c, str)) or c in df.columns]
+    order = [_order(df, c, nulls_first) for c in _known(df, order_columns)]
     if tiebreak:
         order.append(F.xxhash64(*[F.col(c) for c in cols]).desc())
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def row_count_check(**counts: DataFrame | int) -> DataFrame:
@@ -12,11 +12,9 @@ def row_count_check(**counts: DataFrame | int) -> DataFrame:
     already observed during a write.  Returns one row per stage with the
     count and whether it equals the first stage's.
     """
-    spark = None
     parts = []
     for i, (stage, v) in enumerate(counts.items()):
         if isinstance(v, DataFrame):
-            spark = v.sparkSession
             parts.append(v.agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
                           .select(F.lit(i).alias("ordinal"), F.lit(stage).alias("stage"),
                                   "row_count"))
@@ -25,7 +23,7 @@ def row_count_check(**counts: DataFrame | int) -> DataFrame:
     dfs = [p for p in parts if isinstance(p, DataFrame)]
     lits = [p for p in parts if not isinstance(p, DataFrame)]
     if lits:
-        dfs.append(spark.createDataFrame(lits, "ordinal int, stage string, row_count bigint"))
+        dfs.append(SparkSession.active().createDataFrame(lits, "ordinal int, stage string, row_count bigint"))
     out = dfs[0]
     for d in dfs[1:]:
         out = out.unionByName(d)

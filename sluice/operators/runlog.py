@@ -97,6 +97,6 @@ def error_row(run_id: str, pipeline_name: str, source_table: str | None, error_t
     """One error-log row (resolution appended later as its own row)."""
     return {"error_id": f"{run_id}:{error_type}", "run_id": run_id,
             "pipeline_name": pipeline_name, "source_table": source_table,
-            "error_type": error_type, "error_message": message[:4000],
+            "error_type": error_type, "error_message": message,
             "error_details": message, "adf_activity_name": activity,
             "created_date": created, "is_resolved": False}

@@ -187,7 +187,7 @@ def q_land_and_reload(spark, sf_dir):
              run_id="run-1", load_type="FULL", now=NOW_DT)
     raw = read_raw(spark, raw_path)
     return raw.withColumn("_source_file",
-                          F.regexp_extract("_source_file", r"([^/]+\.parquet)/batch_id=", 1))
+                          F.regexp_extract("_source_file", r"([^/]+\.parquet)/_landing_batch=", 1))
 
 
 PART_TARGET = schema_of("P_PARTKEY bigint, P_NAME string, P_SIZE int, "

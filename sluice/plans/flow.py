@@ -229,7 +229,7 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                 raise RowCountMismatch(
                     f"{pname}: landed {landed.rows} rows, RAW holds {raw_res.rows_loaded} "
                     f"loaded + {raw_res.rows_rejected} rejected")
-            raw = read_raw(spark, raw_path)
+            raw = read_raw(spark, raw_path, raw_res.schema)
             if rules and c.get("dq_enabled", True):
                 raw = _apply_rules(spark, control, raw, rules, refs or {}, res, lake_root, now,
                                    spec)
@@ -275,7 +275,7 @@ def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec):
     from sluice.session import checkpoint_root
     checkpoint_root(spark)
     evaluated = Q.evaluate_rules(raw, rules, refs).checkpoint(eager=True)
-    qpath = f"{lake_root}/quarantine/{spec.name}/batch_id={res.run_id}"
+    qpath = f"{lake_root}/quarantine/{spec.name}/run_id={res.run_id}"
     summary = Q.dq_summary(evaluated, rules)
     rows = summary.collect()  # one row per rule: bounded by the rule count
     # K9 result rows from the collected summary: no second pass over the batch

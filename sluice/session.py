@@ -26,8 +26,7 @@ def get_session(master: str | None = None, app: str = "sluice",
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
-          .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
+          .config("spark.sql.session.timeZone", "UTC"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra_conf or {}).items():
@@ -40,14 +39,17 @@ def get_session(master: str | None = None, app: str = "sluice",
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder named in ``spark.checkpoint.dir``.
 
-    Read from the session; only where nothing is configured (a local test
-    run) a folder of our own is set, so ``checkpoint()`` always works.
+    Read from the session; only a local run without the setting gets a folder
+    of our own.  Executors of a cluster do not share such a folder, so there a
+    missing setting is an error.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="sluice-ckpt-")
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf

@@ -148,8 +148,9 @@ class StagingTable:
         return df if with_bucket else df.drop(BUCKET)
 
     def _write(self, merged: DataFrame, batch_id: str | None, now) -> dict:
-        bid = batch_id if batch_id is not None else F.col("_batch_id")
-        this_batch = F.col("_batch_id") == bid
+        # without a batch id, the rows of this merge are those it stamped
+        this_batch = (F.col("_batch_id") == batch_id if batch_id is not None
+                      else F.col("_cdc_timestamp") == F.lit(now).cast("timestamp"))
         obs = Observation(f"merge_{abs(hash((self.path, str(batch_id), str(now)))) % 10**9}")
         # The observation sits in the write's own (result) stage: a retried task
         # replaces its update, so the counts are exact under executor loss.

@@ -23,7 +23,7 @@ class LandResult:
 
 
 def land(df: DataFrame, path: str, batch_id: str, cdc_column: str | None = None) -> LandResult:
-    """K1: write the extract as snappy Parquet under ``path/batch_id=<id>``.
+    """K1: write the extract as snappy Parquet under ``path/_landing_batch=<id>``.
 
     A rerun of the same batch replaces its folder; other batches of the day
     stay (raw history is kept).  Rows copied and, when given, ``max(cdc)``
@@ -34,7 +34,7 @@ def land(df: DataFrame, path: str, batch_id: str, cdc_column: str | None = None)
         metrics.append(F.max(cdc_column).alias("max_cdc"))
     obs = Observation(f"land_{batch_id}_{abs(hash(path)) % 10**8}")
     (df.observe(obs, *metrics).write.mode("overwrite").option("compression", "snappy")
-       .parquet(f"{path}/batch_id={batch_id}"))
+       .parquet(f"{path}/_landing_batch={batch_id}"))
     got = obs.get
     return LandResult(path, int(got.get("rows", 0) or 0), got.get("max_cdc"))
 
@@ -44,6 +44,7 @@ class RawLoadResult:
     path: str
     rows_loaded: int
     rows_rejected: int
+    schema: T.StructType | None = None
 
 
 def load_raw(landed: DataFrame, target: T.StructType, path: str, *, pipeline_name: str,
@@ -53,8 +54,8 @@ def load_raw(landed: DataFrame, target: T.StructType, path: str, *, pipeline_nam
 
     One projection casts to the target types and lists failing columns;
     one write, partitioned by ``_rejected``, puts good rows and rejects in
-    place in a single scan.  The folder is overwritten (RAW holds the
-    current batch only).
+    place in a single scan.  The whole folder is overwritten, partitions
+    without rows in this batch included (RAW holds the current batch only).
     """
     keep = [f.name for f in target.fields]
     extra = [c for c in ("_source_file", "_is_deleted") if c in landed.columns
@@ -67,25 +68,36 @@ def load_raw(landed: DataFrame, target: T.StructType, path: str, *, pipeline_nam
     obs = Observation(f"raw_{batch_id}_{abs(hash(path)) % 10**8}")
     (stamped.observe(obs, F.count_if(~F.col("_rejected")).alias("good"),
                      F.count_if(F.col("_rejected")).alias("bad"))
-            .write.mode("overwrite").partitionBy("_rejected").parquet(path))
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("_rejected").parquet(path))
     got = obs.get
-    return RawLoadResult(path, int(got.get("good", 0) or 0), int(got.get("bad", 0) or 0))
+    return RawLoadResult(path, int(got.get("good", 0) or 0), int(got.get("bad", 0) or 0),
+                         stamped.schema)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """RAW rows that converted cleanly (partition ``_rejected=false`` only)."""
-    return (spark.read.option("basePath", path).parquet(f"{path}/_rejected=false")
-                 .drop("_rejected", BAD_COLUMNS))
+def _raw_part(spark: SparkSession, path: str, rejected: bool,
+              schema: T.StructType | None) -> DataFrame:
+    """Rows of one ``_rejected`` partition; none where the batch has none."""
+    from sluice.session import has_data
+    folder = f"{path}/_rejected={str(rejected).lower()}"
+    if has_data(spark, folder):
+        return spark.read.option("basePath", path).parquet(folder).drop("_rejected")
+    if schema is not None:
+        return spark.createDataFrame([], schema).drop("_rejected")
+    return spark.read.parquet(path).where(F.lit(False)).drop("_rejected")
+
+
+def read_raw(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """RAW rows that converted cleanly (partition ``_rejected=false`` only).
+
+    ``schema`` (of the load) is needed only where the batch may be empty.
+    """
+    return _raw_part(spark, path, False, schema).drop(BAD_COLUMNS)
 
 
-def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """K8: skipped incompatible rows with the list of failing columns."""
-    from sluice.session import exists
-    if not exists(spark, f"{path}/_rejected=true"):
-        # no rejects in this batch: the same columns, no rows
-        return spark.read.parquet(path).where(F.lit(False)).drop("_rejected")
-    return (spark.read.option("basePath", path).parquet(f"{path}/_rejected=true")
-                 .drop("_rejected"))
+    return _raw_part(spark, path, True, schema)
 
 
 def write_rejects(bad: DataFrame, path: str) -> None:

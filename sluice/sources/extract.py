@@ -179,16 +179,16 @@ def read_landing(spark: SparkSession, path: str, batch_id: str | None = None,
                  lower_case: bool = True) -> DataFrame:
     """Read landed Parquet back, with file lineage, names lower-cased.
 
-    The landing folder holds ``batch_id=`` subfolders; naming one prunes the
+    The landing folder holds ``_landing_batch=`` subfolders; naming one prunes the
     scan to that batch's files.
     """
     r = spark.read.option("basePath", path)
-    df = r.parquet(f"{path}/batch_id={batch_id}" if batch_id else path)
+    df = r.parquet(f"{path}/_landing_batch={batch_id}" if batch_id else path)
     df = with_source_file(df)
     if lower_case:
         df = df.toDF(*[c.lower() for c in df.columns])
-    if "batch_id" in df.columns:
-        df = df.drop("batch_id")
+    if "_landing_batch" in df.columns:
+        df = df.drop("_landing_batch")
     return df
 
 

@@ -34,10 +34,10 @@ def test_partial_window_group_limit_before_exchange(spark):
 
 
 def test_no_python_udf_in_any_query(spark):
-    import __spark_entry__ as entry
+    from sluice.plans import catalog
     skip = {"extract_csv", "land_and_reload", "row_count_check", "ingest_table", "ingest_all",
             "stream_landing", "stream_merge"}   # these write first; covered elsewhere
-    for name, q in entry.queries().items():
+    for name, q in catalog.QUERIES.items():
         if name in skip:
             continue
         p = _plan(q(spark, SF_SMALL))
@@ -46,7 +46,7 @@ def test_no_python_udf_in_any_query(spark):
 
 
 def test_merge_uses_one_join_exchange_per_side(spark):
-    import __spark_entry__ as entry
-    df = entry.queries()["merge_orders"](spark, SF_SMALL)
+    from sluice.plans import catalog
+    df = catalog.QUERIES["merge_orders"](spark, SF_SMALL)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in p or "ShuffledHashJoin" in p or "BroadcastHashJoin" in p
