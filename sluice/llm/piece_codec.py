@@ -64,6 +64,9 @@ class Model:
         self.keys, self.ids = keys[order], np.array(words, np.int64)[order]
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces have one key")
+        self.near = np.zeros(PAIRS, bool)  # slots that some piece's key falls in
+        self.near[(keys & np.uint64(PAIRS - 1)).astype(np.int64)] = True
+        self.edges: dict[tuple[int, int], list[int]] = {}
         self.pair_key = np.full(PAIRS, -1, np.int64)
         self.pair_ok = np.zeros(PAIRS, bool)
         self.code = [int(i).to_bytes(4, "little") for i in range(n)]
@@ -121,9 +124,12 @@ class Model:
         return self.score[a] < self.score[b]
 
     def _edge(self, i: int, side: int) -> list[int]:
-        out = [i]
-        while self.split.get(out[-1]):
-            out.append(self.split[out[-1]][side])
+        out = self.edges.get((i, side))
+        if out is None:
+            out = [i]
+            while self.split.get(out[-1]):
+                out.append(self.split[out[-1]][side])
+            self.edges[i, side] = out
         return out
 
     def _hashes(self, words: list[str], m: int):
@@ -147,15 +153,18 @@ class Model:
             for size in range(min(end, self.longest), 0, -1):
                 at = end - size
                 key = tu.mix64(h[end, rows] - h[at, rows] * power[size] + np.uint64(size))
-                k = np.searchsorted(self.keys, key)
-                k[k == len(self.keys)] = 0
-                hit = self.keys[k] == key
+                hit = self.near[(key & np.uint64(PAIRS - 1)).view(np.int64)]
                 if at:
                     hit &= last[at, rows] >= 0
                 hit = np.flatnonzero(hit)
                 if not len(hit):
                     continue
-                piece = self.ids[k[hit]]
+                k = np.searchsorted(self.keys, key[hit])
+                k[k == len(self.keys)] = 0
+                same = self.keys[k] == key[hit]
+                hit, piece = hit[same], self.ids[k[same]]
+                if not len(hit):
+                    continue
                 if at:
                     ok = self._allowed(last[at, rows[hit]] * len(self.pieces) + piece)
                     hit, piece = hit[ok], piece[ok]
@@ -164,16 +173,16 @@ class Model:
                 rows = np.delete(rows, hit)
                 if not len(rows):
                     break
-        out, code = [], self.code
-        last, back = last.T.tolist(), back.T.tolist()
-        for ends, starts in zip(last, back):
-            ids, at = [], m
-            while at:
-                ids.append(code[ends[at]])
-                at = starts[at]
-            ids.reverse()
-            out.append(b"".join(ids))
-        return out
+        # all words walk back together; a piece is kept in the column of its end
+        on = np.zeros((n, m), bool)
+        at, rows = np.full(n, m), np.arange(n)
+        while len(rows):
+            on[rows, at - 1] = True
+            at = back[at, rows]
+            rows, at = rows[at > 0], at[at > 0]
+        data = last[1:].T[on].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(on.sum(1))).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
     def _allowed(self, pair: np.ndarray) -> np.ndarray:
         """Which neighbours may stand, from a table of the pairs seen last."""
