@@ -17,8 +17,9 @@ with one and two customers.  After ``BURN`` sweeps, the predictive probabilities
 
 Work is split twice.  A chunk is a bounded piece of the documents; it keeps its
 documents as numbers of its own distinct words.  A shard holds the words of one hash
-range with their counts from all chunks.  Chunks ask shards for words, shards
-answer, both as packed columns in written tables.  The driver sees totals and the
+range with their counts from all chunks.  A chunk numbers its words shard by shard, so
+that questions are hashes with the kinds of context they occur in, and answers are
+the probabilities of just these, in the same order.  The driver sees totals and the
 letter restaurants (at most 257^3 dishes).
 
 Null and empty texts are one end token.  A null id counts as the id "" (held out,
@@ -78,6 +79,11 @@ def _kind_of(low: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return kind
 
 
+def _used(local: np.ndarray, kind: np.ndarray, words: int) -> np.ndarray:
+    """Which kinds of context each word of a chunk occurs in."""
+    return np.bincount(local * KINDS + kind, minlength=words * KINDS).reshape(-1, KINDS) > 0
+
+
 _CHUNK = pa.schema([("role", pa.int32()), ("place", pa.int64()), ("chunk", pa.int64()), ("blob", pa.binary())])
 _CHUNK_DDL = "role int, place long, chunk long, blob binary"
 
@@ -107,6 +113,14 @@ def _read(shards: int):
         uniq, first, local = np.unique(full, return_index=True, return_inverse=True)
         size = n + 1
         train = np.repeat(~held, size)
+        # words are numbered shard by shard: answers need no numbers
+        shard = (uniq >> np.uint64(33)).astype(np.int64) % shards
+        order = np.argsort(shard, kind="stable")
+        cut = np.searchsorted(shard[order], np.arange(shards + 1))
+        number = np.empty(len(uniq), np.int64)
+        number[order] = np.arange(len(uniq))
+        uniq, first, local = uniq[order], first[order], number[local]
+        used = np.packbits(_used(local, kind, len(uniq)), axis=1, bitorder="little")[:, 0]
         counts = np.bincount(local[train] * KINDS + kind[train], minlength=len(uniq) * KINDS)
         counts = counts.reshape(-1, KINDS).astype(np.int32)
         # spelling: position of the first occurrence among the words
@@ -117,16 +131,13 @@ def _read(shards: int):
         yield 1, chunk, chunk, _pack(local=local.astype(np.int32), kind=kind, size=size.astype(np.int32),
                                      held=held, id=np.array([0 if i is None else int(i) for i in ids], np.int64),
                                      none=np.array([i is None for i in ids], bool),
-                                     words=np.array([len(uniq)], np.int64))
-        shard = (uniq >> np.uint64(33)).astype(np.int64) % shards
-        order = np.argsort(shard, kind="stable")
-        cut = np.searchsorted(shard[order], np.arange(shards + 1))
+                                     cut=cut.astype(np.int32))
         for k in range(shards):
-            own = order[cut[k]:cut[k + 1]]
-            if len(own):
-                lens = we[own] - ws[own]
+            own = slice(cut[k], cut[k + 1])
+            lens = we[own] - ws[own]
+            if len(lens):
                 at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens) + np.repeat(ws[own], lens)
-                yield 0, k, chunk, _pack(hash=uniq[own], local=own.astype(np.int32), c=counts[own],
+                yield 0, k, chunk, _pack(hash=uniq[own], used=used[own], c=counts[own],
                                          len=lens.astype(np.int32), spell=low[at])
 
     def run(batches):
@@ -323,6 +334,14 @@ def _sweep(glob, number, keep, seed):
     return run
 
 
+def _questions(batches):
+    """A chunk's words of a shard as questions: hashes and the kinds asked for."""
+    for b in batches:
+        blobs = [_unpack(x.as_py()) for x in b.column("blob")]
+        blobs = pa.array([_pack(hash=q["hash"], used=q["used"]) for q in blobs], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in _CHUNK.names[:3]), blobs], schema=_CHUNK)
+
+
 def _answer(glob):
     """A shard's row comes first, then the chunks' questions."""
     def run(batches):
@@ -340,7 +359,8 @@ def _answer(glob):
                     total = s["c"].sum(1)
                     continue
                 k = np.searchsorted(s["hash"], q["hash"])
-                row = (0, chunk, chunk, _pack(local=q["local"], c=total[k].astype(np.int64), p=mean[k]))
+                used = np.unpackbits(q["used"][:, None], axis=1, count=KINDS, bitorder="little").astype(bool)
+                row = (0, chunk, own, _pack(c=total[k].astype(np.int64), p=mean[k][used]))
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _CHUNK.types)], schema=_CHUNK)
     return run
 
@@ -352,17 +372,20 @@ def _score(total, distinct):
         now, parts = None, []
         for b in batches:
             for i in range(b.num_rows):
-                role, place, blob = (b.column(c)[i].as_py() for c in ("role", "place", "blob"))
+                role, place, shard, blob = (b.column(c)[i].as_py() for c in _CHUNK.names)
                 if place != now:
                     now, parts = place, []
                 if role == 0:
-                    parts.append(blob)
+                    parts.append((shard, blob))
                     continue
                 d = _unpack(blob)
-                words = int(d["words"][0])
+                words = int(d["cut"][-1])
+                used = _used(d["local"].astype(np.int64), d["kind"], words)
                 c, p = np.zeros(words, np.int64), np.zeros((words, KINDS))
-                for a in map(_unpack, parts):
-                    c[a["local"]], p[a["local"]] = a["c"], a["p"]
+                for shard, blob in parts:
+                    a, own = _unpack(blob), slice(d["cut"][shard], d["cut"][shard + 1])
+                    c[own] = a["c"]
+                    p[own][used[own]] = a["p"]
                 base = np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
                 first = np.cumsum(d["size"]) - d["size"]
                 known = np.add.reduceat((c > 0).astype(np.int64)[d["local"]], first)
@@ -413,7 +436,7 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
     if not letters.depths:  # nothing to learn from
         letters = Letters.sample(rng, np.array([LAST], np.int64), np.array([0], np.int64), letters)
     both = (state.select(F.lit(-1).alias("role"), "place", F.lit(0).cast("long").alias("chunk"), "blob")
-            .unionAll(asked))
+            .unionAll(asked.mapInArrow(_questions, _CHUNK_DDL)))
     fn = _answer(spark.sparkContext.broadcast((g, letters)))
     answers = (both.repartition(shards, "place").sortWithinPartitions("place", "role", "chunk")
                .mapInArrow(fn, _CHUNK_DDL))
