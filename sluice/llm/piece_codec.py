@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from . import textutil as tu
 
 SPACE = "▁"
-MEMO = 400_000
+MEMO = 250_000
 PAIRS = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
-class Model:
-    """Pieces of a model file and what the lattice needs of them."""
+class Pieces:
+    """Pieces of a model file: all that decoding needs."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -46,7 +46,31 @@ class Model:
         self.byte_id = {int(self.pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.byte_of = {i: b for b, i in self.byte_id.items()}
         self.control = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i)}
-        normal = [i for i in range(n) if not (sp.is_byte(i) or i in self.control)]
+        self.table = None
+        self._prepare(sp, [i for i in range(n) if not (sp.is_byte(i) or i in self.control)])
+
+    def _prepare(self, sp, normal: list[int]) -> None:
+        """Nothing more to hold for decoding."""
+
+    def decode(self, ids: np.ndarray, offs: np.ndarray) -> list[str]:
+        """Texts of the rows ids[offs[i]:offs[i + 1]]."""
+        if self.table is None:
+            raw = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.control
+                   else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(self.pieces)]
+            size = np.array([len(r) for r in raw])
+            self.table = np.frombuffer(b"".join(raw), np.uint8), np.cumsum(size) - size, size
+        data, start, size = self.table
+        n = size[ids]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        text = data[np.arange(ends[-1]) - np.repeat(ends[:-1], n) + np.repeat(start[ids], n)].tobytes()
+        cut = ends[offs].tolist()
+        return [text[a + 1:b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
+
+
+class Model(Pieces):
+    """The pieces and what the lattice needs of them."""
+
+    def _prepare(self, sp, normal: list[int]) -> None:
         self.score = {i: sp.get_score(i) for i in normal}
         self.id_of = {self.pieces[i]: i for i in normal}
         self.space_runs = {len(s): i for s, i in self.id_of.items() if set(s) == {SPACE}}
@@ -69,8 +93,7 @@ class Model:
         self.edges: dict[tuple[int, int], list[int]] = {}
         self.pair_key = np.full(PAIRS, -1, np.int64)
         self.pair_ok = np.zeros(PAIRS, bool)
-        self.code = [int(i).to_bytes(4, "little") for i in range(n)]
-        self.table = None
+        self.code = [int(i).to_bytes(4, "little") for i in range(len(self.pieces))]
         self.memo: dict[str, bytes] = {}  # units to their ids, four bytes each
         self.runs: dict[int, bytes] = {}
 
@@ -249,29 +272,15 @@ class Model:
         get = self.memo.__getitem__
         return [b"".join(map(get, u)) for u in units]
 
-    def decode(self, ids: np.ndarray, offs: np.ndarray) -> list[str]:
-        """Texts of the rows ids[offs[i]:offs[i + 1]]."""
-        if self.table is None:
-            raw = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.control
-                   else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(self.pieces)]
-            size = np.array([len(r) for r in raw])
-            self.table = np.frombuffer(b"".join(raw), np.uint8), np.cumsum(size) - size, size
-        data, start, size = self.table
-        n = size[ids]
-        ends = np.concatenate(([0], np.cumsum(n)))
-        text = data[np.arange(ends[-1]) - np.repeat(ends[:-1], n) + np.repeat(start[ids], n)].tobytes()
-        cut = ends[offs].tolist()
-        return [text[a + 1:b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
 
+_WORKER: dict[tuple, Pieces] = {}
 
-_WORKER: dict[str, Model] = {}
 
-
-def model(path: str) -> Model:
+def model(path: str, kind: type = Model):
     """This process's model of a file, made once."""
-    if path not in _WORKER:
-        _WORKER[path] = Model(path)
-    return _WORKER[path]
+    if (path, kind) not in _WORKER:
+        _WORKER[path, kind] = kind(path)
+    return _WORKER[path, kind]
 
 
 def _schema_of(df: DataFrame, drop: set[str]) -> tuple[list[str], str]:
@@ -286,7 +295,7 @@ def encode(docs: DataFrame, text_col: str, path: str, ids_col: str = "piece_ids"
     def run(batches):
         m = model(path)
         for batch in batches:
-            for c in tu.chunks(batch, text_col, 4 << 20):
+            for c in tu.chunks(batch, text_col, 2 << 20):
                 ids = m.encode([t or "" for t in c.column(text_col).to_pylist()])
                 ends = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
@@ -299,7 +308,7 @@ def decode(df: DataFrame, ids_col: str, path: str, text_col: str = "decoded") ->
     names, ddl = _schema_of(df, {text_col})
 
     def run(batches):
-        m = model(path)
+        m = model(path, Pieces)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 c = batch.slice(lo, 512)
