@@ -88,15 +88,17 @@ def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     """64-bit hash of every word (polynomial over mixed bytes, then mixed)."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lens = ends - starts
-    powers = np.full(int(lens.max()), _BASE, np.uint64)
+    powers = np.full(int((ends - starts).max()), _BASE, np.uint64)
     powers[0] = 1
     powers = np.cumprod(powers, dtype=np.uint64)
-    cum = np.concatenate(([0], np.cumsum(lens)))
-    inner = np.arange(cum[-1]) - np.repeat(cum[:-1], lens)
-    at = inner + np.repeat(starts, lens)
-    h = np.add.reduceat(_BYTE_MIX[low[at]] * powers[inner], cum[:-1])
-    return mix64(h + lens.astype(np.uint64) * _LEN_MIX)
+    out = np.empty(len(starts), np.uint64)
+    for k in range(0, len(starts), 1 << 16):  # bounds the positions held at once
+        first, lens = starts[k:k + (1 << 16)], (ends - starts)[k:k + (1 << 16)]
+        cum = np.concatenate(([0], np.cumsum(lens)))
+        inner = np.arange(cum[-1]) - np.repeat(cum[:-1], lens)
+        h = np.add.reduceat(_BYTE_MIX[low[inner + np.repeat(first, lens)]] * powers[inner], cum[:-1])
+        out[k:k + (1 << 16)] = mix64(h + lens.astype(np.uint64) * _LEN_MIX)
+    return out
 
 
 def hashed_words(col: pa.Array, table: np.ndarray):
