@@ -405,9 +405,10 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
     work = Work(spark, "lm")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     shards = shards or max(32, 4 * base.rdd.getNumPartitions())
+    parts = 4 * shards  # few places share a partition, so a task's rows stay few megabytes
     read = work.keep(base.mapInArrow(_read(shards), _CHUNK_DDL), "read")
     asked = read.filter("role = 0")
-    state = work.keep(asked.select("place", "blob").repartition(shards, "place")
+    state = work.keep(asked.select("place", "blob").repartition(parts, "place")
                       .sortWithinPartitions("place").mapInArrow(_first_state, _STATE_DDL), "state_0")
 
     def totals(df):
@@ -438,10 +439,10 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
     both = (state.select(F.lit(-1).alias("role"), "place", F.lit(0).cast("long").alias("chunk"), "blob")
             .unionAll(asked.mapInArrow(_questions, _CHUNK_DDL)))
     fn = _answer(spark.sparkContext.broadcast((g, letters)))
-    answers = (both.repartition(shards, "place").sortWithinPartitions("place", "role", "chunk")
+    answers = (both.repartition(parts, "place").sortWithinPartitions("place", "role", "chunk")
                .mapInArrow(fn, _CHUNK_DDL))
     rows = answers.unionAll(read.filter("role = 1"))
-    return (rows.repartition(shards, "place").sortWithinPartitions("place", "role")
+    return (rows.repartition(parts, "place").sortWithinPartitions("place", "role")
             .mapInArrow(_score(tokens, words),
                         "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                         "base_score double, score double").withColumnRenamed("id", id_col))
