@@ -9,7 +9,7 @@ with DataFrame / Spark SQL operations so that Catalyst and AQE plan it.
 """
 
 from sluice.spec import TableSpec, BUSINESS_SPECS, spec_for
-from sluice.session import get_session, merge_planning, scratch_dir
+from sluice.session import get_session, scratch_dir
 
-__all__ = ["TableSpec", "BUSINESS_SPECS", "spec_for", "get_session", "merge_planning",
+__all__ = ["TableSpec", "BUSINESS_SPECS", "spec_for", "get_session",
            "scratch_dir"]

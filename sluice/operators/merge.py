@@ -49,13 +49,17 @@ def source_latest(raw: DataFrame, spec: TableSpec, batch_id: str | None = None)
     return latest_per_key(rows, spec.keys, list(spec.order_columns), nulls_first=True)
 
 
-def _merged_columns(spec: TableSpec, part: list[str], t_in: Column, s_in: Column,
-                    now_c: Column) -> list[Column]:
+def update_guard(spec: TableSpec) -> Column:
+    """M1's condition on a matched pair: newer, or the delete flag differs (NULL: no)."""
+    return F.coalesce(
+        (F.col("t__" + spec.updated_column) < F.col("s__" + spec.updated_column))
+        | (F.col("t___is_deleted") != F.col("s___is_deleted")), F.lit(False))
+
+
+def _merged_columns(spec: TableSpec, t_in: Column, s_in: Column, now_c: Column) -> list[Column]:
     """Per-column MERGE result over a joined row (``t__*`` / ``s__*`` columns)."""
-    business, keys = spec.column_names, list(spec.keys)
-    upd_guard = ((F.col("t__" + spec.updated_column) < F.col("s__" + spec.updated_column))
-                 | (F.col("t___is_deleted") != F.col("s___is_deleted")))
-    is_update = t_in & s_in & F.coalesce(upd_guard, F.lit(False))
+    keys = list(spec.keys)
+    is_update = t_in & s_in & update_guard(spec)
     is_insert = ~t_in
     changed = is_insert | is_update
 
@@ -63,8 +67,8 @@ def _merged_columns(spec: TableSpec, part: list[str], t_in: Column, s_in: Column
         return F.when(changed, when_changed).otherwise(otherwise).alias(name)
 
     out = []
-    for c in business + part:
-        if c in keys or c in part:
+    for c in spec.column_names:
+        if c in keys:
             out.append(F.when(t_in, F.col("t__" + c)).otherwise(F.col("s__" + c)).alias(c))
         elif c == spec.created_column:
             out.append(F.when(is_insert, F.col("s__" + c)).otherwise(F.col("t__" + c)).alias(c))
@@ -86,8 +90,8 @@ def _merged_columns(spec: TableSpec, part: list[str], t_in: Column, s_in: Column
     return out
 
 
-def _insert_columns(spec: TableSpec, part: list[str], now_c: Column) -> list[Column]:
-    return [*[F.col("s__" + c).alias(c) for c in spec.column_names + part],
+def _insert_columns(spec: TableSpec, now_c: Column) -> list[Column]:
+    return [*[F.col("s__" + c).alias(c) for c in spec.column_names],
             F.lit("INSERT").alias("_cdc_operation"), now_c.alias("_cdc_timestamp"),
             F.col("s___is_deleted").alias("_is_deleted"), F.lit(True).alias("_is_current"),
             F.col("s___pipeline_name").alias("_pipeline_name"),
@@ -95,85 +99,73 @@ def _insert_columns(spec: TableSpec, part: list[str], now_c: Column) -> list[Col
             now_c.alias("_created_at"), now_c.alias("_updated_at")]
 
 
+SOURCE_META = ("_pipeline_name", "_batch_id", "_run_id", "_is_deleted")
+
+
+def _source_side(src: DataFrame, spec: TableSpec) -> DataFrame:
+    return src.select(*[F.col(c).alias("s__" + c) for c in [*spec.column_names, *SOURCE_META]])
+
+
+def _target_side(target: DataFrame, spec: TableSpec) -> DataFrame:
+    return target.select(*[F.col(c).alias("t__" + c)
+                           for c in [*spec.column_names, *STAGING_META_COLUMNS]])
+
+
+def _instant(now: dt.datetime | Column) -> Column:
+    return now if isinstance(now, Column) else F.lit(now).cast(T.TimestampNTZType())
+
+
+def _staging_typed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in spec.columns],
+                     *[F.col(c).cast(STAGING_META_TYPES[c]).alias(c)
+                       for c in STAGING_META_COLUMNS])
+
+
+def _same_key(spec: TableSpec) -> list[Column]:
+    return [F.col("t__" + k) == F.col("s__" + k) for k in spec.keys]
+
+
+def insert_rows(src: DataFrame, spec: TableSpec, now: dt.datetime | Column) -> DataFrame:
+    """STAGING rows of batch rows whose key the target does not hold."""
+    return _staging_typed(_source_side(src, spec).select(*_insert_columns(spec, _instant(now))),
+                          spec)
+
+
+def update_rows(target: DataFrame, src: DataFrame, spec: TableSpec,
+                now: dt.datetime | Column) -> DataFrame:
+    """Every target row, changed where a batch row passes the guard; no inserts."""
+    s = _source_side(src, spec).withColumn("s__present", F.lit(True))
+    joined = _target_side(target, spec).join(s, _same_key(spec), "left_outer")
+    return _staging_typed(joined.select(*_merged_columns(
+        spec, F.lit(True), F.coalesce(F.col("s__present"), F.lit(False)), _instant(now))), spec)
+
+
 def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.datetime | Column,
-                 batch_id: str | None = None, dedupe: bool = True,
-                 partition_column: str | list[str] | None = None,
-                 broadcast_source: bool = False,
-                 insert_partitions: int | None = None) -> DataFrame:
+                 batch_id: str | None = None, dedupe: bool = True) -> DataFrame:
     """Return the table after merging ``raw`` (RAW rows) into ``target``.
 
     ``target`` has the STAGING layout (business columns + metadata); the
     result has the same columns in the same order.  ``now`` is the one
-    instant of the merge.  ``partition_column`` (a function of the key
-    present on both sides, e.g. a hash bucket) joins the equality and is
-    carried to the output, so inputs already partitioned by it need no
-    further exchange.
-
-    Two physical forms, same result:
-
-    * shuffle (default): one full outer join on the key; the W1 exchange of
-      the source is reused by the join, the target is shuffled once;
-    * ``broadcast_source=True`` -- only for a batch whose size the caller
-      has checked: ``target LEFT JOIN broadcast(batch)`` gives every
-      existing row (kept or updated) without moving the target, and the
-      inserts are the batch rows whose key no target row holds (a semi
-      join of the target's key column against the broadcast keys, then an
-      anti join of two batch-sized sides).
-
-    For the co-partitioned form run the action under
-    ``sluice.session.merge_planning`` (``StagingTable`` does), so sides
-    partitioned on ``partition_column`` count as co-partitioned.
+    instant of the merge.  One full outer join on the key: the W1 exchange
+    of the source is reused by the join, the target is shuffled once.
     """
-    now_c = now if isinstance(now, Column) else F.lit(now).cast(T.TimestampNTZType())
+    now_c = _instant(now)
     src = source_latest(raw, spec, batch_id) if dedupe else batch_rows(raw, batch_id)
-    business = spec.column_names
     keys = list(spec.keys)
-
-    part = ([partition_column] if isinstance(partition_column, str)
-            else list(partition_column or []))
-    src = src.select(*[F.col(c).alias("s__" + c) for c in business + part],
-                     *[F.col(c).alias("s__" + c) for c in
-                       ("_pipeline_name", "_batch_id", "_run_id", "_is_deleted")])
-    tgt = target.select(*[F.col(c).alias("t__" + c) for c in business + part],
-                        *[F.col(c).alias("t__" + c) for c in STAGING_META_COLUMNS])
-    cond = [F.col("t__" + k) == F.col("s__" + k) for k in part + keys]
+    src, tgt = _source_side(src, spec), _target_side(target, spec)
+    # NULL keys never compare equal: keep them out of the shuffle join.
     src_keyed = src.where(~_any_null(keys, "s__")).withColumn("s__present", F.lit(True))
-
-    if broadcast_source:
-        existing = (tgt.join(F.broadcast(src_keyed), on=cond, how="left_outer")
-                       .select(*_merged_columns(spec, part, F.lit(True),
-                                                F.coalesce(F.col("s__present"), F.lit(False)),
-                                                now_c)))
-        held = (tgt.select(*[F.col("t__" + k) for k in part + keys])
-                   .join(F.broadcast(src_keyed.select(*[F.col("s__" + k)
-                                                        for k in part + keys])),
-                         on=cond, how="left_semi"))
-        # NULL keys never match, so they stay in ``src`` and are inserted
-        inserted = (src.join(F.broadcast(held), on=[F.col("s__" + k) == F.col("t__" + k)
-                                                    for k in part + keys], how="left_anti")
-                       .select(*_insert_columns(spec, part, now_c)))
-        if insert_partitions and part:
-            # batch-sized: group the new rows by partition so each lands in one file
-            inserted = inserted.repartition(insert_partitions, *part)
-        result = existing.unionByName(inserted)
-    else:
-        # NULL keys never compare equal: keep them out of the shuffle join.
-        tgt_nullkey = tgt.where(_any_null(keys, "t__"))
-        tgt_keyed = tgt.where(~_any_null(keys, "t__")).withColumn("t__present", F.lit(True))
-        src_nullkey = src.where(_any_null(keys, "s__"))
-        joined = tgt_keyed.join(src_keyed, on=cond, how="full_outer")
-        merged = joined.select(*_merged_columns(
-            spec, part, F.coalesce(F.col("t__present"), F.lit(False)),
-            F.coalesce(F.col("s__present"), F.lit(False)), now_c))
-        # Rows that cannot match: target rows kept as they are, source rows inserted.
-        kept = tgt_nullkey.select(*[F.col("t__" + c).alias(c) for c in business + part],
-                                  *[F.col("t__" + c).alias(c) for c in STAGING_META_COLUMNS])
-        inserted = src_nullkey.select(*_insert_columns(spec, part, now_c))
-        result = merged.unionByName(kept).unionByName(inserted)
-    return result.select(*[F.col(c).cast(t).alias(c) for c, t in spec.columns],
-                         *[F.col(c).cast(STAGING_META_TYPES[c]).alias(c)
-                           for c in STAGING_META_COLUMNS],
-                         *[F.col(c) for c in part])
+    tgt_keyed = tgt.where(~_any_null(keys, "t__")).withColumn("t__present", F.lit(True))
+    joined = tgt_keyed.join(src_keyed, _same_key(spec), "full_outer")
+    merged = joined.select(*_merged_columns(
+        spec, F.coalesce(F.col("t__present"), F.lit(False)),
+        F.coalesce(F.col("s__present"), F.lit(False)), now_c))
+    # Rows that cannot match: target rows kept as they are, source rows inserted.
+    kept = (tgt.where(_any_null(keys, "t__"))
+               .select(*[F.col("t__" + c).alias(c)
+                         for c in [*spec.column_names, *STAGING_META_COLUMNS]]))
+    inserted = src.where(_any_null(keys, "s__")).select(*_insert_columns(spec, now_c))
+    return _staging_typed(merged.unionByName(kept).unionByName(inserted), spec)
 
 
 def merge_counts(staging: DataFrame, batch_id: str | Column | None = None) -> DataFrame:
@@ -185,7 +177,7 @@ def merge_counts(staging: DataFrame, batch_id: str | Column | None = None) -> Da
 
 
 def merge_message(table: str, counts: DataFrame) -> DataFrame:
-    """M9: ``MERGE_<TABLE> COMPLETE | INSERTED: n | UPDATED: m``."""
+    """M9: ``MERGE_<TABLE> COMPLETE | INSERTED: n | UPDATED: m`` (fixed text)."""
     return counts.withColumn(
         "result_msg",
         F.concat(F.lit(f"MERGE_{table.upper()} COMPLETE | INSERTED: "),

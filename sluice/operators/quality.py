@@ -17,7 +17,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sluice.spec import RULE_DEFAULTS
+from sluice.spec import RULE_ACTIONS, RULE_DEFAULTS, RULE_TYPES, SEVERITIES
 
 FAILED = "_dq_failed"
 FLAGS = "_dq_flags"
@@ -55,7 +55,12 @@ class Rule:
 
 
 def rules_from_table(rules_df: DataFrame, pipeline_name: str) -> list[Rule]:
-    """Q8: active rules of one pipeline in ``rule_order`` (control rows only)."""
+    """Q8: active rules of one pipeline in ``rule_order`` (control rows only).
+
+    A row with an unknown rule type, action or severity, or one of two rows of
+    the same rule name, is refused (V1, V3): a rule that matches no branch
+    would let bad rows load without a word.
+    """
     names = {f.name for f in dc_fields(Rule)}
     rows = (rules_df.where((F.col("pipeline_name") == pipeline_name)
                            & F.coalesce(F.col("is_active"), F.lit(True)))
@@ -66,6 +71,14 @@ def rules_from_table(rules_df: DataFrame, pipeline_name: str) -> list[Rule]:
         for k, v in RULE_DEFAULTS.items():
             d.setdefault(k, v)
         out.append(Rule(**d))
+    for r in out:
+        for what, value, allowed in (("rule_type", r.rule_type, RULE_TYPES),
+                                     ("action_on_failure", r.action_on_failure, RULE_ACTIONS),
+                                     ("severity", r.severity, SEVERITIES)):
+            if (value or "").upper() not in allowed:
+                raise ValueError(f"rule {r.rule_name}: {what} {value!r} is not one of {allowed}")
+    if len({r.rule_name for r in out}) < len(out):
+        raise ValueError(f"{pipeline_name}: two active rules share a name")
     return out
 
 
@@ -195,27 +208,32 @@ def dq_summary(evaluated: DataFrame, rules: list[Rule]) -> DataFrame:
         F.col("__rows_failed").cast("bigint").alias("rows_failed_dq"))
 
 
-def _failed_with_action(rules: list[Rule], action: str) -> Column:
-    names = [r.rule_name for r in rules
-             if (r.action_on_failure or "QUARANTINE").upper() == action
-             and r.rule_type.upper() != "THRESHOLD"]
-    if not names:
-        return F.array().cast("array<string>")
-    return F.array_intersect(F.col(FAILED), F.array(*[F.lit(n) for n in names]))
+def _failed_with_action(rules: list[Rule], action: str, breached=()) -> Column:
+    """Names of the failed rules of one action.  A THRESHOLD rule counts only if the
+    batch breached it (``breached``); then the rows that miss its condition fail it."""
+    mine = [r for r in rules if (r.action_on_failure or "QUARANTINE").upper() == action]
+    table = [r for r in mine if r.rule_type.upper() == "THRESHOLD"]
+    names = [r.rule_name for r in mine if r not in table]
+    out = (F.array_intersect(F.col(FAILED), F.array(*[F.lit(n) for n in names])) if names
+           else F.array().cast("array<string>"))
+    late = [F.when(~F.col(r.pass_column), F.lit(r.rule_name)) for r in table
+            if r.rule_name in breached]
+    return F.concat(out, F.array_compact(F.array(*late))) if late else out
 
 
-def quarantined(evaluated: DataFrame, rules: list[Rule]) -> DataFrame:
+def quarantined(evaluated: DataFrame, rules: list[Rule], breached=()) -> DataFrame:
     """Q9 QUARANTINE: rows diverted because a QUARANTINE rule failed."""
-    return evaluated.where(F.size(_failed_with_action(rules, "QUARANTINE")) > 0)
+    return evaluated.where(F.size(_failed_with_action(rules, "QUARANTINE", breached)) > 0)
 
 
-def loadable(evaluated: DataFrame, rules: list[Rule]) -> DataFrame:
+def loadable(evaluated: DataFrame, rules: list[Rule], breached=()) -> DataFrame:
     """Q9: rows that load: not quarantined; FLAG failures listed in ``_dq_flags``.
 
-    WARN failures load unchanged (their result row says WARN).
+    WARN failures load unchanged (their result row says WARN).  ``breached``
+    names the THRESHOLD rules whose pass rate the batch missed.
     """
-    return (evaluated.where(F.size(_failed_with_action(rules, "QUARANTINE")) == 0)
-                     .withColumn(FLAGS, _failed_with_action(rules, "FLAG")))
+    return (evaluated.where(F.size(_failed_with_action(rules, "QUARANTINE", breached)) == 0)
+                     .withColumn(FLAGS, _failed_with_action(rules, "FLAG", breached)))
 
 
 def batch_verdict(summary: DataFrame) -> DataFrame:

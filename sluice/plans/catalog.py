@@ -30,7 +30,7 @@ from sluice.plans.standins import (BATCH1, EVENTS_SPEC, LINEITEM_SPEC, NOW, STAN
                                    merge_oracle_sql, raw_rows_sql, raw_sql, staging_sql,
                                    target_sql)
 from sluice.session import scratch_dir
-from sluice.sinks.staging import StagingTable
+from sluice.sinks.staging import StagingTable, read_staging
 from sluice.sinks.write import land, load_raw, read_raw, read_rejects
 from sluice.sources.extract import (extract, landing_path, read_landing, read_source,
                                     replay, with_source_file)
@@ -843,7 +843,7 @@ def q_ingest_table(spark, sf_dir):
     for r in (r1, r2):
         if r.status not in ("SUCCESS", "PARTIAL", "SKIPPED"):
             raise RuntimeError(f"ingest run failed: {r.error}")
-    return spark.read.parquet(r1.staging_path).drop("_bucket")
+    return read_staging(spark, r1.staging_path)
 
 
 @register("ingest_all", """
@@ -932,7 +932,7 @@ def q_stream_merge(spark, sf_dir):
     work = scratch_dir(spark, "stream_merge")
     landing, ckpt = work + "/landing", work + "/ckpt"
     ev, drop1, drop2 = _drops(spark, sf_dir, landing)
-    table = StagingTable(spark, work + "/staging/EVENTS", EVENTS_SPEC, buckets=16)
+    table = StagingTable(spark, work + "/staging/EVENTS", EVENTS_SPEC)
 
     def merge_batch(batch_df, epoch_id):
         now = NOW_DT + dt.timedelta(days=int(epoch_id))
@@ -1014,7 +1014,7 @@ def q_ingest_quality(spark, sf_dir):
                      refs={"supplier": _table(spark, sf_dir, "supplier")})
     if r.status not in ("SUCCESS", "PARTIAL"):
         raise RuntimeError(f"ingest run failed: {r.error}")
-    staging_rows = spark.read.parquet(r.staging_path).agg(F.count(F.lit(1))).scalar()
+    staging_rows = read_staging(spark, r.staging_path).agg(F.count(F.lit(1))).scalar()
     rule_results = control.dq_results().agg(F.count(F.lit(1))).scalar()
     return control.runs().select("pipeline_name", "status", "rows_extracted", "rows_loaded",
                                  "rows_passed_dq", "rows_failed_dq",
@@ -1022,6 +1022,30 @@ def q_ingest_quality(spark, sf_dir):
                                  rule_results.alias("rule_results"))
 
 
+@register("ingest_quality_rows", f"""
+WITH src AS ({_quality_source_sql(DUCK)}),
+dups AS (SELECT l_orderkey AS dk, l_linenumber AS dl FROM src
+         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+SELECT DISTINCT s.l_orderkey, s.l_linenumber,
+       CASE WHEN d.dk IS NULL THEN '' ELSE 'lq_line_unique' END AS dq_flags
+FROM src s LEFT JOIN dups d ON s.l_orderkey = d.dk AND s.l_linenumber = d.dl
+WHERE s.l_returnflag IS NOT NULL
+  AND (s.l_linestatus IS NULL OR regexp_matches(s.l_linestatus, '^[OF]$'))""")
+def q_ingest_quality_rows(spark, sf_dir):
+    """The STAGING rows themselves, with the FLAG rules each row failed."""
+    work = scratch_dir(spark, "ingest_quality_rows")
+    src = _source_system(spark, sf_dir, work, {"lineitem": _quality_source_sql})
+    r = ingest_table(spark, _flow_cfg("pl_lineitem", "lineitem", "STG_LINEITEM", src, "FULL"),
+                     control=Control(spark, work + "/control"), lake_root=work, now=FLOW_NOW1,
+                     specs={"LINEITEM": LINEITEM_SPEC},
+                     rules=Q.rules_from_table(_quality_rules_df(spark), "pl_lineitem"),
+                     refs={"supplier": _table(spark, sf_dir, "supplier")})
+    if r.status not in ("SUCCESS", "PARTIAL"):
+        raise RuntimeError(f"ingest run failed: {r.error}")
+    return read_staging(spark, r.staging_path).select(
+        "l_orderkey", "l_linenumber", F.array_join(Q.FLAGS, ",").alias("dq_flags"))
+
+
 # ---------------------------------------------------------------------------
 # Replay a landed batch (no new extract); the merge leaves STAGING as it was
 # ---------------------------------------------------------------------------
@@ -1079,18 +1103,25 @@ def q_raw_rejects(spark, sf_dir):
 T0_DT = dt.datetime(2024, 12, 31)
 
 
-def _staging_merge(spark, sf_dir, key: str, broadcast_bytes: int | None) -> DataFrame:
+def _staging_merge(spark, sf_dir, key: str, join_hint: str | None = None,
+                   again: bool = False) -> DataFrame:
     si = STANDINS[key]
     work = scratch_dir(spark, f"staging_{key}")
-    kw = {} if broadcast_bytes is None else {"broadcast_bytes": broadcast_bytes}
-    table = StagingTable(spark, work + "/staging", si.spec, **kw)
+    table = StagingTable(spark, work + "/staging", si.spec, join_hint=join_hint)
     table.merge(_sql(spark, sf_dir, lambda d: initial_raw_sql(si, d)), T0_DT,
                 "BATCH-20241231-000000")
     table.merge(_sql(spark, sf_dir, lambda d: raw_sql(si, d)), NOW_DT, BATCH1)
+    if again:   # the same batch at a later time: nothing to write
+        got = table.merge(_sql(spark, sf_dir, lambda d: raw_sql(si, d)),
+                          NOW_DT + dt.timedelta(days=1), BATCH1)
+        if got["rows_written"] or got["rows_changed"]:
+            raise RuntimeError(f"a repeated batch changed the table: {got}")
     return table.read()
 
 
 register("merge_staging_shipments", merge_oracle_sql(STANDINS["shipments"], DUCK))(
-    lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments", None))
+    lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments"))
 register("merge_staging_shuffle", merge_oracle_sql(STANDINS["shipments"], DUCK))(
-    lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments", 0))
+    lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments", "merge"))
+register("merge_staging_replay", merge_oracle_sql(STANDINS["shipments"], DUCK))(
+    lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments", again=True))

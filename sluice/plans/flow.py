@@ -21,16 +21,16 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sluice.functions.scalar import batch_id as make_batch_id
 from sluice.operators import quality as Q
 from sluice.operators.runlog import (error_row, errors_current, failed_since, open_errors,
                                      resolution_row, run_log_current)
 from sluice.operators.watermark import watermark_current, watermark_lookup
-from sluice.session import exists
+from sluice.session import delete, exists
 from sluice.sinks.staging import StagingTable
 from sluice.sinks.write import (append_log, compact_log, land, load_raw, read_log, read_raw,
                                 read_rejects)
@@ -172,8 +172,8 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                  rules: list[Q.Rule] | None = None,
                  refs: dict[str, DataFrame] | None = None,
                  clock: Callable[[], dt.datetime] | None = None,
-                 watermark_mode: str = "data", buckets: int | None = None,
-                 broadcast_bytes: int = 256 * 1024 ** 2,
+                 watermark_mode: str = "data", cluster_by: tuple[str, ...] = (),
+                 lookback: dt.timedelta | None = None,
                  source_reader: Callable[[SparkSession, dict], DataFrame] | None = None
                  ) -> RunResult:
     """Ingest one configured table.  See the module docstring for the steps.
@@ -181,8 +181,10 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
     ``now`` is the run's one instant (batch id, landing path, audit and
     merge timestamps); ``clock`` stamps the run-log events (defaults to
     ``now``).  ``watermark_mode='data'`` stores ``max(cdc_column)`` of the
-    extract; ``'clock'`` stores ``now`` as the reference does.
+    extract; ``'clock'`` stores ``now`` as the reference does.  ``lookback``
+    (X4) reads that much before the watermark again, for late rows.
     """
+    rules_tmp = None
     c = _cfg(cfg)
     clock = clock or (lambda: now)
     batch_id = batch_id or make_batch_id(now)
@@ -231,13 +233,13 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                     f"loaded + {raw_res.rows_rejected} rejected")
             raw = read_raw(spark, raw_path, raw_res.schema)
             if rules and c.get("dq_enabled", True):
-                raw = _apply_rules(spark, control, raw, rules, refs or {}, res, lake_root, now,
-                                   spec)
+                rules_tmp = f"{lake_root}/work/rules-{run_id}"
+                raw, spec = _apply_rules(spark, control, raw, rules, refs or {}, res, lake_root,
+                                         now, spec, rules_tmp)
             res.rows_loaded = raw_res.rows_loaded - res.rows_quarantined
-            # M1 + K4: copy-on-write merge of the touched buckets.
+            # M1 + K4: rewrite the files that hold a changed row, append inserts.
             stg_path = f"{lake_root}/staging/{c.get('sink_schema') or 'STAGING'}/{spec.name}"
-            counts = StagingTable(spark, stg_path, spec, buckets,
-                                  broadcast_bytes=broadcast_bytes).merge(raw, now, batch_id)
+            counts = StagingTable(spark, stg_path, spec, cluster_by).merge(raw, now, batch_id)
             res.rows_inserted, res.rows_updated = counts["rows_inserted"], counts["rows_updated"]
             res.staging_path = stg_path
             # K7: advance the watermark only after the merge committed.
@@ -256,6 +258,9 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
         res.rows_extracted = res.rows_loaded = 0
         control.error(error_row(run_id, pname, stable, _error_type(exc), res.error, clock(),
                                 "ingest_table"))
+    finally:
+        if rules_tmp:
+            delete(spark, rules_tmp)
     control.event(event="END", run_id=run_id, pipeline_name=pname, source_table=stable,
                   event_time=clock(), status=res.status, rows_extracted=res.rows_extracted,
                   rows_passed_dq=res.extra.get("rows_passed_dq"),
@@ -265,16 +270,16 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
     return res
 
 
-def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec):
-    """Q9: evaluate once; REJECT refuses the batch; QUARANTINE diverts rows.
+def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec, tmp):
+    """Q9: evaluate once; REJECT refuses the batch; QUARANTINE diverts rows; FLAG
+    lists the failed rules in the column ``_dq_flags``, which the table then has.
 
-    The evaluated batch feeds the summary, the quarantine write and the
-    merge; it is checkpointed once (shared checkpoint folder) so the rule
-    joins run once and a lost executor does not re-run them.
+    The evaluated batch feeds the summary, the quarantine write and the merge;
+    it is written once as Parquet (the caller deletes it after the merge), so
+    the rule joins run once, also when an executor is lost.
     """
-    from sluice.session import checkpoint_root
-    checkpoint_root(spark)
-    evaluated = Q.evaluate_rules(raw, rules, refs).checkpoint(eager=True)
+    Q.evaluate_rules(raw, rules, refs).write.parquet(tmp)
+    evaluated = spark.read.parquet(tmp)
     qpath = f"{lake_root}/quarantine/{spec.name}/run_id={res.run_id}"
     summary = Q.dq_summary(evaluated, rules)
     rows = summary.collect()  # one row per rule: bounded by the rule count
@@ -288,12 +293,17 @@ def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec):
         res.extra["rows_failed_dq"] = rows[0]["rows_failed_dq"]
     if any(r["action_taken"] == "REJECT" for r in rows):
         raise BatchRejected(f"{res.pipeline_name}: batch refused by a REJECT rule")
+    breached = [r["rule_name"] for r in rows
+                if r["rule_type"] == "THRESHOLD" and r["action_taken"] != "NONE"]
     obs = Observation(f"quarantine_{res.run_id}")
-    Q.quarantined(evaluated, rules).observe(obs, F.count(F.lit(1)).alias("n")) \
+    Q.quarantined(evaluated, rules, breached).observe(obs, F.count(F.lit(1)).alias("n")) \
         .write.mode("overwrite").parquet(qpath)
     res.rows_quarantined = int(obs.get.get("n") or 0)
-    keep = Q.loadable(evaluated, rules)
-    return keep.select(*raw.columns)
+    keep = Q.loadable(evaluated, rules, breached)
+    if any((r.action_on_failure or "").upper() == "FLAG" for r in rules):
+        flags = ((Q.FLAGS, T.ArrayType(T.StringType())),)
+        return keep.select(*raw.columns, Q.FLAGS), replace(spec, columns=spec.columns + flags)
+    return keep.select(*raw.columns), spec
 
 
 def config_violations(config: DataFrame) -> DataFrame:

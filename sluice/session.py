@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-import threading
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -90,40 +88,11 @@ def has_data(spark: SparkSession, path: str) -> bool:
                for n in (s.getPath().getName() for s in fs.listStatus(p)))
 
 
-__all__ = ["get_session", "checkpoint_root", "scratch_dir", "local_path", "exists",
-           "has_data", "merge_planning", "MERGE_CONFS"]
-
-
-# Session settings a merge is planned with (restored afterwards).
-MERGE_CONFS = {
-    # Let sides hash-partitioned on (bucket, split) count as co-partitioned for
-    # a join on (bucket, split, key): no second exchange of the target.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
-}
-_MC_LOCK = threading.Lock()
-_MC_STATE = {"depth": 0, "saved": {}}
-
-
-@contextmanager
-def merge_planning(spark: SparkSession):
-    """Plan and run a MERGE with ``MERGE_CONFS``; nested and concurrent merges
-    of one session share one switch, the last one out restores the settings."""
-    with _MC_LOCK:
-        if _MC_STATE["depth"] == 0:
-            _MC_STATE["saved"] = {k: spark.conf.get(k, None) for k in MERGE_CONFS}
-            for k, v in MERGE_CONFS.items():
-                spark.conf.set(k, v)
-        _MC_STATE["depth"] += 1
-    try:
-        yield
-    finally:
-        with _MC_LOCK:
-            _MC_STATE["depth"] -= 1
-            if _MC_STATE["depth"] == 0:
-                for k, v in _MC_STATE["saved"].items():
-                    if v is None:
-                        spark.conf.unset(k)
-                    else:
-                        spark.conf.set(k, v)
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own temporary output, on any store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+__all__ = ["get_session", "checkpoint_root", "scratch_dir", "local_path", "exists",
+           "has_data", "delete"]

@@ -1,264 +1,284 @@
-"""K4: the STAGING table as bucket-partitioned Parquet, merged copy-on-write.
-
-Built-in Parquet tables have no row-level MERGE, so a merge rewrites
-files.  The table is partitioned by ``_bucket = pmod(xxhash64(keys), N)``:
-
-* only buckets that the batch touches are read (partition pruning on a
-  bounded list of at most N bucket ids) and rewritten (dynamic partition
-  overwrite), so a batch of changes clustered in few buckets rewrites
-  little, and untouched buckets are never read;
-* both sides are hash-partitioned on ``_bucket`` and joined on
-  ``(_bucket, keys)``: the join needs no further exchange, and each write
-  task holds whole buckets, so it writes one file per bucket;
-* INSERT / UPDATE counts are observed during the write: rows of this
-  batch can only sit in rewritten buckets, so no second scan is needed.
-
-Dynamic overwrite stages new files and swaps partition folders at job
-commit: a lost executor only re-runs tasks, and a crash before commit
-leaves the old table.  A merge is idempotent (merging the same batch
-again changes nothing), so a crash during commit is repaired by re-running
-the batch.
+"""K4: the STAGING table as immutable Parquet files under versioned manifests.
+
+Built-in Parquet tables have no row-level MERGE, so a merge writes files.
+A table folder holds
+
+* ``_data/<merge>/part-*.parquet``: files written once and never changed;
+* ``_versions/<n>.json``: the manifest of version ``n`` (its schema and the
+  names of its live files), written under a temporary name and renamed into
+  place as the merge's last step.  Readers take the highest version.
+
+A driver or executor lost before that rename leaves the table as it was, and
+running the batch again gives the same result; files of the lost attempt are
+in no manifest and ``vacuum`` removes them.  A reader never sees half a merge.
+The folders' names start with ``_``, so a plain Parquet read of the table's
+path fails instead of mixing versions.
+
+A merge moves what it has to:
+
+* the batch's latest rows (W1) are written once as Parquet, a temporary table
+  that every later step reads (columnar, and no re-run of RAW after a loss);
+* the target's keys, guard columns and file names are joined to it; batch rows
+  that the guard would not change drop out here, and a batch that changes
+  nothing writes nothing;
+* only files holding a changed row are rewritten; inserts become new files;
+* no join side is broadcast by this module and no size decides the form:
+  Spark sees the sizes of written tables and chooses, and AQE splits skew.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
+from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from sluice.operators.merge import merge_upsert, source_latest
-from sluice.session import has_data
+from sluice.operators.merge import (SOURCE_META, _any_null, insert_rows, source_latest,
+                                    update_guard, update_rows)
+from sluice.session import delete
 from sluice.spec import TableSpec
 
-BUCKET = "_bucket"
+FILE = "_file"
+_RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType,
+           T.StringType)
+
+
+class ConcurrentMerge(RuntimeError):
+    """Another writer committed the version this merge was to become."""
 
 
 class StagingTable:
+    """``cluster_by`` names the columns whose equal values should share files (the
+    key by default): a batch of changes clustered in them then rewrites few files.
+    ``join_hint`` passes a Spark join strategy hint on the batch side; none by
+    default, so Spark chooses.  One writer at a time per table."""
+
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec,
-                 buckets: int | None = None, broadcast_bytes: int = 256 * 1024 ** 2,
-                 compact_writes: bool = False, target_task_bytes: int = 512 * 1024 ** 2,
-                 bucket_bytes: int = 1024 ** 3, min_buckets: int = 16):
-        self.spark, self.path, self.spec = spark, path, spec
-        self._requested_buckets = buckets
-        self._buckets: int | None = None
-        self.bucket_bytes = bucket_bytes
-        self.min_buckets = min_buckets
-        self.broadcast_bytes = broadcast_bytes
-        self.compact_writes = compact_writes
-        self.target_task_bytes = target_task_bytes
-
-    # -- bucket count: a table property kept in an ``_buckets_N`` marker ------
-    MARKER = "_buckets_"   # leading "_" and no "=": hidden from Spark file listing
-    DEFAULT_BUCKETS = 64
+                 cluster_by: Sequence[str] = (), join_hint: str | None = None):
+        self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        self.cluster_by = list(cluster_by) or list(spec.keys)
+        self.join_hint = join_hint
+
+    # -- versions ---------------------------------------------------------------
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
     def _fs(self):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
+        return self._path("_versions").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _marker_buckets(self) -> int | None:
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
+    def versions(self) -> list[int]:
+        fs, root = self._fs(), self._path("_versions")
         if not fs.exists(root):
-            return None
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith(self.MARKER):
-                return int(name[len(self.MARKER):])
-        return None
-
-    def _write_marker(self, n: int) -> None:
-        fs, jvm = self._fs()
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self.path))
-        fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{self.MARKER}{n}"), True).close()
-
-    @property
-    def buckets(self) -> int:
-        """N of ``pmod(xxhash64(keys), N)``: the marker value when the table
-        has one, else the requested value, else the default."""
-        if self._buckets is None:
-            self._buckets = (self._marker_buckets() or self._requested_buckets
-                             or self.DEFAULT_BUCKETS)
-        return self._buckets
-
-    def _choose_buckets(self, est_bytes: int) -> int:
-        """For a new table: the requested N, or a power of two giving about
-        ``bucket_bytes`` per bucket from the first batch's estimated size, at
-        least ``min_buckets`` so even a small table is written and merged by
-        several tasks."""
-        have = self._marker_buckets()
-        if have:
-            return have
-        if self._requested_buckets:
-            return self._requested_buckets
-        if est_bytes <= 0:
-            return self.DEFAULT_BUCKETS
-        n = 1
-        while n < self.min_buckets or n * self.bucket_bytes < est_bytes:
-            n *= 2
-        return n
-
-    @staticmethod
-    def _plan_bytes(df: DataFrame) -> int:
-        """Catalyst's size estimate (file sizes of the pruned scan); 0 when
-        Catalyst has none (it then reports its ``defaultSizeInBytes``)."""
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        return sorted(int(n[:-len(".json")]) for n in names
+                      if n.endswith(".json") and not n.startswith("."))
+
+    def _manifest(self, version: int | None = None) -> dict:
+        """Schema and files of a version (the newest by default); no version: no files."""
+        have = self.versions()
+        if not have:
+            return {"version": 0, "schema": self.spec.staging_schema(), "files": []}
+        version = have[-1] if version is None else version
+        stream = self._fs().open(self._path(f"_versions/{version:012d}.json"))
         try:
-            est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        except Exception:  # noqa: BLE001
-            return 0
-        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes",
-                                                str(2 ** 63 - 1)).rstrip("bB") or 2 ** 63 - 1)
-        return 0 if est >= min(unknown, 2 ** 62) else est
-
-    def _split_of(self, k: int) -> Column:
-        """Sub-bucket of a row: a second hash of the key, ``k`` ways."""
-        return F.pmod(F.xxhash64(*[F.col(c) for c in self.spec.keys], F.lit(7)),
-                      F.lit(k)).cast("int")
-
-    def _splits(self, total_bytes: int, buckets: int) -> int:
-        per_bucket = total_bytes / max(buckets, 1)
-        return min(4096, max(1, -(-int(per_bucket) // self.target_task_bytes)))
-
-    def bucket_of(self) -> Column:
-        """``pmod(xxhash64(keys), N)``.  A row whose key holds a NULL can never
-        match; W1 keeps at most one such row per batch, so those rows are
-        spread by a hash of their batch id instead of piling into one bucket.
-
-        The expression references only the keys and ``_batch_id`` on purpose:
-        a checkpointed batch keeps its plan's constraints, and a constraint
-        over every column would double with each column the merge renames.
-        """
-        keyed = F.xxhash64(*[F.col(k) for k in self.spec.keys])
-        any_null = F.lit(False)
-        for k in self.spec.keys:
-            any_null = any_null | F.col(k).isNull()
-        spread = F.xxhash64(F.col("_batch_id"))
-        return F.pmod(F.when(any_null, spread).otherwise(keyed), F.lit(self.buckets)).cast("int")
+            doc = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        return {"version": version, "schema": T.StructType.fromJson(doc["schema"]),
+                "files": doc["files"]}
+
+    def _commit(self, base: int, schema: T.StructType, files: list[str]) -> int:
+        """Publish version ``base + 1``: write aside, then rename (the pointer move)."""
+        fs, new = self._fs(), base + 1
+        aside = self._path(f"_versions/.{uuid.uuid4().hex}")
+        final = self._path(f"_versions/{new:012d}.json")
+        fs.mkdirs(self._path("_versions"))
+        out = fs.create(aside, False)
+        out.write(bytearray(json.dumps({"schema": json.loads(schema.json()),
+                                        "files": files}).encode()))
+        out.close()
+        if fs.exists(final) or not fs.rename(aside, final):
+            fs.delete(aside, False)
+            raise ConcurrentMerge(f"{self.path}: version {new} exists already")
+        return new
+
+    # -- reading ----------------------------------------------------------------
 
     def exists(self) -> bool:
-        return has_data(self.spark, self.path)
+        return bool(self.versions())
 
-    def read(self, with_bucket: bool = False) -> DataFrame:
-        if not self.exists():
-            schema = self.spec.staging_schema()
-            if with_bucket:
-                schema = schema.add(BUCKET, T.IntegerType(), True)
+    def _read(self, schema: T.StructType, files: list[str]) -> DataFrame:
+        if not files:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.parquet(self.path)
-        return df if with_bucket else df.drop(BUCKET)
-
-    def _write(self, merged: DataFrame, batch_id: str | None, now) -> dict:
-        # without a batch id, the rows of this merge are those it stamped
-        this_batch = (F.col("_batch_id") == batch_id if batch_id is not None
-                      else F.col("_cdc_timestamp") == F.lit(now).cast("timestamp"))
-        obs = Observation(f"merge_{abs(hash((self.path, str(batch_id), str(now)))) % 10**9}")
-        # The observation sits in the write's own (result) stage: a retried task
-        # replaces its update, so the counts are exact under executor loss.
-        (merged.observe(obs,
-                        F.count_if(this_batch & (F.col("_cdc_operation") == "INSERT"))
-                         .alias("rows_inserted"),
-                        F.count_if(this_batch & (F.col("_cdc_operation") == "UPDATE"))
-                         .alias("rows_updated"),
-                        F.count(F.lit(1)).alias("rows_written"))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(BUCKET).parquet(self.path))
-        got = obs.get
-        return {"rows_inserted": int(got.get("rows_inserted") or 0),
-                "rows_updated": int(got.get("rows_updated") or 0),
-                "rows_written": int(got.get("rows_written") or 0)}
-
-    def _initial_load(self, raw: DataFrame, now, batch_id, partitions) -> dict:
-        """First load: every row is an INSERT, so no checkpoint and no size
-        check; W1 (partial top-1 before its shuffle) and one shuffle by bucket
-        so each write task holds whole buckets.  The bucket count is fixed here
-        (marker written before the data, so a retried first load reuses it)."""
-        est = self._plan_bytes(raw)
-        n = self._choose_buckets(est)
-        self._write_marker(n)
-        self._buckets = n
-        empty = self.read(with_bucket=True)
-        src = source_latest(raw, self.spec, batch_id).withColumn(BUCKET, self.bucket_of())
-        merged = merge_upsert(empty, src, self.spec, now, dedupe=False, partition_column=BUCKET)
-        k = self._splits(est, self.buckets)
-        if k > 1:   # a bucket larger than one task: split it by a second key hash
-            merged = merged.repartition(partitions or self.buckets * k, BUCKET,
-                                        self._split_of(k))
-        else:
-            merged = merged.repartition(partitions or self.buckets, BUCKET)
-        out = self._write(merged, batch_id, now)
-        out.update(buckets_rewritten=self.buckets, strategy="initial")
-        return out
-
-    def _fixed_width(self) -> int:
-        from pyspark.sql import types as T
-        return sum(16 if isinstance(t, T.DecimalType) else 8 for _, t in self.spec.columns
-                   if not isinstance(t, T.StringType)) + 64   # + metadata columns
-
-    def merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None = None,
-              partitions: int | None = None, broadcast_bytes: int | None = None) -> dict:
-        from sluice.session import merge_planning
-        with merge_planning(self.spark):
-            return self._merge(raw, now, batch_id, partitions, broadcast_bytes)
-
-    def _merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None,
-               partitions: int | None, broadcast_bytes: int | None) -> dict:
-        """Merge one batch of RAW rows; returns INSERT / UPDATE counts (G1).
-
-        The deduplicated batch is checkpointed once (lineage cut in the
-        session's shared checkpoint folder: it is read three times below,
-        and a lost executor does not re-run the RAW scan and W1).  One
-        aggregate over it gives the rows per touched bucket and an exact
-        byte estimate; a batch under ``broadcast_bytes`` is merged with the
-        broadcast form (the target is never shuffled), a larger one with
-        the co-partitioned shuffle form.
-        """
-        from pyspark.sql import types as T
-        from sluice.session import checkpoint_root
-        if not self.exists():
-            return self._initial_load(raw, now, batch_id, partitions)
-        checkpoint_root(self.spark)
-        limit = self.broadcast_bytes if broadcast_bytes is None else broadcast_bytes
-        src = (source_latest(raw, self.spec, batch_id)
-               .withColumn(BUCKET, self.bucket_of()).checkpoint(eager=True))
-        strings = [F.coalesce(F.length(c), F.lit(0)) for c, t in self.spec.columns
-                   if isinstance(t, T.StringType)] + [
-            F.coalesce(F.length(c), F.lit(0)) for c in ("_pipeline_name", "_batch_id", "_run_id")]
-        width = F.lit(self._fixed_width())
-        for e in strings:
-            width = width + e
-        # at most ``buckets`` rows reach the driver: a proven bound
-        per_bucket = (src.groupBy(BUCKET)
-                         .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
-                         .collect())
-        touched = [r[BUCKET] for r in per_bucket]
-        src_bytes = sum(int(r["bytes"] or 0) for r in per_bucket)
-        use_broadcast = src_bytes <= limit
-        tgt = self.read(with_bucket=True)
-        if not touched:
-            tgt = tgt.limit(0)
-        elif len(touched) < self.buckets:   # every bucket touched: nothing to prune
-            tgt = tgt.where(F.col(BUCKET).isin(touched))
-        if use_broadcast:
-            # map-only over the target: each scan task writes the buckets its
-            # files belong to (a few files per bucket, no shuffle of the target)
-            merged = merge_upsert(tgt, src, self.spec, now, dedupe=False,
-                                  partition_column=BUCKET, broadcast_source=True,
-                                  insert_partitions=max(len(touched), 1))
-            if self.compact_writes:   # one file per bucket, at the price of a shuffle
-                merged = merged.repartition(max(len(touched), 1), BUCKET)
-        else:
-            # co-partition both sides on (bucket, split): the join on
-            # (bucket, split, key) needs no further exchange, and a write task
-            # holds at most ~target_task_bytes whatever the bucket count.
-            k = self._splits(self._plan_bytes(tgt) + src_bytes, len(touched))
-            nparts = partitions or max(len(touched), 1) * k
-            split = "_split"
-            t2 = tgt.withColumn(split, self._split_of(k)).repartition(nparts, BUCKET, split)
-            s2 = src.withColumn(split, self._split_of(k)).repartition(nparts, BUCKET, split)
-            merged = merge_upsert(t2, s2, self.spec, now, dedupe=False,
-                                  partition_column=[BUCKET, split]).drop(split)
-        out = self._write(merged, batch_id, now)
-        out.update(buckets_rewritten=len(touched),
-                   strategy="broadcast" if use_broadcast else "shuffle")
-        return out
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in files])
+
+    def read(self, version: int | None = None) -> DataFrame:
+        m = self._manifest(version)
+        return self._read(m["schema"], m["files"])
+
+    def files(self, version: int | None = None) -> list[str]:
+        return list(self._manifest(version)["files"])
+
+    # -- writing ----------------------------------------------------------------
+
+    def _merged_spec(self, schema: T.StructType) -> TableSpec:
+        """The spec plus business columns the table already has beyond it (Q14):
+        a batch without them leaves NULL in what it inserts."""
+        known = set(self.spec.staging_schema().fieldNames())
+        extra = tuple((f.name, f.dataType) for f in schema.fields if f.name not in known)
+        return replace(self.spec, columns=self.spec.columns + extra) if extra else self.spec
+
+    def _write(self, df: DataFrame) -> tuple[list[str], int]:
+        """Write one merge's files; AQE sizes them (rebalance on ``cluster_by``
+        splits skewed values and folds small ones).  Returns names and row count."""
+        name = f"_data/{uuid.uuid4().hex}"
+        obs = Observation(f"staging_{uuid.uuid4().hex}")
+        (df.hint("rebalance", *[F.col(c) for c in self.cluster_by])
+           .observe(obs, F.count(F.lit(1)).alias("n"))
+           .write.parquet(f"{self.path}/{name}"))
+        files = [s.getPath().getName() for s in self._fs().listStatus(self._path(name))]
+        return ([f"{name}/{f}" for f in sorted(files) if f.endswith(".parquet")],
+                int(obs.get.get("n") or 0))
+
+    def _hinted(self, src: DataFrame) -> DataFrame:
+        return src.hint(self.join_hint) if self.join_hint else src
+
+    def merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None = None) -> dict:
+        """Merge one batch of RAW rows; returns counts (G1).
+
+        With a batch id, INSERT / UPDATE count the table's rows of that batch by
+        label (a repeated batch reports its labels again); without one, they
+        count what this merge changed.  ``rows_changed`` is always the latter."""
+        old = self._manifest()
+        spec = self._merged_spec(old["schema"])
+        tmp = f"{self.path}/_work/{uuid.uuid4().hex}"
+        try:
+            return self._merge(raw, now, batch_id, old, spec, tmp)
+        finally:
+            delete(self.spark, tmp)
+
+    def _merge(self, raw, now, batch_id, old, spec, tmp) -> dict:
+        src = source_latest(raw, self.spec, batch_id)
+        src = src.select(*[(F.col(c) if c in src.columns else F.lit(None)).cast(t).alias(c)
+                           for c, t in spec.columns], *SOURCE_META)
+        if not old["version"]:      # a new table: every row is an INSERT
+            files, n = self._write(insert_rows(src, spec, now))
+            self._commit(0, spec.staging_schema(), files)
+            return {"rows_inserted": n, "rows_updated": 0, "rows_changed": n,
+                    "rows_written": n, "files_rewritten": 0}
+        obs = Observation(f"batch_{uuid.uuid4().hex}")
+        null_key = _any_null(spec.keys)
+        src.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(null_key).alias("n_null")) \
+           .write.parquet(f"{tmp}/batch")
+        n_src, n_null = (int(obs.get.get(k) or 0) for k in ("n", "n_null"))
+        src = self.spark.read.schema(src.schema).parquet(f"{tmp}/batch")
+        keyed = src.where(~null_key)
+        target = self._read(spec.staging_schema(), old["files"])
+
+        held = self._held(target, keyed, spec, batch_id)
+        held.write.parquet(f"{tmp}/held")
+        held = self.spark.read.schema(held.schema).parquet(f"{tmp}/held")
+        got = held.agg(F.count(F.lit(1)).alias("n"), F.count_if("_changed").alias("changed"),
+                       F.count_if(~F.col("_changed") & (F.col("_own") == "INSERT")).alias("ins"),
+                       F.count_if(~F.col("_changed") & (F.col("_own") == "UPDATE")).alias("upd")
+                       ).first()
+        inserts = n_src - got["n"]
+        counts = {"rows_inserted": inserts + got["ins"], "rows_updated": got["changed"] + got["upd"],
+                  "rows_changed": inserts + got["changed"]}
+        if batch_id is not None and n_null:     # NULL keys never match: earlier ones of this batch
+            counts["rows_inserted"] += target.where(null_key & (F.col("_batch_id") == batch_id)
+                                                    & (F.col("_cdc_operation") == "INSERT")).count()
+        if not counts["rows_changed"]:
+            return counts | {"rows_written": 0, "files_rewritten": 0}
+
+        # file names only: at most as many as the manifest names
+        touched = {r[FILE] for r in held.where("_changed").select(FILE).distinct().collect()}
+        on = [src[k] == held[k] for k in spec.keys]
+        new = insert_rows(src.join(self._hinted(held.select(*spec.keys)), on, "left_anti"), spec, now)
+        if touched:
+            live = self._read(spec.staging_schema(), [f for f in old["files"] if f in touched])
+            new = update_rows(live, self._hinted(keyed), spec, now).unionByName(new)
+        files, n = self._write(new)
+        self._commit(old["version"], spec.staging_schema(),
+                     [f for f in old["files"] if f not in touched] + files)
+        return counts | {"rows_written": n, "files_rewritten": len(touched)}
+
+    def _held(self, target: DataFrame, keyed: DataFrame, spec: TableSpec,
+              batch_id: str | None) -> DataFrame:
+        """One row per batch key the target holds: its file, whether the guard
+        changes it, and its label if it is of this batch.  Reads the target's key
+        and guard columns; the batch's range of the first key prunes its scan."""
+        first = spec.keys[0]
+        kind = dict(spec.columns)[first]
+        if isinstance(kind, _RANGED):
+            lo, hi = keyed.agg(F.min(first), F.max(first)).first()
+            target = target.where(F.col(first).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind)))
+        guard = [spec.updated_column, "_is_deleted"]
+        cols = list(dict.fromkeys([*spec.keys, *guard]))
+        t = target.select(*[F.col(c).alias("t__" + c) for c in cols],
+                          F.col("_batch_id").alias("t___batch_id"),
+                          F.col("_cdc_operation").alias("t___cdc_operation"),
+                          F.regexp_extract("_metadata.file_path", r"(_data/[^/]+/[^/]+)$", 1)
+                           .alias(FILE))
+        s = self._hinted(keyed.select(*[F.col(c).alias("s__" + c) for c in cols]))
+        own: Column = F.lit(None).cast("string")
+        if batch_id is not None:
+            own = F.when(F.col("t___batch_id") == batch_id, F.col("t___cdc_operation"))
+        return (t.join(s, [F.col("t__" + k) == F.col("s__" + k) for k in spec.keys])
+                 .select(*[F.col("s__" + k).alias(k) for k in spec.keys], FILE,
+                         update_guard(spec).alias("_changed"), own.alias("_own")))
+
+    # -- upkeep -----------------------------------------------------------------
+
+    def compact(self, small_bytes: int = 128 * 1024 ** 2) -> int:
+        """Fold files under ``small_bytes`` into files of AQE's advisory size, as a
+        new version; returns how many were folded.  ``small_bytes`` of any size
+        beyond the largest file lays the whole table out again (by ``cluster_by``)."""
+        m, fs = self._manifest(), self._fs()
+        folders = {f.rsplit("/", 1)[0] for f in m["files"]}
+        size = {f"{d}/{s.getPath().getName()}": s.getLen()
+                for d in folders for s in fs.listStatus(self._path(d))}
+        small = {f for f in m["files"] if size[f] < small_bytes}
+        if len(small) < 2:
+            return 0
+        files, _ = self._write(self._read(m["schema"], [f for f in m["files"] if f in small]))
+        self._commit(m["version"], m["schema"], [f for f in m["files"] if f not in small] + files)
+        return len(small)
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Remove files that none of the newest ``keep`` versions names, older
+        manifests and leftovers of lost merges.  Not while a merge is running, and
+        readers of older versions must be done.  Returns the data files removed."""
+        fs, have = self._fs(), self.versions()
+        kept, gone = have[-max(keep, 1):], have[:-max(keep, 1)]
+        live = {f for v in kept for f in self._manifest(v)["files"]}
+        removed = 0
+        if fs.exists(self._path("_data")):
+            for d in fs.listStatus(self._path("_data")):
+                names = [f"_data/{d.getPath().getName()}/{s.getPath().getName()}"
+                         for s in fs.listStatus(d.getPath())]
+                data = [n for n in names if n.endswith(".parquet")]
+                dead = [n for n in data if n not in live]
+                removed += len(dead)
+                if len(dead) == len(data):
+                    fs.delete(d.getPath(), True)
+                else:
+                    for n in dead:
+                        fs.delete(self._path(n), False)
+        for v in gone:
+            fs.delete(self._path(f"_versions/{v:012d}.json"), False)
+        fs.delete(self._path("_work"), True)
+        return removed
+
 
+def read_staging(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a STAGING table, by its own recorded schema."""
+    table = StagingTable(spark, path, TableSpec("", (), ()))
+    if not table.exists():
+        raise FileNotFoundError(f"no STAGING table at {path}")
+    return table.read()

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sluice.plans.flow import Control, ingest_all, ingest_table, reprocess_batch
-from sluice.sinks.staging import StagingTable
+from sluice.sinks.staging import StagingTable, read_staging
 from sluice.spec import BUSINESS_SPECS
 from sluice.sources.extract import landing_path
 
@@ -44,7 +44,7 @@ def test_initial_then_incremental(spark, work):
     # '>=' re-reads rows at the watermark; the merge leaves them unchanged
     assert r2.status == "SUCCESS" and 0 < r2.rows_extracted < n
     assert r2.rows_inserted == 0 and r2.rows_updated == 0
-    stg = spark.read.parquet(r1.staging_path)
+    stg = read_staging(spark, r1.staging_path)
     assert stg.count() == n and stg.where("_batch_id <> 'BATCH-20250101-000000'").count() == 0
     runs = {r["run_id"]: r for r in ctl.runs().collect()}
     assert runs["r1"]["status"] == "SUCCESS" and runs["r2"]["rows_extracted"] == r2.rows_extracted
@@ -104,7 +104,7 @@ def test_rules_quarantine_partial_and_reject_fails(spark, work):
     assert 0 < over < n
     assert r.status == "PARTIAL" and r.rows_quarantined == over
     assert r.rows_loaded == n - over
-    assert spark.read.parquet(r.staging_path).count() == n - over
+    assert read_staging(spark, r.staging_path).count() == n - over
     assert ctl.dq_results().count() == 1
     rep = ctl.dq_report().first()
     assert (rep["run_status"], rep["rules"], rep["rules_not_passed"]) == ("PARTIAL", 1, 1)
@@ -143,7 +143,7 @@ def test_stream_rerun_without_new_files_changes_nothing(spark, work):
     from sluice.streaming.incremental import stream_landing, stream_merge
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     landing, ckpt = work + "/landing", work + "/ckpt"
-    table = StagingTable(spark, work + "/stg", EVENTS_SPEC, buckets=4)
+    table = StagingTable(spark, work + "/stg", EVENTS_SPEC)
     epochs = []
 
     def on_batch(df, epoch_id):

@@ -1,173 +1,174 @@
-"""K4: bucketed STAGING rewrites only the buckets a batch touches."""
+"""K4: versioned STAGING: nothing lost in a crash, nothing rewritten without need."""
 
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.sql import functions as F, types as T
 
 from sluice.operators.projection import stamp_audit
 from sluice.session import local_path
-from sluice.sinks.staging import StagingTable
+from sluice.sinks.staging import ConcurrentMerge, StagingTable, read_staging
 from sluice.spec import TableSpec, _cols
 
-SPEC = TableSpec("T", ("id",), _cols("id bigint, v bigint, created_at timestamp_ntz, "
-                                     "updated_at timestamp_ntz"))
+COLS = "id bigint, v bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
+SPEC = TableSpec("T", ("id",), _cols(COLS))
 D = dt.datetime(2024, 1, 1)
 
 
 def _raw(spark, ids, day, batch):
     df = spark.createDataFrame([(i, None if i is None else i * 10, D, D + dt.timedelta(days=day))
-                                for i in ids],
-                               "id bigint, v bigint, created_at timestamp_ntz, "
-                               "updated_at timestamp_ntz")
+                                for i in ids], COLS)
     return stamp_audit(df, "p", batch, "r", "CDC", D + dt.timedelta(days=100 + day))
 
 
-def _mtimes(path):
-    out = {}
-    for d in os.listdir(path):
-        if d.startswith("_bucket="):
-            files = [f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet")]
-            out[d] = sorted(os.path.getmtime(os.path.join(path, d, f)) for f in files)
-    return out
-
-
-def test_only_touched_buckets_rewritten(spark, work):
-    t = StagingTable(spark, work + "/stg", SPEC, buckets=16)
-    c1 = t.merge(_raw(spark, range(1000), 0, "B1"), D, "B1")
-    assert c1["rows_inserted"] == 1000 and t.read().count() == 1000
-    before = _mtimes(local_path(t.path))
-    # a batch touching a single key: one bucket rewritten, the rest untouched
-    c2 = t.merge(_raw(spark, [7], 1, "B2"), D, "B2")
-    assert (c2["rows_inserted"], c2["rows_updated"], c2["buckets_rewritten"]) == (0, 1, 1)
-    after = _mtimes(local_path(t.path))
-    changed = [b for b in before if before[b] != after.get(b)]
-    assert len(changed) == 1
+def _by_range(spark, path, n=400, files=4):
+    """A table whose files hold ranges of ids (one initial load per file)."""
+    t = StagingTable(spark, path, SPEC)
+    step = n // files
+    for i in range(files):
+        t.merge(_raw(spark, range(i * step, (i + 1) * step), 0, f"B{i}"), D, f"B{i}")
+    return t
+
+
+def test_only_files_with_a_changed_row_are_rewritten(spark, work):
+    t = _by_range(spark, work + "/stg")
+    before = t.files()
+    got = t.merge(_raw(spark, [7, 1000], 1, "C"), D, "C")
+    assert (got["rows_inserted"], got["rows_updated"], got["files_rewritten"]) == (1, 1, 1)
+    assert len(set(before) - set(t.files())) == 1
     rows = t.read()
-    assert rows.count() == 1000
-    assert rows.where("id = 7").first()["_batch_id"] == "B2"
-    assert rows.where("_batch_id = 'B1'").count() == 999
-
-
-def test_null_keys_spread_and_kept(spark, work):
-    t = StagingTable(spark, work + "/stg", SPEC, buckets=8)
-    df = spark.createDataFrame([(None, i, D, D) for i in range(50)],
-                               "id bigint, v bigint, created_at timestamp_ntz, "
-                               "updated_at timestamp_ntz")
-    raw = stamp_audit(df, "p", "B1", "r", "CDC", D)
-    t.merge(raw, D, "B1")
+    assert rows.count() == 401 and rows.where("id = 7").first()["_batch_id"] == "C"
+    assert rows.where("_batch_id = 'C'").count() == 2
+
+
+def test_a_batch_without_change_writes_nothing(spark, work):
+    t = _by_range(spark, work + "/stg")
+    t.merge(_raw(spark, range(50, 150), 1, "C"), D, "C")
+    before, versions = t.files(), t.versions()
+    got = t.merge(_raw(spark, range(50, 150), 1, "C"), D + dt.timedelta(days=1), "C")
+    assert (got["rows_changed"], got["rows_written"], got["files_rewritten"]) == (0, 0, 0)
+    assert got["rows_updated"] == 100          # the batch's labels, counted again
+    assert t.files() == before and t.versions() == versions
+    assert t.merge(_raw(spark, [], 1, "E"), D, "E")["rows_written"] == 0
+
+
+def test_a_crash_before_the_pointer_leaves_the_old_table(spark, work, monkeypatch):
+    t = _by_range(spark, work + "/stg")
+    before = sorted(t.read().collect())
+    change = _raw(spark, range(300, 500), 1, "C")
+
+    def lost(*a):
+        raise RuntimeError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(t, "_commit", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            t.merge(change, D, "C")
+    assert sorted(t.read().collect()) == before
+    got = t.merge(change, D, "C")
+    assert (got["rows_inserted"], got["rows_updated"]) == (100, 100)
+    after = sorted(t.read().collect())
+    assert t.vacuum(keep=1) > 0                # the lost attempt's files among them
+    assert sorted(t.read().collect()) == after and len(after) == 500
+    on_disk = [f for _, _, fs in os.walk(local_path(t.path) + "/_data") for f in fs
+               if f.endswith(".parquet")]
+    assert len(on_disk) == len(t.files())
+
+
+def test_a_second_writer_of_one_version_is_refused(spark, work):
+    t = _by_range(spark, work + "/stg")
+    base = t.versions()[-1]
+    t.merge(_raw(spark, [1], 1, "C"), D, "C")
+    with pytest.raises(ConcurrentMerge):
+        t._commit(base, SPEC.staging_schema(), [])
+    assert t.read().count() == 400
+
+
+def test_older_versions_stay_readable_until_vacuum(spark, work):
+    t = _by_range(spark, work + "/stg")
+    v = t.versions()[-1]
+    t.merge(_raw(spark, range(400), 1, "C"), D, "C")
+    assert t.read(v).where("_batch_id = 'C'").count() == 0
+    assert t.read().where("_batch_id = 'C'").count() == 400
+
+
+def test_null_keys_are_kept_and_counted(spark, work):
+    t = StagingTable(spark, work + "/stg", SPEC)
+    df = spark.createDataFrame([(None, i, D, D) for i in range(50)], COLS)
+    t.merge(stamp_audit(df, "p", "B1", "r", "CDC", D), D, "B1")
     # W1 keeps one row for the NULL-key group per batch; a new batch adds another
-    t.merge(stamp_audit(df, "p", "B2", "r", "CDC", D), D, "B2")
+    got = t.merge(stamp_audit(df, "p", "B2", "r", "CDC", D), D, "B2")
+    assert got["rows_inserted"] == 1
     assert t.read().where(F.col("id").isNull()).count() == 2
-
-
-def test_broadcast_and_shuffle_forms_agree(spark, work):
-    base = _raw(spark, range(0, 600), 0, "B1")
-    change = _raw(spark, list(range(300, 900)) + [None], 1, "B2")
-    out = {}
-    for name, limit in (("bc", 1 << 40), ("sh", 0)):
-        t = StagingTable(spark, f"{work}/{name}", SPEC, buckets=8, broadcast_bytes=limit)
-        t.merge(base, D, "B1")
-        c = t.merge(change, D + dt.timedelta(days=1), "B2")
-        assert c["strategy"] == ("broadcast" if name == "bc" else "shuffle")
-        assert (c["rows_inserted"], c["rows_updated"]) == (301, 300)
-        out[name] = sorted(t.read().collect(), key=repr)
-    assert out["bc"] == out["sh"] and len(out["bc"]) == 901
-
-
-def test_task_sizing_splits_large_buckets(spark, work):
-    # a tiny task budget forces several write tasks per bucket; results unchanged
-    base = _raw(spark, range(0, 2000), 0, "B1")
-    change = _raw(spark, range(1000, 3000), 1, "B2")
-    out = {}
-    for name, budget in (("split", 1024), ("whole", 1 << 40)):
-        t = StagingTable(spark, f"{work}/{name}", SPEC, buckets=4, broadcast_bytes=0,
-                         target_task_bytes=budget)
-        t.merge(base, D, "B1")
-        c = t.merge(change, D + dt.timedelta(days=1), "B2")
-        assert (c["rows_inserted"], c["rows_updated"], c["strategy"]) == (1000, 1000, "shuffle")
-        out[name] = sorted(t.read().collect(), key=repr)
-    assert out["split"] == out["whole"] and len(out["split"]) == 3000
-
-
-def test_shuffle_form_join_needs_no_extra_exchange(spark, work):
-    from sluice.operators.merge import merge_upsert
-    t = StagingTable(spark, work + "/stg", SPEC, buckets=4)
-    t.merge(_raw(spark, range(100), 0, "B1"), D, "B1")
-    tgt = t.read(with_bucket=True).withColumn("_split", t._split_of(2)).repartition(8, "_bucket", "_split")
-    src = (_raw(spark, range(50, 150), 1, "B2").withColumn("_bucket", t.bucket_of())
-           .withColumn("_split", t._split_of(2)).repartition(8, "_bucket", "_split"))
-    from sluice.session import merge_planning
-    with merge_planning(spark):
-        m = merge_upsert(tgt, src, SPEC, D, dedupe=False, partition_column=["_bucket", "_split"])
-        plan = m._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-    # the explicit repartitions only (two keyed sides, two NULL-key branches):
-    # no exchange on the join keys themselves
-    assert plan.count("ENSURE_REQUIREMENTS") == 0, plan
-
-
-def test_bucket_count_is_chosen_once_and_kept(spark, work):
-    path = work + "/auto"
-    _raw(spark, range(200), 0, "B1").write.parquet(work + "/rawfile")
-    raw = spark.read.parquet(work + "/rawfile")      # file-backed: Catalyst knows its size
-    t = StagingTable(spark, path, SPEC, min_buckets=2)   # nothing requested: sized from data
-    t.merge(raw, D, "B1")
-    assert t.buckets == 2                             # a tiny table: the floor
-    # another handle asking for a different N still uses the table's own
-    t2 = StagingTable(spark, path, SPEC, buckets=32)
-    c = t2.merge(_raw(spark, range(100, 300), 1, "B2"), D, "B2")
-    assert t2.buckets == 2 and (c["rows_inserted"], c["rows_updated"]) == (100, 100)
-    assert t2.read().count() == 300
-    t3 = StagingTable(spark, work + "/explicit", SPEC, buckets=8)
-    t3.merge(_raw(spark, range(50), 0, "B1"), D, "B1")
-    assert StagingTable(spark, work + "/explicit", SPEC).buckets == 8
-
-
-def test_broadcast_form_never_shuffles_the_target(spark, work):
-    from sluice.operators.merge import merge_upsert
-    from sluice.session import merge_planning
-    t = StagingTable(spark, work + "/stg", SPEC, buckets=4)
-    t.merge(_raw(spark, range(1000), 0, "B1"), D, "B1")
-    tgt = t.read(with_bucket=True)
-    src = _raw(spark, [5, 6, 2000], 1, "B2").withColumn("_bucket", t.bucket_of())
-    with merge_planning(spark):
-        m = merge_upsert(tgt, src, SPEC, D, partition_column="_bucket", broadcast_source=True)
-        plan = m._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    # the only hash exchange is the batch's own W1 (source side); the target is never shuffled
-    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
-    assert all("id#" in ln and "_bucket" not in ln for ln in exchanges), exchanges
-    rows = {r["id"]: r for r in m.collect()}
-    assert len(rows) == 1001 and rows[2000]["_cdc_operation"] == "INSERT"
-    assert rows[5]["_cdc_operation"] == "UPDATE"
-
-
-def test_bucket_count_grows_with_size():
-    t = StagingTable.__new__(StagingTable)
-    t._requested_buckets, t.bucket_bytes, t.min_buckets = None, 1 << 30, 16
-    t._marker_buckets = lambda: None
-    assert t._choose_buckets(10 << 20) == 16
-    assert t._choose_buckets(100 << 30) == 128        # ~1 GB per bucket
-    assert t._choose_buckets(100 << 40) == 1 << 17    # 100 TB: 131072 buckets
+    # NULL never matches: the same batch again inserts again, and counts both
+    assert t.merge(stamp_audit(df, "p", "B2", "r", "CDC", D), D, "B2")["rows_inserted"] == 2
+
+
+def test_counts_without_a_batch_id_are_this_merge(spark, work):
+    t = _by_range(spark, work + "/stg")
+    got = t.merge(_raw(spark, range(390, 410), 1, "C"), D)
+    assert (got["rows_inserted"], got["rows_updated"]) == (10, 10)
+
+
+@pytest.mark.parametrize("hint", [None, "merge", "shuffle_hash", "broadcast"])
+def test_join_forms_agree_with_the_plain_merge(spark, work, hint):
+    from sluice.operators.merge import empty_staging, merge_upsert
+    base, change = (_raw(spark, range(0, 600), 0, "B1"),
+                    _raw(spark, list(range(300, 900)) + [None], 1, "B2"))
+    t = StagingTable(spark, work + "/t", SPEC, join_hint=hint)
+    t.merge(base, D, "B1")
+    got = t.merge(change, D + dt.timedelta(days=1), "B2")
+    assert (got["rows_inserted"], got["rows_updated"]) == (301, 300)
+    want = merge_upsert(merge_upsert(empty_staging(spark, SPEC), base, SPEC, D), change, SPEC,
+                        D + dt.timedelta(days=1))
+    assert sorted(t.read().collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_compaction_folds_small_files(spark, work):
+    t = _by_range(spark, work + "/stg")
+    before, rows = t.files(), sorted(t.read().collect())
+    assert t.compact() == len(before) > 1
+    assert len(t.files()) < len(before) and sorted(t.read().collect()) == rows
+    assert t.compact(small_bytes=0) == 0
+
+
+def test_a_new_business_column_reaches_the_table(spark, work):
+    t = _by_range(spark, work + "/stg")
+    wide = TableSpec("T", ("id",), SPEC.columns + (("flags", T.ArrayType(T.StringType())),))
+    raw = _raw(spark, [5, 2000], 1, "C").withColumn("flags", F.array(F.lit("late")))
+    StagingTable(spark, t.path, wide).merge(raw, D, "C")
+    got = {r["id"]: r["flags"] for r in read_staging(spark, t.path).collect()}
+    assert got[5] == got[2000] == ["late"] and got[6] is None and len(got) == 401
+    # a later batch without the column leaves it NULL where it changes a row
+    t.merge(_raw(spark, [5], 2, "D"), D, "D")
+    got = {r["id"]: r["flags"] for r in read_staging(spark, t.path).collect()}
+    assert got[5] is None and got[2000] == ["late"]
+
+
+def test_batch_key_range_reaches_the_target_scan(spark, work):
+    t = _by_range(spark, work + "/stg")
+    target = t._read(SPEC.staging_schema(), t.files())
+    keyed = _raw(spark, [7, 9], 1, "C")
+    plan = t._held(target, keyed, SPEC, "C")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,7)" in plan and "LessThanOrEqual(id,9)" in plan
+    scan = next(ln for ln in plan.splitlines() if "FileScan parquet" in ln)
+    assert "v:" not in scan.split("ReadSchema")[1]      # key, guard and label columns only
 
 
 def test_wide_merge_plans_fast_with_default_constraint_propagation(spark, work):
     import time
-    from sluice.operators.merge import merge_upsert, source_latest
+    from sluice.operators.merge import source_latest, update_rows
     from sluice.plans import catalog as C
     from sluice.plans.standins import STANDINS, raw_sql
-    from sluice.session import checkpoint_root
     from conftest import SF_SMALL
     assert spark.conf.get("spark.sql.constraintPropagation.enabled") == "true"
-    checkpoint_root(spark)
     si = STANDINS["sales_orders"]                       # 17 business columns
     C._sql(spark, SF_SMALL, lambda d: raw_sql(si, d)).write.parquet(work + "/raw")
     raw = spark.read.parquet(work + "/raw")
-    t = StagingTable(spark, work + "/stg", si.spec, buckets=8)
-    src = source_latest(raw, si.spec).withColumn("_bucket", t.bucket_of()).checkpoint(eager=True)
-    m = merge_upsert(t.read(with_bucket=True), src, si.spec, D, dedupe=False,
-                     partition_column="_bucket", broadcast_source=True, insert_partitions=8)
+    t = StagingTable(spark, work + "/stg", si.spec)
+    t.merge(raw, D)
+    m = update_rows(t.read(), source_latest(raw, si.spec).where("order_id is not null")
+                    if "order_id" in si.spec.keys else source_latest(raw, si.spec), si.spec, D)
     t0 = time.time()
     m._jdf.queryExecution().optimizedPlan()
     assert time.time() - t0 < 10
