@@ -32,42 +32,46 @@ def row_count_check(**counts: DataFrame | int) -> DataFrame:
                       (F.col("row_count") == expected).alias("matches"))
 
 
-def _profile_exprs(df: DataFrame, c: str, exact_distinct: bool):
-    col = F.col(f"`{c}`")
-    distinct = F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col, 0.01)
-    return [F.count_if(col.isNull()).alias(f"{c}__nulls"),
-            F.min(col).cast("string").alias(f"{c}__min"),
-            F.max(col).cast("string").alias(f"{c}__max"),
-            distinct.alias(f"{c}__distinct")]
-
-
 def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """One aggregate over all columns -> one row per column.
-
-    Columns: column_name, data_type, row_count, null_count, min_value,
-    max_value (as text), distinct_count.  Complex-typed columns are left
-    out.  Exact distinct counts make Spark expand every row once per column
-    before the shuffle; on very wide or very large loads pass
-    ``exact_distinct=False`` (HyperLogLog++, 1 % error, map-side partial
-    aggregation, no expansion).
+    """One row per column: column_name, data_type, row_count, null_count,
+    min_value, max_value (as text), distinct_count.  Complex-typed columns are
+    left out.
+
+    Counts and bounds are one aggregate over all columns.  Exact distinct
+    counts are one aggregate per column, each reading that column alone and
+    combining equal values map-side, so no row is expanded; with
+    ``exact_distinct=False`` HyperLogLog++ (1 % error) joins the first aggregate.
     """
-    aggs = [F.count(F.lit(1)).alias("__rows")]
     simple = [f for f in df.schema.fields
               if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    aggs = [F.count(F.lit(1)).alias("__rows")]
     for f in simple:
-        aggs += _profile_exprs(df, f.name, exact_distinct)
-    wide = df.agg(*aggs)
+        col = F.col(f"`{f.name}`")
+        aggs += [F.count_if(col.isNull()).alias(f"{f.name}__nulls"),
+                 F.min(col).cast("string").alias(f"{f.name}__min"),
+                 F.max(col).cast("string").alias(f"{f.name}__max")]
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(col, 0.01).alias(f"{f.name}__distinct"))
     structs = [F.struct(F.lit(f.name).alias("column_name"),
                         F.lit(f.dataType.simpleString()).alias("data_type"),
                         F.col(f"`{f.name}__nulls`").cast("bigint").alias("null_count"),
                         F.col(f"`{f.name}__min`").alias("min_value"),
                         F.col(f"`{f.name}__max`").alias("max_value"),
-                        F.col(f"`{f.name}__distinct`").cast("bigint").alias("distinct_count"))
+                        *([] if exact_distinct else
+                          [F.col(f"`{f.name}__distinct`").cast("bigint").alias("distinct_count")]))
                for f in simple]
-    return (wide.select(F.col("__rows").cast("bigint").alias("row_count"),
-                        F.explode(F.array(*structs)).alias("p"))
-                .select("p.column_name", "p.data_type", "row_count", "p.null_count",
-                        "p.min_value", "p.max_value", "p.distinct_count"))
+    out = (df.agg(*aggs).select(F.col("__rows").cast("bigint").alias("row_count"),
+                                F.explode(F.array(*structs)).alias("p"))
+             .select("p.column_name", "p.data_type", "row_count", "p.null_count", "p.min_value",
+                     "p.max_value", *([] if exact_distinct else ["p.distinct_count"])))
+    if not exact_distinct or not simple:
+        return out
+    each = [df.agg(F.count_distinct(F.col(f"`{f.name}`")).cast("bigint").alias("distinct_count"))
+              .select(F.lit(f.name).alias("column_name"), "distinct_count") for f in simple]
+    distinct = each[0]
+    for d in each[1:]:
+        distinct = distinct.unionByName(d)
+    return out.join(distinct, "column_name").select(*out.columns, "distinct_count")
 
 
 def load_drift(previous: DataFrame, current: DataFrame, exact_distinct: bool = True) -> DataFrame:

@@ -2,8 +2,7 @@
 
 Rules are control rows (a handful per table) read on the driver; the
 data work is one projection of boolean pass columns over the table, plus
-one aggregate-and-join per UNIQUENESS rule and one join per REFERENTIAL
-rule.  The summary is one aggregate over all rules, unpivoted.
+one set of failing values per UNIQUENESS and REFERENTIAL rule, joined back.  The summary is one aggregate over all rules, unpivoted.
 
 Semantics follow SQL CHECK: a NULL value passes unless the rule is about
 NULL (NOT_NULL).  THRESHOLD is a table-level rule: its rows never fail on
@@ -118,42 +117,43 @@ def _row_condition(df: DataFrame, r: Rule) -> Column:
 
 
 def evaluate_rules(df: DataFrame, rules: list[Rule],
-                   refs: dict[str, DataFrame] | None = None) -> DataFrame:
+                   refs: dict[str, DataFrame] | None = None, tmp: str | None = None) -> DataFrame:
     """Add one boolean pass column per rule and ``_dq_failed`` (names of failed rules).
 
-    UNIQUENESS (W2/Q2): duplicate key groups come from a grouped count
-    (partial aggregation map-side, so a hot value is combined before the
-    shuffle) joined back with a left join; every row of a duplicate group
-    fails.  REFERENTIAL (J3/Q5): a left join to the distinct reference keys
-    flags misses.  AQE's skew-join split applies to both left joins.
+    UNIQUENESS (W2/Q2) and REFERENTIAL (J3/Q5) first find the failing *values*
+    from the rule's own columns: keys held more than once (a grouped count,
+    combined map-side, so a hot value is one row before the shuffle) and
+    distinct values that the reference lacks.  These are joined back to the
+    rows; every row of a duplicate group fails.  NULL fails neither.
+
+    ``tmp`` (a folder on shared storage that the caller deletes) has the
+    failing values written first: Spark then knows their size and, as they are
+    few in a sound table, need not shuffle the rows for the join.
     """
     refs = refs or {}
     out = df
-    for r in rules:
+    for i, r in enumerate(rules):
         t = r.rule_type.upper()
+        if t not in ("UNIQUENESS", "REFERENTIAL"):
+            out = out.withColumn(r.pass_column, _row_condition(df, r))
+            continue
+        cols = r.columns if t == "UNIQUENESS" else r.columns[:1]
         if t == "UNIQUENESS":
-            cols = r.columns
-            dups = (df.where(~_any_null(cols))
-                      .groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-                      .where(F.col("__n") > 1)
-                      .select(*[F.col(c).alias("__u_" + c) for c in cols],
-                              F.lit(True).alias("__dup")))
-            cond = [F.col(c) == F.col("__u_" + c) for c in cols]
-            out = (out.join(dups, cond, "left")
-                      .withColumn(r.pass_column, F.col("__dup").isNull())
-                      .drop("__dup", *["__u_" + c for c in cols]))
-        elif t == "REFERENTIAL":
+            bad = (df.where(~_any_null(cols)).groupBy(*cols)
+                     .agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1))
+        else:
             if r.ref_table not in refs:
                 raise KeyError(f"rule {r.rule_name}: reference table {r.ref_table} not given")
-            c = r.columns[0]
-            keys = (refs[r.ref_table].select(F.col(r.ref_column).alias("__ref")).distinct()
-                                     .where(F.col("__ref").isNotNull())
-                                     .withColumn("__hit", F.lit(True)))
-            out = (out.join(keys, F.col(c) == F.col("__ref"), "left")
-                      .withColumn(r.pass_column, F.col(c).isNull() | F.col("__hit").isNotNull())
-                      .drop("__ref", "__hit"))
-        else:
-            out = out.withColumn(r.pass_column, _row_condition(df, r))
+            held = refs[r.ref_table].select(F.col(r.ref_column).alias("__ref"))
+            values = df.select(*cols).where(~_any_null(cols)).distinct()
+            bad = values.join(held, F.col(cols[0]) == F.col("__ref"), "left_anti")
+        bad = bad.select(*[F.col(c).alias("__k_" + c) for c in cols], F.lit(True).alias("__bad"))
+        if tmp:
+            bad.write.parquet(f"{tmp}/rule-{i}")
+            bad = df.sparkSession.read.schema(bad.schema).parquet(f"{tmp}/rule-{i}")
+        out = (out.join(bad, [F.col(c) == F.col("__k_" + c) for c in cols], "left")
+                  .withColumn(r.pass_column, F.col("__bad").isNull())
+                  .drop("__bad", *["__k_" + c for c in cols]))
     row_rules = [r for r in rules if r.rule_type.upper() != "THRESHOLD"]
     failed = [F.when(~F.col(r.pass_column), F.lit(r.rule_name)) for r in row_rules]
     arr = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.functions.scalar import batch_id_col, dated_path_col, hours_before
 from sluice.operators import quality as Q
-from sluice.operators.aggregate import ordered_concat
+from sluice.operators.aggregate import ordered_concat, ordered_concat_chunks
 from sluice.operators.dedup import latest_per_key
 from sluice.operators.drift import evolve_schema, load_drift, row_count_check
 from sluice.operators.merge import current_rows, merge_counts, merge_message, merge_upsert
@@ -309,6 +309,22 @@ def q_ordered_concat(spark, sf_dir):
                           ["l_linenumber", "l_partkey"], alias="part_list")
 
 
+_HOT_ORDER = "CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END"
+
+
+@register("ordered_concat_chunks", f"""
+SELECT {_HOT_ORDER} AS order_group,
+       string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_orderkey, l_linenumber, l_partkey)
+         AS parts
+FROM lineitem GROUP BY 1""")
+def q_ordered_concat_chunks(spark, sf_dir):
+    """A third of all rows under one key, concatenated in chunks; the chunks re-joined."""
+    rows = _table(spark, sf_dir, "lineitem").withColumn("order_group", F.expr(_HOT_ORDER))
+    chunks = ordered_concat_chunks(rows, ["order_group"], "l_partkey",
+                                   ["l_orderkey", "l_linenumber", "l_partkey"], alias="part")
+    return ordered_concat(chunks, ["order_group"], "part", ["chunk"], alias="parts")
+
+
 @register("latest_per_key", """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -567,7 +583,7 @@ ev AS (
 def _dq_eval(spark, sf_dir, rules=None):
     df = _sql(spark, sf_dir, _dq_input_sql)
     refs = {"supplier": _table(spark, sf_dir, "supplier")}
-    return Q.evaluate_rules(df, rules or DQ_RULES, refs)
+    return Q.evaluate_rules(df, rules or DQ_RULES, refs, scratch_dir(spark, "rules"))
 
 
 _DQ_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -699,6 +715,18 @@ def q_row_count_check(spark, sf_dir):
     return row_count_check(source=src, extracted=ext, landed=landed.rows, typed_good=good)
 
 
+@register("row_count_mismatch", """
+WITH c AS (SELECT 'source' AS stage, count(*) AS row_count FROM part
+           UNION ALL SELECT 'typed_good', count(*) FROM part WHERE p_partkey % 10 <> 0)
+SELECT stage, row_count, (SELECT count(*) FROM part) AS expected,
+       row_count = (SELECT count(*) FROM part) AS matches FROM c""")
+def q_row_count_mismatch(spark, sf_dir):
+    """Stages that differ: rows with a bad value do not reach the typed table."""
+    src = _junk_part(_table(spark, sf_dir, "part"))
+    good, _ = split_bad_rows(src, BAD_TARGET)
+    return row_count_check(source=src, typed_good=good)
+
+
 _DRIFT_PREV_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"),
                     ("o_orderstatus", "string"), ("o_totalprice", "double"),
                     ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
@@ -881,6 +909,55 @@ def q_ingest_all(spark, sf_dir):
                                  F.col("error_message").isNotNull().alias("has_error"))
 
 
+_ALL_LOADED = [("pl_suppliers", "suppliers"), ("pl_sales_orders", "sales_orders"),
+               ("pl_inventory", "inventory")]
+
+
+@register("ingest_all_rows", " UNION ALL ".join(
+    f"SELECT '{p}' AS pipeline_name, concat_ws('|', "
+    + ", ".join(f"CAST({c} AS VARCHAR)" for c in STANDINS[k].spec.keys)
+    + f") AS row_key, _cdc_operation, _is_deleted, _batch_id FROM ("
+    + staging_sql(STANDINS[k], DUCK, STANDINS[k].base(DUCK), p, "BATCH-20250101-000000", "r",
+                  "2025-01-01 00:00:00") + ")" for p, k in _ALL_LOADED))
+def q_ingest_all_rows(spark, sf_dir):
+    """The STAGING rows of three tables loaded side by side."""
+    work = scratch_dir(spark, "ingest_all_rows")
+    names = {"suppliers": "supplier", "sales_orders": "orders", "inventory": "part"}
+    src = _source_system(spark, sf_dir, work, {names[k]: STANDINS[k].base for _, k in _ALL_LOADED})
+    done = ingest_all(spark, [_flow_cfg(p, names[k], "STG_" + k.upper(), src, pid=i)
+                              for i, (p, k) in enumerate(_ALL_LOADED)],
+                      control=Control(spark, work + "/control"), lake_root=work, now=FLOW_NOW1)
+    out = None
+    for r, (p, k) in zip(done, _ALL_LOADED):
+        if r.status != "SUCCESS":
+            raise RuntimeError(f"ingest run failed: {r.error}")
+        rows = read_staging(spark, r.staging_path).select(
+            F.lit(p).alias("pipeline_name"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in STANDINS[k].spec.keys])
+             .alias("row_key"), "_cdc_operation", "_is_deleted", "_batch_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("ingest_csv", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(15,2)) AS o_totalprice,
+       o_orderdate, 'INSERT' AS _cdc_operation, false AS _is_deleted FROM orders""")
+def q_ingest_csv(spark, sf_dir):
+    """A table without a built-in spec, from one config row: CSV source, composite key,
+    column list of the target."""
+    work = scratch_dir(spark, "ingest_csv")
+    _table(spark, sf_dir, "orders").write.option("header", "true").csv(work + "/source/orders")
+    cfg = dict(_flow_cfg("pl_orders", "orders", "STG_ORDERS", work + "/source"), source_type="CSV",
+               cdc_column="o_orderdate", primary_key_columns="o_custkey, o_orderkey")
+    target = schema_of("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+                       "o_totalprice decimal(15,2), o_orderdate timestamp_ntz")
+    r = ingest_table(spark, cfg, control=Control(spark, work + "/control"), lake_root=work,
+                     now=FLOW_NOW1, targets={"STG_ORDERS": target})
+    if r.status != "SUCCESS":
+        raise RuntimeError(f"ingest run failed: {r.error}")
+    return read_staging(spark, r.staging_path).select(*target.names, "_cdc_operation", "_is_deleted")
+
+
 # ---------------------------------------------------------------------------
 # Streaming: X1, X2, M13 (two file drops, two available-now runs, one checkpoint)
 # ---------------------------------------------------------------------------

@@ -36,7 +36,8 @@ from sluice.sinks.write import (append_log, compact_log, land, load_raw, read_lo
                                 read_rejects)
 from sluice.sources.extract import extract, landing_path, read_landing, read_source
 from sluice.spec import (CONFIG_DEFAULTS, ERROR_LOG_SCHEMA, RUN_EVENT_SCHEMA,
-                         WATERMARK_LOG_SCHEMA, DQ_RESULTS_SCHEMA, TableSpec, spec_for)
+                         WATERMARK_LOG_SCHEMA, DQ_RESULTS_SCHEMA, TableSpec, UnknownTableError,
+                         spec_for, spec_from_schema)
 
 
 class BatchRejected(RuntimeError):
@@ -156,14 +157,40 @@ def _cfg(cfg: Mapping) -> dict:
     return out
 
 
-def _error_type(exc: Exception) -> str:
+def _error_type(exc: Exception, step: str) -> str:
+    """The error log's type of a failure: its own kind, else the step it fell in."""
     if isinstance(exc, BatchRejected):
         return "DQ"
     if isinstance(exc, RowCountMismatch):
         return "LOAD"
     if isinstance(exc, KeyError):
         return "TRANSFORMATION"
-    return "UNKNOWN"
+    text = str(exc)
+    if "java.sql.SQL" in text or "java.net." in text or isinstance(exc, ConnectionError):
+        return "CONNECTION"
+    return step
+
+
+def _target_spec(spark: SparkSession, c: Mapping, specs, targets) -> TableSpec:
+    """The target's spec: a known one, else (P2) the column list of the target as it
+    is now (``targets`` by sink table, or a catalogue table of that name) with the
+    row's ``primary_key_columns`` and CDC column."""
+    try:
+        return spec_for(c["sink_table"], specs)
+    except UnknownTableError:
+        keys = [k.strip() for k in (c.get("primary_key_columns") or "").split(",") if k.strip()]
+        schema = (targets or {}).get(c["sink_table"])
+        if schema is None and keys and spark.catalog.tableExists(c["sink_table"]):
+            schema = spark.table(c["sink_table"]).schema
+        if schema is None or not keys or not c.get("cdc_column"):
+            raise
+        names = {f.name.lower(): f.name for f in schema.fields}
+        unknown = [k for k in [*keys, c["cdc_column"]] if k.lower() not in names]
+        if unknown:
+            raise ValueError(f"{c['pipeline_name']}: {unknown} not in {c['sink_table']}")
+        business = T.StructType([f for f in schema.fields if not f.name.startswith("_")])
+        return spec_from_schema(c["sink_table"], business, [names[k.lower()] for k in keys],
+                                names[c["cdc_column"].lower()])
 
 
 def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_root: str,
@@ -174,6 +201,8 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                  clock: Callable[[], dt.datetime] | None = None,
                  watermark_mode: str = "data", cluster_by: tuple[str, ...] = (),
                  lookback: dt.timedelta | None = None,
+                 targets: Mapping[str, T.StructType] | None = None,
+                 source_options: Mapping | None = None,
                  source_reader: Callable[[SparkSession, dict], DataFrame] | None = None
                  ) -> RunResult:
     """Ingest one configured table.  See the module docstring for the steps.
@@ -182,8 +211,11 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
     merge timestamps); ``clock`` stamps the run-log events (defaults to
     ``now``).  ``watermark_mode='data'`` stores ``max(cdc_column)`` of the
     extract; ``'clock'`` stores ``now`` as the reference does.  ``lookback``
-    (X4) reads that much before the watermark again, for late rows.
+    (X4) reads that much before the watermark again, for late rows.  A sink
+    table without a built-in spec needs its schema (in ``targets`` or the
+    catalogue) and the row's key columns.  ``source_options`` go to ``read_source``.
     """
+    step = "UNKNOWN"
     rules_tmp = None
     c = _cfg(cfg)
     clock = clock or (lambda: now)
@@ -197,18 +229,19 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                   adf_pipeline_name=c.get("adf_pipeline_name", "ingest_table"),
                   adf_trigger_name=c.get("adf_trigger_name"))
     try:
-        spec = spec_for(c["sink_table"], specs)                       # M10: clear error
+        spec = _target_spec(spark, c, specs, targets)                 # M10: clear error
         if load_type != "FULL" and not c.get("cdc_column"):
             raise ValueError(f"{pname}: load_type {load_type} needs cdc_column")
         # Stored watermark of (pipeline, table), default when none.
-        wm = None
+        wm, step = None, "WATERMARK"
         if load_type != "FULL":
             wm_row = watermark_lookup(control.watermarks(), pname, stable,
                                       c.get("cdc_column_type")).first()
             wm = wm_row["watermark"]
         res.watermark_start = wm
         # Extract; K1: land with observed count and max(cdc).
-        reader = source_reader or (lambda s, conf: read_source(s, conf))
+        step = "EXTRACTION"
+        reader = source_reader or (lambda s, conf: read_source(s, conf, **(source_options or {})))
         src = extract(reader(spark, c), load_type, c.get("cdc_column"), wm,
                       cdc_column_type=c.get("cdc_column_type"))
         lpath = landing_path(f"{lake_root}/landing", c.get("adls_container"),
@@ -219,6 +252,7 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
             res.status = "SKIPPED"                                    # E8
             res.watermark_end = wm
         else:
+            step = "LOAD"
             # P1/P3/P4 + K2/K3: typed RAW load, target-driven, bad rows aside.
             raw_path = f"{lake_root}/raw/{c.get('sink_schema') or 'RAW'}/{spec.name}"
             raw_res = load_raw(read_landing(spark, lpath, batch_id), spec.business_schema(),
@@ -233,10 +267,12 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                     f"loaded + {raw_res.rows_rejected} rejected")
             raw = read_raw(spark, raw_path, raw_res.schema)
             if rules and c.get("dq_enabled", True):
+                step = "DQ"
                 rules_tmp = f"{lake_root}/work/rules-{run_id}"
                 raw, spec = _apply_rules(spark, control, raw, rules, refs or {}, res, lake_root,
                                          now, spec, rules_tmp)
             res.rows_loaded = raw_res.rows_loaded - res.rows_quarantined
+            step = "LOAD"
             # M1 + K4: rewrite the files that hold a changed row, append inserts.
             stg_path = f"{lake_root}/staging/{c.get('sink_schema') or 'STAGING'}/{spec.name}"
             counts = StagingTable(spark, stg_path, spec, cluster_by).merge(raw, now, batch_id)
@@ -244,6 +280,7 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
             res.staging_path = stg_path
             # K7: advance the watermark only after the merge committed.
             if load_type != "FULL":
+                step = "WATERMARK"
                 new_wm = (str(landed.max_cdc) if watermark_mode == "data" and
                           landed.max_cdc is not None else now.strftime("%Y-%m-%d %H:%M:%S"))
                 res.watermark_end = new_wm
@@ -256,7 +293,7 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
     except Exception as exc:  # noqa: BLE001  E6: any failure -> FAILED, watermark kept
         res.status, res.error = "FAILED", f"{type(exc).__name__}: {exc}"
         res.rows_extracted = res.rows_loaded = 0
-        control.error(error_row(run_id, pname, stable, _error_type(exc), res.error, clock(),
+        control.error(error_row(run_id, pname, stable, _error_type(exc, step), res.error, clock(),
                                 "ingest_table"))
     finally:
         if rules_tmp:
@@ -278,8 +315,8 @@ def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec, tm
     it is written once as Parquet (the caller deletes it after the merge), so
     the rule joins run once, also when an executor is lost.
     """
-    Q.evaluate_rules(raw, rules, refs).write.parquet(tmp)
-    evaluated = spark.read.parquet(tmp)
+    Q.evaluate_rules(raw, rules, refs, f"{tmp}/sets").write.parquet(f"{tmp}/rows")
+    evaluated = spark.read.parquet(f"{tmp}/rows")
     qpath = f"{lake_root}/quarantine/{spec.name}/run_id={res.run_id}"
     summary = Q.dq_summary(evaluated, rules)
     rows = summary.collect()  # one row per rule: bounded by the rule count

@@ -54,6 +54,11 @@ def extract(df: DataFrame, load_type: str = "FULL", cdc_column: str | None = Non
     if not cdc_column:
         raise ValueError(f"load_type {load_type} needs a cdc_column")
     dtype = df.schema[cdc_column].dataType
+    value = F.col(cdc_column)
+    if isinstance(dtype, T.StringType) and cdc_column_type:   # text sources (CSV)
+        dtype = {"BIGINT": T.LongType(), "INT": T.LongType(), "DATE": T.DateType()}.get(
+            cdc_column_type.upper(), T.TimestampNTZType())
+        value = value.try_cast(dtype)
     if watermark is None:
         watermark = default_watermark(cdc_column_type or _type_name(dtype))
     wm = typed_watermark(watermark, dtype)
@@ -64,7 +69,7 @@ def extract(df: DataFrame, load_type: str = "FULL", cdc_column: str | None = Non
                   - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(secs))).cast(dtype)
         else:
             wm = wm - F.lit(int(lookback))
-    return df.where(F.col(cdc_column) >= wm)
+    return df.where(value >= wm)
 
 
 def _type_name(dtype: T.DataType) -> str:
@@ -125,9 +130,15 @@ def _source_path(cfg: Mapping) -> str:
 
 
 def read_source(spark: SparkSession, cfg: Mapping, csv_schema=None,
-                jdbc_properties: Mapping[str, str] | None = None) -> DataFrame:
+                jdbc_properties: Mapping[str, str] | None = None,
+                jdbc_partition: Mapping | None = None) -> DataFrame:
     """Read a configured source by ``source_type``.
 
+    ``jdbc_partition`` (``partition_column``, ``lower_bound``, ``upper_bound``,
+    ``num_partitions``) splits a JDBC read where the row says ``parallel_copy``.
+    A CSV source without ``csv_schema`` is read as text under its header's names
+    (only the header is read for that); the typed load casts it.
+
     PARQUET / CSV / API (landed JSON pages): files under
     ``source_server/source_database/source_schema/source_table``; ``csv_schema``
     is the explicit schema for CSV and JSON.
@@ -141,7 +152,8 @@ def read_source(spark: SparkSession, cfg: Mapping, csv_schema=None,
                            table=None if query else
                            ".".join(p for p in (cfg.get("source_schema"), cfg["source_table"]) if p),
                            query=query, properties=jdbc_properties,
-                           fetch_size=cfg.get("batch_size"))
+                           fetch_size=cfg.get("batch_size"),
+                           **(jdbc_partition if jdbc_partition and cfg.get("parallel_copy") else {}))
     if query:
         return spark.sql(query)
     path = _source_path(cfg)
@@ -149,7 +161,7 @@ def read_source(spark: SparkSession, cfg: Mapping, csv_schema=None,
         return spark.read.parquet(path)
     if stype == "CSV":
         if csv_schema is None:
-            raise ValueError("a CSV source needs an explicit schema")
+            return spark.read.option("header", "true").option("mode", "PERMISSIVE").csv(path)
         return read_csv(spark, path, csv_schema)
     if stype == "API":
         # API pages are landed as JSON files by the caller; they are read as files

@@ -20,19 +20,24 @@ from sluice.sources.extract import extract
 
 
 def late_rows(source: DataFrame, target: DataFrame, keys: list[str], cdc_column: str,
-              watermark) -> DataFrame:
+              watermark, since=None) -> DataFrame:
     """Rows at or below the stored watermark that the target does not hold.
 
     Such rows arrived after the extract that passed their timestamp and
     would be missed by a plain ``>=`` extract.  A left anti join on the key
-    and the CDC value.
+    and the CDC value.  ``since`` (none by default: all history) bounds how far
+    back both sides are read, where rows are known not to arrive later than that.
     """
     dtype = source.schema[cdc_column].dataType
     wm = watermark if isinstance(watermark, Column) else F.lit(watermark).cast(dtype)
     # only target rows at or below the watermark can match: the filter reaches
     # the target's scan, so the anti join shuffles the old rows' keys only
-    held = target.where(F.col(cdc_column) <= wm).select(*keys, cdc_column)
-    return source.where(F.col(cdc_column) <= wm).join(held, [*keys, cdc_column], "left_anti")
+    old = F.col(cdc_column) <= wm
+    if since is not None:
+        old = old & (F.col(cdc_column) >= (since if isinstance(since, Column)
+                                           else F.lit(since).cast(dtype)))
+    held = target.where(old).select(*keys, cdc_column)
+    return source.where(old).join(held, [*keys, cdc_column], "left_anti")
 
 
 def lookback_extract(source: DataFrame, cdc_column: str, watermark,

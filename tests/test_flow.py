@@ -252,3 +252,85 @@ def test_list_tables(spark, work):
     assert [tuple(r) for r in list_tables(spark, work).collect()] == \
         [("STAGING", "PURCHASE_ORDERS")]
     assert list_tables(spark, work, "raw").count() == 1
+
+
+def test_breached_threshold_acts_as_its_report_says(spark, work):
+    from sluice.operators.quality import Rule
+    src = work + "/src/po"
+    _src(spark, src)
+    n = spark.read.parquet(src).count()
+    over = spark.read.parquet(src).where("total_amount > 100000").count()
+    ctl = Control(spark, work + "/control")
+    rules = [Rule("mostly_small", "THRESHOLD", rule_expression="total_amount <= 100000",
+                  threshold_pct=100)]
+    r = ingest_table(spark, _cfg(src), control=ctl, lake_root=work, now=NOW1, rules=rules)
+    assert ctl.dq_results().first()["action_taken"] == "QUARANTINE"
+    assert (r.status, r.rows_quarantined) == ("PARTIAL", over)
+    # a threshold that the batch meets diverts nothing
+    rules[0].threshold_pct = 0
+    r = ingest_table(spark, _cfg(src), control=Control(spark, work + "/c2"), lake_root=work + "/2",
+                     now=NOW1, rules=rules)
+    assert (r.status, r.rows_quarantined, r.rows_loaded) == ("SUCCESS", 0, n)
+
+
+def test_flag_list_reaches_staging_and_rule_files_are_gone(spark, work):
+    from sluice.operators.quality import Rule
+    src = work + "/src/po"
+    _src(spark, src)
+    r = ingest_table(spark, _cfg(src), control=Control(spark, work + "/control"), lake_root=work,
+                     now=NOW1, rules=[Rule("dear", "RANGE", "total_amount", max_value="100000",
+                                           action_on_failure="FLAG")])
+    got = {tuple(x["_dq_flags"]): x["n"] for x in read_staging(spark, r.staging_path)
+           .groupBy("_dq_flags").agg(F.count("*").alias("n")).collect()}
+    over = spark.read.parquet(src).where("total_amount > 100000").count()
+    assert r.status == "SUCCESS" and got[("dear",)] == over and set(got) == {(), ("dear",)}
+    import os
+    from sluice.session import local_path
+    assert os.listdir(local_path(work + "/work")) == []
+
+
+def test_invalid_rule_rows_are_refused(spark):
+    import pytest
+    from sluice.operators.quality import rules_from_table
+    from sluice.spec import DQ_RULES_SCHEMA
+
+    def table(*rows):
+        return spark.createDataFrame([tuple(r.get(f.name) for f in DQ_RULES_SCHEMA.fields)
+                                      for r in rows], DQ_RULES_SCHEMA)
+    row = {"pipeline_name": "p", "rule_name": "r", "rule_type": "NOT_NULL", "column_name": "c"}
+    assert len(rules_from_table(table(row), "p")) == 1
+    for bad in ({"action_on_failure": "DROP"}, {"rule_type": "NEAT"}, {"severity": "DIRE"}):
+        with pytest.raises(ValueError, match="is not one of"):
+            rules_from_table(table(row | bad), "p")
+    with pytest.raises(ValueError, match="share a name"):
+        rules_from_table(table(row, row), "p")
+
+
+def test_errors_are_typed_by_the_step_they_fell_in(spark, work):
+    src = work + "/src/po"
+    _src(spark, src)
+    ctl = Control(spark, work + "/control")
+
+    def fails(s, conf):
+        raise RuntimeError("source is gone")
+
+    def refused(s, conf):
+        raise ConnectionError("no route")
+    for reader in (fails, refused):
+        assert ingest_table(spark, _cfg(src), control=ctl, lake_root=work, now=NOW1,
+                            source_reader=reader).status == "FAILED"
+    assert {e["error_type"] for e in ctl.errors().collect()} == {"EXTRACTION", "CONNECTION"}
+
+
+def test_lookback_reads_late_rows_again(spark, work):
+    src = work + "/src/po"
+    _src(spark, src)
+    ctl = Control(spark, work + "/control")
+    top = spark.read.parquet(src).agg(F.max("updated_at")).first()[0]
+    ctl.advance_watermark(pipeline_name="pl_po", source_table="po", cdc_column="updated_at",
+                          watermark_value=str(top), watermark_type="TIMESTAMP", rows_loaded=0,
+                          updated_at=NOW1, seq=1)
+    days = dt.timedelta(days=30)
+    r = ingest_table(spark, _cfg(src), control=ctl, lake_root=work, now=NOW2, lookback=days)
+    assert r.rows_extracted == spark.read.parquet(src).where(F.col("updated_at") >= top - days).count()
+    assert r.status == "SUCCESS"
