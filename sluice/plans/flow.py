@@ -243,7 +243,7 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
         step = "EXTRACTION"
         reader = source_reader or (lambda s, conf: read_source(s, conf, **(source_options or {})))
         src = extract(reader(spark, c), load_type, c.get("cdc_column"), wm,
-                      cdc_column_type=c.get("cdc_column_type"))
+                      lookback=lookback, cdc_column_type=c.get("cdc_column_type"))
         lpath = landing_path(f"{lake_root}/landing", c.get("adls_container"),
                              c.get("adls_folder_path") or pname, stable, now)
         landed = land(src, lpath, batch_id, c.get("cdc_column") if load_type != "FULL" else None)
