@@ -1,8 +1,7 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-Word restaurants, one per kind of the previous word (start of the text, after a
-sentence mark, after another mark, else), share one parent restaurant of words.
-Its tables order their dishes from a spelling model: letter restaurants in the
+Word restaurants, one per previous word (and one for the start of a text), share one
+parent restaurant of words.  Its tables order their dishes from a spelling model: letter restaurants in the
 context of the last two bytes share the restaurants of the last byte, these share
 one without context, and that one draws from the uniform distribution over the 256
 bytes and the end of a word.  Half of the parent's base is uniform over the known words and
@@ -17,9 +16,12 @@ with one and two customers.  After ``BURN`` sweeps, the predictive probabilities
 
 Work is split twice.  A chunk is a bounded piece of the documents; it keeps its
 documents as numbers of its own distinct words.  A shard holds the words of one hash
-range with their counts from all chunks.  A chunk numbers its words shard by shard, so
-that questions are hashes with the kinds of context they occur in, and answers are
-the probabilities of just these, in the same order.  The driver sees totals and the
+range, and with each word the contexts it followed with their counts from all chunks.
+Before a sweep each shard sends its tables of each context to the shard where the
+context's own word lives, which adds them up and sends the sums back.  A chunk numbers
+its words shard by shard, so that questions are its pairs' hashes, and answers are, in
+the same order, what a pair's customers give it, its word's probability in the parent
+and its context's customers and weight of a new table.  The driver sees totals and the
 letter restaurants (at most 257^3 dishes).
 
 Null and empty texts are one end token.  A null id counts as the id "" (held out,
@@ -38,10 +40,11 @@ from pyspark.sql import DataFrame, functions as F
 from . import textutil as tu
 from .work import Work
 
-KINDS, BURN, SAMPLES = 4, 1, 2
+BURN, SAMPLES = 1, 2
 STRENGTH = 1.0
 CHUNK_BYTES = 4 << 20
 END_HASH = np.uint64(0x2545F4914F6CDD1D)
+START_HASH = np.uint64(0x9E3779B97F4A7C15)  # the context that starts a text
 LAST = 256  # the symbol that ends a word
 
 
@@ -69,28 +72,28 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def _kind_of(low: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Kind that a word puts its successor in, from the word's last byte."""
-    last = low[ends - 1]
-    kind = np.full(len(ends), 3, np.uint8)
-    mark = ~(((last >= 48) & (last <= 57)) | ((last >= 97) & (last <= 122)) | (last >= 128))
-    kind[mark] = 2
-    kind[np.isin(last, [33, 46, 63])] = 1
-    return kind
+def _shard_of(h: np.ndarray, shards: int) -> np.ndarray:
+    return (h >> np.uint64(33)).astype(np.int64) % shards
 
 
-def _used(local: np.ndarray, kind: np.ndarray, words: int) -> np.ndarray:
-    """Which kinds of context each word of a chunk occurs in."""
-    return np.bincount(local * KINDS + kind, minlength=words * KINDS).reshape(-1, KINDS) > 0
+def _context(local: np.ndarray, size: np.ndarray, start: int) -> np.ndarray:
+    """The word before each token; ``start`` before the first of a document."""
+    ctx = np.empty_like(local)
+    ctx[1:] = local[:-1]
+    ctx[np.cumsum(size) - size] = start
+    return ctx
 
 
 _CHUNK = pa.schema([("role", pa.int32()), ("place", pa.int64()), ("chunk", pa.int64()), ("blob", pa.binary())])
 _CHUNK_DDL = "role int, place long, chunk long, blob binary"
 
 
+def _chunk_row(*row):
+    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _CHUNK.types)], schema=_CHUNK)
+
+
 def _read(shards: int):
-    """Documents to chunks: a row with the chunk's documents (role 1, place = chunk),
-    and rows with its words for each shard (role 0, place = shard)."""
+    """Documents to chunks: a row with the chunk's documents and words (place = chunk)."""
     from pyspark import TaskContext
 
     def one(batch, chunk):
@@ -105,93 +108,152 @@ def _read(shards: int):
         is_end = np.zeros(len(full), bool)
         is_end[ends] = True
         full[is_end], full[~is_end] = END_HASH, h
-        kind = np.full(len(full), 3, np.uint8)
-        after = np.zeros(len(full), np.uint8)
-        after[~is_end] = _kind_of(low, e)
-        kind[1:] = after[:-1]
-        kind[np.concatenate(([0], ends[:-1] + 1))] = 0
-        uniq, first, local = np.unique(full, return_index=True, return_inverse=True)
+        uniq, first, local = np.unique(np.append(full, START_HASH), return_index=True, return_inverse=True)
         size = n + 1
-        train = np.repeat(~held, size)
         # words are numbered shard by shard: answers need no numbers
-        shard = (uniq >> np.uint64(33)).astype(np.int64) % shards
+        shard = _shard_of(uniq, shards)
         order = np.argsort(shard, kind="stable")
         cut = np.searchsorted(shard[order], np.arange(shards + 1))
         number = np.empty(len(uniq), np.int64)
         number[order] = np.arange(len(uniq))
         uniq, first, local = uniq[order], first[order], number[local]
-        used = np.packbits(_used(local, kind, len(uniq)), axis=1, bitorder="little")[:, 0]
-        counts = np.bincount(local[train] * KINDS + kind[train], minlength=len(uniq) * KINDS)
-        counts = counts.reshape(-1, KINDS).astype(np.int32)
+        local, start = local[:-1], int(local[-1])
         # spelling: position of the first occurrence among the words
         word = np.cumsum(~is_end) - 1
         ws, we = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int64)
-        real = ~is_end[first]
+        real = ~np.append(is_end, True)[first]
         ws[real], we[real] = s[word[first[real]]], e[word[first[real]]]
-        yield 1, chunk, chunk, _pack(local=local.astype(np.int32), kind=kind, size=size.astype(np.int32),
-                                     held=held, id=np.array([0 if i is None else int(i) for i in ids], np.int64),
-                                     none=np.array([i is None for i in ids], bool),
-                                     cut=cut.astype(np.int32))
-        for k in range(shards):
-            own = slice(cut[k], cut[k + 1])
-            lens = we[own] - ws[own]
-            if len(lens):
-                at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens) + np.repeat(ws[own], lens)
-                yield 0, k, chunk, _pack(hash=uniq[own], used=used[own], c=counts[own],
-                                         len=lens.astype(np.int32), spell=low[at])
+        lens = we - ws
+        at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens) + np.repeat(ws, lens)
+        return 1, chunk, chunk, _pack(local=local.astype(np.int32), size=size.astype(np.int32), start=np.array([start]),
+                                      held=held, id=np.array([0 if i is None else int(i) for i in ids], np.int64),
+                                      none=np.array([i is None for i in ids], bool), cut=cut.astype(np.int32),
+                                      hash=uniq, len=lens.astype(np.int32), spell=low[at])
 
     def run(batches):
         part, k = TaskContext.get().partitionId(), 0
         for batch in batches:
             for c in tu.chunks(batch, "text", CHUNK_BYTES):
-                for row in one(c, (part << 32) + k):
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _CHUNK.types)],
-                                                     schema=_CHUNK)
+                yield _chunk_row(*one(c, (part << 32) + k))
                 k += 1
     return run
 
 
+def _pairs(d: dict):
+    """Pairs (word * words + context) of a chunk in order, the pair of each token, and
+    the first pair of each shard."""
+    words, local = int(d["cut"][-1]), d["local"].astype(np.int64)
+    pairs, inv = np.unique(local * words + _context(local, d["size"].astype(np.int64), int(d["start"][0])),
+                           return_inverse=True)
+    return pairs, inv, np.searchsorted(pairs, d["cut"].astype(np.int64) * words)
+
+
+def _split(counted: bool):
+    """A chunk's words and pairs for each shard: with spelling and training counts
+    (role 0), or as questions, hashes alone (role 1)."""
+    def rows(chunk, d):
+        pairs, inv, pcut = _pairs(d)
+        cut, words = d["cut"], int(d["cut"][-1])
+        pw, px = pairs // words, pairs % words
+        if counted:
+            train = np.repeat(~d["held"], d["size"])
+            counts = np.bincount(inv, train, len(pairs)).astype(np.int32)
+            follow = np.bincount(px[inv[train]], minlength=words).astype(np.int32)
+            at = np.concatenate(([0], np.cumsum(d["len"])))
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            own, mine = slice(cut[k], cut[k + 1]), slice(pcut[k], pcut[k + 1])
+            near, x = np.unique(px[mine], return_inverse=True)
+            out = {"hash": d["hash"][own], "ctx": d["hash"][near], "px": x.astype(np.int32),
+                   "pw": np.bincount(pw[mine] - cut[k], minlength=cut[k + 1] - cut[k]).astype(np.int32)}
+            if counted:
+                out |= {"follow": follow[own], "c": counts[mine], "len": d["len"][own],
+                        "spell": d["spell"][at[cut[k]]:at[cut[k + 1]]]}
+            yield _chunk_row(0 if counted else 1, k, chunk, _pack(**out))
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                yield from rows(b.column("chunk")[i].as_py(), _unpack(b.column("blob")[i].as_py()))
+    return run
+
+
+def _documents(batches):
+    """Chunks without their words' hashes and spelling."""
+    for b in batches:
+        for i in range(b.num_rows):
+            d = _unpack(b.column("blob")[i].as_py())
+            yield _chunk_row(*(b.column(c)[i].as_py() for c in _CHUNK.names[:3]),
+                             _pack(**{k: v for k, v in d.items() if k not in ("hash", "len", "spell")}))
+
+
 def _take_spans(data: np.ndarray, lens: np.ndarray, pick: np.ndarray) -> np.ndarray:
     start = np.cumsum(lens) - lens
     n = lens[pick]
     return data[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[pick], n)]
 
 
+def _word_of(pw: np.ndarray) -> np.ndarray:
+    """Word of each pair from the numbers of pairs of the words."""
+    return np.repeat(np.arange(len(pw)), pw)
+
+
 def _merge_words(parts: list[dict]) -> dict:
     h = np.concatenate([p["hash"] for p in parts])
     uniq, first, inv = np.unique(h, return_index=True, return_inverse=True)
-    own = np.concatenate([p["c"] for p in parts])
-    c = np.stack([np.bincount(inv, own[:, k], len(uniq)) for k in range(KINDS)], 1).astype(np.int64)
+    follow = np.bincount(inv, np.concatenate([p["follow"] for p in parts]), len(uniq)).astype(np.int64)
     lens = np.concatenate([p["len"] for p in parts])
     spell = _take_spans(np.concatenate([p["spell"] for p in parts]), lens, first)
-    return {"hash": uniq, "c": c, "len": lens[first], "spell": spell}
-
-
-def _first_state(batches):
-    """Words of each shard (rows come in shard order) with their counts from all
-    chunks; one table per dish."""
-    now, parts, rows = None, [], 0
-
-    def done():
+    ctx, near = np.unique(np.concatenate([p["ctx"] for p in parts]), return_inverse=True)
+    w0, x0, keys, counts = 0, 0, [], []
+    for p in parts:
+        on = p["c"] > 0  # pairs of held-out documents alone have no customers
+        keys.append(inv[w0 + _word_of(p["pw"])[on]] * max(1, len(ctx)) + near[x0 + p["px"][on]])
+        counts.append(p["c"][on])
+        w0, x0 = w0 + len(p["hash"]), x0 + len(p["ctx"])
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    at = np.flatnonzero(np.diff(keys, prepend=-1))
+    c = np.add.reduceat(counts, at, dtype=np.int64) if len(at) else np.zeros(0, np.int64)
+    w, x = keys[at] // max(1, len(ctx)), keys[at] % max(1, len(ctx))
+    used, x = np.unique(x, return_inverse=True)
+    return {"hash": uniq, "follow": follow, "len": lens[first], "spell": spell, "ctx": ctx[used],
+            "pw": np.bincount(w, minlength=len(uniq)).astype(np.int32), "px": x.astype(np.int32), "c": c}
+
+
+def _first_state(shards):
+    """Words of each shard (rows come in shard order) with their pairs from all chunks;
+    one table per dish.  Contexts are put in the order of their words' shards."""
+    def done(now, parts):
         s = _merge_words(parts)
-        t = (s["c"] > 0).astype(np.int32)
-        blob = _pack(hash=s["hash"], c=s["c"].astype(np.int32), len=s["len"], spell=s["spell"], t=t,
-                     up=(t.sum(1) > 0).astype(np.int32), mean=np.zeros((len(t), KINDS), np.float32))
-        return _state_row(now, blob, _totals(s["c"], t, (t.sum(1) > 0)))
-    for b in batches:
-        for i in range(b.num_rows):
-            place = b.column("place")[i].as_py()
-            if place != now:
-                if parts:
-                    yield done()
-                now, parts, rows = place, [], 0
-            parts.append(_unpack(b.column("blob")[i].as_py()))
-            rows += len(parts[-1]["hash"])
-            if rows > 1_000_000 and len(parts) > 8:
-                parts = [_merge_words(parts)]
-                rows = 0
-    if parts:
-        yield done()
+        home = _shard_of(s["ctx"], shards)
+        order = np.argsort(home, kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order))
+        s |= {"ctx": s["ctx"][order], "px": number[s["px"]],
+              "cut": np.searchsorted(home[order], np.arange(shards + 1)),
+              "t": np.ones(len(s["c"]), np.int32), "up": (s["pw"] > 0).astype(np.int32),
+              "give": np.zeros(len(s["c"]), np.float32), "parent": np.zeros((0, len(s["hash"])), np.float32),
+              "weight": np.zeros((0, len(s["hash"])), np.float32)}
+        return _state_row(now, _pack(**s), _totals(s))
+
+    def run(batches):
+        now, parts, rows = None, [], 0
+        for b in batches:
+            for i in range(b.num_rows):
+                place = b.column("place")[i].as_py()
+                if place != now:
+                    if parts:
+                        yield done(now, parts)
+                    now, parts, rows = place, [], 0
+                parts.append(_unpack(b.column("blob")[i].as_py()))
+                rows += len(parts[-1]["px"])
+                if rows > 1_000_000 and len(parts) > 8:
+                    parts = [_merge_words(parts)]
+                    rows = 0
+        if parts:
+            yield done(now, parts)
+    return run
 
 
 _STATE = pa.schema([("place", pa.int64()), ("blob", pa.binary()), ("totals", pa.list_(pa.int64())),
@@ -205,13 +267,19 @@ def _state_row(place, blob, totals, letters=(), times=()):
          pa.array([letters], pa.list_(pa.int64())), pa.array([times], pa.list_(pa.int64()))], schema=_STATE)
 
 
-def _totals(c, t, up):
-    """Customers and tables per restaurant, of the parent, words, and dishes with one or two customers."""
-    p = t.sum(1)
-    return [*c.sum(0).tolist(), *t.sum(0).tolist(), int(p.sum()), int(up.sum()), int((c.sum(1) > 0).sum()),
+def _totals(s):
+    """Customers of all contexts, of the parent and its tables, words, and dishes with
+    one or two customers."""
+    c, up, p = s["c"], s["up"], _from_children(s)
+    return [int(c.sum()), int(p.sum()), int(up.sum()), int((p > 0).sum()),
             int((c == 1).sum()), int((c == 2).sum()), int((p == 1).sum()), int((p == 2).sum())]
 
 
+def _from_children(s) -> np.ndarray:
+    """Customers of the parent's dishes: the tables of all contexts."""
+    return np.bincount(_word_of(s["pw"]), s["t"], len(s["pw"])).astype(np.int64)
+
+
 def seat(rng, c: np.ndarray, tables, prior: np.ndarray, discount: float) -> np.ndarray:
     """Tables of dishes with ``c`` customers each, seated in turn.  ``tables`` is the
     restaurant's weight of a new table (strength + discount * its tables), ``prior``
@@ -299,69 +367,155 @@ class Letters:
         return np.exp(np.add.reduceat(logs, np.cumsum(n) - n)) if len(n) else np.zeros(0)
 
 
-def _predict(s, g, base):
-    """P(word | kind) of a shard's words, and the parent's P(word)."""
-    up = s["t"].sum(1)
-    parent = (np.maximum(up - g["d1"] * s["up"], 0) + (STRENGTH + g["d1"] * g["T1"]) * base) / (STRENGTH + g["C1"])
-    child = ((np.maximum(s["c"] - g["d2"] * s["t"], 0) + (STRENGTH + g["d2"] * g["T"]) * parent[:, None])
-             / (STRENGTH + g["C"]))
-    return child, parent
+def _parent(s, g, base):
+    """The parent's P(word) of a shard's words."""
+    up = _from_children(s)
+    return (np.maximum(up - g["d1"] * s["up"], 0) + (STRENGTH + g["d1"] * g["T1"]) * base) / (STRENGTH + g["C1"])
+
+
+def _sampled(s, g, parent, sums) -> dict:
+    """The shard with its part of the predictive probabilities of this sample; ``sums``
+    are the tables of its words as contexts."""
+    give = s["give"] + (np.maximum(s["c"] - g["d2"] * s["t"], 0) / SAMPLES).astype(np.float32)
+    weight = (STRENGTH + g["d2"] * sums) / SAMPLES
+    return s | {"give": give, "parent": np.vstack([s["parent"], parent[None].astype(np.float32)]),
+                "weight": np.vstack([s["weight"], weight[None].astype(np.float32)])}
+
+
+def _tables(batches):
+    """A shard's tables of each context, for the shard of the context's word (role 0)."""
+    for b in batches:
+        for i in range(b.num_rows):
+            place, s = b.column("place")[i].as_py(), _unpack(b.column("blob")[i].as_py())
+            t = np.bincount(s["px"], s["t"], len(s["ctx"])).astype(np.int32)
+            for k in np.flatnonzero(np.diff(s["cut"])).tolist():
+                own = slice(s["cut"][k], s["cut"][k + 1])
+                yield _chunk_row(0, k, place, _pack(ctx=s["ctx"][own], t=t[own]))
+
+
+def _sum_tables(parts: list[dict]):
+    """(contexts, their tables from all shards)."""
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    ctx, inv = np.unique(np.concatenate([p["ctx"] for p in parts]), return_inverse=True)
+    return ctx, np.bincount(inv, np.concatenate([p["t"] for p in parts]), len(ctx)).astype(np.int64)
+
+
+def _own_sums(s, ctx, t) -> np.ndarray:
+    """Tables of the shard's words as contexts; 0 where a word was none."""
+    out = np.zeros(len(s["hash"]), np.int64)
+    out[np.searchsorted(s["hash"], ctx)] = t  # each context is a word of its shard
+    return out
+
+
+def _reply(batches):
+    """Sums for each shard that sent tables (role 0), and for the words' own (role -2)."""
+    def done(place, parts):
+        ctx, t = _sum_tables([p for _, p in parts])
+        yield _chunk_row(-2, place, place, _pack(ctx=ctx, t=t))
+        for shard, p in parts:
+            yield _chunk_row(0, shard, place, _pack(t=t[np.searchsorted(ctx, p["ctx"])]))
+    now, parts = None, []
+    for b in batches:
+        for i in range(b.num_rows):
+            _, place, shard, blob = (b.column(c)[i].as_py() for c in _CHUNK.names)
+            if place != now:
+                if parts:
+                    yield from done(now, parts)
+                now, parts = place, []
+            parts.append((shard, _unpack(blob)))
+    if parts:
+        yield from done(now, parts)
 
 
 def _sweep(glob, number, keep, seed):
-    def run(batches):
+    """A shard's row (role -1) comes after its words' own sums (role -2) and before the
+    sums of its contexts (role 0, in the order of their shards)."""
+    def done(place, s, own, sums):
         g, letters = glob.value
+        rng = np.random.default_rng([seed, number, place])
+        tables = np.concatenate(sums) if sums else np.zeros(0, np.int64)
+        spelled = letters.words(s["len"], s["spell"]) if letters.depths else np.zeros(len(s["hash"]))
+        base = (spelled + 1 / (g["V"] + 1)) / 2
+        parent = _parent(s, g, base)
+        if keep:
+            s = _sampled(s, g, parent, _own_sums(s, *own))
+        t = seat(rng, s["c"].astype(np.int64), STRENGTH + g["d2"] * tables[s["px"]], parent[_word_of(s["pw"])], g["d2"])
+        s["t"] = t.astype(np.int32)
+        up = seat(rng, _from_children(s), STRENGTH + g["d1"] * g["T1"], base, g["d1"])
+        s["up"] = up.astype(np.int32)
+        n = s["len"].astype(np.int64) + 1
+        keys, inv = np.unique(Letters.keys(s["len"], s["spell"])[2], return_inverse=True)
+        share = spelled / 2 / base if letters.depths else np.full(len(base), 0.5)
+        ordered = rng.binomial(up, np.clip(share, 0, 1))
+        times = np.bincount(inv, np.repeat(ordered, n), len(keys)).astype(np.int64)
+        on = times > 0
+        return _state_row(place, _pack(**s), _totals(s), keys[on].tolist(), times[on].tolist())
+
+    def run(batches):
+        now, s, own, sums = None, None, None, []
         for b in batches:
             for i in range(b.num_rows):
-                place, s = b.column("place")[i].as_py(), _unpack(b.column("blob")[i].as_py())
-                rng = np.random.default_rng([seed, number, place])
-                spelled = letters.words(s["len"], s["spell"]) if letters.depths else np.zeros(len(s["hash"]))
-                base = (spelled + 1 / (g["V"] + 1)) / 2
-                child, parent = _predict(s, g, base)
-                mean = s["mean"] + child.astype(np.float32) / SAMPLES if keep else s["mean"]
-                t = np.stack([seat(rng, s["c"][:, k].astype(np.int64), STRENGTH + g["d2"] * g["T"][k], parent,
-                                   g["d2"]) for k in range(KINDS)], 1)
-                up = seat(rng, t.sum(1), STRENGTH + g["d1"] * g["T1"], base, g["d1"])
-                n = s["len"].astype(np.int64) + 1
-                keys, inv = np.unique(Letters.keys(s["len"], s["spell"])[2], return_inverse=True)
-                share = spelled / 2 / base if letters.depths else np.full(len(base), 0.5)
-                ordered = rng.binomial(up, np.clip(share, 0, 1))
-                times = np.bincount(inv, np.repeat(ordered, n), len(keys)).astype(np.int64)
-                on = times > 0
-                out = _pack(hash=s["hash"], c=s["c"], len=s["len"], spell=s["spell"], t=t.astype(np.int32),
-                            up=up.astype(np.int32), mean=mean)
-                yield _state_row(place, out, _totals(s["c"], t, up), keys[on].tolist(), times[on].tolist())
+                role, place, _, blob = (b.column(c)[i].as_py() for c in _CHUNK.names)
+                if place != now:
+                    if s is not None:
+                        yield done(now, s, own, sums)
+                    now, s, sums = place, None, []
+                    own = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                part = _unpack(blob)
+                if role == -2:
+                    own = part["ctx"], part["t"]
+                elif role == -1:
+                    s = part
+                else:
+                    sums.append(part["t"])
+        if s is not None:
+            yield done(now, s, own, sums)
     return run
 
 
-def _questions(batches):
-    """A chunk's words of a shard as questions: hashes and the kinds asked for."""
-    for b in batches:
-        blobs = [_unpack(x.as_py()) for x in b.column("blob")]
-        blobs = pa.array([_pack(hash=q["hash"], used=q["used"]) for q in blobs], pa.binary())
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in _CHUNK.names[:3]), blobs], schema=_CHUNK)
-
-
 def _answer(glob):
-    """A shard's row comes first, then the chunks' questions."""
-    def run(batches):
+    """A shard's row (role -1) comes first, then the tables of its words as contexts
+    (role 0), then the chunks' questions (role 1)."""
+    def ready(s, sums):
         g, letters = glob.value
-        own, s, mean = None, None, None
+        base = (letters.words(s["len"], s["spell"]) + 1 / (g["V"] + 1)) / 2
+        s = _sampled(s, g, _parent(s, g, base), _own_sums(s, *_sum_tables(sums)))
+        order = np.argsort(s["ctx"])
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        key = _word_of(s["pw"]) * max(1, len(order)) + rank[s["px"]]
+        by = np.argsort(key)
+        total = np.bincount(_word_of(s["pw"]), s["c"], len(s["hash"])).astype(np.int64)
+        return {"hash": s["hash"], "total": total, "parent": s["parent"], "weight": s["weight"],
+                "follow": s["follow"], "ctx": s["ctx"][order], "key": key[by], "give": s["give"][by]}
+
+    def run(batches):
+        own, s, sums, known = None, None, [], None
         for b in batches:
             for i in range(b.num_rows):
                 role, place, chunk, blob = (b.column(c)[i].as_py() for c in _CHUNK.names)
                 q = _unpack(blob)
                 if role == -1:
-                    own, s = place, q
-                    spelled = letters.words(s["len"], s["spell"])
-                    child, _ = _predict(s, g, (spelled + 1 / (g["V"] + 1)) / 2)
-                    mean = np.log10(s["mean"] + child / SAMPLES).astype(np.float32)
-                    total = s["c"].sum(1)
+                    own, s, sums, known = place, q, [], None
                     continue
-                k = np.searchsorted(s["hash"], q["hash"])
-                used = np.unpackbits(q["used"][:, None], axis=1, count=KINDS, bitorder="little").astype(bool)
-                row = (0, chunk, own, _pack(c=total[k].astype(np.int64), p=mean[k][used]))
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _CHUNK.types)], schema=_CHUNK)
+                if role == 0:
+                    sums.append(q)
+                    continue
+                if known is None:
+                    known, s, sums = ready(s, sums), None, []
+                k = np.searchsorted(known["hash"], q["hash"])
+                give = np.zeros(len(q["px"]), np.float32)
+                if len(known["key"]):
+                    x = np.minimum(np.searchsorted(known["ctx"], q["ctx"]), len(known["ctx"]) - 1)
+                    met = known["ctx"][x] == q["ctx"]
+                    key = k[_word_of(q["pw"])] * len(known["ctx"]) + x[q["px"]]
+                    at = np.minimum(np.searchsorted(known["key"], key), len(known["key"]) - 1)
+                    hit = (known["key"][at] == key) & met[q["px"]]
+                    give[hit] = known["give"][at[hit]]
+                yield _chunk_row(0, chunk, own, _pack(
+                    c=known["total"][k], follow=known["follow"][k], give=give,
+                    parent=known["parent"][:, k], weight=known["weight"][:, k]))
     return run
 
 
@@ -380,12 +534,16 @@ def _score(total, distinct):
                     continue
                 d = _unpack(blob)
                 words = int(d["cut"][-1])
-                used = _used(d["local"].astype(np.int64), d["kind"], words)
-                c, p = np.zeros(words, np.int64), np.zeros((words, KINDS))
+                pairs, inv, pcut = _pairs(d)
+                c, follow = np.zeros(words, np.int64), np.zeros(words, np.int64)
+                give, weight, parent = np.zeros(len(pairs)), np.zeros((SAMPLES, words)), np.zeros((SAMPLES, words))
                 for shard, blob in parts:
                     a, own = _unpack(blob), slice(d["cut"][shard], d["cut"][shard + 1])
-                    c[own] = a["c"]
-                    p[own][used[own]] = a["p"]
+                    c[own], follow[own] = a["c"], a["follow"]
+                    parent[:, own], weight[:, own] = a["parent"], a["weight"]
+                    give[pcut[shard]:pcut[shard + 1]] = a["give"]
+                w, x = pairs // words, pairs % words
+                p = np.log10((give + sum(weight[k, x] * parent[k, w] for k in range(SAMPLES))) / (STRENGTH + follow[x]))
                 base = np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
                 first = np.cumsum(d["size"]) - d["size"]
                 known = np.add.reduceat((c > 0).astype(np.int64)[d["local"]], first)
@@ -394,7 +552,7 @@ def _score(total, distinct):
                      pa.array(d["size"].astype(np.int64)), pa.array(known),
                      pa.array(np.full(len(first), total, np.int64)),
                      pa.array(np.add.reduceat(base[d["local"]], first)),
-                     pa.array(np.add.reduceat(p[d["local"], d["kind"]], first))], names)
+                     pa.array(np.add.reduceat(p[inv], first))], names)
     return run
 
 
@@ -406,26 +564,32 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     shards = shards or max(32, 4 * base.rdd.getNumPartitions())
     read = work.keep(base.mapInArrow(_read(shards), _CHUNK_DDL), "read")
-    asked = read.filter("role = 0")
-    state = work.keep(asked.select("place", "blob").repartition(shards, "place")
-                      .sortWithinPartitions("place").mapInArrow(_first_state, _STATE_DDL), "state_0")
+    state = work.keep(read.mapInArrow(_split(True), _CHUNK_DDL).select("place", "blob").repartition(shards, "place")
+                      .sortWithinPartitions("place").mapInArrow(_first_state(shards), _STATE_DDL), "state_0")
 
     def totals(df):
         rows = np.array([r.totals for r in df.select("totals").collect()], np.int64)
-        v = rows.sum(0) if len(rows) else np.zeros(2 * KINDS + 7, np.int64)
+        v = rows.sum(0).tolist() if len(rows) else [0] * 8
         disc = lambda a, b: min(0.95, max(0.1, a / max(1, a + 2 * b)))
-        k = 2 * KINDS
-        return {"C": v[:KINDS], "T": v[KINDS:k], "C1": int(v[k]), "T1": int(v[k + 1]), "V": int(v[k + 2]),
-                "d2": disc(int(v[k + 3]), int(v[k + 4])), "d1": disc(int(v[k + 5]), int(v[k + 6]))}
+        return {"C": v[0], "C1": v[1], "T1": v[2], "V": v[3], "d2": disc(v[4], v[5]), "d1": disc(v[6], v[7])}
+
+    def as_rows(state):
+        return state.select(F.lit(-1).alias("role"), "place", F.lit(0).cast("long").alias("chunk"), "blob")
+
+    def tables(state):
+        return state.select("place", "blob").mapInArrow(_tables, _CHUNK_DDL)
 
     g, letters = totals(state), Letters()
-    words, tokens = g["V"], int(g["C"].sum())
+    words, tokens = g["V"], g["C"]
     rng = np.random.default_rng([seed, 0])
     for number in range(1, BURN + SAMPLES + 1):
         # the state before a sweep is the sample of the sweep before it
         keep = number - 1 > BURN
         fn = _sweep(spark.sparkContext.broadcast((g, letters)), number, keep, seed)
-        state = work.keep(state.select("place", "blob").mapInArrow(fn, _STATE_DDL), f"state_{number}")
+        sums = (tables(state).repartition(shards, "place").sortWithinPartitions("place", "chunk")
+                .mapInArrow(_reply, _CHUNK_DDL))
+        state = work.keep(as_rows(state).unionAll(sums).repartition(shards, "place")
+                          .sortWithinPartitions("place", "role", "chunk").mapInArrow(fn, _STATE_DDL), f"state_{number}")
         work.drop(f"state_{number - 1}")
         g = totals(state)
         rows = (state.select(F.explode(F.arrays_zip("letters", "times")).alias("x"))
@@ -435,12 +599,11 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
                                      np.array([r[1] for r in rows], np.int64), letters)
     if not letters.depths:  # nothing to learn from
         letters = Letters.sample(rng, np.array([LAST], np.int64), np.array([0], np.int64), letters)
-    both = (state.select(F.lit(-1).alias("role"), "place", F.lit(0).cast("long").alias("chunk"), "blob")
-            .unionAll(asked.mapInArrow(_questions, _CHUNK_DDL)))
+    both = as_rows(state).unionAll(tables(state)).unionAll(read.mapInArrow(_split(False), _CHUNK_DDL))
     fn = _answer(spark.sparkContext.broadcast((g, letters)))
     answers = (both.repartition(shards, "place").sortWithinPartitions("place", "role", "chunk")
                .mapInArrow(fn, _CHUNK_DDL))
-    rows = answers.unionAll(read.filter("role = 1"))
+    rows = answers.unionAll(read.mapInArrow(_documents, _CHUNK_DDL))
     return (rows.repartition(shards, "place").sortWithinPartitions("place", "role")
             .mapInArrow(_score(tokens, words),
                         "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

@@ -245,3 +245,19 @@ def test_pipeline(spark):
     import corpus_pipeline
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_pieces", "piece_ids"] and 0 < out.count()
+
+
+def test_lm_knows_the_word_before(spark):
+    held = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 10 == 0][:4]
+    train = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10]
+    texts = ["red apple red apple red apple", "blue cloud blue cloud blue cloud"]
+    rows = [(i, texts[k % 2]) for k, i in enumerate(train)]
+    asked = ["red apple", "red cloud", "blue cloud", "blue apple"]
+    df = spark.createDataFrame(rows + list(zip(held, asked)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in pyp_lm.score_texts(df, "doc_id", "text").collect()}
+    s = [got[i].score for i in held]
+    assert all(got[i].held_out for i in held)
+    # the same words in another order of contexts: only word contexts tell them apart
+    assert s[0] - s[1] > 1 and s[2] - s[3] > 1
+    # P(red | start) is a half, P(apple | red) near one, P(end | apple) a third
+    assert abs(s[0] - math.log10(0.5 * 1 / 3)) < 0.2
