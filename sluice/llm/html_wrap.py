@@ -15,8 +15,9 @@ is not boilerplate.  Pages meet their host's path in a join; a page without that
 is read by its own wrapper.
 
 Inside the main group, menus, adverts, forms, notices, comments and the like are left
-out by element, class and role, and so are slots that the host never changes and
-groups that hold links alone.  Blocks are joined by one newline, white space inside a
+out by element, class and role, and so are slots that the host never changes while the
+main text around them does.  A page leaves out a node only where its whole text is that
+of the fixed slot.  Links stay unless their group is marked as one of these.  Blocks are joined by one newline, white space inside a
 block is one space, character references are decoded.
 
 Null and empty pages have the empty text; a page without tags is its text; broken and
@@ -29,6 +30,7 @@ import html as html_lib
 import json
 import re
 from difflib import SequenceMatcher
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -54,6 +56,7 @@ WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "sponsor"
          "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "footer",
          "masthead", "topbar", "comment", "comments", "disqus", "reply", "replies", "widget", "toolbar",
          "pagination", "pager", "hidden", "copyright"}
+CONTAINERS = ("div", "section", "small")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
@@ -64,8 +67,10 @@ _SPACE = re.compile(r"\s+")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # A node of a page: [label, left out?, kids]; a text is a str.  A node of a wrapper:
-# [label, optional, repeated, pages, characters, in links, text or None, kids].
-LABEL, OPT, REP, PAGES, CHARS, LINKS, TEXT, KIDS = range(8)
+# [label, optional, repeated, pages, characters, in links, hash of the text or None, kids,
+# hashes of the main texts around it (SHARED at most)].
+LABEL, OPT, REP, PAGES, CHARS, LINKS, TEXT, KIDS, AROUND = range(9)
+SHARED = 5  # different main texts that share a slot before it counts as template
 
 
 def _describe(tag: str, attrs: str) -> tuple[str, bool]:
@@ -140,11 +145,37 @@ def _tag(label: str) -> str:
     return label.partition(".")[0]
 
 
-def wrapper(node: list, linked: bool = False) -> list:
+def _digest(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def _is_main(label: str) -> bool:
+    names = label.split(".")
+    return names[0] in ("article", "main") or "main" in names[1:]
+
+
+def wrapper(node: list) -> list:
     """The wrapper of one page."""
+    w, whole = _wrap(node, False)
+    _surround(w, whole)
+    _fold_kids(w)
+    return w
+
+
+def _surround(w: list, around: str) -> None:
+    """Tells each text container the hash of the main text (article, main or page) it is in."""
+    if w[AROUND]:
+        around = w[AROUND][0]
+    w[AROUND] = [around] if w[TEXT] and not w[KIDS] and _tag(w[LABEL]) in CONTAINERS else []
+    for k in w[KIDS]:
+        _surround(k, around)
+
+
+def _wrap(node: list, linked: bool) -> tuple[list, str | None]:
+    """The wrapper of a node and the hash of all text below it."""
     kids, chars, links = [], 0, 0
     linked |= _tag(node[0]) == "a"
-    text = []
+    text, whole = [], []
     for k in node[2]:
         if isinstance(k, str):
             k = _SPACE.sub(" ", k).strip()
@@ -153,15 +184,25 @@ def wrapper(node: list, linked: bool = False) -> list:
                 continue
             chars, links = chars + n, links + n * linked
             text.append(k)
+            whole.append(k)
         elif not k[1]:
-            w = wrapper(k, linked)
+            w, below = _wrap(k, linked)
+            whole += [below] if below else []
             chars, links = chars + w[CHARS], links + w[LINKS]
             if _tag(w[LABEL]) in BLOCK or w[KIDS]:
                 kids.append(w)
             elif w[TEXT]:
                 text.append(w[TEXT])
-    joined = " ".join(text)
-    return [node[0], False, False, 1, chars, links, joined[:200] if joined else None, _fold_runs(kids)]
+    own = _digest(" ".join(text)) if text else None
+    whole = own if len(whole) == len(text) else _digest(" ".join(whole))
+    around = [whole] if whole and _is_main(node[0]) else []
+    return [node[0], False, False, 1, chars, links, own, kids, around], whole
+
+
+def _fold_kids(w: list) -> None:
+    for k in w[KIDS]:
+        _fold_kids(k)
+    w[KIDS] = _fold_runs(w[KIDS])
 
 
 def _fold_runs(kids: list) -> list:
@@ -190,6 +231,7 @@ def _fold(a: list, b: list) -> None:
     a[REP] |= b[REP]
     for k in (PAGES, CHARS, LINKS):
         a[k] += b[k]
+    a[AROUND] = sorted({*a[AROUND], *b[AROUND]})[:SHARED]
     if a[TEXT] != b[TEXT]:
         a[TEXT] = ""  # a slot
     x, y = [k[LABEL] for k in a[KIDS]], [k[LABEL] for k in b[KIDS]]
@@ -217,10 +259,9 @@ def main_path(w: list) -> list[str]:
     while stack:
         node, path = stack.pop()
         path = path + [node[LABEL]]
-        names = node[LABEL].split(".")
-        if names[0] in ("article", "main") or "main" in names[1:]:
+        if _is_main(node[LABEL]):
             # an article inside main counts first
-            own = node[CHARS] - node[LINKS] + (names[0] == "article")
+            own = node[CHARS] - node[LINKS] + (_tag(node[LABEL]) == "article")
             if own > best:
                 best, where = own, path
         stack += [(k, path) for k in node[KIDS]]
@@ -244,24 +285,22 @@ def _at(w: list, path: list[str]) -> list | None:
     return nodes[0] if nodes else None
 
 
-def fixed_slots(w: list, path: list[str]) -> list[list[str]]:
-    """Paths inside the main group that are template: containers whose text the host
-    never changes over at least five pages, and groups of links alone."""
-    out: list[list[str]] = []
+def fixed_slots(w: list, path: list[str]) -> list[list]:
+    """Slots inside the main group that are template: containers whose text the host
+    never changes over at least ``SHARED`` different main texts, as [path, hash of the
+    text, whether a repeated group holds it]."""
+    out: list[list] = []
 
-    def walk(node, at):
+    def walk(node, at, many):
         for k in node[KIDS]:
             here = at + [k[LABEL]]
-            tag = _tag(k[LABEL])
-            still = k[PAGES] >= 5 and k[TEXT] and not k[KIDS] and not k[REP] and tag in ("div", "section", "small")
-            menu = tag in ("ul", "ol", "div") and k[PAGES] >= 3 and k[CHARS] > 0 and k[LINKS] >= 0.95 * k[CHARS]
-            if still or menu:
-                out.append(here)
+            if len(k[AROUND]) >= SHARED and k[TEXT] and not k[KIDS] and not k[REP]:
+                out.append([here, k[TEXT], many])
             else:
-                walk(k, here)
+                walk(k, here, many or k[REP])
     top = _at(w, path)
     if top is not None:
-        walk(top, [])
+        walk(top, [], False)
     return out
 
 
@@ -272,9 +311,23 @@ def _find(node: list, path: list[str]) -> list[list]:
     return nodes
 
 
-def blocks(node: list, drop: set[tuple]) -> list[str]:
-    """Texts of the blocks below a node, in page order."""
+def blocks(node: list, drop: list[list]) -> list[str]:
+    """Texts of the blocks below a node, in page order, without the fixed slots ``drop``:
+    each takes one node, or any number where a repeated group holds it."""
     out, run = [], []
+    left: dict[tuple, list] = {}
+    for path, text, many in drop:
+        left.setdefault(tuple(path), []).append((text, many))
+
+    def fixed(k, here):
+        slots = left.get(here)
+        if not slots:
+            return False
+        w, _ = _wrap(k, False)
+        hit = next((x for x in slots if x[0] == w[TEXT] and not w[KIDS]), None)
+        if hit and not hit[1]:
+            slots.remove(hit)
+        return hit is not None
 
     def flush():
         if run:
@@ -289,7 +342,7 @@ def blocks(node: list, drop: set[tuple]) -> list[str]:
                 run.append(k)
             elif not k[1]:
                 here = (*at, k[0])
-                if here in drop:
+                if fixed(k, here):
                     continue
                 block = _tag(k[0]) in BLOCK
                 if block:
@@ -307,12 +360,12 @@ def extract(page: str | None, rule: str | None) -> str:
     if not page:
         return ""
     tree = parse(page)
-    nodes, drop = [], set()
+    nodes, drop = [], []
     if rule:
-        path, fixed = json.loads(rule)
-        nodes, drop = _find(tree, path), {tuple(f) for f in fixed}
+        path, drop = json.loads(rule)
+        nodes = _find(tree, path)
     if not nodes:
-        nodes, drop = _find(tree, main_path(wrapper(tree))), set()
+        nodes, drop = _find(tree, main_path(wrapper(tree))), []
     return "\n".join(b for n in nodes for b in blocks(n, drop))
 
 

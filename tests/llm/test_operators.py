@@ -261,3 +261,27 @@ def test_lm_knows_the_word_before(spark):
     assert s[0] - s[1] > 1 and s[2] - s[3] > 1
     # P(red | start) is a half, P(apple | red) near one, P(end | apple) a third
     assert abs(s[0] - math.log10(0.5 * 1 / 3)) < 0.2
+
+
+def _by_host(pages):
+    w = html_wrap.wrapper(html_wrap.parse(pages[0]))
+    for p in pages[1:]:
+        html_wrap._fold(w, html_wrap.wrapper(html_wrap.parse(p)))
+    return [html_wrap.extract(p, html_wrap._rule(w)) for p in pages]
+
+
+def test_html_template_is_told_by_whole_texts():
+    note = "<div>All rights reserved.</div>"
+    # a div that agrees in 200 characters and differs later
+    pages = [f"<article><h1>t {i}</h1><div>{'same ' * 60}end {i}</div></article>" for i in range(6)]
+    assert all(got.endswith(f"end {i}") for i, got in enumerate(_by_host(pages)))
+    # copies of one article, menus around it differ
+    pages = [f"<div>m {i}</div><article><h1>t</h1><div>the body</div></article>" for i in range(6)]
+    assert _by_host(pages) == ["t\nthe body"] * 6
+    # a fixed div before a variable one of the same path; the fixed one leaves
+    pages = [f"<article>{note}<p>a {i}</p><div>body {i}</div></article>" for i in range(6)]
+    assert _by_host(pages) == [f"a {i}\nbody {i}" for i in range(6)]
+    # links of the text stay, marked ones leave
+    pages = [f"<article><p>a {i}</p><ul><li><a>source</a></li></ul><ul class='menu'><li><a>x</a></li></ul></article>"
+             for i in range(6)]
+    assert _by_host(pages) == [f"a {i}\nsource" for i in range(6)]
