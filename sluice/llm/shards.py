@@ -24,6 +24,8 @@ interchangeable); an empty table gives no rows; columns named ``shard`` or
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -31,6 +33,9 @@ from pyspark.sql import DataFrame, functions as F
 from .work import Work
 
 
+NUMPY_BOUND = 10 ** 9  # numpy's generator draws from fewer rows of each kind only
+
+
 def _bounds(total: int, parts: int) -> np.ndarray:
     """First slot of each of ``parts`` near-equal slices, and the end."""
     return np.arange(parts + 1) * (total // parts) + np.minimum(np.arange(parts + 1), total % parts)
@@ -53,7 +58,34 @@ def _hypergeometric(rng, good: int, bad: int, n: int) -> int:
         return 0
     if bad == 0:
         return n
-    return int(rng.hypergeometric(good, bad, n))
+    if max(good, bad) < NUMPY_BOUND:
+        return int(rng.hypergeometric(good, bad, n))
+    return _by_inversion(rng, good, bad, n)
+
+
+def _by_inversion(rng, good: int, bad: int, n: int) -> int:
+    """A hypergeometric draw of any size: weights relative to the mode by the ratios of
+    neighbours, as far as they count in double precision (12 deviations and 200 leave less
+    than 1e-30 outside), and the distribution inverted."""
+    total = good + bad
+    lo, hi = max(0, n - bad), min(n, good)
+    mode = min(max((n + 1) * (good + 1) // (total + 2), lo), hi)
+    deviation = (n * (good / total) * (bad / total) * ((total - n) / (total - 1))) ** 0.5
+    reach = int(12 * deviation) + 200
+    a, b = max(lo, mode - reach), min(hi, mode + reach)
+    k = np.arange(mode, b, dtype=np.float64)
+    up = np.cumsum(np.log((good - k) / (k + 1) * ((n - k) / (bad - n + k + 1))))
+    k = np.arange(mode, a, -1, dtype=np.float64)
+    down = np.cumsum(np.log(k / (good - k + 1) * ((bad - n + k) / (n - k + 1))))
+    at = np.cumsum(np.exp(np.concatenate((down[::-1], [0.0], up))))
+    return a + min(int(np.searchsorted(at, rng.random() * at[-1], "right")), b - a)
+
+
+@lru_cache(64)
+def _split(seed: int, lo: int, hi: int, left: tuple[int, ...], n: int) -> np.ndarray:
+    """Rows of each shard in the first half (``n`` rows) of a node; the upper nodes are
+    the same for all blocks of a task."""
+    return _multi_hypergeometric(np.random.default_rng([seed, lo, hi]), np.array(left, np.int64), n)
 
 
 def matrix_row(sizes: np.ndarray, shards: np.ndarray, block: int, seed: int) -> np.ndarray:
@@ -61,8 +93,7 @@ def matrix_row(sizes: np.ndarray, shards: np.ndarray, block: int, seed: int) ->
     lo, hi, left = 0, len(sizes), shards.astype(np.int64)
     while hi - lo > 1:
         mid = (lo + hi) // 2
-        rng = np.random.default_rng([seed, lo, hi])
-        take = _multi_hypergeometric(rng, left, int(sizes[lo:mid].sum()))
+        take = _split(seed, lo, hi, tuple(left.tolist()), int(sizes[lo:mid].sum()))
         lo, hi, left = (lo, mid, take) if block < mid else (mid, hi, left - take)
     return left
 

@@ -285,3 +285,19 @@ def test_html_template_is_told_by_whole_texts():
     pages = [f"<article><p>a {i}</p><ul><li><a>source</a></li></ul><ul class='menu'><li><a>x</a></li></ul></article>"
              for i in range(6)]
     assert _by_host(pages) == [f"a {i}\nsource" for i in range(6)]
+
+
+def test_matrix_rows_of_large_tables():
+    sizes, cols = np.full(8, 5 * 10**9), np.full(16, 25 * 10**8)
+    m = np.array([shards.matrix_row(sizes, cols, b, 3) for b in range(8)])
+    assert (m.sum(0) == cols).all() and (m.sum(1) == sizes).all() and (m >= 0).all()
+    # a draw is within ten deviations of its mean (about 16,000)
+    assert abs(m - 5 * 10**9 / 16).max() < 200_000 and m.std() > 1000
+    # more rows than numpy takes, counted against its law where both draw
+    rng = np.random.default_rng(4)
+    got = np.array([shards._by_inversion(rng, 300, 700, 90) for _ in range(4000)])
+    want = rng.hypergeometric(300, 700, 90, 4000)
+    assert abs(got.mean() - want.mean()) < 0.4 and abs(got.std() - want.std()) < 0.3
+    assert shards._by_inversion(rng, 2 * 10**9, 1, 2 * 10**9) in (2 * 10**9 - 1, 2 * 10**9)
+    small = [shards._hypergeometric(rng, 2 * 10**9, 6 * 10**9, 4) for _ in range(2000)]
+    assert 0 <= min(small) and max(small) <= 4 and abs(np.mean(small) - 1) < 0.1
