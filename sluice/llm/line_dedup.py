@@ -96,15 +96,20 @@ def _letter_counts(line: str) -> Column:
     return F.array(*[F.length(line) - F.length(F.replace(F.col(line), F.lit(c))) for c in LETTERS])
 
 
-def near_pairs(work: Work, docs: DataFrame, edits: int) -> DataFrame:
-    """(a, b): hashes of different lines within ``edits`` edits."""
-    keys = (_lines(docs).select(F.explode(_keys(edits)).alias("k")).select("k.key", "k.h"))
+def _shared_keys(docs: DataFrame, edits: int) -> DataFrame:
+    """(key, h) of the keys that different lines have in common; copies of a line
+    combine before a key's rows come together."""
+    keys = (_lines(docs).select(F.explode(_keys(edits)).alias("k")).select("k.key", "k.h").distinct())
     w = Window.partitionBy("key")
     line = F.expr("h & -2L")
-    shared = (keys.withColumn("lo", F.min(line).over(w)).withColumn("hi", F.max(line).over(w))
-              .withColumn("index", F.min(F.expr("h & 1L")).over(w))
-              .filter("lo <> hi and index = 0").select("key", "h").distinct())
-    shared = work.keep(shared, "shared")
+    return (keys.withColumn("lo", F.min(line).over(w)).withColumn("hi", F.max(line).over(w))
+            .withColumn("index", F.min(F.expr("h & 1L")).over(w))
+            .filter("lo <> hi and index = 0").select("key", "h"))
+
+
+def near_pairs(work: Work, docs: DataFrame, edits: int) -> DataFrame:
+    """(a, b): hashes of different lines within ``edits`` edits."""
+    shared = work.keep(_shared_keys(docs, edits), "shared")
     probe = F.pmod(F.shiftright("h", 1), F.lit(BITS))
     bits = (shared.select(probe.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("on")))
