@@ -301,13 +301,3 @@ def test_matrix_rows_of_large_tables():
     assert shards._by_inversion(rng, 2 * 10**9, 1, 2 * 10**9) in (2 * 10**9 - 1, 2 * 10**9)
     small = [shards._hypergeometric(rng, 2 * 10**9, 6 * 10**9, 4) for _ in range(2000)]
     assert 0 <= min(small) and max(small) <= 4 and abs(np.mean(small) - 1) < 0.1
-
-
-def test_line_copies_combine_before_the_window(spark):
-    hot = "a line that every document has"
-    df = spark.createDataFrame([(i, i, hot + ("x" if i == 7 else "")) for i in range(100)], "id long, dkey long, text string")
-    out = line_dedup._shared_keys(df, 2)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "Aggregate" in plan[plan.index("Window"):]
-    rows = [tuple(r) for r in out.collect()]
-    assert rows and len(rows) == len(set(rows)) and len({h & -2 for _, h in rows}) == 2
