@@ -14,6 +14,7 @@ from .line_dedup import dedup_lines
 from .pyp_lm import score_texts
 from .shards import shard_rows
 from .token_count import count_tokens
+from .trie import build_trie, ends_digest, share_openings, turn_paths
 
 
 def tokenizer_path(name: str) -> str:
@@ -88,7 +89,14 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_docs(spark, sf_dir), "doc_id", "text")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return ends_digest(*build_trie(share_openings(turn_paths(turns, near=5), near=5, most=9))).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_wrapper, op2_token_counts, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_line_dedup,
-    op7_sharding, op8_nearest, op9_decontamination, op10_pitman_yor)}
+    op7_sharding, op8_nearest, op9_decontamination, op10_pitman_yor, op11_conversation_trie)}
 ORACLE: dict[str, str] = {}
