@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import piece_codec
+from .align import align_texts
 from .ann import nearest
 from .cotrain import classify
 from .decontam import find_contamination
@@ -96,7 +97,13 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("saved").alias("saved_tokens"), "ends_sha256")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_texts(_docs(spark, sf_dir), "doc_id", "text", tokenizer_path("byte_bpe_50k.json"),
+                       tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_wrapper, op2_token_counts, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_line_dedup,
-    op7_sharding, op8_nearest, op9_decontamination, op10_pitman_yor, op11_conversation_trie)}
+    op7_sharding, op8_nearest, op9_decontamination, op10_pitman_yor, op11_conversation_trie,
+    op12_token_alignment)}
 ORACLE: dict[str, str] = {}
