@@ -14,6 +14,7 @@ from .jaccard import jaccard_components
 from .line_dedup import dedup_lines
 from .pyp_lm import score_texts
 from .shards import shard_rows
+from .suffix_dedup import remove_repeats
 from .token_count import count_tokens
 from .trie import build_trie, ends_digest, share_openings, turn_paths
 
@@ -102,8 +103,14 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                        tokenizer_path("piece_bpe_32k.model"))[0]
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_docs(spark, sf_dir), "doc_id", "text").select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_wrapper, op2_token_counts, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_line_dedup,
     op7_sharding, op8_nearest, op9_decontamination, op10_pitman_yor, op11_conversation_trie,
-    op12_token_alignment)}
+    op12_token_alignment, op13_suffix_dedup)}
 ORACLE: dict[str, str] = {}
