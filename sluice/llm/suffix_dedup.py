@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import textutil as tu
 from .work import Work
 
-WINDOW, RUN = 50, 16
+WINDOW, RUN = 50, 24                      # RUN: a multiple of 8; longer runs meet less by chance
 SPAN = WINDOW - RUN + 1
 MASK = 64
 PIECE = 1 << 20
@@ -52,13 +52,16 @@ _PROBES = (32, 16, 8, 4, 2, 1)
 def _run_hashes(data: np.ndarray) -> np.ndarray:
     """48-bit hash of the RUN bytes from every position on."""
     n = len(data)
-    raw = data.tobytes() + bytes(16)
+    raw = data.tobytes() + bytes(8)
     words = np.empty(n, np.uint64)
     for j in range(8):
         out = words[j::8]
         out[:] = np.frombuffer(raw, "<u8", len(out), j)
     m = max(0, n - RUN + 1)
-    return tu.mix64(words[:m] * _U(0x9E3779B97F4A7C15) ^ tu.mix64(words[8:8 + m])) >> _U(16)
+    h = words[:m]
+    for j in range(8, RUN, 8):
+        h = tu.mix64(h) * _STEP ^ words[j:j + m]
+    return tu.mix64(h * _STEP) >> _U(16)
 
 
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
