@@ -41,7 +41,7 @@ WINDOW, RUN = 50, 24                      # RUN: a multiple of 8; longer runs me
 SPAN = WINDOW - RUN + 1
 MASK = 64
 PIECE = 1 << 20
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 HOT = 13                                  # log2 of the places of one hash that stay together
 _U = np.uint64
 _STEP = _U(0x9E6C63D0876A9A4B | 1)
