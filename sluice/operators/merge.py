@@ -57,7 +57,8 @@ def update_guard(spec: TableSpec) -> Column:
 
 
 def _merged_columns(spec: TableSpec, t_in: Column, s_in: Column, now_c: Column) -> list[Column]:
-    """Per-column MERGE result over a joined row (``t__*`` / ``s__*`` columns)."""
+    """Per-column MERGE result over a joined row (``t__*`` / ``s__*`` columns), then
+    whether the merge changed the row (``_changed``)."""
     keys = list(spec.keys)
     is_update = t_in & s_in & update_guard(spec)
     is_insert = ~t_in
@@ -86,6 +87,7 @@ def _merged_columns(spec: TableSpec, t_in: Column, s_in: Column, now_c: Column)
         pick("_run_id", F.col("s___run_id"), F.col("t___run_id")),
         F.when(is_insert, now_c).otherwise(F.col("t___created_at")).alias("_created_at"),
         pick("_updated_at", now_c, F.col("t___updated_at")),
+        changed.alias(CHANGED),
     ]
     return out
 
@@ -96,9 +98,10 @@ def _insert_columns(spec: TableSpec, now_c: Column) -> list[Column]:
             F.col("s___is_deleted").alias("_is_deleted"), F.lit(True).alias("_is_current"),
             F.col("s___pipeline_name").alias("_pipeline_name"),
             F.col("s___batch_id").alias("_batch_id"), F.col("s___run_id").alias("_run_id"),
-            now_c.alias("_created_at"), now_c.alias("_updated_at")]
+            now_c.alias("_created_at"), now_c.alias("_updated_at"), F.lit(True).alias(CHANGED)]
 
 
+CHANGED = "_changed"
 SOURCE_META = ("_pipeline_name", "_batch_id", "_run_id", "_is_deleted")
 
 
@@ -115,34 +118,19 @@ def _instant(now: dt.datetime | Column) -> Column:
     return now if isinstance(now, Column) else F.lit(now).cast(T.TimestampNTZType())
 
 
-def _staging_typed(df: DataFrame, spec: TableSpec) -> DataFrame:
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in spec.columns],
-                     *[F.col(c).cast(STAGING_META_TYPES[c]).alias(c)
-                       for c in STAGING_META_COLUMNS])
+def _staging_columns(spec: TableSpec) -> list[Column]:
+    return [*[F.col(c).cast(t).alias(c) for c, t in spec.columns],
+            *[F.col(c).cast(STAGING_META_TYPES[c]).alias(c) for c in STAGING_META_COLUMNS]]
 
 
 def _same_key(spec: TableSpec) -> list[Column]:
     return [F.col("t__" + k) == F.col("s__" + k) for k in spec.keys]
 
 
-def insert_rows(src: DataFrame, spec: TableSpec, now: dt.datetime | Column) -> DataFrame:
-    """STAGING rows of batch rows whose key the target does not hold."""
-    return _staging_typed(_source_side(src, spec).select(*_insert_columns(spec, _instant(now))),
-                          spec)
-
-
-def update_rows(target: DataFrame, src: DataFrame, spec: TableSpec,
-                now: dt.datetime | Column) -> DataFrame:
-    """Every target row, changed where a batch row passes the guard; no inserts."""
-    s = _source_side(src, spec).withColumn("s__present", F.lit(True))
-    joined = _target_side(target, spec).join(s, _same_key(spec), "left_outer")
-    return _staging_typed(joined.select(*_merged_columns(
-        spec, F.lit(True), F.coalesce(F.col("s__present"), F.lit(False)), _instant(now))), spec)
-
-
 def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.datetime | Column,
-                 batch_id: str | None = None, dedupe: bool = True) -> DataFrame:
-    """Return the table after merging ``raw`` (RAW rows) into ``target``.
+                 batch_id: str | None = None, dedupe: bool = True, mark: bool = False) -> DataFrame:
+    """Return the table after merging ``raw`` (RAW rows) into ``target``; with ``mark``
+    also whether the merge changed the row (``_changed``).
 
     ``target`` has the STAGING layout (business columns + metadata); the
     result has the same columns in the same order.  ``now`` is the one
@@ -163,9 +151,10 @@ def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.dat
     # Rows that cannot match: target rows kept as they are, source rows inserted.
     kept = (tgt.where(_any_null(keys, "t__"))
                .select(*[F.col("t__" + c).alias(c)
-                         for c in [*spec.column_names, *STAGING_META_COLUMNS]]))
+                         for c in [*spec.column_names, *STAGING_META_COLUMNS]], F.lit(False).alias(CHANGED)))
     inserted = src.where(_any_null(keys, "s__")).select(*_insert_columns(spec, now_c))
-    return _staging_typed(merged.unionByName(kept).unionByName(inserted), spec)
+    return (merged.unionByName(kept).unionByName(inserted)
+            .select(*_staging_columns(spec), *([CHANGED] if mark else [])))
 
 
 def merge_counts(staging: DataFrame, batch_id: str | Column | None = None) -> DataFrame:

@@ -1,29 +1,20 @@
-"""K4: the STAGING table as immutable Parquet files under versioned manifests.
-
-Built-in Parquet tables have no row-level MERGE, so a merge writes files.
-A table folder holds
-
-* ``_data/<merge>/part-*.parquet``: files written once and never changed;
-* ``_versions/<n>.json``: the manifest of version ``n`` (its schema and the
-  names of its live files), written under a temporary name and renamed into
-  place as the merge's last step.  Readers take the highest version.
-
-A driver or executor lost before that rename leaves the table as it was, and
-running the batch again gives the same result; files of the lost attempt are
-in no manifest and ``vacuum`` removes them.  A reader never sees half a merge.
-The folders' names start with ``_``, so a plain Parquet read of the table's
-path fails instead of mixing versions.
-
-A merge moves what it has to:
-
-* the batch's latest rows (W1) are written once as Parquet, a temporary table
-  that every later step reads (columnar, and no re-run of RAW after a loss);
-* the target's keys, guard columns and file names are joined to it; batch rows
-  that the guard would not change drop out here, and a batch that changes
-  nothing writes nothing;
-* only files holding a changed row are rewritten; inserts become new files;
-* no join side is broadcast by this module and no size decides the form:
-  Spark sees the sizes of written tables and chooses, and AQE splits skew.
+"""K4: the STAGING table, a plain partitioned Parquet table behind one pointer.
+
+Built-in Parquet tables have no row-level MERGE, so a merge writes a new copy of
+the partitions it touches:
+
+* ``_data/<version>/_part=<p>/``: what one merge wrote, by Spark's own partitioned
+  writer; ``_part`` is a hash of the key (or of ``cluster_by``, columns of the key);
+* ``_versions/<n>.json``: the pointer: which version each partition is read from,
+  the schema and the last epoch of each streaming query.  It is written aside and
+  renamed as a merge's last step, so readers see a merge whole or not at all, and a
+  merge lost before that is simply run again.  Its size follows the number of
+  partitions, not of files.
+
+A merge is one full outer join: the batch's latest rows (W1) are written once, the
+partitions they fall into are read and joined with them, and the result is written.
+A batch that changes nothing publishes nothing.  One writer at a time per table;
+the last ``KEEP`` versions stay readable.
 """
 
 from __future__ import annotations
@@ -36,33 +27,30 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from sluice.operators.merge import (SOURCE_META, _any_null, insert_rows, source_latest,
-                                    update_guard, update_rows)
-from sluice.session import delete
-from sluice.spec import TableSpec
+from sluice.operators.merge import CHANGED, SOURCE_META, empty_staging, merge_upsert, source_latest
+from sluice.session import delete, exists
+from sluice.spec import STAGING_META_COLUMNS, TableSpec
 
-FILE = "_file"
-_RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType,
-           T.StringType)
-
-
-class ConcurrentMerge(RuntimeError):
-    """Another writer committed the version this merge was to become."""
+PART = "_part"
+PARTS = 16
+KEEP = 2
 
 
 class StagingTable:
-    """``cluster_by`` names the columns whose equal values should share files (the
-    key by default): a batch of changes clustered in them then rewrites few files.
+    """``parts`` is the number of partitions of a new table (choose it so that one
+    holds some GB); ``cluster_by`` names key columns whose equal values share one.
     ``join_hint`` passes a Spark join strategy hint on the batch side; none by
-    default, so Spark chooses.  One writer at a time per table."""
+    default, so Spark chooses."""
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec,
-                 cluster_by: Sequence[str] = (), join_hint: str | None = None):
+                 cluster_by: Sequence[str] = (), join_hint: str | None = None, parts: int = PARTS):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
         self.cluster_by = list(cluster_by) or list(spec.keys)
-        self.join_hint = join_hint
+        if not set(self.cluster_by) <= set(spec.keys):
+            raise ValueError(f"cluster_by {self.cluster_by} must be key columns: a row keeps its partition")
+        self.join_hint, self.parts = join_hint, parts
 
-    # -- versions ---------------------------------------------------------------
+    # -- the pointer --------------------------------------------------------------
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
@@ -75,210 +63,154 @@ class StagingTable:
         if not fs.exists(root):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(root)]
-        return sorted(int(n[:-len(".json")]) for n in names
-                      if n.endswith(".json") and not n.startswith("."))
+        return sorted(int(n[:-len(".json")]) for n in names if n.endswith(".json") and not n.startswith("."))
 
-    def _manifest(self, version: int | None = None) -> dict:
-        """Schema and files of a version (the newest by default); no version: no files."""
+    def _pointer(self, version: int | None = None) -> dict:
         have = self.versions()
         if not have:
-            return {"version": 0, "schema": self.spec.staging_schema(), "files": []}
+            return {"version": 0, "schema": self.spec.staging_schema(), "parts": {}, "n_parts": self.parts,
+                    "cluster_by": self.cluster_by, "epochs": {}}
         version = have[-1] if version is None else version
         stream = self._fs().open(self._path(f"_versions/{version:012d}.json"))
         try:
             doc = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return {"version": version, "schema": T.StructType.fromJson(doc["schema"]),
-                "files": doc["files"]}
-
-    def _commit(self, base: int, schema: T.StructType, files: list[str]) -> int:
-        """Publish version ``base + 1``: write aside, then rename (the pointer move)."""
-        fs, new = self._fs(), base + 1
-        aside = self._path(f"_versions/.{uuid.uuid4().hex}")
-        final = self._path(f"_versions/{new:012d}.json")
+        return doc | {"version": version, "schema": T.StructType.fromJson(doc["schema"])}
+
+    def _publish(self, old: dict, **new) -> None:
+        """Move the pointer: write aside, then rename; drop what no kept version names."""
+        doc, version = old | new, old["version"] + 1
+        fs, aside = self._fs(), self._path(f"_versions/.{uuid.uuid4().hex}")
+        final = self._path(f"_versions/{version:012d}.json")
         fs.mkdirs(self._path("_versions"))
         out = fs.create(aside, False)
-        out.write(bytearray(json.dumps({"schema": json.loads(schema.json()),
-                                        "files": files}).encode()))
+        out.write(bytearray(json.dumps(doc | {"version": version, "schema": json.loads(doc["schema"].json())}).encode()))
         out.close()
-        if fs.exists(final) or not fs.rename(aside, final):
-            fs.delete(aside, False)
-            raise ConcurrentMerge(f"{self.path}: version {new} exists already")
-        return new
+        if not fs.rename(aside, final):
+            raise RuntimeError(f"{self.path}: version {version} exists already; one writer at a time")
+        kept = self.versions()[-KEEP:]
+        named = {v for k in kept for v in self._pointer(k)["parts"].values()}
+        for s in fs.listStatus(self._path("_data")) if fs.exists(self._path("_data")) else ():
+            if s.getPath().getName() not in named:
+                fs.delete(s.getPath(), True)
+        for v in set(self.versions()) - set(kept):
+            fs.delete(self._path(f"_versions/{v:012d}.json"), False)
 
-    # -- reading ----------------------------------------------------------------
+    # -- reading ------------------------------------------------------------------
 
     def exists(self) -> bool:
         return bool(self.versions())
 
-    def _read(self, schema: T.StructType, files: list[str]) -> DataFrame:
-        if not files:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in files])
+    def _read(self, pointer: dict, parts: Sequence[str] | None = None) -> DataFrame:
+        """The rows of the given partitions (all by default)."""
+        have = pointer["parts"]
+        folders = [f"{self.path}/_data/{have[p]}/{PART}={p}" for p in (have if parts is None else parts) if p in have]
+        if not folders:
+            return self.spark.createDataFrame([], pointer["schema"])
+        return self.spark.read.schema(pointer["schema"]).parquet(*folders)
 
     def read(self, version: int | None = None) -> DataFrame:
-        m = self._manifest(version)
-        return self._read(m["schema"], m["files"])
+        return self._read(self._pointer(version))
 
-    def files(self, version: int | None = None) -> list[str]:
-        return list(self._manifest(version)["files"])
+    def schema(self) -> T.StructType:
+        return self._pointer()["schema"]
 
-    # -- writing ----------------------------------------------------------------
+    # -- writing ------------------------------------------------------------------
 
     def _merged_spec(self, schema: T.StructType) -> TableSpec:
-        """The spec plus business columns the table already has beyond it (Q14):
-        a batch without them leaves NULL in what it inserts."""
-        known = set(self.spec.staging_schema().fieldNames())
-        extra = tuple((f.name, f.dataType) for f in schema.fields if f.name not in known)
-        return replace(self.spec, columns=self.spec.columns + extra) if extra else self.spec
-
-    def _write(self, df: DataFrame) -> tuple[list[str], int]:
-        """Write one merge's files; AQE sizes them (rebalance on ``cluster_by``
-        splits skewed values and folds small ones).  Returns names and row count."""
-        name = f"_data/{uuid.uuid4().hex}"
-        obs = Observation(f"staging_{uuid.uuid4().hex}")
-        (df.hint("rebalance", *[F.col(c) for c in self.cluster_by])
-           .observe(obs, F.count(F.lit(1)).alias("n"))
-           .write.parquet(f"{self.path}/{name}"))
-        files = [s.getPath().getName() for s in self._fs().listStatus(self._path(name))]
-        return ([f"{name}/{f}" for f in sorted(files) if f.endswith(".parquet")],
-                int(obs.get.get("n") or 0))
-
-    def _hinted(self, src: DataFrame) -> DataFrame:
-        return src.hint(self.join_hint) if self.join_hint else src
-
-    def merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None = None) -> dict:
+        """The spec with the table's column types, and with business columns that the
+        table has beyond it (Q14): a batch without them leaves NULL in what it changes."""
+        have = {f.name: f.dataType for f in schema.fields if f.name not in STAGING_META_COLUMNS}
+        own = tuple((c, have.pop(c, t)) for c, t in self.spec.columns)
+        return replace(self.spec, columns=own + tuple(have.items()))
+
+    def _part_of(self, pointer: dict) -> Column:
+        return F.pmod(F.hash(*pointer["cluster_by"]), F.lit(pointer["n_parts"]))
+
+    def _write(self, df: DataFrame, pointer: dict, metrics: Sequence[Column] = ()) -> tuple[str, dict, dict]:
+        """(folder, partition -> folder, observed counts); AQE sizes the files."""
+        name = uuid.uuid4().hex
+        obs = Observation(f"staging_{name}")
+        (df.observe(obs, F.count(F.lit(1)).alias("n"), *metrics).drop(CHANGED).withColumn(PART, self._part_of(pointer))
+           .hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(f"{self.path}/_data/{name}"))
+        found = [s.getPath().getName() for s in self._fs().listStatus(self._path(f"_data/{name}"))]
+        parts = {f.split("=", 1)[1]: name for f in found if f.startswith(PART + "=")}
+        # a plan that Spark found empty reports no metrics
+        return name, parts, {k: int(v or 0) for k, v in obs.get.items()} if parts else {"n": 0}
+
+    def merge(self, raw: DataFrame, now: dt.datetime, batch_id: str | None = None,
+              epoch: tuple[str, int] | None = None) -> dict:
         """Merge one batch of RAW rows; returns counts (G1).
 
         With a batch id, INSERT / UPDATE count the table's rows of that batch by
         label (a repeated batch reports its labels again); without one, they
-        count what this merge changed.  ``rows_changed`` is always the latter."""
-        old = self._manifest()
-        spec = self._merged_spec(old["schema"])
+        count what this merge changed.  ``rows_changed`` is always the latter.
+        ``epoch`` (streaming query, epoch number) is published with the merge; an
+        epoch that was published before, or a later one, is not merged again."""
+        old = self._pointer()
+        done = old["epochs"].get(epoch[0], -1) if epoch else -1
+        if epoch and epoch[1] <= done:
+            return {"rows_inserted": 0, "rows_updated": 0, "rows_changed": 0, "rows_written": 0, "parts_written": 0}
         tmp = f"{self.path}/_work/{uuid.uuid4().hex}"
         try:
-            return self._merge(raw, now, batch_id, old, spec, tmp)
+            return self._merge(raw, now, batch_id, old, {epoch[0]: epoch[1]} if epoch else {}, tmp)
         finally:
             delete(self.spark, tmp)
 
-    def _merge(self, raw, now, batch_id, old, spec, tmp) -> dict:
+    def _merge(self, raw, now, batch_id, old, epoch, tmp) -> dict:
+        spec = self._merged_spec(old["schema"])
         src = source_latest(raw, self.spec, batch_id)
-        src = src.select(*[(F.col(c) if c in src.columns else F.lit(None)).cast(t).alias(c)
-                           for c, t in spec.columns], *SOURCE_META)
-        if not old["version"]:      # a new table: every row is an INSERT
-            files, n = self._write(insert_rows(src, spec, now))
-            self._commit(0, spec.staging_schema(), files)
-            return {"rows_inserted": n, "rows_updated": 0, "rows_changed": n,
-                    "rows_written": n, "files_rewritten": 0}
-        obs = Observation(f"batch_{uuid.uuid4().hex}")
-        null_key = _any_null(spec.keys)
-        src.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(null_key).alias("n_null")) \
-           .write.parquet(f"{tmp}/batch")
-        n_src, n_null = (int(obs.get.get(k) or 0) for k in ("n", "n_null"))
-        src = self.spark.read.schema(src.schema).parquet(f"{tmp}/batch")
-        keyed = src.where(~null_key)
-        target = self._read(spec.staging_schema(), old["files"])
-
-        held = self._held(target, keyed, spec, batch_id)
-        held.write.parquet(f"{tmp}/held")
-        held = self.spark.read.schema(held.schema).parquet(f"{tmp}/held")
-        got = held.agg(F.count(F.lit(1)).alias("n"), F.count_if("_changed").alias("changed"),
-                       F.count_if(~F.col("_changed") & (F.col("_own") == "INSERT")).alias("ins"),
-                       F.count_if(~F.col("_changed") & (F.col("_own") == "UPDATE")).alias("upd")
-                       ).first()
-        inserts = n_src - got["n"]
-        counts = {"rows_inserted": inserts + got["ins"], "rows_updated": got["changed"] + got["upd"],
-                  "rows_changed": inserts + got["changed"]}
-        if batch_id is not None and n_null:     # NULL keys never match: earlier ones of this batch
-            counts["rows_inserted"] += target.where(null_key & (F.col("_batch_id") == batch_id)
-                                                    & (F.col("_cdc_operation") == "INSERT")).count()
-        if not counts["rows_changed"]:
-            return counts | {"rows_written": 0, "files_rewritten": 0}
-
-        # file names only: at most as many as the manifest names
-        touched = {r[FILE] for r in held.where("_changed").select(FILE).distinct().collect()}
-        on = [src[k] == held[k] for k in spec.keys]
-        new = insert_rows(src.join(self._hinted(held.select(*spec.keys)), on, "left_anti"), spec, now)
-        if touched:
-            live = self._read(spec.staging_schema(), [f for f in old["files"] if f in touched])
-            new = update_rows(live, self._hinted(keyed), spec, now).unionByName(new)
-        files, n = self._write(new)
-        self._commit(old["version"], spec.staging_schema(),
-                     [f for f in old["files"] if f not in touched] + files)
-        return counts | {"rows_written": n, "files_rewritten": len(touched)}
-
-    def _held(self, target: DataFrame, keyed: DataFrame, spec: TableSpec,
-              batch_id: str | None) -> DataFrame:
-        """One row per batch key the target holds: its file, whether the guard
-        changes it, and its label if it is of this batch.  Reads the target's key
-        and guard columns; the batch's range of the first key prunes its scan."""
-        first = spec.keys[0]
-        kind = dict(spec.columns)[first]
-        if isinstance(kind, _RANGED):
-            lo, hi = keyed.agg(F.min(first), F.max(first)).first()
-            target = target.where(F.col(first).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind)))
-        guard = [spec.updated_column, "_is_deleted"]
-        cols = list(dict.fromkeys([*spec.keys, *guard]))
-        t = target.select(*[F.col(c).alias("t__" + c) for c in cols],
-                          F.col("_batch_id").alias("t___batch_id"),
-                          F.col("_cdc_operation").alias("t___cdc_operation"),
-                          F.regexp_extract("_metadata.file_path", r"(_data/[^/]+/[^/]+)$", 1)
-                           .alias(FILE))
-        s = self._hinted(keyed.select(*[F.col(c).alias("s__" + c) for c in cols]))
-        own: Column = F.lit(None).cast("string")
-        if batch_id is not None:
-            own = F.when(F.col("t___batch_id") == batch_id, F.col("t___cdc_operation"))
-        return (t.join(s, [F.col("t__" + k) == F.col("s__" + k) for k in spec.keys])
-                 .select(*[F.col("s__" + k).alias(k) for k in spec.keys], FILE,
-                         update_guard(spec).alias("_changed"), own.alias("_own")))
-
-    # -- upkeep -----------------------------------------------------------------
-
-    def compact(self, small_bytes: int = 128 * 1024 ** 2) -> int:
-        """Fold files under ``small_bytes`` into files of AQE's advisory size, as a
-        new version; returns how many were folded.  ``small_bytes`` of any size
-        beyond the largest file lays the whole table out again (by ``cluster_by``)."""
-        m, fs = self._manifest(), self._fs()
-        folders = {f.rsplit("/", 1)[0] for f in m["files"]}
-        size = {f"{d}/{s.getPath().getName()}": s.getLen()
-                for d in folders for s in fs.listStatus(self._path(d))}
-        small = {f for f in m["files"] if size[f] < small_bytes}
-        if len(small) < 2:
-            return 0
-        files, _ = self._write(self._read(m["schema"], [f for f in m["files"] if f in small]))
-        self._commit(m["version"], m["schema"], [f for f in m["files"] if f not in small] + files)
-        return len(small)
-
-    def vacuum(self, keep: int = 2) -> int:
-        """Remove files that none of the newest ``keep`` versions names, older
-        manifests and leftovers of lost merges.  Not while a merge is running, and
-        readers of older versions must be done.  Returns the data files removed."""
-        fs, have = self._fs(), self.versions()
-        kept, gone = have[-max(keep, 1):], have[:-max(keep, 1)]
-        live = {f for v in kept for f in self._manifest(v)["files"]}
-        removed = 0
-        if fs.exists(self._path("_data")):
-            for d in fs.listStatus(self._path("_data")):
-                names = [f"_data/{d.getPath().getName()}/{s.getPath().getName()}"
-                         for s in fs.listStatus(d.getPath())]
-                data = [n for n in names if n.endswith(".parquet")]
-                dead = [n for n in data if n not in live]
-                removed += len(dead)
-                if len(dead) == len(data):
-                    fs.delete(d.getPath(), True)
-                else:
-                    for n in dead:
-                        fs.delete(self._path(n), False)
-        for v in gone:
-            fs.delete(self._path(f"_versions/{v:012d}.json"), False)
-        fs.delete(self._path("_work"), True)
-        return removed
+        src = src.select(*[(F.col(c) if c in src.columns else F.lit(None)).cast(t).alias(c) for c, t in spec.columns],
+                         *SOURCE_META)
+        target, published = empty_staging(self.spark, spec), {}
+        if old["version"]:
+            src.write.parquet(f"{tmp}/batch")
+            src = self.spark.read.schema(src.schema).parquet(f"{tmp}/batch")
+            # at most one row per partition of the table
+            published = old["parts"]
+            touched = [str(r[0]) for r in src.select(self._part_of(old)).distinct().collect()]
+            if not touched:
+                return self._unchanged(old, epoch, {"rows_inserted": 0, "rows_updated": 0, "rows_changed": 0})
+            target = self._typed(self._read(old, touched), spec)
+        merged = merge_upsert(target, src.hint(self.join_hint) if self.join_hint else src, spec, now,
+                              dedupe=False, mark=True)
+        own = F.col(CHANGED) if batch_id is None else F.col("_batch_id") == batch_id
+        name, parts, got = self._write(merged, old, [
+            F.count_if(F.col(CHANGED)).alias("changed"),
+            F.count_if(own & (F.col("_cdc_operation") == "INSERT")).alias("ins"),
+            F.count_if(own & (F.col("_cdc_operation") == "UPDATE")).alias("upd")])
+        counts = {"rows_inserted": got.get("ins", 0), "rows_updated": got.get("upd", 0), "rows_changed": got.get("changed", 0)}
+        if not counts["rows_changed"] and old["version"]:
+            delete(self.spark, f"{self.path}/_data/{name}")
+            return self._unchanged(old, epoch, counts)
+        self._publish(old, schema=spec.staging_schema(), parts=published | parts, epochs=old["epochs"] | epoch)
+        return counts | {"rows_written": got["n"], "parts_written": len(parts)}
+
+    def _unchanged(self, old: dict, epoch: dict, counts: dict) -> dict:
+        if epoch:
+            self._publish(old, epochs=old["epochs"] | epoch)
+        return counts | {"rows_written": 0, "parts_written": 0}
+
+    def _typed(self, df: DataFrame, spec: TableSpec) -> DataFrame:
+        """The table's rows with columns that only the spec has as NULL."""
+        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in spec.columns],
+                         *STAGING_META_COLUMNS)
+
+    def evolve(self, spec: TableSpec) -> bool:
+        """Q14: give the table the spec's column types.  New columns need no rewrite
+        (older rows read NULL); a changed type rewrites the table once.  Returns whether it did."""
+        old = self._pointer()
+        kinds = {f.name: f.dataType for f in old["schema"].fields}
+        if not old["version"] or all(kinds.get(c, t) == t for c, t in spec.columns):
+            return False
+        name, parts, _ = self._write(self._typed(self._read(old), spec), old)
+        self._publish(old, schema=spec.staging_schema(), parts=parts)
+        return True
 
 
 def read_staging(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of a STAGING table, by its own recorded schema."""
-    table = StagingTable(spark, path, TableSpec("", (), ()))
-    if not table.exists():
+    if not exists(spark, f"{path.rstrip('/')}/_versions"):
         raise FileNotFoundError(f"no STAGING table at {path}")
-    return table.read()
+    return StagingTable(spark, path, TableSpec("", (), ())).read()

@@ -1,4 +1,4 @@
-"""K4: versioned STAGING: nothing lost in a crash, nothing rewritten without need."""
+"""K4: partitioned STAGING behind a pointer: nothing lost in a crash, nothing rewritten without need."""
 
 import datetime as dt
 import os
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from sluice.operators.projection import stamp_audit
 from sluice.session import local_path
-from sluice.sinks.staging import ConcurrentMerge, StagingTable, read_staging
+from sluice.sinks.staging import StagingTable, read_staging
 from sluice.spec import TableSpec, _cols
 
 COLS = "id bigint, v bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -22,74 +22,82 @@ def _raw(spark, ids, day, batch):
     return stamp_audit(df, "p", batch, "r", "CDC", D + dt.timedelta(days=100 + day))
 
 
-def _by_range(spark, path, n=400, files=4):
-    """A table whose files hold ranges of ids (one initial load per file)."""
+def _table(spark, path, n=400, loads=4):
     t = StagingTable(spark, path, SPEC)
-    step = n // files
-    for i in range(files):
+    step = n // loads
+    for i in range(loads):
         t.merge(_raw(spark, range(i * step, (i + 1) * step), 0, f"B{i}"), D, f"B{i}")
     return t
 
 
-def test_only_files_with_a_changed_row_are_rewritten(spark, work):
-    t = _by_range(spark, work + "/stg")
-    before = t.files()
-    got = t.merge(_raw(spark, [7, 1000], 1, "C"), D, "C")
-    assert (got["rows_inserted"], got["rows_updated"], got["files_rewritten"]) == (1, 1, 1)
-    assert len(set(before) - set(t.files())) == 1
+def test_only_touched_partitions_are_written(spark, work):
+    t = _table(spark, work + "/stg")
+    before = t._pointer()["parts"]
+    got = t.merge(_raw(spark, [7], 1, "C"), D, "C")
+    after = t._pointer()["parts"]
+    assert (got["rows_inserted"], got["rows_updated"], got["parts_written"]) == (0, 1, 1)
+    assert sum(before[p] != after[p] for p in after) == 1 and set(before) == set(after)
     rows = t.read()
-    assert rows.count() == 401 and rows.where("id = 7").first()["_batch_id"] == "C"
-    assert rows.where("_batch_id = 'C'").count() == 2
+    assert rows.count() == 400 and rows.where("id = 7").first()["_batch_id"] == "C"
+    assert rows.where("_batch_id = 'C'").count() == 1
 
 
 def test_a_batch_without_change_writes_nothing(spark, work):
-    t = _by_range(spark, work + "/stg")
+    t = _table(spark, work + "/stg")
     t.merge(_raw(spark, range(50, 150), 1, "C"), D, "C")
-    before, versions = t.files(), t.versions()
-    got = t.merge(_raw(spark, range(50, 150), 1, "C"), D + dt.timedelta(days=1), "C")
-    assert (got["rows_changed"], got["rows_written"], got["files_rewritten"]) == (0, 0, 0)
+    before = t._pointer()
+    got = t.merge(_raw(spark, range(50, 150), 1, "C"), D, "C")     # the same instant, too
+    assert (got["rows_changed"], got["rows_written"], got["parts_written"]) == (0, 0, 0)
     assert got["rows_updated"] == 100          # the batch's labels, counted again
-    assert t.files() == before and t.versions() == versions
+    assert t._pointer() == before
     assert t.merge(_raw(spark, [], 1, "E"), D, "E")["rows_written"] == 0
 
 
 def test_a_crash_before_the_pointer_leaves_the_old_table(spark, work, monkeypatch):
-    t = _by_range(spark, work + "/stg")
+    t = _table(spark, work + "/stg")
     before = sorted(t.read().collect())
     change = _raw(spark, range(300, 500), 1, "C")
 
-    def lost(*a):
+    def lost(*a, **kw):
         raise RuntimeError("driver lost")
     with monkeypatch.context() as m:
-        m.setattr(t, "_commit", lost)
+        m.setattr(t, "_publish", lost)
         with pytest.raises(RuntimeError, match="driver lost"):
             t.merge(change, D, "C")
     assert sorted(t.read().collect()) == before
     got = t.merge(change, D, "C")
     assert (got["rows_inserted"], got["rows_updated"]) == (100, 100)
-    after = sorted(t.read().collect())
-    assert t.vacuum(keep=1) > 0                # the lost attempt's files among them
-    assert sorted(t.read().collect()) == after and len(after) == 500
-    on_disk = [f for _, _, fs in os.walk(local_path(t.path) + "/_data") for f in fs
-               if f.endswith(".parquet")]
-    assert len(on_disk) == len(t.files())
+    assert t.read().count() == 500
+    t.merge(_raw(spark, range(500), 2, "E"), D, "E")               # the lost attempt's folder goes
+    named = {v for k in t.versions() for v in t._pointer(k)["parts"].values()}
+    assert set(os.listdir(local_path(t.path) + "/_data")) == named
 
 
-def test_a_second_writer_of_one_version_is_refused(spark, work):
-    t = _by_range(spark, work + "/stg")
-    base = t.versions()[-1]
-    t.merge(_raw(spark, [1], 1, "C"), D, "C")
-    with pytest.raises(ConcurrentMerge):
-        t._commit(base, SPEC.staging_schema(), [])
-    assert t.read().count() == 400
-
-
-def test_older_versions_stay_readable_until_vacuum(spark, work):
-    t = _by_range(spark, work + "/stg")
+def test_the_version_before_stays_readable(spark, work):
+    t = _table(spark, work + "/stg")
     v = t.versions()[-1]
     t.merge(_raw(spark, range(400), 1, "C"), D, "C")
     assert t.read(v).where("_batch_id = 'C'").count() == 0
     assert t.read().where("_batch_id = 'C'").count() == 400
+    assert len(t.versions()) == 2
+
+
+def test_cluster_columns_belong_to_the_key(spark, work):
+    with pytest.raises(ValueError, match="key columns"):
+        StagingTable(spark, work + "/stg", SPEC, cluster_by=["v"])
+
+
+def test_an_epoch_is_merged_once(spark, work):
+    """NULL keys insert on every merge, so a repeated epoch would show."""
+    t = StagingTable(spark, work + "/stg", SPEC)
+    for epoch, ids in ((0, [1, None]), (0, [1, None]), (1, [2, None]), (0, [3]), (1, [2, None])):
+        t.merge(_raw(spark, ids, epoch, f"E{epoch}"), D, f"E{epoch}", ("q", epoch))
+    assert sorted(map(str, (r["id"] for r in t.read().collect()))) == ["1", "2", "None", "None"]
+    # another query's epochs are its own; an epoch that changes nothing counts as merged
+    t.merge(_raw(spark, [9], 0, "F"), D, "F", ("other", 0))
+    t.merge(_raw(spark, [], 0, "E2"), D, "E2", ("q", 2))
+    t.merge(_raw(spark, [10], 0, "E2"), D, "E2", ("q", 2))
+    assert t.read().where("id = 9").count() == 1 and t.read().where("id = 10").count() == 0
 
 
 def test_null_keys_are_kept_and_counted(spark, work):
@@ -105,7 +113,7 @@ def test_null_keys_are_kept_and_counted(spark, work):
 
 
 def test_counts_without_a_batch_id_are_this_merge(spark, work):
-    t = _by_range(spark, work + "/stg")
+    t = _table(spark, work + "/stg")
     got = t.merge(_raw(spark, range(390, 410), 1, "C"), D)
     assert (got["rows_inserted"], got["rows_updated"]) == (10, 10)
 
@@ -124,16 +132,8 @@ def test_join_forms_agree_with_the_plain_merge(spark, work, hint):
     assert sorted(t.read().collect(), key=repr) == sorted(want.collect(), key=repr)
 
 
-def test_compaction_folds_small_files(spark, work):
-    t = _by_range(spark, work + "/stg")
-    before, rows = t.files(), sorted(t.read().collect())
-    assert t.compact() == len(before) > 1
-    assert len(t.files()) < len(before) and sorted(t.read().collect()) == rows
-    assert t.compact(small_bytes=0) == 0
-
-
 def test_a_new_business_column_reaches_the_table(spark, work):
-    t = _by_range(spark, work + "/stg")
+    t = _table(spark, work + "/stg")
     wide = TableSpec("T", ("id",), SPEC.columns + (("flags", T.ArrayType(T.StringType())),))
     raw = _raw(spark, [5, 2000], 1, "C").withColumn("flags", F.array(F.lit("late")))
     StagingTable(spark, t.path, wide).merge(raw, D, "C")
@@ -145,19 +145,31 @@ def test_a_new_business_column_reaches_the_table(spark, work):
     assert got[5] is None and got[2000] == ["late"]
 
 
-def test_batch_key_range_reaches_the_target_scan(spark, work):
-    t = _by_range(spark, work + "/stg")
-    target = t._read(SPEC.staging_schema(), t.files())
-    keyed = _raw(spark, [7, 9], 1, "C")
-    plan = t._held(target, keyed, SPEC, "C")._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(id,7)" in plan and "LessThanOrEqual(id,9)" in plan
-    scan = next(ln for ln in plan.splitlines() if "FileScan parquet" in ln)
-    assert "v:" not in scan.split("ReadSchema")[1]      # key, guard and label columns only
+def test_a_changed_type_rewrites_the_table_once(spark, work):
+    t = _table(spark, work + "/stg")
+    wide = TableSpec("T", ("id",), tuple((c, T.StringType() if c == "v" else k) for c, k in SPEC.columns))
+    w = StagingTable(spark, t.path, wide)
+    assert w.evolve(wide) and not w.evolve(wide)
+    raw = stamp_audit(spark.createDataFrame([(5, "x", D, D + dt.timedelta(days=9))], COLS.replace("v bigint", "v string")),
+                      "p", "C", "r", "CDC", D)
+    w.merge(raw, D, "C")
+    got = {r["id"]: r["v"] for r in w.read().collect()}
+    assert got[5] == "x" and got[6] == "60" and len(got) == 400
+    t.merge(_raw(spark, [6], 20, "E"), D, "E")          # a batch of the old type is cast up
+    assert {r["id"]: r["v"] for r in w.read().collect()}[6] == "60" and w.read().count() == 400
+
+
+def test_untouched_partitions_are_not_read(spark, work):
+    t = _table(spark, work + "/stg")
+    p = t._pointer()
+    part = str(_raw(spark, [7], 1, "C").select(t._part_of(p)).first()[0])
+    files = t._read(p, [part]).inputFiles()
+    assert files and all(f"/_part={part}/" in f for f in files)
 
 
 def test_wide_merge_plans_fast_with_default_constraint_propagation(spark, work):
     import time
-    from sluice.operators.merge import source_latest, update_rows
+    from sluice.operators.merge import merge_upsert
     from sluice.plans import catalog as C
     from sluice.plans.standins import STANDINS, raw_sql
     from conftest import SF_SMALL
@@ -167,8 +179,7 @@ def test_wide_merge_plans_fast_with_default_constraint_propagation(spark, work):
     raw = spark.read.parquet(work + "/raw")
     t = StagingTable(spark, work + "/stg", si.spec)
     t.merge(raw, D)
-    m = update_rows(t.read(), source_latest(raw, si.spec).where("order_id is not null")
-                    if "order_id" in si.spec.keys else source_latest(raw, si.spec), si.spec, D)
+    m = merge_upsert(t.read(), raw, si.spec, D)
     t0 = time.time()
     m._jdf.queryExecution().optimizedPlan()
     assert time.time() - t0 < 10
