@@ -1202,3 +1202,6 @@ register("merge_staging_shuffle", merge_oracle_sql(STANDINS["shipments"], DUCK))
     lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments", "merge"))
 register("merge_staging_replay", merge_oracle_sql(STANDINS["shipments"], DUCK))(
     lambda spark, sf_dir: _staging_merge(spark, sf_dir, "shipments", again=True))
+
+
+from sluice.plans import catalog_checks  # noqa: E402,F401  registers its queries here

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from sluice.functions.scalar import batch_id as make_batch_id
 from sluice.operators import quality as Q
+from sluice.operators.evolution import widen_schema
 from sluice.operators.runlog import (error_row, errors_current, failed_since, open_errors,
                                      resolution_row, run_log_current)
 from sluice.operators.watermark import watermark_current, watermark_lookup
@@ -35,9 +36,9 @@ from sluice.sinks.staging import StagingTable
 from sluice.sinks.write import (append_log, compact_log, land, load_raw, read_log, read_raw,
                                 read_rejects)
 from sluice.sources.extract import extract, landing_path, read_landing, read_source
-from sluice.spec import (CONFIG_DEFAULTS, ERROR_LOG_SCHEMA, RUN_EVENT_SCHEMA,
-                         WATERMARK_LOG_SCHEMA, DQ_RESULTS_SCHEMA, TableSpec, UnknownTableError,
-                         spec_for, spec_from_schema)
+from sluice.spec import (AUDIT_COLUMNS, CONFIG_DEFAULTS, ERROR_LOG_SCHEMA, RUN_EVENT_SCHEMA,
+                         SCHEMA_LOG_SCHEMA, STAGING_META_COLUMNS, WATERMARK_LOG_SCHEMA, DQ_RESULTS_SCHEMA,
+                         TableSpec, UnknownTableError, spec_for, spec_from_schema)
 
 
 class BatchRejected(RuntimeError):
@@ -71,6 +72,10 @@ class Control:
     def dq_results_path(self):
         return f"{self.root}/dq_results"
 
+    @property
+    def schema_path(self):
+        return f"{self.root}/schema_log"
+
     def _read(self, path, schema) -> DataFrame:
         return read_log(self.spark, path, schema)
 
@@ -97,6 +102,10 @@ class Control:
         """Current state of each error (its resolution row, once appended)."""
         return errors_current(self._read(self.error_path, ERROR_LOG_SCHEMA))
 
+    def schema_changes(self) -> DataFrame:
+        """Q14: columns that loads brought, lacked or widened, or that were left out."""
+        return self._read(self.schema_path, SCHEMA_LOG_SCHEMA)
+
     def dq_report(self) -> DataFrame:
         """N5 + J4: DQ results with their runs' status, per pipeline, day, severity."""
         return Q.dq_report(self.dq_results(), self.runs())
@@ -201,7 +210,7 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
                  clock: Callable[[], dt.datetime] | None = None,
                  watermark_mode: str = "data", cluster_by: tuple[str, ...] = (),
                  lookback: dt.timedelta | None = None,
-                 targets: Mapping[str, T.StructType] | None = None,
+                 targets: Mapping[str, T.StructType] | None = None, evolve: bool = False,
                  source_options: Mapping | None = None,
                  source_reader: Callable[[SparkSession, dict], DataFrame] | None = None
                  ) -> RunResult:
@@ -214,6 +223,9 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
     (X4) reads that much before the watermark again, for late rows.  A sink
     table without a built-in spec needs its schema (in ``targets`` or the
     catalogue) and the row's key columns.  ``source_options`` go to ``read_source``.
+    With ``evolve`` (Q14) new source columns join the table and a column whose type
+    changed takes the least common supertype; without it the column list is the
+    target's.  Either way every difference is a row of the schema log.
     """
     step = "UNKNOWN"
     rules_tmp = None
@@ -255,7 +267,10 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
             step = "LOAD"
             # P1/P3/P4 + K2/K3: typed RAW load, target-driven, bad rows aside.
             raw_path = f"{lake_root}/raw/{c.get('sink_schema') or 'RAW'}/{spec.name}"
-            raw_res = load_raw(read_landing(spark, lpath, batch_id), spec.business_schema(),
+            stg_path = f"{lake_root}/staging/{c.get('sink_schema') or 'STAGING'}/{spec.name}"
+            landing = read_landing(spark, lpath, batch_id)
+            spec = _evolved(spark, control, spec, landing.schema, stg_path, evolve, res, batch_id, clock())
+            raw_res = load_raw(landing, spec.business_schema(),
                                raw_path, pipeline_name=pname, batch_id=batch_id, run_id=run_id,
                                load_type=load_type, now=now)
             res.rows_rejected = raw_res.rows_rejected
@@ -274,8 +289,9 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
             res.rows_loaded = raw_res.rows_loaded - res.rows_quarantined
             step = "LOAD"
             # M1 + K4: rewrite the files that hold a changed row, append inserts.
-            stg_path = f"{lake_root}/staging/{c.get('sink_schema') or 'STAGING'}/{spec.name}"
-            counts = StagingTable(spark, stg_path, spec, cluster_by).merge(raw, now, batch_id)
+            table = StagingTable(spark, stg_path, spec, cluster_by)
+            table.evolve(spec)
+            counts = table.merge(raw, now, batch_id)
             res.rows_inserted, res.rows_updated = counts["rows_inserted"], counts["rows_updated"]
             res.staging_path = stg_path
             # K7: advance the watermark only after the merge committed.
@@ -307,6 +323,26 @@ def ingest_table(spark: SparkSession, cfg: Mapping, *, control: Control, lake_ro
     return res
 
 
+def _evolved(spark, control, spec, landed, stg_path, evolve, res, batch_id, when) -> TableSpec:
+    """Q14: the spec for this load; each difference from the landed columns is logged."""
+    table = StagingTable(spark, stg_path, spec)
+    current = spec.business_schema()
+    if table.exists():        # columns and types that earlier loads brought
+        have = T.StructType([f for f in table.schema().fields
+                             if f.name not in STAGING_META_COLUMNS and f.name != Q.FLAGS])
+        current = widen_schema(current, have)[0] if evolve else current
+    source = T.StructType([f for f in landed.fields if f.name not in AUDIT_COLUMNS
+                           and f.name.lower() not in ("_is_deleted", "_ingestion_timestamp", "_source_file", "_landing_batch")])
+    wide, changes = widen_schema(current, source)
+    if not evolve:            # the typed load casts to the target; only unknown columns are left out
+        changes = [c | {"change": "IGNORED"} for c in changes if c["change"] == "ADDED"]
+    if changes:
+        res.extra["schema_changes"] = changes
+        append_log(spark, [c | {"run_id": res.run_id, "pipeline_name": res.pipeline_name, "batch_id": batch_id,
+                                "logged_at": when} for c in changes], SCHEMA_LOG_SCHEMA, control.schema_path)
+    return replace(spec, columns=tuple((f.name, f.dataType) for f in wide.fields)) if evolve else spec
+
+
 def _apply_rules(spark, control, raw, rules, refs, res, lake_root, now, spec, tmp):
     """Q9: evaluate once; REJECT refuses the batch; QUARANTINE diverts rows; FLAG
     lists the failed rules in the column ``_dq_flags``, which the table then has.

@@ -245,6 +245,10 @@ ERROR_LOG_SCHEMA = schema_of(
     "adf_activity_name string, created_date timestamp_ntz, is_resolved boolean, "
     "resolved_by string, resolved_date timestamp_ntz, resolution_notes string")
 
+SCHEMA_LOG_SCHEMA = schema_of(
+    "run_id string, pipeline_name string, batch_id string, column_name string, change string, "
+    "from_type string, to_type string, logged_at timestamp_ntz")
+
 DQ_RESULTS_SCHEMA = schema_of(
     "run_id string, pipeline_name string, source_table string, rule_id int, "
     "rule_name string, rule_type string, column_name string, total_records bigint, "
