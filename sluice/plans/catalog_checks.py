@@ -8,9 +8,13 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from sluice.operators.incremental_checks import (key_filter, merge_filters, referential_delta, referential_violations,
+                                                 unique_across_batches)
 from sluice.operators.projection import stamp_audit
 from sluice.operators.reconcile import reconcile_ranges
+from sluice.operators.redrive import ATTEMPTS, redrive, with_content_key
 from sluice.operators.sketches import drift_from_sketches, drift_renames, profile_sketches
+from sluice.operators.trend import SCALE, trend_anomalies
 from sluice.plans import catalog as C
 from sluice.plans.flow import Control, ingest_table
 from sluice.plans.standins import EVENTS_SPEC, SpecOnly, merge_oracle_sql, raw_rows_sql, staging_sql
@@ -18,7 +22,7 @@ from sluice.session import scratch_dir
 from sluice.sinks.staging import StagingTable, read_staging
 from sluice.sources.splits import split_points, split_predicates, split_reads
 from sluice.spec import schema_of
-from sluice.streaming.incremental import stream_landing, stream_merge
+from sluice.streaming.incremental import stream_landing, stream_late_rows, stream_merge
 
 # -- X2, M13: a micro-batch that runs twice --------------------------------------
 
@@ -197,3 +201,115 @@ def q_split_points(spark, sf_dir):
         "l_orderkey", "l_linenumber", F.when(p % 7 == 0, None).when(p % 3 == 0, 12).otherwise(p).alias("l_partkey"), "l_suppkey", "l_quantity")
     points, hot, nulls = split_points(df, "l_partkey", 16)
     return reduce(lambda a, b: a.unionByName(b), split_reads(df, split_predicates("l_partkey", points, hot, nulls)))
+
+
+# -- Q5, V4: three batches of changed children and parents -------------------------------
+
+def _fk(b: int) -> str:
+    return f"CASE WHEN o_orderkey % 7 = {b} THEN o_custkey + 1000000 ELSE o_custkey END"
+
+
+@C.register("referential_delta", " UNION ALL ".join(
+    f"SELECT CAST({b} AS BIGINT) AS batch, o_orderkey, {_fk(b)} AS o_custkey FROM orders WHERE {_fk(b)} NOT IN "
+    f"(SELECT c_custkey FROM customer WHERE c_custkey % 10 <> {b})" for b in (1, 2, 3)))
+def q_referential_delta(spark, sf_dir):
+    """Batch b breaks the orders with k % 7 = b and mends those of the batch before, deletes
+    the customers with k % 10 = b and brings back those of the batch before."""
+    work = scratch_dir(spark, "referential")
+    orders, customer = C._table(spark, sf_dir, "orders"), C._table(spark, sf_dir, "customer").select("c_custkey")
+    children = lambda b: orders.select("o_orderkey", F.expr(_fk(b)).alias("o_custkey"))
+    parents = lambda b: customer.where(F.col("c_custkey") % 10 != b) if b else customer
+    before = referential_violations(orders.select("o_orderkey", "o_custkey"), customer, "o_custkey", "c_custkey")
+    out = []
+    for b in (1, 2, 3):
+        changed = orders.where((F.col("o_orderkey") % 7 == b) | (F.col("o_orderkey") % 7 == b - 1 if b > 1 else F.lit(False)))
+        referential_delta(before, children(b), parents(b), changed.select("o_orderkey"), customer.where(F.col("c_custkey") % 10 == b),
+                          ["o_orderkey"], "o_custkey", "c_custkey").write.parquet(f"{work}/batch{b}")
+        before = spark.read.parquet(f"{work}/batch{b}")
+        out.append(before.select(F.lit(b).cast("long").alias("batch"), "o_orderkey", "o_custkey"))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+# -- Q2, V3: keys that repeat within or across batches ------------------------------------
+
+@C.register("unique_across_batches", """
+WITH g AS (SELECT l_partkey % 3 AS batch, l_orderkey, l_linenumber, count(*) AS n_in_batch FROM lineitem GROUP BY ALL)
+SELECT * FROM (SELECT g.*, EXISTS (SELECT 1 FROM g h WHERE h.batch < g.batch AND h.l_orderkey = g.l_orderkey
+                                   AND h.l_linenumber = g.l_linenumber) AS seen_before FROM g)
+WHERE n_in_batch > 1 OR seen_before""")
+def q_unique_across_batches(spark, sf_dir):
+    work, keys, space = scratch_dir(spark, "unique"), ["l_orderkey", "l_linenumber"], 1 << 24
+    df = C._table(spark, sf_dir, "lineitem").select(*keys, (F.col("l_partkey") % 3).alias("batch"))
+    seen, history, out = spark.createDataFrame([], "bucket bigint, bits binary"), df.limit(0).select(*keys), []
+    for b in range(3):
+        batch = df.where(F.col("batch") == b)
+        out.append(unique_across_batches(batch, keys, seen, history, space).withColumn("batch", F.lit(b).cast("long")))
+        merge_filters(seen, key_filter(batch, keys, space)).write.parquet(f"{work}/filter{b}")
+        seen, history = spark.read.parquet(f"{work}/filter{b}"), df.where(F.col("batch") <= b).select(*keys)
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+# -- X3: late rows as they come, over three runs of one stream -----------------------------
+
+@C.register("stream_late_rows", """
+SELECT e.* FROM events e WHERE EXISTS (SELECT 1 FROM events h WHERE h.user_id = e.user_id AND h.event_id % 3 < e.event_id % 3
+                                       AND h.ts > e.ts)""")
+def q_stream_late_rows(spark, sf_dir):
+    work = scratch_dir(spark, "stream_late")
+    ev = C._table(spark, sf_dir, "events")
+    for run in range(3):
+        ev.where(F.col("event_id") % 3 == run).write.mode("append").parquet(work + "/landing")
+        late = stream_late_rows(stream_landing(spark, work + "/landing", ev.schema).drop("_source_file"), ["user_id"], "ts")
+        stream_merge(late, lambda df, epoch: df.write.mode("overwrite").parquet(f"{work}/late/epoch={epoch}"), work + "/ckpt")
+    return spark.read.schema(ev.schema).parquet(work + "/late").select(*ev.columns)
+
+
+# -- G8, N4, N8: days that leave the trend --------------------------------------------------
+
+_DAILY = ("SELECT o_orderpriority AS pipeline_name, CAST(o_orderdate AS DATE) AS run_date, "
+          "count(*) * CASE WHEN extract(day FROM CAST(o_orderdate AS DATE)) = 13 THEN 9 ELSE 1 END AS rows_loaded FROM {t} GROUP BY 1, 2, o_orderdate")
+
+
+@C.register("trend_anomalies", f"""
+WITH d AS ({_DAILY.format(t='orders')}),
+h AS (SELECT a.pipeline_name, a.run_date, CAST(a.rows_loaded AS DOUBLE) AS value, list(CAST(b.rows_loaded AS DOUBLE)) AS past
+      FROM d a JOIN d b ON a.pipeline_name = b.pipeline_name AND dayofweek(a.run_date) = dayofweek(b.run_date)
+           AND b.run_date BETWEEN a.run_date - 56 AND a.run_date - 1 GROUP BY ALL HAVING count(*) >= 3),
+m AS (SELECT *, list_median(past) AS median FROM h),
+s AS (SELECT *, list_median(list_transform(past, lambda x: abs(x - median))) AS mad FROM m)
+SELECT pipeline_name, run_date, value, median, mad, CASE WHEN mad > 0 THEN abs(value - median) / ({SCALE} * mad) END AS score,
+       CAST(len(past) AS BIGINT) AS n_history, CASE WHEN value > median THEN 'HIGH' ELSE 'LOW' END AS direction
+FROM s WHERE CASE WHEN mad > 0 THEN abs(value - median) / ({SCALE} * mad) > 3.5 ELSE value <> median END""")
+def q_trend_anomalies(spark, sf_dir):
+    """Orders per priority and day as the runs of five pipelines, nine times as many on the 13th."""
+    return trend_anomalies(C._sql(spark, sf_dir, lambda d: _DAILY.format(t=d.t("orders"))), "pipeline_name", "run_date", "rows_loaded")
+
+
+# -- E9, K8: rejects driven again under a wider schema ---------------------------------------
+
+_SIZE_TEXT = ("CASE WHEN p_partkey % 25 = 0 THEN 'n/a' WHEN p_partkey % 10 = 3 THEN CAST(p_size AS {s}) || '.5' "
+              "ELSE CAST(p_size AS {s}) END")
+
+
+@C.register("redrive_rejects", """
+SELECT p_partkey, CASE WHEN p_partkey % 25 <> 0 THEN CAST(p_size AS DECIMAL(6,1)) + CASE WHEN p_partkey % 10 = 3 THEN 0.5 ELSE 0 END END AS p_size,
+       CAST(CASE WHEN p_partkey % 25 = 0 OR p_partkey % 10 = 3 THEN 2 ELSE 1 END AS BIGINT) AS attempt,
+       CASE WHEN p_partkey % 25 = 0 THEN 'FAILED' ELSE 'PASSED' END AS outcome FROM part""")
+def q_redrive_rejects(spark, sf_dir):
+    """First drive to whole sizes, second to decimals, third the same again: it moves nothing."""
+    work = scratch_dir(spark, "redrive")
+    landed = C._table(spark, sf_dir, "part").select("p_partkey", F.expr(_SIZE_TEXT.format(s="STRING")).alias("p_size"))
+    log = spark.createDataFrame([], ATTEMPTS)
+    done = []
+    for i, (kind, version) in enumerate((("int", "v1"), ("decimal(6,1)", "v2"), ("decimal(6,1)", "v2"))):
+        passed, new = redrive(landed, log, schema_of(f"p_partkey bigint, p_size {kind}"), version)
+        passed.withColumn("p_size", F.col("p_size").cast("decimal(6,1)")).write.parquet(f"{work}/passed/drive={i}")
+        new.write.parquet(f"{work}/log/drive={i}")
+        log = spark.read.schema(new.schema).parquet(*[f"{work}/log/drive={k}" for k in range(i + 1)])
+        done.append(spark.read.parquet(f"{work}/passed/drive={i}"))
+    if not (done[2].isEmpty() and spark.read.parquet(f"{work}/log/drive=2").isEmpty()):
+        raise RuntimeError("a second drive under one version moved rows")
+    rows = reduce(lambda a, b: a.unionByName(b), done)
+    last = log.groupBy("_content_key").agg(F.max("attempt").alias("attempt"), F.max_by("outcome", "attempt").alias("outcome"))
+    return (with_content_key(landed).select("p_partkey", "_content_key").join(last, "_content_key")
+            .join(rows.select("p_partkey", "p_size"), "p_partkey", "left").select("p_partkey", "p_size", "attempt", "outcome"))

@@ -70,3 +70,43 @@ def stream_merge(stream: DataFrame, on_batch, checkpoint: str, query_name: str |
     q = w.start()
     q.awaitTermination()
     return q
+
+
+def stream_late_rows(stream: DataFrame, keys: list[str], cdc_column: str, expire: str | None = None) -> DataFrame:
+    """X3 as a stream: rows older than the newest row that earlier micro-batches brought
+    for their key, emitted as they come.
+
+    The state is one value per key, the largest CDC value so far; ``expire`` (a duration
+    such as "90 days") forgets keys not seen for that long, none by default.  Rows of one
+    micro-batch are not late to each other.  Rows with a NULL CDC value are never late and
+    do not move the state; NULL keys are a key of their own.  The state lives in the query's
+    checkpoint, so a restarted query goes on where it stopped."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    schema, columns = stream.schema, stream.columns
+    millis = int(pd.Timedelta(expire).total_seconds() * 1000) if expire else None
+
+    def late(_key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        newest = pd.Timestamp(state.get[0], unit="us") if state.exists else None
+        top = newest
+        for df in parts:
+            if newest is not None:
+                gone = df[df[cdc_column] < newest]
+                if len(gone):
+                    yield gone[columns]
+            here = df[cdc_column].max()
+            if not pd.isna(here) and (top is None or here > top):
+                top = here
+        if top is not None:
+            state.update((top.value // 1000,))
+            if millis:
+                state.setTimeoutDuration(millis)
+
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if expire else GroupStateTimeout.NoTimeout
+    return stream.groupBy(*keys).applyInPandasWithState(late, schema, "newest long", "append", timeout)
