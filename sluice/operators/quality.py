@@ -120,38 +120,28 @@ def evaluate_rules(df: DataFrame, rules: list[Rule],
                    refs: dict[str, DataFrame] | None = None, tmp: str | None = None) -> DataFrame:
     """Add one boolean pass column per rule and ``_dq_failed`` (names of failed rules).
 
-    UNIQUENESS (W2/Q2) and REFERENTIAL (J3/Q5) first find the failing *values*
-    from the rule's own columns: keys held more than once (a grouped count,
-    combined map-side, so a hot value is one row before the shuffle) and
-    distinct values that the reference lacks.  These are joined back to the
-    rows; every row of a duplicate group fails.  NULL fails neither.
+    UNIQUENESS (W2/Q2) and REFERENTIAL (J3/Q5) rules first find their failing
+    *values*, all of them in one job over the rules' own columns
+    (``failing_values``); these are joined back to the rows, and every row of a
+    duplicate group fails.  NULL fails neither.
 
     ``tmp`` (a folder on shared storage that the caller deletes) has the
     failing values written first: Spark then knows their size and, as they are
-    few in a sound table, need not shuffle the rows for the join.
+    few in a sound table, need not shuffle the rows for the joins.
     """
-    refs = refs or {}
     out = df
+    sets = [i for i, r in enumerate(rules) if r.rule_type.upper() in SET_RULES]
+    bad = failing_values(df, rules, refs or {}) if sets else None
+    if tmp and sets:
+        bad.write.parquet(f"{tmp}/failing")
+        bad = df.sparkSession.read.schema(bad.schema).parquet(f"{tmp}/failing")
     for i, r in enumerate(rules):
-        t = r.rule_type.upper()
-        if t not in ("UNIQUENESS", "REFERENTIAL"):
+        if i not in sets:
             out = out.withColumn(r.pass_column, _row_condition(df, r))
             continue
-        cols = r.columns if t == "UNIQUENESS" else r.columns[:1]
-        if t == "UNIQUENESS":
-            bad = (df.where(~_any_null(cols)).groupBy(*cols)
-                     .agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1))
-        else:
-            if r.ref_table not in refs:
-                raise KeyError(f"rule {r.rule_name}: reference table {r.ref_table} not given")
-            held = refs[r.ref_table].select(F.col(r.ref_column).alias("__ref"))
-            values = df.select(*cols).where(~_any_null(cols)).distinct()
-            bad = values.join(held, F.col(cols[0]) == F.col("__ref"), "left_anti")
-        bad = bad.select(*[F.col(c).alias("__k_" + c) for c in cols], F.lit(True).alias("__bad"))
-        if tmp:
-            bad.write.parquet(f"{tmp}/rule-{i}")
-            bad = df.sparkSession.read.schema(bad.schema).parquet(f"{tmp}/rule-{i}")
-        out = (out.join(bad, [F.col(c) == F.col("__k_" + c) for c in cols], "left")
+        cols = _set_columns(r)
+        mine = bad.where(F.col("__rule") == i).select(*[F.col(c).alias("__k_" + c) for c in cols], F.lit(True).alias("__bad"))
+        out = (out.join(mine, [F.col(c) == F.col("__k_" + c) for c in cols], "left")
                   .withColumn(r.pass_column, F.col("__bad").isNull())
                   .drop("__bad", *["__k_" + c for c in cols]))
     row_rules = [r for r in rules if r.rule_type.upper() != "THRESHOLD"]
@@ -160,6 +150,39 @@ def evaluate_rules(df: DataFrame, rules: list[Rule],
     return out.withColumn(FAILED, arr)
 
 
+SET_RULES = ("UNIQUENESS", "REFERENTIAL")
+
+
+def _set_columns(r: Rule) -> list[str]:
+    return list(r.columns if r.rule_type.upper() == "UNIQUENESS" else r.columns[:1])
+
+
+def failing_values(df: DataFrame, rules: list[Rule], refs: dict[str, DataFrame]) -> DataFrame:
+    """(__rule, the set rules' columns): values that fail a UNIQUENESS or REFERENTIAL rule.
+
+    Per rule one grouped count over the rule's own columns, combined map-side, so a hot
+    value is one row before the shuffle; duplicates are the groups of several rows, and
+    values without a reference are looked up as groups, not as rows.  The rules' sets are
+    one table, so one job finds them side by side."""
+    sets = [(i, r) for i, r in enumerate(rules) if r.rule_type.upper() in SET_RULES]
+    all_cols = list(dict.fromkeys(c for _, r in sets for c in _set_columns(r)))
+    out = None
+    for i, r in sets:
+        cols = _set_columns(r)
+        values = df.where(~_any_null(cols)).groupBy(*cols)
+        if r.rule_type.upper() == "UNIQUENESS":
+            bad = values.agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+        else:
+            if r.ref_table not in refs:
+                raise KeyError(f"rule {r.rule_name}: reference table {r.ref_table} not given")
+            held = refs[r.ref_table].select(F.col(r.ref_column).alias("__ref"))
+            bad = values.agg(F.lit(1)).join(held, F.col(cols[0]) == F.col("__ref"), "left_anti")
+        bad = bad.select(F.lit(i).alias("__rule"), *[(F.col(c) if c in cols else F.lit(None).cast(df.schema[c].dataType)).alias(c)
+                                                     for c in all_cols])
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
 def _any_null(cols: list[str]) -> Column:
     cond = F.lit(False)
     for c in cols:

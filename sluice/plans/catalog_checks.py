@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from sluice.operators import quality as Q
 from sluice.operators.incremental_checks import (key_filter, merge_filters, referential_delta, referential_violations,
                                                  unique_across_batches)
 from sluice.operators.projection import stamp_audit
@@ -313,3 +314,23 @@ def q_redrive_rejects(spark, sf_dir):
     last = log.groupBy("_content_key").agg(F.max("attempt").alias("attempt"), F.max_by("outcome", "attempt").alias("outcome"))
     return (with_content_key(landed).select("p_partkey", "_content_key").join(last, "_content_key")
             .join(rows.select("p_partkey", "p_size"), "p_partkey", "left").select("p_partkey", "p_size", "attempt", "outcome"))
+
+
+# -- N5, J4: DQ results joined to their runs ----------------------------------------------
+
+@C.register("dq_report_runs", C._RUNS_SQL + f""",
+res AS (SELECT run_id, pipeline_name, CASE WHEN rows_loaded % 2 = 0 THEN 'HIGH' ELSE 'LOW' END AS severity,
+               CASE WHEN rows_loaded % 3 = 0 THEN 'FAIL' ELSE 'PASS' END AS status, CAST(rows_loaded % 3 AS BIGINT) AS failed_records,
+               CAST(TIMESTAMP '{C.NOW}' AS DATE) AS run_date FROM runs WHERE status <> 'RUNNING')
+SELECT res.pipeline_name, res.run_date, res.severity, runs.status AS run_status, count(*) AS rules,
+       count(*) FILTER (WHERE res.status <> 'PASS') AS rules_not_passed, CAST(sum(failed_records) AS BIGINT) AS failed_records
+FROM res LEFT JOIN runs ON runs.run_id = res.run_id AND runs.pipeline_name = res.pipeline_name GROUP BY ALL""")
+def q_dq_report_runs(spark, sf_dir):
+    """One result row per finished run, reported with the run's status."""
+    runs = C._runs(spark, sf_dir)
+    n = F.col("rows_loaded")
+    results = runs.where("status <> 'RUNNING'").select(
+        "run_id", "pipeline_name", F.when(n % 2 == 0, "HIGH").otherwise("LOW").alias("severity"),
+        F.when(n % 3 == 0, "FAIL").otherwise("PASS").alias("status"), (n % 3).cast("long").alias("failed_records"),
+        F.lit(C.NOW_DT).cast("timestamp_ntz").alias("run_date"))
+    return Q.dq_report(results, runs)

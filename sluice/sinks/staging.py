@@ -32,7 +32,7 @@ from sluice.session import delete, exists
 from sluice.spec import STAGING_META_COLUMNS, TableSpec
 
 PART = "_part"
-PARTS = 16
+PARTS = 8
 KEEP = 2
 
 
