@@ -14,12 +14,14 @@ node draw the same split, so columns add up exactly.
 Then: rows are permuted within their block (order of a seeded hash), cut by the
 matrix row, exchanged, and permuted again within the shard: a second hash orders
 them, its range is cut into cells, and a row's slot is the rows of the cells
-before plus its place in the cell, so no task ever holds a shard.  Only row
-counts of blocks and cells come to the driver (one number for some thousand rows).
+before plus its place in the cell, so no task ever holds a shard.  Only the row counts
+of blocks come to the driver, ``MOST_BLOCKS`` numbers at most: a larger table has larger
+blocks.  Slots where cells start are a table, joined by shard and cell.
 
 Null values hash as values; repeated rows keep their own slots (they are
 interchangeable); an empty table gives no rows; columns named ``shard`` or
-``slot`` in the input are replaced.
+``slot`` in the input are replaced, other names are free (columns have names of their
+own on the way).
 """
 
 from __future__ import annotations
@@ -29,10 +31,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from .work import Work
 
 
+MOST_BLOCKS = 1 << 16
 NUMPY_BOUND = 10 ** 9  # numpy's generator draws from fewer rows of each kind only
 
 
@@ -88,17 +92,22 @@ def _split(seed: int, lo: int, hi: int, left: tuple[int, ...], n: int) -> np.nda
     return _multi_hypergeometric(np.random.default_rng([seed, lo, hi]), np.array(left, np.int64), n)
 
 
-def matrix_row(sizes: np.ndarray, shards: np.ndarray, block: int, seed: int) -> np.ndarray:
+def _upto(sizes: np.ndarray) -> np.ndarray:
+    """Rows before each block, and all."""
+    return np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+
+
+def matrix_row(upto: np.ndarray, shards: np.ndarray, block: int, seed: int) -> np.ndarray:
     """Row ``block`` of the matrix: how many of its rows go to each shard."""
-    lo, hi, left = 0, len(sizes), shards.astype(np.int64)
+    lo, hi, left = 0, len(upto) - 1, shards.astype(np.int64)
     while hi - lo > 1:
         mid = (lo + hi) // 2
-        take = _split(seed, lo, hi, tuple(left.tolist()), int(sizes[lo:mid].sum()))
+        take = _split(seed, lo, hi, tuple(left.tolist()), int(upto[mid] - upto[lo]))
         lo, hi, left = (lo, mid, take) if block < mid else (mid, hi, left - take)
     return left
 
 
-def _send(sizes, shards, seed):
+def _send(upto, shards, seed):
     def run(batches):
         now, ends, at = None, None, 0
         for batch in batches:
@@ -110,7 +119,7 @@ def _send(sizes, shards, seed):
                     continue
                 if block[lo] != now:
                     now, at = block[lo], 0
-                    ends = np.cumsum(matrix_row(sizes.value, shards, int(now), seed))
+                    ends = np.cumsum(matrix_row(upto.value, shards, int(now), seed))
                 shard[lo:hi] = np.searchsorted(ends, np.arange(at, at + hi - lo), "right")
                 at += hi - lo
             keep = [n for n in batch.schema.names if n != "_block"]
@@ -119,24 +128,23 @@ def _send(sizes, shards, seed):
     return run
 
 
-def _place(first):
-    """Slots of rows that come in the order of shard, cell and key."""
-    def run(batches):
-        now, at = None, 0
-        for batch in batches:
-            pair = batch.column("shard").to_numpy().astype(np.int64) << 32 | batch.column("_cell").to_numpy()
-            slot = np.empty(len(pair), np.int64)
-            cut = np.flatnonzero(pair[1:] != pair[:-1]) + 1
-            for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(pair)]):
-                if hi <= lo:
-                    continue
-                if pair[lo] != now:
-                    now, at = pair[lo], first.value[int(pair[lo])]
-                slot[lo:hi] = np.arange(at, at + hi - lo)
-                at += hi - lo
-            keep = [n for n in batch.schema.names if n not in ("_cell", "_key")]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [pa.array(slot)], keep + ["slot"])
-    return run
+def _place(batches):
+    """Slots of rows that come in the order of shard, cell and key, with their cell's first slot."""
+    now, at = None, 0
+    for batch in batches:
+        pair = batch.column("shard").to_numpy().astype(np.int64) << 32 | batch.column("_cell").to_numpy()
+        first = batch.column("_first").to_numpy()
+        slot = np.empty(len(pair), np.int64)
+        cut = np.flatnonzero(pair[1:] != pair[:-1]) + 1
+        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(pair)]):
+            if hi <= lo:
+                continue
+            if pair[lo] != now:
+                now, at = pair[lo], int(first[lo])
+            slot[lo:hi] = np.arange(at, at + hi - lo)
+            at += hi - lo
+        keep = [n for n in batch.schema.names if n not in ("_cell", "_key", "_first")]
+        yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [pa.array(slot)], keep + ["slot"])
 
 
 def shard_rows(df: DataFrame, shards: int, seed: int = 0, block_rows: int = 1 << 12,
@@ -145,29 +153,30 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 0, block_rows: int = 1 <<
     spark = df.sparkSession
     work = Work(spark, "shards")
     df = df.drop("shard", "slot")
-    cols = [F.col(f"`{c}`") for c in df.columns]
+    names = df.columns
+    df = df.toDF(*[f"c{i}" for i in range(len(names))])
+    cols = [F.col(c) for c in df.columns]
     key = lambda n, *more: F.xxhash64(F.lit(seed + n), *more, *cols)
     total = df.count()
-    blocks = max(1, -(-total // block_rows))
+    blocks = min(MOST_BLOCKS, max(1, -(-total // block_rows)))
     keyed = df.withColumn("_block", F.pmod(key(0), F.lit(blocks)).cast("int"))
     sizes = np.zeros(blocks, np.int64)
     for r in keyed.groupBy("_block").count().collect():
         sizes[r["_block"]] = r["count"]
-    counts = spark.sparkContext.broadcast(sizes)  # eight bytes for block_rows rows
-    base = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)
+    upto = spark.sparkContext.broadcast(_upto(sizes))
+    base = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.schema.fields)
     sent = (keyed.withColumn("_key", key(1)).repartition("_block")
             .sortWithinPartitions("_block", "_key", *cols)
-            .mapInArrow(_send(counts, np.diff(_bounds(total, shards)), seed), f"{base}_key long, shard int"))
+            .mapInArrow(_send(upto, np.diff(_bounds(total, shards)), seed), f"{base}_key long, shard int"))
     cells = max(1, -(-total // (shards * cell_rows)))
     # the cell is the upper end of the second key's range
     sent = (sent.withColumn("_key", key(2, F.col("_key")))
             .withColumn("_cell", F.expr(f"cast(shiftrightunsigned(_key, 32) * {cells} div 4294967296 as int)"))
             .withColumn("_key", F.expr("shiftrightunsigned(_key, 1)")))
     sent = work.keep(sent, "sent")
-    first, at, last = {}, 0, None
-    for r in sent.groupBy("shard", "_cell").count().orderBy("shard", "_cell").collect():
-        at = at if r["shard"] == last else 0
-        first[r["shard"] << 32 | r["_cell"]] = at
-        at, last = at + r["count"], r["shard"]
-    return (sent.repartition("shard", "_cell").sortWithinPartitions("shard", "_cell", "_key", *cols)
-            .mapInArrow(_place(spark.sparkContext.broadcast(first)), f"{base}shard int, slot long"))
+    before = Window.partitionBy("shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    first = (sent.groupBy("shard", "_cell").agg(F.count("*").alias("n"))
+             .select("shard", "_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("_first")))
+    return (sent.join(first, ["shard", "_cell"]).select(*df.columns, "_key", "shard", "_cell", "_first")
+            .repartition("shard", "_cell").sortWithinPartitions("shard", "_cell", "_key", *cols)
+            .mapInArrow(_place, f"{base}shard int, slot long").toDF(*names, "shard", "slot"))

@@ -144,7 +144,7 @@ def test_sharding(docs):
 
 def test_matrix_adds_up():
     sizes, cols = np.array([5, 0, 9, 3]), np.array([6, 6, 5])
-    m = np.array([shards.matrix_row(sizes, cols, b, 3) for b in range(4)])
+    m = np.array([shards.matrix_row(shards._upto(sizes), cols, b, 3) for b in range(4)])
     assert (m.sum(1) == sizes).all() and (m.sum(0) == cols).all()
 
 
@@ -174,6 +174,43 @@ def test_nearest(spark):
         assert hits == [(i, s[i]) for i in want]
 
 
+def test_sharding_keeps_any_names_and_rows(spark):
+    df = spark.createDataFrame([(i // 3, None if i % 7 else "x", i % 5) for i in range(2000)],
+                               "_key long, `_block` string, `_cell` int")
+    df = df.withColumn("_first", F.lit(1)).withColumn("a.b", F.col("_cell")).withColumn("Shard", F.lit("old"))
+    got = shards.shard_rows(df, 16, seed=2, block_rows=64, cell_rows=8)
+    assert got.columns == ["_key", "_block", "_cell", "_first", "a.b", "shard", "slot"]
+    rows = [tuple(r) for r in got.collect()]
+    assert sorted(map(str, (r[:5] for r in rows))) == sorted(str((*r[:5],)) for r in map(tuple, df.collect()))
+    assert sorted(r[5:] for r in rows) == [(s, k) for s in range(16) for k in range(125)]
+
+
+def test_sharding_is_a_uniform_shuffle(spark):
+    """Over many seeds every row comes to every shard, and to both halves of it, equally often."""
+    df = spark.range(240).withColumn("w", F.lit("w")).coalesce(1)
+    seen = np.zeros((240, 4, 2))
+    for seed in range(8):
+        for r in shards.shard_rows(df, 4, seed=seed, block_rows=40, cell_rows=10).collect():
+            seen[r.id, r.shard, r.slot // 30] += 1
+    # 8 draws of one in eight; rows are alike, so the spread over 1920 cells is binomial
+    assert seen.sum() == 1920 and abs(seen.var() - 7 / 8) < 0.15 and seen.max() <= 8
+
+
+def test_matrix_of_many_blocks_is_quick():
+    upto = shards._upto(np.full(1 << 21, 7))
+    m = [shards.matrix_row(upto, np.full(16, 7 << 17), b, 3) for b in range(0, 1 << 21, 1 << 12)]
+    assert all(r.sum() == 7 for r in m)
+
+
+def test_sharding_query(spark):
+    got = queries.op7_sharding(spark, SF).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    raw = {d: (t or "").encode() for d, t in docs.items()}
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == sorted(
+        (d, len(b) + 1, zlib.crc32(b)) for d, b in raw.items())
+    assert {r.law for r in got} == {"rows"}
+
+
 def test_banded_distance(spark):
     pairs = [("kitten sitting there", "kitten sittin here"), ("abcdefghij", "abcdefghij"), ("abcdefghij", "bcdefghija"),
              ("aaaaabbbbb", "aaaacbbbb"), ("hello world éa", "hello wurld ea"), ("xyz" * 30, "xyz" * 29 + "x")]
@@ -289,7 +326,7 @@ def test_html_template_is_told_by_whole_texts():
 
 def test_matrix_rows_of_large_tables():
     sizes, cols = np.full(8, 5 * 10**9), np.full(16, 25 * 10**8)
-    m = np.array([shards.matrix_row(sizes, cols, b, 3) for b in range(8)])
+    m = np.array([shards.matrix_row(shards._upto(sizes), cols, b, 3) for b in range(8)])
     assert (m.sum(0) == cols).all() and (m.sum(1) == sizes).all() and (m >= 0).all()
     # a draw is within ten deviations of its mean (about 16,000)
     assert abs(m - 5 * 10**9 / 16).max() < 200_000 and m.std() > 1000
