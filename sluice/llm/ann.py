@@ -10,9 +10,16 @@ vectors whose upper bound reaches it are scored on the original vectors, in doub
 precision and in the order of the components.
 
 Queries and vectors meet in a grid of blocks of bounded rows, so neither side is
-broadcast.  Vectors that are null, zero, or hold null or non-finite components take
-no part; vectors are compared with those of their own dimension.  Ties go to the
-smaller id; equal rows are all candidates except the query's own id.
+broadcast; work is queries x rows, in blocks.  A block takes its queries together: bit
+planes of some queries meet all codes at once, the best estimates are scored first, and
+what their scores rule out is not scored.
+
+Vectors that are null, zero, or hold null or non-finite components, and rows without an
+id, take no part; vectors are compared with those of their own dimension.  Rows equal in
+id and vector are one row, as a query and as a candidate.  Rows that share an id but not
+the vector are rows of their own: each is a query with its own ranks, and a candidate for
+the others; a query leaves out its own row only.  Ties go to the smaller id.  An empty
+table gives no rows; other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -22,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-VECTOR_BLOCK, QUERY_BLOCK = 1 << 15, 1 << 13
+VECTOR_BLOCK, QUERY_BLOCK = 1 << 14, 1 << 13  # rows of a block at most
+QUERY_STEP, FIRST = 32, 512  # queries that a step takes together; candidates scored first
 QUERY_BITS = 5
 SAMPLE_ROWS = 20_000
 ERROR = 4.0
@@ -33,8 +41,8 @@ def rotation(dim: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def _matrix(col: pa.Array) -> np.ndarray:
-    return np.array(col.to_pylist(), np.float64)
+def _matrix(col: pa.Array, dim: int) -> np.ndarray:
+    return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), dim)
 
 
 class Codes:
@@ -59,35 +67,39 @@ class Codes:
         spread = np.sqrt(np.maximum(0, 1 - fit * fit)) / fit / np.sqrt(max(1, self.dim - 1))
         self.doubt = ERROR * self.norm * spread
         self.grain = self.norm * np.sqrt(self.dim) / 2 / fit
-
-    def bounds(self, query: np.ndarray, centre: np.ndarray, rot: np.ndarray):
-        """Estimated inner products of a query with the block, and their errors."""
-        q = (query - centre) @ rot
-        length = float(np.linalg.norm(q))
-        low, high = float(q.min()), float(q.max())
-        step = max((high - low) / (2 ** QUERY_BITS - 1), 1e-300)
+        self.reach = float(np.linalg.norm(vecs, axis=1).max(initial=0))
+
+    def bounds(self, queries: np.ndarray, centre: np.ndarray, rot: np.ndarray):
+        """Estimated inner products of queries with the block, and their errors (queries x rows)."""
+        q = (queries - centre) @ rot
+        length = np.linalg.norm(q, axis=1)[:, None]
+        low, high = q.min(1)[:, None], q.max(1)[:, None]
+        step = np.maximum((high - low) / (2 ** QUERY_BITS - 1), 1e-300)
         level = np.rint((q - low) / step).astype(np.int64)
-        width = self.words.shape[1] * 64
-        planes = np.zeros((QUERY_BITS, width), np.uint8)
-        planes[:, :self.dim] = (level >> np.arange(QUERY_BITS)[:, None]) & 1
-        planes = np.packbits(planes, axis=1).view(np.uint64)
-        hit = np.zeros(len(self.words), np.int32)
+        planes = np.zeros((len(q), QUERY_BITS, self.words.shape[1] * 64), np.uint8)
+        planes[:, :, :self.dim] = (level[:, None, :] >> np.arange(QUERY_BITS)[:, None]) & 1
+        planes = np.packbits(planes, axis=2).view(np.uint64)
+        hit = np.zeros((len(q), len(self.words)), np.int32)
         for j in range(QUERY_BITS):
-            both = np.bitwise_count(self.words & planes[j])
-            hit += (both[:, 0] if both.shape[1] == 1 else both.sum(1, dtype=np.int32)) * np.int32(1 << j)
-        total = int(level.sum())
+            for w in range(self.words.shape[1]):
+                both = np.bitwise_count(self.words[:, w] & planes[:, j, w, None])
+                hit += both.astype(np.int32) << np.int32(j)
         # <code, rounded query>: the code has +1 / -1 over sqrt(dim)
         est = hit * (2.0 * step)
-        est -= step * total
+        est -= step * level.sum(1)[:, None]
         est *= self.gain
         est += low * self.lean
         est += self.along
-        est += float(query @ centre)
+        est += (queries @ centre)[:, None]
         err = self.doubt * length
         err += self.grain * step
-        err += 1e-9
+        err += self.slack(queries)[:, None]
         return est, err
 
+    def slack(self, queries: np.ndarray) -> np.ndarray:
+        """More than the rounding of any order of summation."""
+        return 1e-9 * (1 + np.linalg.norm(queries, axis=1) * self.reach)
+
 
 def exact(vecs: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products in double precision, summed in the order of the components."""
@@ -97,55 +109,89 @@ def exact(vecs: np.ndarray, query: np.ndarray) -> np.ndarray:
     return out
 
 
+def _best(k, ids, vecs, qid, q, est, err, slack):
+    """Rows of the k nearest of one query in a block, nearest first, and their scores."""
+    lo, hi = np.searchsorted(ids, [qid, qid + 1])
+    own = lo + np.flatnonzero((vecs[lo:hi] == q).all(1))
+    up, low = est + err, est - err
+    up[own] = low[own] = -np.inf
+    m = min(k, len(ids) - len(own))
+    if not m:
+        return own[:0], np.zeros(0)
+    floor = np.partition(low, len(low) - m)[len(low) - m]
+    near = np.flatnonzero(up >= floor)
+    score = np.zeros(0)
+    if len(near) > FIRST:
+        top = np.argpartition(est[near], len(near) - FIRST)
+        first, rest = near[top[-FIRST:]], near[top[:-FIRST]]
+        score = vecs[first] @ q
+        floor = max(floor, np.partition(score, FIRST - m)[FIRST - m] - slack)
+        rest = rest[up[rest] >= floor]
+        near, score = np.concatenate((first, rest)), np.concatenate((score, vecs[rest] @ q))
+    else:
+        score = vecs[near] @ q
+    # the last step in double precision, in the order of the components
+    near = near[score >= np.partition(score, len(score) - m)[len(score) - m] - 2 * slack]
+    score = exact(vecs[near], q)
+    order = np.lexsort((ids[near], -score))[:m]
+    return near[order], score[order]
+
+
 def _search(k, centres, seed):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("query_id", pa.int64()), ("own", pa.int64()), ("vec_id", pa.int64()),
+                        ("score", pa.float64())])
+
+    def answer(ids, vecs, index, asks, centre, rot):
+        qids, own, qs = asks
+        for at in range(0, len(qids), QUERY_STEP):
+            some = slice(at, at + QUERY_STEP)
+            est, err = index.bounds(qs[some], centre, rot)
+            found = [_best(k, ids, vecs, *x) for x in zip(qids[some].tolist(), qs[some], est, err,
+                                                          index.slack(qs[some]).tolist())]
+            n = [len(f[0]) for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(qids[some], n)), pa.array(np.repeat(own[some], n)),
+                 pa.array(ids[np.concatenate([f[0] for f in found])]),
+                 pa.array(np.concatenate([f[1] for f in found]))], schema=schema)
 
     def run(batches):
-        cell, ids, vecs, parts, index, rot = None, None, None, [], None, None
+        cell, ids, vecs, parts, index, rot, last = None, None, None, [], None, None, None
         for batch in batches:
             key = list(zip(*(batch.column(c).to_pylist() for c in ("dim", "vb", "qb"))))
-            role = batch.column("role").to_numpy()
-            mat, vid = batch.column("v"), batch.column("vec_id").to_numpy()
+            role, mat = batch.column("role").to_numpy(), batch.column("v")
+            vid, own = batch.column("vec_id").to_numpy(), batch.column("own").to_numpy()
             cut = [i for i in range(1, len(key)) if key[i] != key[i - 1] or role[i] != role[i - 1]]
             for lo, hi in zip([0, *cut], [*cut, len(key)]):
                 if hi <= lo:
                     continue
                 if key[lo] != cell:
-                    cell, parts, index = key[lo], [], None
+                    cell, parts, index, last = key[lo], [], None, None
                     rot = rotation(cell[0], seed)
-                part = (vid[lo:hi], _matrix(mat.slice(lo, hi - lo)))
+                part = (vid[lo:hi], own[lo:hi], _matrix(mat.slice(lo, hi - lo), cell[0]))
                 if role[lo] == 0:
                     parts.append(part)
                     continue
                 if index is None:
                     if not parts:
                         continue
-                    ids, vecs = (np.concatenate(x) for x in zip(*parts))
-                    order = np.argsort(ids, kind="stable")
-                    ids, vecs = ids[order], vecs[order]
-                    index = Codes(vecs, centres[cell[0]], rot)
-                out = [[], [], []]
-                for qid, q in zip(part[0].tolist(), part[1]):
-                    est, err = index.bounds(q, centres[cell[0]], rot)
-                    other = ids != qid
-                    low = np.where(other, est - err, -np.inf)
-                    m = min(k, int(other.sum()))
-                    if not m:
-                        continue
-                    floor = np.partition(low, len(low) - m)[len(low) - m]
-                    near = np.flatnonzero(other & (est + err >= floor))
-                    s = exact(vecs[near], q)
-                    best = np.lexsort((ids[near], -s))[:m]
-                    out[0] += [qid] * len(best)
-                    out[1].append(ids[near][best])
-                    out[2].append(s[best])
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(out[0], pa.int64()), pa.array(np.concatenate(out[1])),
-                         pa.array(np.concatenate(out[2]))], schema=schema)
+                    ids, _, vecs = _once(*(np.concatenate(x) for x in zip(*parts)))
+                    index, parts = Codes(vecs, centres[cell[0]], rot), []
+                part = _once(*part, last)
+                if len(part[0]):
+                    last = part[0][-1], part[2][-1]
+                    yield from answer(ids, vecs, index, part, centres[cell[0]], rot)
     return run
 
 
+def _once(ids, own, vecs, last=None):
+    """Sorted rows without the repeats of a row, or of the row ``last`` before them."""
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (vecs[1:] != vecs[:-1]).any(1)
+    if last is not None and len(ids) and ids[0] == last[0] and (vecs[0] == last[1]).all():
+        new[0] = False
+    return ids[new], own[new], vecs[new]
+
+
 def nearest(vectors: DataFrame, id_col: str, vec_col: str, queries, k: int = 20, seed: int = 11) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each row that ``queries``
     (a condition on the id column) names, by inner product, among all other rows."""
@@ -161,21 +207,26 @@ def nearest(vectors: DataFrame, id_col: str, vec_col: str, queries, k: int = 20,
     for r in rows.orderBy(F.xxhash64("vec_id", F.lit(seed))).limit(SAMPLE_ROWS // 10).select("dim", "v").collect():
         sums.setdefault(r["dim"], []).append(r["v"])
     centres |= {d: np.mean(x, axis=0) for d, x in sums.items()}
-    vb = F.expr("case " + " ".join(f"when dim = {r['dim']} then {-(-r['n'] // VECTOR_BLOCK)}" for r in sizes)
-                + " else 1 end") if sizes else F.lit(1)
-    qb = F.expr("case " + " ".join(f"when dim = {r['dim']} then {max(1, -(-(r['q'] or 0) // QUERY_BLOCK))}"
-                                   for r in sizes) + " else 1 end") if sizes else F.lit(1)
-    rows = rows.withColumn("nv", vb).withColumn("nq", qb)
-    own = F.pmod(F.xxhash64("vec_id", "v"), F.col("nv")).cast("int")
-    asks = F.pmod(F.xxhash64("vec_id", "v"), F.col("nq")).cast("int")
-    base = (rows.withColumn("vb", own).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-            .select("dim", "vb", F.col("qb").cast("int").alias("qb"), F.lit(0).alias("role"), "vec_id", "v"))
-    quest = (rows.filter("asks").withColumn("qb", asks)
+    cores = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
+    grid = {}
+    for r in sizes:  # more blocks of queries while the blocks of vectors are fewer than the cores
+        nv, q = -(-r["n"] // VECTOR_BLOCK), r["q"] or 0
+        grid[r["dim"]] = nv, max(1, -(-q // QUERY_BLOCK), min(-(-2 * cores // nv), q // (2 * QUERY_STEP)))
+
+    def per_dim(which: int):
+        return F.expr("case " + " ".join(f"when dim = {d} then {g[which]}" for d, g in grid.items())
+                      + " else 1 end") if grid else F.lit(1)
+    rows = (rows.withColumn("nv", per_dim(0)).withColumn("nq", per_dim(1))
+            .withColumn("own", F.xxhash64("vec_id", "v")))
+    base = (rows.withColumn("vb", F.pmod("own", "nv").cast("int"))
+            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
+            .select("dim", "vb", F.col("qb").cast("int").alias("qb"), F.lit(0).alias("role"), "vec_id", "own", "v"))
+    quest = (rows.filter("asks").withColumn("qb", F.pmod("own", "nq").cast("int"))
              .withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("nv") - 1)))
-             .select("dim", F.col("vb").cast("int").alias("vb"), "qb", F.lit(1).alias("role"), "vec_id", "v"))
+             .select("dim", F.col("vb").cast("int").alias("vb"), "qb", F.lit(1).alias("role"), "vec_id", "own", "v"))
     hits = (base.unionAll(quest).repartition("dim", "vb", "qb")
-            .sortWithinPartitions("dim", "vb", "qb", "role", "vec_id")
-            .mapInArrow(_search(k, centres, seed), "query_id long, vec_id long, score double"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            .sortWithinPartitions("dim", "vb", "qb", "role", "vec_id", "v")
+            .mapInArrow(_search(k, centres, seed), "query_id long, own long, vec_id long, score double"))
+    w = Window.partitionBy("query_id", "own").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

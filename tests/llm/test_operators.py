@@ -174,6 +174,37 @@ def test_nearest(spark):
         assert hits == [(i, s[i]) for i in want]
 
 
+def test_nearest_of_repeated_rows(spark):
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((90, 8))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    # a query that comes three times, a candidate that comes twice, an id with two vectors, a null id
+    rows += [rows[20]] * 2 + [rows[33], (40, rows[1][1]), (None, rows[2][1])]
+    df = spark.createDataFrame(rows, "vec_id long, e array<double>").withColumn("own", F.lit("x")).repartition(7)
+    got = ann.nearest(df, "vec_id", "e", F.col("vec_id") % 20 == 0, 20).collect()
+    once = sorted({(i, tuple(x)) for i, x in rows if i is not None})
+    want = []
+    for i, q in once:
+        if i % 20 == 0:
+            best = sorted((-float(ann.exact(np.array([x]), np.array(q))[0]), j) for j, x in once if (j, x) != (i, q))[:20]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    none = spark.createDataFrame([], "vec_id long, e array<float>")
+    assert ann.nearest(none, "vec_id", "e", F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_nearest_scores_what_the_bounds_leave(spark):
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((3000, 16)) * 10.0 ** rng.integers(-3, 4, 3000)[:, None]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, e array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.nearest(df, "vec_id", "e", F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    for q in range(0, 3000, 20):
+        s = ann.exact(v, v[q])
+        assert got[q] == [i for i in np.lexsort((np.arange(3000), -s)) if i != q][:20]
+
+
 def test_sharding_keeps_any_names_and_rows(spark):
     df = spark.createDataFrame([(i // 3, None if i % 7 else "x", i % 5) for i in range(2000)],
                                "_key long, `_block` string, `_cell` int")
