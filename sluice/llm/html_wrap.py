@@ -17,11 +17,19 @@ is read by its own wrapper.
 Inside the main group, menus, adverts, forms, notices, comments and the like are left
 out by element, class and role, and so are slots that the host never changes while the
 main text around them does.  A page leaves out a node only where its whole text is that
-of the fixed slot.  Links stay unless their group is marked as one of these.  Blocks are joined by one newline, white space inside a
-block is one space, character references are decoded.
+of the fixed slot.  Links stay unless their group is marked as one of these.  Blocks are
+joined by one newline, white space inside a block is one space, character references are
+decoded.
 
 Null and empty pages have the empty text; a page without tags is its text; broken and
-unclosed tags close with their parent; a url without a host is a host of its own name.
+unclosed tags close with their parent; a tag or quoted value that never ends takes the rest
+of the page; a url without a host is a host of its own name.  Elements deeper than ``DEPTH``
+lie flat in the one at that depth, their blocks and texts whole and in order.  Reading a
+page takes time in proportion to its length.  A host's wrapper has ``NODES`` nodes at most
+and ``KIDS_MOST`` children a node: beyond that, children of one label become one group, and
+what the fewest pages have leaves the wrapper (pages that the shortened wrapper does not fit
+are read by their own).  Repeated pages keep a row each; empty tables give no rows; input
+columns other than id, url and html are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -40,7 +48,7 @@ from . import textutil as tu
 # The elements of HTML by their role.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr"}
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|canvas|audio|video|select"
+RAW = "script|style|noscript|template|textarea|title|iframe|svg|object|canvas|audio|video|select"
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div",
          "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
          "header", "hgroup", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section",
@@ -59,9 +67,10 @@ WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "sponsor"
 CONTAINERS = ("div", "section", "small")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
-                    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-                    r"|<[!?/][^>]*(?:>|$)", re.S | re.I)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*+(?:>|\Z).*?(?:</(?P=raw)\s*+>|\Z)"
+                    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)"
+                    r"(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?+)*+)(?:>|\Z)"
+                    r"|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
 _ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _SPACE = re.compile(r"\s+")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -71,6 +80,7 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # hashes of the main texts around it (SHARED at most)].
 LABEL, OPT, REP, PAGES, CHARS, LINKS, TEXT, KIDS, AROUND = range(9)
 SHARED = 5  # different main texts that share a slot before it counts as template
+DEPTH, NODES, KIDS_MOST = 200, 4000, 500
 
 
 def _describe(tag: str, attrs: str) -> tuple[str, bool]:
@@ -99,6 +109,19 @@ def parse(page: str) -> list:
     """The page as nested [label, left out, kids] with implied ends."""
     root = ["", False, []]
     stack, tags, at = [root], [""], 0
+    places: dict[str, list[int]] = {}  # of each open tag in the stack
+
+    def deepest(names):
+        return max((places[t][-1] for t in names if places.get(t)), default=0)
+
+    def close(k):
+        while len(tags) > k:
+            tag = tags.pop()
+            stack.pop()
+            places[tag].pop()
+            if len(tags) >= DEPTH and tag in BLOCK:
+                stack[-1][2].append(["br", False, []])
+
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             stack[-1][2].append(page[at:m.start()])
@@ -108,32 +131,33 @@ def parse(page: str) -> list:
             continue
         tag = tag.lower()
         if m["end"]:
-            if tag in tags:
-                while tags.pop() != tag:
-                    stack.pop()
-                stack.pop()
+            if places.get(tag):
+                close(places[tag][-1])
             continue
         if tag in CLOSES:
-            for k in range(len(tags) - 1, 0, -1):
-                if tags[k] in SCOPE[tag]:
-                    break
-                if tags[k] in CLOSES[tag]:
-                    del tags[k:], stack[k:]
-                    break
-        elif tag in BLOCK and tag != "br" and "p" in tags:
-            k = len(tags) - 1 - tags[::-1].index("p")
-            if not any(t in ("table", "button", "object") for t in tags[k:]):
-                del tags[k:], stack[k:]
+            k = deepest(CLOSES[tag])
+            if k > deepest(SCOPE[tag]):
+                close(k)
+        elif tag in BLOCK and tag != "br" and places.get("p"):
+            k = places["p"][-1]
+            if k > deepest(("table", "button", "object")):
+                close(k)
         if tag in VOID:
             if tag in BLOCK:
                 stack[-1][2].append([tag, False, []])
             continue
         label, out = _describe(tag, m["attrs"])
-        if tag == "header" and "article" not in tags and "main" not in tags:
+        if tag == "header" and not places.get("article") and not places.get("main"):
             out = True
         node = [label, out, []]
-        stack[-1][2].append(node)
+        if len(stack) < DEPTH:
+            stack[-1][2].append(node)
+        elif not out:  # flat: the element's texts go to the one at that depth
+            node = stack[-1]
+            if tag in BLOCK:
+                node[2].append(["br", False, []])
         if not m["attrs"].endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
             tags.append(tag)
     if at < len(page):
@@ -222,9 +246,50 @@ def _fold_runs(kids: list) -> list:
                         x[PAGES], x[REP] = n, True
                     del out[-period:]
         kids = out
+    return _gather(kids)
+
+
+def _gather(kids: list) -> list:
+    """Too many children become one group a label, or one an element."""
+    for name in (lambda label: label, _tag):
+        if len(kids) <= KIDS_MOST:
+            break
+        groups: dict[str, list] = {}
+        for k in kids:
+            a = groups.setdefault(name(k[LABEL]), k)
+            if a is not k:
+                n = max(a[PAGES], k[PAGES])
+                _fold(a, k)
+                a[PAGES], a[REP] = n, True
+        for label, k in groups.items():
+            k[LABEL] = label
+        kids = list(groups.values())
     return kids
 
 
+def _add(w: list, new: list) -> None:
+    """Folds a wrapper into its host's and keeps that within ``NODES`` nodes.  A shortened
+    wrapper is marked by an optional root."""
+    _fold(w, new)
+    few = 1
+    while few < w[PAGES] and _size(w) > NODES:
+        w[OPT], few = True, 2 * few
+        stack = [w]
+        while stack:
+            node = stack.pop()
+            node[KIDS] = [k for k in node[KIDS] if k[PAGES] >= few]
+            stack += node[KIDS]
+
+
+def _size(w: list) -> int:
+    n, stack = 0, [w]
+    while stack:
+        node = stack.pop()
+        n += 1
+        stack += node[KIDS]
+    return n
+
+
 def _fold(a: list, b: list) -> None:
     """Folds node b into node a (both of one label)."""
     a[OPT] |= b[OPT]
@@ -363,9 +428,11 @@ def extract(page: str | None, rule: str | None) -> str:
     nodes, drop = [], []
     if rule:
         path, drop = json.loads(rule)
-        nodes = _find(tree, path)
+        nodes = _find(tree, path) if path else []
     if not nodes:
-        nodes, drop = _find(tree, main_path(wrapper(tree))), []
+        path, drop = main_path(wrapper(tree)), []
+        while not (nodes := _find(tree, path)):
+            path.pop()  # a group of too many children: the nearest node above it
     return "\n".join(b for n in nodes for b in blocks(n, drop))
 
 
@@ -389,7 +456,7 @@ def _partial(batches):
                 if page:
                     w = wrapper(parse(page))
                     if host in held:
-                        _fold(held[host], w)
+                        _add(held[host], w)
                     else:
                         held[host] = w
                     if len(held) > LIMIT:
@@ -406,7 +473,7 @@ def _rules(batches):
         for h, text in zip(b.column("host").to_pylist(), b.column("wrapper").to_pylist()):
             new = json.loads(text)
             if h == host:
-                _fold(w, new)
+                _add(w, new)
             else:
                 if w is not None:
                     names.append(host)
@@ -418,7 +485,10 @@ def _rules(batches):
 
 
 def _rule(w: list) -> str:
+    """The host's rule; without a path where a shortened wrapper shows no main element."""
     path = main_path(w)
+    if w[OPT] and not _is_main(path[-1]):
+        return json.dumps([[], []])
     return json.dumps([path, fixed_slots(w, path)])
 
 

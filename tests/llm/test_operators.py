@@ -355,6 +355,53 @@ def test_html_template_is_told_by_whole_texts():
     assert _by_host(pages) == [f"a {i}\nsource" for i in range(6)]
 
 
+def test_html_of_any_depth_and_broken_tags():
+    import time
+    start = time.time()
+    for tag in ("div", "b", "span", "li"):
+        for page in (f"<{tag}>" * 100_000 + "end", f"<article>{f'<{tag}>' * 100_000}end{f'</{tag}>' * 100_000}tail</article>"):
+            assert html_wrap.extract(page, None).startswith("end")
+    assert html_wrap.extract(f"<article>{'<div>a' * 300}{'b</div>' * 300}</article>", None).split() == \
+        ["a"] * 299 + ["ab"] + ["b"] * 299
+    # boilerplate below the depth stays out
+    assert html_wrap.extract(f"<article>{'<div>' * 300}x<div class='ad'>buy<p>now</div>y", None).split() == ["x", "y"]
+    for bad in ("<a ", "<a x=", "<a x='", '<a x="', "<script ", "<!--", "<li><div>", "<p><table><div>", "</p>", "<a href='x\">"):
+        html_wrap.extract("<p>text</p>" + bad * 30_000, None)
+    assert html_wrap.extract("<p>text</p>" + "<a " * 30_000, None) == "text"
+    assert time.time() - start < 40
+
+
+def test_html_attribute_values_and_formulas():
+    assert html_wrap.extract("<article><p title='a > b' x=\"c>d\">one <i a=b>two</i></article>", None) == "one two"
+    assert html_wrap.extract("<article><p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</article>", None) == "if x=2 then"
+
+
+def test_html_wrapper_is_bounded():
+    name = lambda i: "".join(chr(97 + (i * 7919 >> s) % 26) for s in (0, 3, 6, 9, 12))
+    pages = [f"<body><div class='top'><a>home</a></div><article><h1>t {i}</h1>"
+             + "".join(f"<div class='{name(50 * i + j)}'><p>text {i} {j}</p></div>" for j in range(50))
+             + "</article><div class='end'>same</div>" for i in range(400)]
+    w = html_wrap.wrapper(html_wrap.parse(pages[0]))
+    for p in pages[1:]:
+        html_wrap._add(w, html_wrap.wrapper(html_wrap.parse(p)))
+        assert html_wrap._size(w) <= html_wrap.NODES
+    rule = html_wrap._rule(w)
+    want = lambda i: "\n".join([f"t {i}", *(f"text {i} {j}" for j in range(50))])
+    assert all(html_wrap.extract(p, rule) == want(i) for i, p in enumerate(pages[::40]) for i in [40 * i])
+    # a page of more different children than a node may have keeps its whole text
+    page = "<article>" + "".join(f"<div class='{name(j)}'>w{j}</div>" for j in range(3000)) + "</article>"
+    assert html_wrap.extract(page, None).split() == [f"w{j}" for j in range(3000)]
+
+
+def test_html_pages_table(spark):
+    rows = [(1, "http://a/x", None), (2, None, ""), (3, "", "<p>b</p>"), (3, "", "<p>b</p>"), (None, "http://a/y", "<p>c")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("z")).withColumn("rule", F.lit(1))
+    got = html_wrap.extract_pages(df).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
+        (1, "http://a/x", "", 0), (2, None, "", 0), (3, "", "b", 1), (3, "", "b", 1), (None, "http://a/y", "c", 1)]))
+    assert html_wrap.extract_pages(df.limit(0)).count() == 0
+
+
 def test_matrix_rows_of_large_tables():
     sizes, cols = np.full(8, 5 * 10**9), np.full(16, 25 * 10**8)
     m = np.array([shards.matrix_row(shards._upto(sizes), cols, b, 3) for b in range(8)])
