@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from . import textutil as tu
 
 SPACE = "▁"
-MEMO = 250_000
+MEMO_BYTES = 32 << 20  # of the units that a task remembers
+ENTRY = 150  # bytes of an entry besides its unit and ids
 PAIRS = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -96,6 +97,11 @@ class Model(Pieces):
         self.code = [int(i).to_bytes(4, "little") for i in range(len(self.pieces))]
         self.memo: dict[str, bytes] = {}  # units to their ids, four bytes each
         self.runs: dict[int, bytes] = {}
+        self.held = 0  # bytes of the memo
+
+    def forget(self) -> None:
+        """Frees what a task remembers; its worker process lives on."""
+        self.memo, self.runs, self.held = {}, {}, 0
 
     def _merge(self, s: str) -> tuple[list[str], tuple | None]:
         """Merges in the library's order, for the few strings of the vocabulary."""
@@ -265,14 +271,20 @@ class Model(Pieces):
             step = max(1, (1 << 20) // m)
             for lo in range(0, len(part), step):
                 solved.update(zip(part[lo:lo + step], self._solve(part[lo:lo + step], m)))
-        if len(self.memo) + len(need) > MEMO:
+        if self.held > MEMO_BYTES:
             self.memo = {u: self.memo[u] for u in seen - need}
+            self.held = sum(map(_entry, self.memo.items()))
         for u in need:
             self.memo[u] = self._unit(u, solved)
+            self.held += _entry((u, self.memo[u]))
         get = self.memo.__getitem__
         return [b"".join(map(get, u)) for u in units]
 
 
+def _entry(item: tuple[str, bytes]) -> int:
+    return ENTRY + 2 * len(item[0]) + len(item[1])
+
+
 _WORKER: dict[tuple, Pieces] = {}
 
 
@@ -294,12 +306,18 @@ def encode(docs: DataFrame, text_col: str, path: str, ids_col: str = "piece_ids"
 
     def run(batches):
         m = model(path)
-        for batch in batches:
-            for c in tu.chunks(batch, text_col, 2 << 20):
-                ids = m.encode([t or "" for t in c.column(text_col).to_pylist()])
-                ends = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([c.column(n) for n in names] + [ids], names + [ids_col])
+        try:
+            for batch in batches:
+                for c in tu.chunks(batch, text_col, 1 << 20):
+                    yield pa.RecordBatch.from_arrays([c.column(n) for n in names] + [ids_of(m, c)], names + [ids_col])
+        finally:
+            m.forget()
+            tu.release()
+
+    def ids_of(m, c):
+        ids = m.encode([t or "" for t in c.column(text_col).to_pylist()])
+        ends = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
     return docs.mapInArrow(run, f"{ddl}`{ids_col}` array<int>")
 
 

@@ -402,6 +402,20 @@ def test_html_pages_table(spark):
     assert html_wrap.extract_pages(df.limit(0)).count() == 0
 
 
+def test_codec_forgets_between_tasks_and_bounds_its_memo(monkeypatch):
+    import sentencepiece
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    sp, m = sentencepiece.SentencePieceProcessor(model_file=path), piece_codec.model(path)
+    m.forget()
+    monkeypatch.setattr(piece_codec, "MEMO_BYTES", 20_000)
+    texts = [" ".join(f"word{i * k}" for i in range(40)) for k in range(1, 40)]
+    for t in texts:
+        assert np.frombuffer(m.encode([t])[0], np.int32).tolist() == sp.encode(t)
+        assert m.held == sum(map(piece_codec._entry, m.memo.items())) < 20_000 + 2 * 40 * 220
+    m.forget()
+    assert not m.memo and not m.held
+
+
 def test_matrix_rows_of_large_tables():
     sizes, cols = np.full(8, 5 * 10**9), np.full(16, 25 * 10**8)
     m = np.array([shards.matrix_row(shards._upto(sizes), cols, b, 3) for b in range(8)])
