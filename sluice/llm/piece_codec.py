@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from . import textutil as tu
 
 SPACE = "▁"
-MEMO_BYTES = 32 << 20  # of the units that a task remembers
+MEMO_BYTES = 64 << 20  # of the units that a task remembers
 ENTRY = 150  # bytes of an entry besides its unit and ids
 PAIRS = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -308,7 +308,7 @@ def encode(docs: DataFrame, text_col: str, path: str, ids_col: str = "piece_ids"
         m = model(path)
         try:
             for batch in batches:
-                for c in tu.chunks(batch, text_col, 1 << 20):
+                for c in tu.chunks(batch, text_col, 2 << 20):
                     yield pa.RecordBatch.from_arrays([c.column(n) for n in names] + [ids_of(m, c)], names + [ids_col])
         finally:
             m.forget()
