@@ -312,13 +312,20 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, width: int =
         work.drop(f"seg_{step}")
         links = found if links is None else links.unionAll(found)
         done = asked if done is None else done.unionAll(asked)
-        labels = work.keep(components(work, links), f"labels_{step}")
+        labels = components(work, links, name=f"labels_{step}")
+        work.drop(f"labels_{step - 1}")
         # only shingles whose bucket held a pair back need another round
         held = raw.filter("held is not null").select(F.col("held").alias("token")).distinct()
-        if not held.limit(1).count():
+        more = held.limit(1).count()
+        if more:
+            shared = work.keep(shared.join(held, "token", "left_semi"), f"shared_{step}")
+        work.drop(f"raw_{step}")
+        work.drop(f"shared_{step - 1}" if step else "shared")
+        if not more:
             break
-        shared = work.keep(shared.join(held, "token", "left_semi"), f"shared_{step}")
         k, step = k * 8, step + 1
+    for past in range(step + 1):
+        work.drop(f"asked_{past}")
 
     named = nodes.select("node", "min_id").join(labels, "node", "left")
     named = named.withColumn("label", F.coalesce("label", "node"))

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sluice.session import scratch_dir
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Work:
     """One run's tables: a lost executor re-reads them instead of recomputing."""
 
@@ -14,8 +17,17 @@ class Work:
         self.spark, self.root = spark, scratch_dir(spark, name)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a written table; the write's shuffle files go when it ends."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(CLEANUP)
+            else:
+                self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -23,16 +35,16 @@ class Work:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def components(work: Work, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, label): the smallest node reachable over the edges.
+def components(work: Work, edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
+    """(node, label): the smallest node reachable over the edges, written as table ``name``.
 
     Minimum labels travel along the edges and through pointer jumps; every
     step is a written table, only the number of changed labels comes back.
     """
     both = work.keep(edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
-                     .unionAll(edges.select(F.col(b), F.col(a))).distinct(), "cc_edges")
+                     .unionAll(edges.select(F.col(b), F.col(a))).distinct(), f"{name}_edges")
     labels = work.keep(both.groupBy(F.col("x").alias("node"))
-                       .agg(F.least(F.min("y"), F.first("x")).alias("label")), "cc_0")
+                       .agg(F.least(F.min("y"), F.first("x")).alias("label")), f"{name}_0")
     step = 0
     while True:
         step += 1
@@ -44,11 +56,13 @@ def components(work: Work, edges: DataFrame, a: str = "a", b: str = "b") -> Data
         new = best.join(jump, "label", "left").select(
             "node", F.least("label", F.coalesce("far", "label")).alias("label"),
             (F.least("label", F.coalesce("far", "label")) != F.col("old")).alias("moved"))
-        new = work.keep(new, f"cc_{step}")
-        work.drop(f"cc_{step - 1}")
+        new = work.keep(new, f"{name}_{step}")
+        work.drop(f"{name}_{step - 1}")
         labels = new.select("node", "label")
         if not new.filter("moved").limit(1).count():
-            work.drop("cc_edges")
+            labels = work.keep(labels, name)
+            work.drop(f"{name}_edges")
+            work.drop(f"{name}_{step}")
             return labels
 
 
