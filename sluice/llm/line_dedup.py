@@ -1,25 +1,28 @@
 """Line dedup by a segment-partition edit join, in DataFrame operations only.
 
-Lines of at least ``MIN_CHARS`` characters that lie within ``EDITS`` edits of one
-another (directly or through other lines) form a class; its first occurrence in the
-order of (id, text key, line number) stays, the others leave their texts.
-
-1. A line is cut into EDITS + 1 segments.  Two lines within EDITS edits share a
+Equal lines form a class, and so do lines of at least ``MIN_CHARS`` characters that lie
+within ``EDITS`` edits of one another (directly or through other lines); its first
+occurrence in the order of (id, text key, line number) stays, the others leave their
+texts.  Blank lines stay.  Shorter lines are compared by equality alone: two edits may
+turn one short word into another.
+
+1. Occurrences combine into distinct lines (first place, number, text), so a line in
+   many rows is one row before it is compared with others.
+2. A line is cut into EDITS + 1 segments.  Two lines within EDITS edits share a
    segment of the shorter at a start that the length difference and the segment's
    number bound, so a line is indexed under (length, segment number, segment) and
    probes the lengths up to EDITS below its own at those starts only.
-2. Keys that one line alone holds vanish in a window over the key.
-3. The texts of the remaining lines come from a second scan through a bit array of
-   their hashes (fixed size, broadcast).  Probe pairs must also agree in their letter
-   counts up to 2 * EDITS and pass Spark's thresholded distance; both tests sit in the
-   join, so a large group of different lines with a common segment does not come out as
-   pairs (the bit-parallel form is interpreted and costs milliseconds a pair).
-4. Each pair is verified by a bit-parallel edit distance in a diagonal band.
-5. Classes are the components of the verified pairs and of equal lines.
+3. Keys that one line alone holds vanish in a window over the key.  A bit array of the
+   remaining lines' hashes (fixed size, broadcast) picks their texts.
+4. Lines that share a key and agree in length and in their letter counts up to
+   2 * EDITS are candidates; a bit-parallel edit distance in a diagonal band decides.
+5. Classes are the components of the verified pairs.
 
 Null texts stay null and empty ones empty.  A text whose lines all leave becomes
 empty.  Rows with equal id and text are one document and get equal results.  A null
-id sorts first.  64-bit hashes stand for lines.  Lines end at \\n only.
+id sorts first.  An empty table gives an empty one.  Input columns named n_lines,
+n_removed, _dkey or _gone are replaced.  64-bit hashes stand for lines.  Lines end at
+\\n only and may be of any length.
 """
 
 from __future__ import annotations
@@ -87,18 +90,19 @@ def banded_distance(longer: str, shorter: str, edits: int) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
+    """Every line that is not blank, with its place and the hash that stands for it."""
     return (docs.select("id", "dkey", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-            .withColumn("n", F.length("line")).filter(F.col("n") >= MIN_CHARS)
-            .withColumn("h", F.xxhash64("line")))
+            .filter(F.btrim("line", F.lit(" \t\r")) != "").withColumn("h", F.expr("xxhash64(line) & -2L")))
 
 
 def _letter_counts(line: str) -> Column:
     return F.array(*[F.length(line) - F.length(F.replace(F.col(line), F.lit(c))) for c in LETTERS])
 
 
-def near_pairs(work: Work, docs: DataFrame, edits: int) -> DataFrame:
-    """(a, b): hashes of different lines within ``edits`` edits."""
-    keys = (_lines(docs).select(F.explode(_keys(edits)).alias("k")).select("k.key", "k.h"))
+def near_pairs(work: Work, distinct: DataFrame, edits: int) -> DataFrame:
+    """(a, b): hashes of the distinct lines (h, line) within ``edits`` edits."""
+    long = distinct.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= MIN_CHARS)
+    keys = long.select(F.explode(_keys(edits)).alias("k")).select("k.key", "k.h")
     w = Window.partitionBy("key")
     line = F.expr("h & -2L")
     shared = (keys.withColumn("lo", F.min(line).over(w)).withColumn("hi", F.max(line).over(w))
@@ -108,11 +112,10 @@ def near_pairs(work: Work, docs: DataFrame, edits: int) -> DataFrame:
     probe = F.pmod(F.shiftright("h", 1), F.lit(BITS))
     bits = (shared.select(probe.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("on")))
-    texts = (_lines(docs).withColumn("p", probe).withColumn("word", F.shiftright("p", 6))
+    texts = (long.withColumn("p", probe).withColumn("word", F.shiftright("p", 6))
              .join(F.broadcast(bits), "word")  # BITS / 64 rows at most
              .filter(F.expr("shiftright(on, cast(p & 63 as int)) & 1L") == 1)
-             .select(F.expr("h & -2L").alias("line_key"), "line", "n").dropDuplicates(["line_key"])
-             .withColumn("letters", _letter_counts("line")))
+             .select(F.col("h").alias("line_key"), "line", "n").withColumn("letters", _letter_counts("line")))
     texts = work.keep(texts, "texts")
     held = shared.withColumn("line_key", F.expr("h & -2L")).join(texts, "line_key")
     a = held.filter("(h & 1L) = 0").select("key", F.col("line_key").alias("a"), F.col("line").alias("la"),
@@ -121,13 +124,15 @@ def near_pairs(work: Work, docs: DataFrame, edits: int) -> DataFrame:
                     F.col("letters").alias("ys"), F.expr("(h & 1L) = 0").alias("same"))
     apart = sum((F.abs(F.col("xs")[i] - F.col("ys")[i]) for i in range(len(LETTERS))), F.lit(0))
     pairs = (a.join(b, (a["key"] == b["key"]) & (a["a"] != b["b"]) & (~F.col("same") | (a["a"] < b["b"]))
-                    & (F.abs(a["na"] - b["nb"]) <= edits) & (apart <= 2 * edits)
-                    & (F.levenshtein("la", "lb", edits) >= 0))
+                    & (F.abs(a["na"] - b["nb"]) <= edits) & (apart <= 2 * edits))
              .select("a", "b", "la", "lb").dropDuplicates(["a", "b"]))
     # b is the longer: it probed the index of a's length
     chars = work.keep(pairs.select("a", "b", F.split("la", "").alias("ca"), F.split("lb", "").alias("cb")),
                       "chars")  # written, or the split would run again for every character
-    return chars.filter(banded_distance("cb", "ca", edits) <= edits).select("a", "b")
+    pairs = work.keep(chars.filter(banded_distance("cb", "ca", edits) <= edits).select("a", "b"), "pairs")
+    for name in ("shared", "texts", "chars"):
+        work.drop(name)
+    return pairs
 
 
 def dedup_lines(docs: DataFrame, id_col: str, text_col: str, edits: int = EDITS) -> DataFrame:
@@ -137,27 +142,30 @@ def dedup_lines(docs: DataFrame, id_col: str, text_col: str, edits: int = EDITS)
     work = Work(spark, "lines")
     key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), key.alias("dkey"))
-    edges = work.keep(near_pairs(work, base, edits), "pairs")
-    labels = components(work, edges).select(F.col("node").alias("line"), "label")
-    found = work.keep(_lines(base).select("id", "dkey", "pos", F.expr("h & -2L").alias("line")), "lines")
     at = F.struct("id", "dkey", "pos")
-    first = found.groupBy("line").agg(F.min(at).alias("at"), F.count("*").alias("c"))
-    first = (first.join(labels, "line", "left").filter("c > 1 or label is not null")
-             .withColumn("label", F.coalesce("label", "line")))
-    first = work.keep(first, "first")
+    distinct = work.keep(_lines(base).groupBy("h").agg(F.min(at).alias("at"), F.count("*").alias("c"),
+                                                       F.first("line").alias("line")), "distinct")
+    labels = components(work, near_pairs(work, distinct, edits)).withColumnRenamed("node", "h")
+    first = (distinct.select("h", "at", "c").join(labels, "h", "left").filter("c > 1 or label is not null")
+             .withColumn("label", F.coalesce("label", "h")))
+    first = work.keep(first.select("h", "at", "label"), "first")
+    work.drop("distinct")
     keeper = first.groupBy("label").agg(F.min("at").alias("keeper"))
-    keeper = first.select("line", "label").join(keeper, "label").select("line", "keeper")
-    gone = (found.join(keeper, "line").filter(~at.eqNullSafe(F.col("keeper")))
+    keeper = first.select("h", "label").join(keeper, "label").select("h", "keeper")
+    gone = (_lines(base).drop("line").join(keeper, "h").filter(~at.eqNullSafe(F.col("keeper")))
             .select("dkey", "pos").distinct()
-            .groupBy("dkey").agg(F.collect_list("pos").alias("gone")))
+            .groupBy("dkey").agg(F.sort_array(F.collect_list("pos")).alias("gone")))
     gone = work.keep(gone, "gone")
     out = docs.drop("n_lines", "n_removed", "_dkey", "_gone").withColumn("_dkey", key)
     out = out.join(gone.select(F.col("dkey").alias("_dkey"), F.col("gone").alias("_gone")), "_dkey", "left")
-    parts = F.split(F.col(text_col), "\n")
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    return (out.withColumn("n_lines", F.coalesce(F.size(parts), F.lit(0)).cast("long"))
-            .withColumn("n_lines", F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.col("n_lines")).cast("long"))
-            .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-            .withColumn("n_removed", F.greatest("n_removed", F.lit(0)).cast("long"))
-            .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept))
+    name = "`" + text_col.replace("`", "``") + "`"
+    lines = f"split({name}, '\\n')"
+    # the runs of lines between those that leave
+    last = "coalesce(if(i = 0, null, get(_gone, i - 1)), -1)"
+    runs = f"transform(array_append(_gone, size(l)), (g, i) -> slice(l, {last} + 2, g - {last} - 1))"
+    kept = F.expr(f"array_join(flatten({_let('l', lines, runs)}), '\\n')")
+    n_lines = F.when(F.col(name).isNull(), F.lit(0)).otherwise(F.size(F.split(F.col(name), "\n")))
+    return (out.withColumn("n_lines", n_lines.cast("long"))
+            .withColumn("n_removed", F.coalesce(F.greatest(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long"))
+            .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(name)).otherwise(kept))
             .drop("_dkey", "_gone"))

@@ -258,11 +258,77 @@ def test_line_dedup(spark):
     got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in
            line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
     assert got[1] == (rows[0][1], 3, 0)
-    assert got[2] == ("short", 2, 1)
+    assert got[2] == ("", 2, 2)  # an equal line leaves at any length
     assert got[3] == ("", 2, 2)
     assert got[4] == (None, 0, 0) and got[5][0] == "" and got[6][2] == 0 and got[None][2] == 0
 
 
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def _lines_left(rows):
+    """Brute force over all pairs of lines: (id, text, removed) of every distinct row."""
+    rows = sorted(set(rows), key=lambda r: (r[0] is not None, r[0]))
+    lines = list(dict.fromkeys(x for _, t in rows if t for x in t.split("\n") if x.strip(" \t\r")))
+    label = {x: x for x in lines}
+    for i, x in enumerate(lines):
+        for y in lines[:i]:
+            if label[x] != label[y] and min(len(x), len(y)) >= line_dedup.MIN_CHARS and _distance(x, y) <= 2:
+                old, new = label[x], label[y]
+                label = {k: new if v == old else v for k, v in label.items()}
+    seen, out = set(), []
+    for d, t in rows:
+        kept = []
+        for x in t.split("\n") if t else []:
+            if x in label and label[x] in seen:
+                continue
+            seen.add(label.get(x))
+            kept.append(x)
+        n = len(t.split("\n")) if t is not None else 0
+        out.append((d, None if t is None else "\n".join(kept), n, n - len(kept) if t else 0))
+    return out
+
+
+def test_line_dedup_against_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefgh  éß漢"))
+    base = ["".join(rng.choice(letters, n)) for n in (20, 21, 22, 30, 41, 90) for _ in range(4)]
+
+    def changed(line):
+        x = list(line)
+        for _ in range(int(rng.integers(0, 5))):
+            i = int(rng.integers(0, len(x)))
+            x[i:i + int(rng.integers(0, 2))] = rng.choice(letters, int(rng.integers(0, 2))).tolist()
+        return "".join(x)
+    pool = base + [changed(b) for b in base for _ in range(4)] + ["", "  ", "short", "short.", "x" * 4000]
+    rows = [(int(i), "\n".join(rng.choice(pool, int(rng.integers(1, 7))))) for i in range(60)]
+    rows += [(5, None), (None, base[0]), (61, "")]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string").withColumn("n_removed", F.lit("clash"))
+    got = {(r.doc_id, r.text, r.n_lines, r.n_removed)
+           for r in line_dedup.dedup_lines(df, "doc_id", "text").collect()}
+    assert line_dedup.dedup_lines(df, "doc_id", "text").count() == len(rows) + 3
+    # rows of one id are ordered by a hash of their text, so the two rows of id 5 stand alone
+    assert got == set(_lines_left(rows))
+
+
+def test_line_dedup_of_a_hot_line(spark):
+    """One line in every row and near copies of it: the first row keeps it."""
+    line = "this line stands in every single row of the table"
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit(line), F.when(F.col("id") % 3 == 0, "!").otherwise(""), F.lit("\n"),
+        F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    got = line_dedup.dedup_lines(df, "doc_id", "text")
+    assert got.filter("n_removed = 0").select("doc_id").collect() == [(0,)]
+    assert got.filter("n_removed = 1 and length(text) = 64").count() == 3999
+
+
 def test_pitman_yor(docs):
     rows = _rows(docs)
     tok = {(d, t): _words(t) + [None] for d, t in rows}
