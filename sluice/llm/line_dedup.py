@@ -49,18 +49,21 @@ def segment_probes(edits: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def _keys(edits: int) -> Column:
-    """Array of (key, hash with the role in its lowest bit) of the columns line, n, h."""
-    rows = []
-    for delta, i, shift, role in segment_probes(edits):
-        q, r = f"((n - {delta}) div {edits + 1})", f"((n - {delta}) % {edits + 1})"
-        short = f"({edits + 1} - {r})"  # segments of q characters; the others have one more
-        start = f"({q} * {i - 1} + greatest(0, {i - 1} - {short}) + 1 + {shift})"
-        size = f"({q} + if({i} > {short}, 1, 0))"
-        key = (f"xxhash64(n - {delta}, {i}, substring(line, cast({start} as int), cast({size} as int)))")
-        ok = f"{start} >= 1 and {start} + {size} - 1 <= n"
-        rows.append(F.expr(f"if({ok}, named_struct('key', {key}, 'h', (h & -2L) | {role}L), null)"))
-    return F.array_compact(F.array(*rows))
+def _keys(long: DataFrame, edits: int) -> DataFrame:
+    """(key, hash with the role in its lowest bit) of the lines (h, line, n)."""
+    probes = F.expr("array(%s)" % ", ".join(f"named_struct('delta', {d}, 'i', {i}, 'shift', {s}, 'role', {r})"
+                                            for d, i, s, r in segment_probes(edits)))
+    # four bytes a character: a segment is cut at once, without counting characters up to it
+    rows = long.select("h", "n", F.encode("line", "UTF-32").alias("codes"), F.explode(probes).alias("p")).select(
+        "h", "n", "codes", "p.*")
+    rows = (rows.withColumn("q", F.expr(f"cast((n - delta) div {edits + 1} as int)"))
+            # the first segments have q characters, the others one more
+            .withColumn("short", F.expr(f"{edits + 1} - (n - delta) % {edits + 1}"))
+            .withColumn("start", F.expr("q * (i - 1) + greatest(0, i - 1 - short) + 1 + shift"))
+            .withColumn("size", F.expr("q + if(i > short, 1, 0)"))
+            .filter("start >= 1 and start + size - 1 <= n"))
+    return rows.select(F.expr("xxhash64(n - delta, i, substring(codes, 4 * start - 3, 4 * size))").alias("key"),
+                       F.expr("h | cast(role as bigint)").alias("h"))
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -102,7 +105,7 @@ def _letter_counts(line: str) -> Column:
 def near_pairs(work: Work, distinct: DataFrame, edits: int) -> DataFrame:
     """(a, b): hashes of the distinct lines (h, line) within ``edits`` edits."""
     long = distinct.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= MIN_CHARS)
-    keys = long.select(F.explode(_keys(edits)).alias("k")).select("k.key", "k.h")
+    keys = _keys(long, edits)
     w = Window.partitionBy("key")
     line = F.expr("h & -2L")
     shared = (keys.withColumn("lo", F.min(line).over(w)).withColumn("hi", F.max(line).over(w))
