@@ -157,6 +157,17 @@ def merge_upsert(target: DataFrame, raw: DataFrame, spec: TableSpec, now: dt.dat
             .select(*_staging_columns(spec), *([CHANGED] if mark else [])))
 
 
+def changed_rows(target: DataFrame, src: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys (``s__*``) of the latest rows ``src`` that a merge would insert or update,
+    from the key and guard columns alone."""
+    guard = [spec.updated_column, "_is_deleted"]
+    cols = [*spec.keys, *[c for c in guard if c not in spec.keys]]
+    s = src.select(*[F.col(c).alias("s__" + c) for c in cols])
+    t = target.select(*[F.col(c).alias("t__" + c) for c in cols], F.lit(True).alias("t__present"))
+    return (s.join(t, _same_key(spec), "left").where(F.col("t__present").isNull() | update_guard(spec))
+             .select(*["s__" + k for k in spec.keys]))
+
+
 def merge_counts(staging: DataFrame, batch_id: str | Column | None = None) -> DataFrame:
     """G1: rows of this batch labelled INSERT / UPDATE, one pass, plus M9 text."""
     rows = staging if batch_id is None else staging.where(F.col("_batch_id") == batch_id)

@@ -11,8 +11,10 @@ the partitions it touches:
   merge lost before that is simply run again.  Its size follows the number of
   partitions, not of files.
 
-A merge is one full outer join: the batch's latest rows (W1) are written once, the
-partitions they fall into are read and joined with them, and the result is written.
+A merge is one full outer join: the partitions that the batch's keys fall into are
+read, joined with its latest rows (W1, whose exchange the join uses) and written by
+the join's own tasks, so a row of either side is shuffled once.  A batch that the table
+holds rows of already is first compared by key, guard columns and partition alone.
 A batch that changes nothing publishes nothing.  One writer at a time per table;
 the last ``KEEP`` versions stay readable.
 """
@@ -27,7 +29,8 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from sluice.operators.merge import CHANGED, SOURCE_META, empty_staging, merge_upsert, source_latest
+from sluice.operators.merge import (CHANGED, SOURCE_META, batch_rows, changed_rows, empty_staging, merge_upsert,
+                                    source_latest)
 from sluice.session import delete, exists
 from sluice.spec import STAGING_META_COLUMNS, TableSpec
 
@@ -129,11 +132,13 @@ class StagingTable:
         return F.pmod(F.hash(*pointer["cluster_by"]), F.lit(pointer["n_parts"]))
 
     def _write(self, df: DataFrame, pointer: dict, metrics: Sequence[Column] = ()) -> tuple[str, dict, dict]:
-        """(folder, partition -> folder, observed counts); AQE sizes the files."""
+        """(folder, partition -> folder, observed counts).  The join's tasks write their
+        rows as they are: with the key's hash also dealing its shuffle, a number of shuffle
+        partitions divisible by ``n_parts`` gives each of them rows of one partition."""
         name = uuid.uuid4().hex
         obs = Observation(f"staging_{name}")
         (df.observe(obs, F.count(F.lit(1)).alias("n"), *metrics).drop(CHANGED).withColumn(PART, self._part_of(pointer))
-           .hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(f"{self.path}/_data/{name}"))
+           .write.partitionBy(PART).parquet(f"{self.path}/_data/{name}"))
         found = [s.getPath().getName() for s in self._fs().listStatus(self._path(f"_data/{name}"))]
         parts = {f.split("=", 1)[1]: name for f in found if f.startswith(PART + "=")}
         # a plan that Spark found empty reports no metrics
@@ -152,41 +157,48 @@ class StagingTable:
         done = old["epochs"].get(epoch[0], -1) if epoch else -1
         if epoch and epoch[1] <= done:
             return {"rows_inserted": 0, "rows_updated": 0, "rows_changed": 0, "rows_written": 0, "parts_written": 0}
-        tmp = f"{self.path}/_work/{uuid.uuid4().hex}"
-        try:
-            return self._merge(raw, now, batch_id, old, {epoch[0]: epoch[1]} if epoch else {}, tmp)
-        finally:
-            delete(self.spark, tmp)
+        return self._merge(raw, now, batch_id, old, {epoch[0]: epoch[1]} if epoch else {})
 
-    def _merge(self, raw, now, batch_id, old, epoch, tmp) -> dict:
+    def _merge(self, raw, now, batch_id, old, epoch) -> dict:
         spec = self._merged_spec(old["schema"])
         src = source_latest(raw, self.spec, batch_id)
         src = src.select(*[(F.col(c) if c in src.columns else F.lit(None)).cast(t).alias(c) for c, t in spec.columns],
                          *SOURCE_META)
-        target, published = empty_staging(self.spark, spec), {}
+        target, published, touched = empty_staging(self.spark, spec), {}, []
         if old["version"]:
-            src.write.parquet(f"{tmp}/batch")
-            src = self.spark.read.schema(src.schema).parquet(f"{tmp}/batch")
             # at most one row per partition of the table
-            published = old["parts"]
-            touched = [str(r[0]) for r in src.select(self._part_of(old)).distinct().collect()]
+            published, kinds = old["parts"], dict(spec.columns)
+            touched = [str(r[0]) for r in batch_rows(raw, batch_id)
+                       .select(*[F.col(k).cast(kinds[k]).alias(k) for k in old["cluster_by"]])
+                       .select(self._part_of(old)).distinct().collect()]
             if not touched:
                 return self._unchanged(old, epoch, {"rows_inserted": 0, "rows_updated": 0, "rows_changed": 0})
             target = self._typed(self._read(old, touched), spec)
+            if batch_id is not None:
+                mine = target.where(F.col("_batch_id") == batch_id)
+                if mine.limit(1).count() and not changed_rows(target, src, spec).limit(1).count():
+                    got = mine.agg(*self._labels(F.lit(True))).first()
+                    return self._unchanged(old, epoch, {"rows_inserted": got["ins"], "rows_updated": got["upd"], "rows_changed": 0})
         merged = merge_upsert(target, src.hint(self.join_hint) if self.join_hint else src, spec, now,
                               dedupe=False, mark=True)
         own = F.col(CHANGED) if batch_id is None else F.col("_batch_id") == batch_id
         name, parts, got = self._write(merged, old, [
-            F.count_if(F.col(CHANGED)).alias("changed"),
-            F.count_if(own & (F.col("_cdc_operation") == "INSERT")).alias("ins"),
-            F.count_if(own & (F.col("_cdc_operation") == "UPDATE")).alias("upd")])
+            F.count_if(F.col(CHANGED)).alias("changed"), *self._labels(own)])
         counts = {"rows_inserted": got.get("ins", 0), "rows_updated": got.get("upd", 0), "rows_changed": got.get("changed", 0)}
         if not counts["rows_changed"] and old["version"]:
             delete(self.spark, f"{self.path}/_data/{name}")
             return self._unchanged(old, epoch, counts)
+        if stray := set(parts) & set(published) - set(touched):
+            delete(self.spark, f"{self.path}/_data/{name}")
+            raise RuntimeError(f"{self.path}: the batch was read with other keys than before, in partitions {sorted(stray)}; "
+                               "nothing is published")
         self._publish(old, schema=spec.staging_schema(), parts=published | parts, epochs=old["epochs"] | epoch)
         return counts | {"rows_written": got["n"], "parts_written": len(parts)}
 
+    @staticmethod
+    def _labels(own: Column) -> list[Column]:
+        return [F.count_if(own & (F.col("_cdc_operation") == op)).alias(n) for op, n in (("INSERT", "ins"), ("UPDATE", "upd"))]
+
     def _unchanged(self, old: dict, epoch: dict, counts: dict) -> dict:
         if epoch:
             self._publish(old, epochs=old["epochs"] | epoch)

@@ -183,3 +183,45 @@ def test_wide_merge_plans_fast_with_default_constraint_propagation(spark, work):
     t0 = time.time()
     m._jdf.queryExecution().optimizedPlan()
     assert time.time() - t0 < 10
+
+
+def test_a_merge_shuffles_each_side_once_and_writes_once(spark, work, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    t, plans, write = _table(spark, work + "/stg"), [], DataFrameWriter.parquet
+
+    def spy(self, path, *a, **kw):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *a, **kw)
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.write", property(lambda df: DataFrameWriter(df)), raising=False)
+    t.merge(_raw(spark, range(300, 500), 1, "C"), D, "C")
+    assert len(plans) == 1 and "REBALANCE" not in plans[0]
+    # the batch, the table, and the batch's NULL keys beside the join
+    assert plans[0].count("Exchange hashpartitioning") == 3
+
+
+def test_a_repeated_batch_is_compared_not_written(spark, work, monkeypatch):
+    t = _table(spark, work + "/stg")
+    t.merge(_raw(spark, range(50, 150), 1, "C"), D, "C")
+    with monkeypatch.context() as m:
+        m.setattr(t, "_write", lambda *a, **kw: pytest.fail("a repeated batch was written"))
+        got = t.merge(_raw(spark, range(50, 150), 1, "C"), D, "C")
+    assert got == {"rows_inserted": 0, "rows_updated": 100, "rows_changed": 0, "rows_written": 0, "parts_written": 0}
+    # under the same label, one newer row and one more key are a change
+    more = _raw(spark, range(50, 150), 1, "C").unionByName(_raw(spark, [60, 900], 2, "C"))
+    got = t.merge(more, D, "C")
+    assert (got["rows_changed"], got["rows_inserted"], got["rows_updated"]) == (2, 1, 100)
+    assert t.read().count() == 401
+
+
+def test_a_batch_that_reads_differently_loses_no_rows(spark, work, monkeypatch):
+    """Which partitions a batch touches is one read of it, its rows are another."""
+    from sluice.sinks import staging
+    t = _table(spark, work + "/stg")
+    before = sorted(t.read().collect())
+    with monkeypatch.context() as m:
+        m.setattr(staging, "batch_rows", lambda raw, batch_id: raw.where("id = 7"))
+        with pytest.raises(RuntimeError, match="other keys"):
+            t.merge(_raw(spark, range(100), 1, "C"), D, "C")
+    assert sorted(t.read().collect()) == before
+    assert t.merge(_raw(spark, range(100), 1, "C"), D, "C")["rows_updated"] == 100
