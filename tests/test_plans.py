@@ -50,3 +50,24 @@ def test_merge_uses_one_join_exchange_per_side(spark):
     df = catalog.QUERIES["merge_orders"](spark, SF_SMALL)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in p or "ShuffledHashJoin" in p or "BroadcastHashJoin" in p
+
+
+def test_a_split_scan_becomes_a_source_table_without_a_shuffle(spark, work, monkeypatch):
+    from sluice.plans import catalog as C
+    from sluice.plans.dialect import SparkDialect
+    confs = {"spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in confs}
+    want = spark.sql(C._quality_source_sql(SparkDialect(SF_SMALL))).collect()
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        with monkeypatch.context() as m:
+            m.setattr(type(spark.range(1)), "repartition", lambda *a: pytest.fail("shuffled"))
+            files = spark.sparkContext.defaultParallelism
+            scan = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").rdd.getNumPartitions()
+            assert scan >= files, (scan, files)
+            src = C._source_system(spark, SF_SMALL, work, {"lineitem": C._quality_source_sql})
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(spark.read.parquet(src + "/lineitem").collect(), key=repr) == sorted(want, key=repr)
