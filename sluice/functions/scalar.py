@@ -129,3 +129,9 @@ def safe_cast(col: Column, src: T.DataType, dst: T.DataType,
     if castable(src, dst):
         return col.try_cast(dst)
     return col.cast("string").try_cast(dst)
+
+
+def set_names(names: list[Column]) -> Column:
+    """The given names that are not NULL (no two are equal), as an array.  Spark compiles
+    this; ``array_compact`` is a lambda that it interprets, with all columns beside it."""
+    return F.array_except(F.array(*names), F.array(F.lit(None).cast("string")))

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from sluice.functions.scalar import safe_cast
+from sluice.functions.scalar import safe_cast, set_names
 from sluice.spec import AUDIT_COLUMNS
 
 BAD_COLUMNS = "_bad_columns"
@@ -48,9 +48,10 @@ def typed_projection(df: DataFrame, target: T.StructType, *, keep_bad_columns: b
             else:
                 conv = F.when(F.length(conv) <= limit, conv)
         cols.append(conv.alias(f.name))
-        bad.append(F.when(raw.isNotNull() & conv.isNull(), F.lit(f.name)))
+        if conv is not raw:     # a value that keeps its type always fits
+            bad.append(F.when(raw.isNotNull() & conv.isNull(), F.lit(f.name)))
     if keep_bad_columns:
-        arr = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+        arr = set_names(bad) if bad else F.array().cast("array<string>")
         cols.append(arr.alias(BAD_COLUMNS))
     return df.select(*cols)
 

@@ -16,6 +16,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sluice.functions.scalar import set_names
 from sluice.spec import RULE_ACTIONS, RULE_DEFAULTS, RULE_TYPES, SEVERITIES
 
 FAILED = "_dq_failed"
@@ -146,7 +147,7 @@ def evaluate_rules(df: DataFrame, rules: list[Rule],
                   .drop("__bad", *["__k_" + c for c in cols]))
     row_rules = [r for r in rules if r.rule_type.upper() != "THRESHOLD"]
     failed = [F.when(~F.col(r.pass_column), F.lit(r.rule_name)) for r in row_rules]
-    arr = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    arr = set_names(failed) if failed else F.array().cast("array<string>")
     return out.withColumn(FAILED, arr)
 
 
@@ -241,7 +242,7 @@ def _failed_with_action(rules: list[Rule], action: str, breached=()) -> Column:
            else F.array().cast("array<string>"))
     late = [F.when(~F.col(r.pass_column), F.lit(r.rule_name)) for r in table
             if r.rule_name in breached]
-    return F.concat(out, F.array_compact(F.array(*late))) if late else out
+    return F.concat(out, set_names(late)) if late else out
 
 
 def quarantined(evaluated: DataFrame, rules: list[Rule], breached=()) -> DataFrame:

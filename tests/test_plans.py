@@ -71,3 +71,18 @@ def test_a_split_scan_becomes_a_source_table_without_a_shuffle(spark, work, monk
         for k, v in old.items():
             spark.conf.set(k, v)
     assert sorted(spark.read.parquet(src + "/lineitem").collect(), key=repr) == sorted(want, key=repr)
+
+
+def test_bad_and_failed_names_are_compiled(spark):
+    from sluice.operators import quality as Q
+    from sluice.operators.projection import flag_bad_rows
+    from sluice.spec import schema_of
+    df = spark.createDataFrame([("1", "x"), ("a", None), (None, "y")], "k string, s string")
+    typed = flag_bad_rows(df, schema_of("k int, s string"))
+    assert [r["_bad_columns"] for r in typed.collect()] == [[], ["k"], []]
+    ev = Q.evaluate_rules(df, [Q.Rule("r1", "NOT_NULL", "s"), Q.Rule("r2", "REGEX", "k", regex_pattern="^[0-9]$"),
+                               Q.Rule("r3", "NOT_NULL", "k")])
+    assert sorted(r["_dq_failed"] for r in ev.collect()) == [[], ["r1", "r2"], ["r3"]]
+    assert "lambda" not in _plan(typed) and "lambda" not in _plan(ev)
+    # a value that keeps its type needs no test at all
+    assert "isnotnull" not in _plan(flag_bad_rows(df, schema_of("k string, s string")))
