@@ -18,7 +18,8 @@ fragment on its own and summed per pair.
    grows eightfold until no bucket had to hold a pair back, so no link is lost
    and a group of near copies is not expanded into all pairs.  Buckets over
    ``CELL`` nodes are split into cells of group pairs.
-4. Proposed pairs are counted exactly, fragment by fragment.
+4. Proposed pairs are counted exactly, fragment by fragment; a band of fragments is
+   joined and its shuffle files are gone before the next band is.
 5. Links are joined to components.
 
 Null, empty and blank texts have the empty set and no links.  Rows with equal
@@ -40,8 +41,9 @@ from .work import Work, bloom, components, in_bloom
 
 BUCKETS, PARTS = 1 << 18, 16
 SKETCH_BITS = 1024
-FRAGMENTS = 8
+FRAGMENTS, BANDS = 8, 4
 CELL = 4096
+BATCH = "2m"
 
 
 def _bucket(h):
@@ -83,7 +85,7 @@ def _describe(width):
             [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()),
              none.cast(pa.binary()), pa.array(range(PARTS), pa.int32()),
              pa.array(blobs, pa.binary())], schema=schema)
-    return run, "id long, n long, node long, sketch binary, part int, counts binary"
+    return tu.released(run), "id long, n long, node long, sketch binary, part int, counts binary"
 
 
 def _add_counts(batches):
@@ -143,7 +145,7 @@ def _prefixes(width, percent, order):
                 if cols[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in cols],
                                                      schema=schema)
-    return run, "token long, node long, n long, pos int"
+    return tu.released(run), "token long, node long, n long, pos int"
 
 
 def _pairs_of(t, n, pos, comp, grp, sk, percent, k):
@@ -215,7 +217,7 @@ def _propose(percent, k):
         got = list(dict.fromkeys(flush(rows)))
         if got:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*got)], schema=schema)
-    return run, "a long, b long, held long"
+    return tu.released(run), "a long, b long, held long"
 
 
 def _segments(width, order, wanted):
@@ -240,15 +242,21 @@ def _segments(width, order, wanted):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(nodes, pa.int64()), pa.array(frags, pa.int32()),
                          pa.array(items, pa.list_(pa.int64()))], schema=schema)
-    return run, "node long, frag int, items array<long>"
-
-
-def _overlaps(pairs: DataFrame, seg: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Links among the pairs: overlaps counted per fragment, summed per pair."""
-    a = seg.select(F.col("node").alias("a"), "frag", F.col("items").alias("xs"))
-    b = seg.select(F.col("node").alias("b"), "frag", F.col("items").alias("ys"))
-    parts = (pairs.join(a, "a").join(b, ["b", "frag"])
-             .select("a", "b", F.size(F.array_intersect("xs", "ys")).alias("c")))
+    return tu.released(run), "node long, frag int, items array<long>"
+
+
+def _overlaps(work: Work, pairs: DataFrame, seg: DataFrame, nodes: DataFrame, percent: int,
+              name: str) -> DataFrame:
+    """Links among the pairs: overlaps counted per fragment, written band by band as
+    tables ``name``_0 to _(BANDS - 1), summed per pair."""
+    parts = None
+    for band in range(BANDS):
+        one = seg.filter(F.col("band") == band)
+        a = one.select(F.col("node").alias("a"), "frag", F.col("items").alias("xs"))
+        b = one.select(F.col("node").alias("b"), "frag", F.col("items").alias("ys"))
+        part = work.keep(pairs.join(a, "a").join(b, ["b", "frag"])
+                         .select("a", "b", F.size(F.array_intersect("xs", "ys")).alias("c")), f"{name}_{band}")
+        parts = part if parts is None else parts.unionAll(part)
     n = nodes.select("node", "n")
     return (parts.groupBy("a", "b").agg(F.sum("c").alias("both"))
             .join(n.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
@@ -265,7 +273,7 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, width: int =
     work = Work(spark, "jaccard")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     fn, schema = _describe(width)
-    described = work.keep(base.mapInArrow(fn, schema), "described")
+    described = work.keep(base.mapInArrow(fn, schema), "described", BATCH)
     rows = described.filter("part is null")
     nodes = work.keep(rows.groupBy("node").agg(F.min("id").alias("min_id"), F.first("n").alias("n"),
                                                F.first("sketch").alias("sketch")), "nodes")
@@ -279,7 +287,7 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, width: int =
               .dropDuplicates(["token", "node"]))
     g = F.ceil(F.col("m") / F.lit(CELL)).cast("int")
     shared = shared.withColumn("g", g).withColumn("grp", F.pmod(F.hash("node"), F.col("g")))
-    shared = work.keep(shared.select("token", "node", "n", "pos", "g", "grp"), "shared")
+    shared = work.keep(shared.select("token", "node", "n", "pos", "g", "grp"), "shared", BATCH)
 
     done, links, k = None, None, 2
     labels, step = None, 0
@@ -298,7 +306,7 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, width: int =
         fn, schema = _propose(percent, k)
         raw = work.keep(cells.repartition("token", "own", "other")
                         .sortWithinPartitions("token", "own", "other", F.desc("n"), "node")
-                        .mapInArrow(fn, schema), f"raw_{step}")
+                        .mapInArrow(fn, schema), f"raw_{step}", BATCH)
         asked = raw.select("a", "b").distinct()
         if done is not None:
             asked = asked.join(done, ["a", "b"], "left_anti")
@@ -307,9 +315,12 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, width: int =
         wanted = spark.sparkContext.broadcast(bloom(ends, "node"))  # 1 MB, fixed
         fn, schema = _segments(width, order, wanted)
         seg = base.select("text").mapInArrow(fn, schema).dropDuplicates(["node", "frag"])
-        seg = work.keep(seg, f"seg_{step}")
-        found = work.keep(_overlaps(asked, seg, nodes, percent), f"links_{step}")
+        seg = seg.withColumn("band", F.floor(F.col("frag") * BANDS / FRAGMENTS).cast("int"))
+        seg = work.keep(seg, f"seg_{step}", BATCH, by="band")
+        found = work.keep(_overlaps(work, asked, seg, nodes, percent, f"parts_{step}"), f"links_{step}")
         work.drop(f"seg_{step}")
+        for band in range(BANDS):
+            work.drop(f"parts_{step}_{band}")
         links = found if links is None else links.unionAll(found)
         done = asked if done is None else done.unionAll(asked)
         labels = components(work, links, name=f"labels_{step}")

@@ -76,6 +76,16 @@ def release() -> None:
         trim(0)
 
 
+def released(run):
+    """``run``, a function of batches, whose task gives its freed memory back at the end."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return task
+
+
 def word_spans(data: np.ndarray, offs: np.ndarray, table: np.ndarray):
     """Start and end byte of every word, and the words before each row (rows + 1)."""
     low = table[data]

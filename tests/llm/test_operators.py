@@ -10,9 +10,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import ann, decontam, html_wrap, line_dedup, piece_codec, pyp_lm, queries, shards, token_count
+from sluice.llm import ann, decontam, html_wrap, line_dedup, piece_codec, pyp_lm, queries, shards, textutil, token_count
 from sluice.llm.cotrain import classify
 from sluice.llm.jaccard import jaccard_components
+from sluice.llm.work import BATCH, Work
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", "   ", "one", "one two", "a" * 3000, "x\ny\nx", "Ünï çödé 漢字 😀", "a  b   c ", "▁ mark"]
@@ -496,3 +497,41 @@ def test_matrix_rows_of_large_tables():
     assert shards._by_inversion(rng, 2 * 10**9, 1, 2 * 10**9) in (2 * 10**9 - 1, 2 * 10**9)
     small = [shards._hypergeometric(rng, 2 * 10**9, 6 * 10**9, 4) for _ in range(2000)]
     assert 0 <= min(small) and max(small) <= 4 and abs(np.mean(small) - 1) < 0.1
+
+
+def test_jaccard_joins_one_band_at_a_time(docs, monkeypatch):
+    plans, keep = {}, Work.keep
+
+    def watched(self, df, name, *args, **kw):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(self, df, name, *args, **kw)
+    monkeypatch.setattr(Work, "keep", watched)
+    jaccard_components(docs.drop("n_words"), "doc_id", "text")[0].count()
+    parts = [n for n in plans if n.startswith("parts_0_")]
+    assert len(parts) == 4
+    for n in parts:
+        assert "(band#" in plans[n] and f"= {n[-1]})" in plans[n]
+    assert "items" not in plans["links_0"]
+
+
+def test_batches_to_python_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+    texts = spark.range(0, 4000, 1, 1).select(F.rpad(F.col("id").cast("string"), 1000, "x").alias("text"))
+    before = spark.conf.get(BATCH)
+    got = Work(spark, "test").keep(texts.mapInArrow(sizes, "n long"), "sizes", "256k")
+    assert spark.conf.get(BATCH) == before
+    assert got.agg(F.max("n")).first()[0] < 300_000 and got.agg(F.sum("n")).first()[0] >= 4_000_000
+
+
+@pytest.mark.parametrize("ends", [True, False])
+def test_tasks_give_memory_back(monkeypatch, ends):
+    calls = []
+    monkeypatch.setattr(textutil, "release", lambda: calls.append(1))
+    task = textutil.released(lambda batches: (b for b in batches))(iter([1, 2]))
+    assert next(task) == 1 and not calls
+    list(task) if ends else task.close()
+    assert calls == [1]
