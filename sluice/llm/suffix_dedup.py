@@ -14,7 +14,7 @@ so the suffixes meet where they can match:
 3. Per hash, the distinct segments are one text.  Its suffixes are sorted by a mergesort:
    prefix polynomial hashes and a binary search find how far two suffixes agree, so a
    comparison takes a logarithmic number of probes.  Neighbours that agree over a whole
-   window are one class, whose smallest document decides.  Every agreement and every
+   window are one class, whose smallest document decides.  Every equality and every
    order of neighbours is verified on the bytes; a text that fails is sorted by its bytes.
 4. The blocks get back, per segment, its smallest document and the windows that occur in
    a still smaller one, and cut.
@@ -46,17 +46,22 @@ HOT = 13                                  # log2 of the places of one hash that
 _U = np.uint64
 _STEP = _U(0x9E6C63D0876A9A4B | 1)
 _BACK_STEP = _U(pow(int(_STEP), -1, 1 << 64))
-_PROBES = (32, 16, 8, 4, 2, 1)
+_PROBES = (32, 16)                        # then eight bytes at once
 
 
-def _run_hashes(data: np.ndarray) -> np.ndarray:
-    """48-bit hash of the RUN bytes from every position on."""
-    n = len(data)
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on, zeros after the end."""
     raw = data.tobytes() + bytes(8)
-    words = np.empty(n, np.uint64)
+    words = np.empty(len(data), np.uint64)
     for j in range(8):
         out = words[j::8]
         out[:] = np.frombuffer(raw, "<u8", len(out), j)
+    return words
+
+
+def _run_hashes(data: np.ndarray) -> np.ndarray:
+    """48-bit hash of the RUN bytes from every position on."""
+    n, words = len(data), _words(data)
     m = max(0, n - RUN + 1)
     h = words[:m]
     for j in range(8, RUN, 8):
@@ -314,30 +319,35 @@ def _send(ranges: int, hot: int):
     return run
 
 
+class Collision(ValueError):
+    """Two strings with one hash."""
+
+
 class Suffixes:
     """The suffixes that start at the given positions of a text, compared over one window."""
 
     def __init__(self, data: np.ndarray):
-        self.data, self.prefix = data, Prefixes(data)
-
-    def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Bytes over which the suffixes agree, at most a window: binary search over prefix hashes."""
-        n = np.zeros(len(a), np.int64)
-        for step in _PROBES:
-            to = n + step
-            ok = to <= WINDOW
-            to = np.minimum(to, WINDOW)
-            ok &= self.prefix.of(a, a + to) == self.prefix.of(b, b + to)
-            n = np.where(ok, to, n)
-        return n
+        prefix, n = Prefixes(data), len(data)
+
+        def spans(size):                                    # hash of the ``size`` bytes from every position on
+            return (prefix.sums[size:] - prefix.sums[:max(0, n + 1 - size)]) * prefix.back[:max(0, n + 1 - size)]
+        self.window, self.spans = spans(WINDOW), [(size, spans(size)) for size in _PROBES]
+        self.words = _words(data).byteswap()                # eight bytes from every position on, ordered as bytes are
 
     def compare(self, a, b):
-        """-1, 0 or 1 per pair."""
-        n = self.agree(a, b)
-        full = n == WINDOW
-        m = np.where(full, 0, n)
-        x, y = self.data[a + m].astype(np.int16), self.data[b + m].astype(np.int16)
-        return np.where(full, 0, np.sign(x - y))
+        """-1, 0 or 1 per pair: a binary search over prefix hashes finds, to eight bytes, how far the two agree;
+        the next eight bytes decide."""
+        out = np.zeros(len(a), np.int8)
+        todo = np.flatnonzero(self.window[a] != self.window[b])
+        a, b = a[todo], b[todo]
+        for size, hashes in self.spans:
+            step = (hashes[a] == hashes[b]) * size
+            a, b = a + step, b + step
+        same = self.words[a] == self.words[b]
+        a, b = a + same * 8, b + same * 8
+        x, y = self.words[np.minimum(a, len(self.words) - 1)], self.words[np.minimum(b, len(self.words) - 1)]
+        out[todo] = (x > y).astype(np.int8) - (x < y).astype(np.int8)
+        return out
 
     def sort(self, pos: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Positions ordered within their (contiguous) groups by a bottom-up mergesort."""
@@ -369,20 +379,20 @@ class Suffixes:
         return pos
 
     def same_as_before(self, pos: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """Whether each sorted suffix holds the window of the one before; verified on the bytes."""
+        """Whether each sorted suffix holds the window of the one before; equality and order are
+        verified on the bytes."""
         same = np.zeros(len(pos), bool)
         for lo in range(1, len(pos), 1 << 15):
-            a, b = pos[lo - 1:lo + (1 << 15) - 1], pos[lo:lo + (1 << 15)]
-            inside = group[lo - 1:lo + (1 << 15) - 1] == group[lo:lo + (1 << 15)]
-            n = self.agree(a, b)
-            span = np.arange(WINDOW)
-            x, y = (self.data[p[:, None] + span] for p in (a, b))
-            first = np.where((x != y).any(1), (x != y).argmax(1), WINDOW)
-            at = np.minimum(first, WINDOW - 1)[:, None]
-            wrong = inside & ((n != first) | (np.take_along_axis(x, at, 1) > np.take_along_axis(y, at, 1))[:, 0])
-            if wrong.any():
-                raise ValueError("hash collision")
-            same[lo:lo + len(b)] = inside & (first == WINDOW)
+            at = pos[lo - 1:lo + (1 << 15)]
+            open_, less = np.ones(len(at) - 1, bool), np.zeros(len(at) - 1, bool)
+            for j in (*range(0, WINDOW - 7, 8), WINDOW - 8):
+                w = self.words[at + j]
+                less |= open_ & (w[:-1] < w[1:])
+                open_ &= w[:-1] == w[1:]
+            inside = group[lo - 1:lo - 1 + len(open_)] == group[lo:lo + len(open_)]
+            if (inside & ~open_ & ~less).any():
+                raise Collision
+            same[lo:lo + len(open_)] = inside & open_
         return same
 
 
@@ -413,7 +423,7 @@ def repeated_windows(data, first, n, h, doc, group, use) -> np.ndarray:
     pos = suffixes.sort(at, bucket)
     try:
         same = suffixes.same_as_before(pos, bucket)
-    except ValueError:
+    except Collision:
         raw = data.tobytes()
         keyed = sorted((b, raw[p:p + WINDOW], p) for b, p in zip(bucket.tolist(), at.tolist()))
         pos = np.array([p for _, _, p in keyed], np.int64)

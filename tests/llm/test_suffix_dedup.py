@@ -101,3 +101,37 @@ def test_suffix_sort():
     got, raw = sd.Suffixes(data).sort(pos, group), data.tobytes()
     for k in range(9):
         assert [raw[p:p + 50] for p in got[group == k]] == sorted(raw[p:p + 50] for p in pos[group == k])
+
+
+@pytest.mark.parametrize("n", [1, 2900, (1 << 15) + 1, 70_000])
+def test_sorted_suffixes_are_verified(n):
+    """The check of a right order says so at any length, so that the byte sort is left to real collisions."""
+    rng = np.random.default_rng(n)
+    data = rng.integers(97, 99, n + 50).astype(np.uint8)
+    data[n // 2:n // 2 + n // 4] = data[:n // 4]
+    pos, group = rng.permutation(n), np.sort(rng.integers(0, 9, n))
+    suffixes, raw = sd.Suffixes(data), data.tobytes()
+    got = suffixes.sort(pos, group)
+    keyed = [(k, raw[p:p + 50]) for k, p in zip(group.tolist(), got.tolist())]
+    assert keyed == sorted(keyed)
+    assert suffixes.same_as_before(got, group).tolist() == [False] + [a == b for a, b in zip(keyed, keyed[1:])]
+    if n > 1:
+        turned = got[::-1]
+        with pytest.raises(sd.Collision):
+            suffixes.same_as_before(turned, np.zeros(n, np.int64))
+
+
+def test_byte_sort_is_left_to_collisions(monkeypatch):
+    def spied(self, pos, group):
+        try:
+            return real(self, pos, group)
+        except ValueError:
+            fell.append(1)
+            raise
+    fell, real = [], sd.Suffixes.same_as_before
+    monkeypatch.setattr(sd.Suffixes, "same_as_before", spied)
+    text = np.frombuffer(b"the quick brown fox jumps over the lazy dog and on and on it goes" * 2, np.uint8)
+    first = np.array([0, 65])
+    h = np.full(2, sd._run_hashes(text)[:27].min())
+    mask = sd.repeated_windows(text, first, np.array([16, 16]), h, np.array([1, 2]), np.zeros(2, np.int64), None)
+    assert mask.tolist() == [0, (1 << 16) - 1] and not fell
