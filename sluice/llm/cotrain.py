@@ -112,7 +112,7 @@ def _features(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [c.column("id"), c.column("label"), pa.array(list(t), pa.list_(pa.float32())),
                      pa.array(list(m), pa.list_(pa.float32()))], ["id", "label", "t", "m"])
-    return docs.mapInArrow(run, "id long, label int, t array<float>, m array<float>")
+    return docs.mapInArrow(tu.released(run), "id long, label int, t array<float>, m array<float>")
 
 
 def _arrays(batch, name: str, width: int) -> np.ndarray:
@@ -203,7 +203,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.lit(None).cast("int").alias("label"),
                        F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(source_col).cast("string").alias("source"), F.col(length_col).cast("long").alias("n_chars"))
-    feats = work.keep(_features(base).drop("label"), "features")
+    feats = work.keep(_features(base).drop("label"), "features", "2m")
     rows = feats.join(marked.withColumnRenamed("id", "mid"), F.col("id") == F.col("mid"), "left").drop("mid")
     rows = work.keep(rows, "rows")
     model = train(work, rows, seed)
@@ -223,5 +223,5 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 s = p(both.odds(np.stack([a, c], 1)))
                 yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(x.astype(np.float64)) for x in (p(a), p(c), s)),
                                                   pa.array(s >= threshold)], ["id", "p_text", "p_meta", "score", "keep"])
-    return (rows.select("id", "t", "m").mapInArrow(run, "id long, p_text double, p_meta double, score double, keep boolean")
+    return (rows.select("id", "t", "m").mapInArrow(tu.released(run), "id long, p_text double, p_meta double, score double, keep boolean")
             .withColumnRenamed("id", id_col))

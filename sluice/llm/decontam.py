@@ -221,7 +221,7 @@ def _search(phrases, text_col, names, window):
                     + [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int32()))),
                        pa.array(items, pa.list_(pa.int64()))],
                     names + ["n_words", "hit_spans", "hit_items"])
-    return run
+    return tu.released(run)
 
 
 def find_contamination(docs: DataFrame, text_col: str, benchmark: DataFrame, item_col: str,
@@ -266,7 +266,7 @@ def cut_spans(df: DataFrame, text_col: str) -> DataFrame:
                     texts[i] = b"".join([*parts, raw[last:]]).decode("utf-8")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(names))], names)
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tu.released(run), df.schema)
 
 
 def items_digest(items: list[int]) -> str:
