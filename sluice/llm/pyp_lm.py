@@ -18,11 +18,13 @@ Work is split twice.  A chunk is a bounded piece of the documents; it keeps its
 documents as numbers of its own distinct words.  A shard holds the words of one hash
 range, and with each word the contexts it followed with their counts from all chunks.
 Before a sweep each shard sends its tables of each context to the shard where the
-context's own word lives, which adds them up and sends the sums back.  A chunk numbers
-its words shard by shard, so that questions are its pairs' hashes, and answers are, in
-the same order, what a pair's customers give it, its word's probability in the parent
-and its context's customers and weight of a new table.  The driver sees totals and the
-letter restaurants (at most 257^3 dishes).
+context's own word lives, which adds them up and sends the sums back.  Shards lie in
+tables bucketed by their number, so the messages travel and the shards do not.  A chunk
+numbers its words shard by shard, so that questions are its pairs' hashes, and answers
+are, in the same order, what a pair's customers give it, its word's probability in the
+parent and its context's customers and weight of a new table.  Questions are asked a
+band of chunks at a time, whose messages are deleted before the next.  The driver sees
+totals and the letter restaurants (at most 257^3 dishes).
 
 Null and empty texts are one end token.  A null id counts as the id "" (held out,
 as its crc32 is 0).  Equal rows are scored each; columns other than id and text are
@@ -32,6 +34,7 @@ not read.  64-bit hashes stand for words.
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,35 +46,63 @@ from .work import Work
 BURN, SAMPLES = 1, 2
 STRENGTH = 1.0
 CHUNK_BYTES = 4 << 20
+BANDS = 4  # chunks ask their questions in so many turns
 END_HASH = np.uint64(0x2545F4914F6CDD1D)
 START_HASH = np.uint64(0x9E3779B97F4A7C15)  # the context that starts a text
 LAST = 256  # the symbol that ends a word
 
 
 def _pack(**arrays) -> bytes:
-    """Arrays in one binary value, bytes of equal weight side by side."""
+    """Arrays in one binary value: hashes as they are, of others bytes of equal weight side by side
+    and compressed."""
     out = []
     for name, a in arrays.items():
+        if a.dtype == np.int64 and a.size and -(1 << 31) <= a.min() and a.max() < 1 << 31:
+            a, kind = a.astype(np.int32), a.dtype  # four bytes hold them
+        else:
+            kind = a.dtype
         a = np.ascontiguousarray(a)
-        raw = a.view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes() if a.size else b""
-        head = f"{name}:{a.dtype.str}:{','.join(map(str, a.shape))}:{len(raw)};".encode()
-        out += [len(head).to_bytes(2, "little"), head, raw]
+        if a.dtype == np.uint64 or not a.size:
+            raw = body = a.tobytes()
+        else:
+            raw = a.view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes()
+            body = pa.compress(raw, codec="zstd", asbytes=True)
+        head = f"{name}:{kind.str}:{a.dtype.str}:{','.join(map(str, a.shape))}:{len(body)}:{len(raw)};".encode()
+        out += [len(head).to_bytes(2, "little"), head, body]
     return b"".join(out)
 
 
 def _unpack(blob: bytes) -> dict[str, np.ndarray]:
-    out, at = {}, 0
+    out, at, view = {}, 0, memoryview(blob)
     while at < len(blob):
         n = int.from_bytes(blob[at:at + 2], "little")
-        name, kind, shape, size = blob[at + 2:at + 2 + n].decode()[:-1].split(":")
+        name, kind, held, shape, packed, size = blob[at + 2:at + 2 + n].decode()[:-1].split(":")
         at += 2 + n
-        kind, size = np.dtype(kind), int(size)
-        flat = np.frombuffer(blob, np.uint8, size, at).reshape(kind.itemsize, -1).T
-        out[name] = np.ascontiguousarray(flat).view(kind).reshape([int(x) for x in shape.split(",") if x])
-        at += size
+        held, packed, size = np.dtype(held), int(packed), int(size)
+        if held == np.uint64 or not size:
+            flat = np.frombuffer(blob, held, size // held.itemsize, at).copy()
+        else:
+            raw = pa.decompress(pa.py_buffer(view[at:at + packed]), size, codec="zstd")
+            flat = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(held.itemsize, -1).T).view(held)
+        out[name] = flat.reshape([int(x) for x in shape.split(",") if x]).astype(np.dtype(kind), copy=False)
+        at += packed
     return out
 
 
+def _ranked(x: np.ndarray, most: int):
+    """np.unique with the inverse, of integers from 0 to ``most``: one sort of values with their places
+    in the low bits where both fit."""
+    bits = len(x).bit_length()
+    if int(most).bit_length() + bits > 63 or not len(x):
+        return np.unique(x, return_inverse=True)
+    both = np.sort(x.astype(np.int64) << bits | np.arange(len(x)))
+    at, x = both & ((1 << bits) - 1), both >> bits
+    new = np.concatenate(([True], x[1:] != x[:-1]))
+    inv = np.empty(len(x), np.int64)
+    inv[at] = np.cumsum(new) - 1
+    return x[new], inv
+
+
 def _shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return (h >> np.uint64(33)).astype(np.int64) % shards
 
@@ -143,8 +174,7 @@ def _pairs(d: dict):
     """Pairs (word * words + context) of a chunk in order, the pair of each token, and
     the first pair of each shard."""
     words, local = int(d["cut"][-1]), d["local"].astype(np.int64)
-    pairs, inv = np.unique(local * words + _context(local, d["size"].astype(np.int64), int(d["start"][0])),
-                           return_inverse=True)
+    pairs, inv = _ranked(local * words + _context(local, d["size"].astype(np.int64), int(d["start"][0])), words * words)
     return pairs, inv, np.searchsorted(pairs, d["cut"].astype(np.int64) * words)
 
 
@@ -162,7 +192,7 @@ def _split(counted: bool):
             at = np.concatenate(([0], np.cumsum(d["len"])))
         for k in np.flatnonzero(np.diff(cut)).tolist():
             own, mine = slice(cut[k], cut[k + 1]), slice(pcut[k], pcut[k + 1])
-            near, x = np.unique(px[mine], return_inverse=True)
+            near, x = _ranked(px[mine], words)
             out = {"hash": d["hash"][own], "ctx": d["hash"][near], "px": x.astype(np.int32),
                    "pw": np.bincount(pw[mine] - cut[k], minlength=cut[k + 1] - cut[k]).astype(np.int32)}
             if counted:
@@ -210,13 +240,10 @@ def _merge_words(parts: list[dict]) -> dict:
         keys.append(inv[w0 + _word_of(p["pw"])[on]] * max(1, len(ctx)) + near[x0 + p["px"][on]])
         counts.append(p["c"][on])
         w0, x0 = w0 + len(p["hash"]), x0 + len(p["ctx"])
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    at = np.flatnonzero(np.diff(keys, prepend=-1))
-    c = np.add.reduceat(counts, at, dtype=np.int64) if len(at) else np.zeros(0, np.int64)
-    w, x = keys[at] // max(1, len(ctx)), keys[at] % max(1, len(ctx))
-    used, x = np.unique(x, return_inverse=True)
+    keys, inv = _ranked(np.concatenate(keys), len(uniq) * max(1, len(ctx)))
+    c = np.bincount(inv, np.concatenate(counts), len(keys)).astype(np.int64)
+    w, x = keys // max(1, len(ctx)), keys % max(1, len(ctx))
+    used, x = _ranked(x, len(ctx))
     return {"hash": uniq, "follow": follow, "len": lens[first], "spell": spell, "ctx": ctx[used],
             "pw": np.bincount(w, minlength=len(uniq)).astype(np.int32), "px": x.astype(np.int32), "c": c}
 
@@ -358,10 +385,13 @@ class Letters:
         big, tables = np.where(seen, m["C"][x], 0), np.where(seen, m["T"][x], 0)
         return (np.maximum(c - m["d"] * t, 0) + (STRENGTH + m["d"] * tables) * p) / (STRENGTH + big)
 
-    def words(self, lens: np.ndarray, spell: np.ndarray) -> np.ndarray:
-        """Probability of each word's spelling."""
-        k = self.keys(lens, spell)[2]
-        uniq, inv = np.unique(k, return_inverse=True)
+    @classmethod
+    def dishes(cls, lens: np.ndarray, spell: np.ndarray):
+        """Distinct dishes of depth 2, and which of them each letter is."""
+        return _ranked(cls.keys(lens, spell)[2], 1 << 27)
+
+    def words(self, lens: np.ndarray, uniq: np.ndarray, inv: np.ndarray) -> np.ndarray:
+        """Probability of each word's spelling, from its dishes."""
         logs = np.log(self.prob(2, uniq))[inv]
         n = lens.astype(np.int64) + 1
         return np.exp(np.add.reduceat(logs, np.cumsum(n) - n)) if len(n) else np.zeros(0)
@@ -428,14 +458,20 @@ def _reply(batches):
         yield from done(now, parts)
 
 
+def _messages(table) -> list[tuple]:
+    """Rows of one place in the order of their role and sender."""
+    return sorted(zip(*(table.column(c).to_pylist() for c in ("role", "chunk", "blob"))), key=lambda x: x[:2])
+
+
 def _sweep(glob, number, keep, seed):
-    """A shard's row (role -1) comes after its words' own sums (role -2) and before the
-    sums of its contexts (role 0, in the order of their shards)."""
+    """A shard with its words' own sums (role -2) and the sums of its contexts (role 0, in
+    the order of their shards)."""
     def done(place, s, own, sums):
         g, letters = glob.value
         rng = np.random.default_rng([seed, number, place])
         tables = np.concatenate(sums) if sums else np.zeros(0, np.int64)
-        spelled = letters.words(s["len"], s["spell"]) if letters.depths else np.zeros(len(s["hash"]))
+        keys, inv = Letters.dishes(s["len"], s["spell"])
+        spelled = letters.words(s["len"], keys, inv) if letters.depths else np.zeros(len(s["hash"]))
         base = (spelled + 1 / (g["V"] + 1)) / 2
         parent = _parent(s, g, base)
         if keep:
@@ -445,41 +481,34 @@ def _sweep(glob, number, keep, seed):
         up = seat(rng, _from_children(s), STRENGTH + g["d1"] * g["T1"], base, g["d1"])
         s["up"] = up.astype(np.int32)
         n = s["len"].astype(np.int64) + 1
-        keys, inv = np.unique(Letters.keys(s["len"], s["spell"])[2], return_inverse=True)
         share = spelled / 2 / base if letters.depths else np.full(len(base), 0.5)
         ordered = rng.binomial(up, np.clip(share, 0, 1))
         times = np.bincount(inv, np.repeat(ordered, n), len(keys)).astype(np.int64)
         on = times > 0
         return _state_row(place, _pack(**s), _totals(s), keys[on].tolist(), times[on].tolist())
 
-    def run(batches):
-        now, s, own, sums = None, None, None, []
-        for b in batches:
-            for i in range(b.num_rows):
-                role, place, _, blob = (b.column(c)[i].as_py() for c in _CHUNK.names)
-                if place != now:
-                    if s is not None:
-                        yield done(now, s, own, sums)
-                    now, s, sums = place, None, []
-                    own = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-                part = _unpack(blob)
+    def run(state, messages):
+        out = []
+        for place, blob in zip(state.column("place").to_pylist(), state.column("blob").to_pylist()):
+            own, sums = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), []
+            for role, _, message in _messages(messages):
+                part = _unpack(message)
                 if role == -2:
                     own = part["ctx"], part["t"]
-                elif role == -1:
-                    s = part
                 else:
                     sums.append(part["t"])
-        if s is not None:
-            yield done(now, s, own, sums)
+            out.append(done(place, _unpack(blob), own, sums))
+        tu.release()
+        return pa.Table.from_batches(out, schema=_STATE)
     return run
 
 
-def _answer(glob):
-    """A shard's row (role -1) comes first, then the tables of its words as contexts
-    (role 0), then the chunks' questions (role 1)."""
+def _known(glob):
+    """What a shard answers from, once it has the tables of its words as contexts: its pairs
+    sorted by word and context."""
     def ready(s, sums):
         g, letters = glob.value
-        base = (letters.words(s["len"], s["spell"]) + 1 / (g["V"] + 1)) / 2
+        base = (letters.words(s["len"], *Letters.dishes(s["len"], s["spell"])) + 1 / (g["V"] + 1)) / 2
         s = _sampled(s, g, _parent(s, g, base), _own_sums(s, *_sum_tables(sums)))
         order = np.argsort(s["ctx"])
         rank = np.empty(len(order), np.int64)
@@ -488,37 +517,41 @@ def _answer(glob):
         by = np.argsort(key)
         total = np.bincount(_word_of(s["pw"]), s["c"], len(s["hash"])).astype(np.int64)
         return {"hash": s["hash"], "total": total, "parent": s["parent"], "weight": s["weight"],
-                "follow": s["follow"], "ctx": s["ctx"][order], "key": key[by], "give": s["give"][by]}
-
-    def run(batches):
-        own, s, sums, known = None, None, [], None
-        for b in batches:
-            for i in range(b.num_rows):
-                role, place, chunk, blob = (b.column(c)[i].as_py() for c in _CHUNK.names)
-                q = _unpack(blob)
-                if role == -1:
-                    own, s, sums, known = place, q, [], None
-                    continue
-                if role == 0:
-                    sums.append(q)
-                    continue
-                if known is None:
-                    known, s, sums = ready(s, sums), None, []
-                k = np.searchsorted(known["hash"], q["hash"])
-                give = np.zeros(len(q["px"]), np.float32)
-                if len(known["key"]):
-                    x = np.minimum(np.searchsorted(known["ctx"], q["ctx"]), len(known["ctx"]) - 1)
-                    met = known["ctx"][x] == q["ctx"]
-                    key = k[_word_of(q["pw"])] * len(known["ctx"]) + x[q["px"]]
-                    at = np.minimum(np.searchsorted(known["key"], key), len(known["key"]) - 1)
-                    hit = (known["key"][at] == key) & met[q["px"]]
-                    give[hit] = known["give"][at[hit]]
-                yield _chunk_row(0, chunk, own, _pack(
-                    c=known["total"][k], follow=known["follow"][k], give=give,
-                    parent=known["parent"][:, k], weight=known["weight"][:, k]))
+                "follow": s["follow"], "ctx": s["ctx"][order], "step": np.diff(key[by], prepend=0), "give": s["give"][by]}
+
+    def run(state, messages):
+        out = []
+        for place, blob in zip(state.column("place").to_pylist(), state.column("blob").to_pylist()):
+            known = ready(_unpack(blob), [_unpack(m) for _, _, m in _messages(messages)])
+            out.append(_chunk_row(-1, place, 0, _pack(**known)))
+        tu.release()
+        return pa.Table.from_batches(out, schema=_CHUNK)
     return run
 
 
+def _answer(known, questions):
+    """A shard's answers to the chunks' questions."""
+    out = []
+    for own, blob in zip(known.column("place").to_pylist(), known.column("blob").to_pylist()):
+        s = _unpack(blob)
+        keys = np.cumsum(s["step"])
+        for chunk, question in zip(questions.column("chunk"), questions.column("blob")):
+            q = _unpack(question.as_py())
+            k = np.searchsorted(s["hash"], q["hash"])
+            give = np.zeros(len(q["px"]), np.float32)
+            if len(keys):
+                x = np.minimum(np.searchsorted(s["ctx"], q["ctx"]), len(s["ctx"]) - 1)
+                met = s["ctx"][x] == q["ctx"]
+                key = k[_word_of(q["pw"])] * len(s["ctx"]) + x[q["px"]]
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = (keys[at] == key) & met[q["px"]]
+                give[hit] = s["give"][at[hit]]
+            out.append(_chunk_row(0, chunk.as_py(), own, _pack(
+                c=s["total"][k], follow=s["follow"][k], give=give, parent=s["parent"][:, k], weight=s["weight"][:, k])))
+    tu.release()
+    return pa.Table.from_batches(out, schema=_CHUNK)
+
+
 def _score(total, distinct):
     names = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -562,10 +595,11 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
     spark = docs.sparkSession
     work = Work(spark, "lm")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    shards = shards or max(32, 4 * base.rdd.getNumPartitions())
-    read = work.keep(base.mapInArrow(_read(shards), _CHUNK_DDL), "read")
-    state = work.keep(read.mapInArrow(_split(True), _CHUNK_DDL).select("place", "blob").repartition(shards, "place")
-                      .sortWithinPartitions("place").mapInArrow(_first_state(shards), _STATE_DDL), "state_0")
+    shards = shards or max(16, 2 * base.rdd.getNumPartitions())
+    read = work.keep(base.mapInArrow(tu.released(_read(shards)), _CHUNK_DDL), "read", batch=str(2 * CHUNK_BYTES))
+    state = work.keep(read.mapInArrow(tu.released(_split(True)), _CHUNK_DDL).select("place", "blob").repartition(shards, "place")
+                      .sortWithinPartitions("place").mapInArrow(tu.released(_first_state(shards)), _STATE_DDL),
+                      "state_0", buckets=(shards, "place"))
 
     def totals(df):
         rows = np.array([r.totals for r in df.select("totals").collect()], np.int64)
@@ -573,12 +607,12 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
         disc = lambda a, b: min(0.95, max(0.1, a / max(1, a + 2 * b)))
         return {"C": v[0], "C1": v[1], "T1": v[2], "V": v[3], "d2": disc(v[4], v[5]), "d1": disc(v[6], v[7])}
 
-    def as_rows(state):
-        return state.select(F.lit(-1).alias("role"), "place", F.lit(0).cast("long").alias("chunk"), "blob")
-
     def tables(state):
         return state.select("place", "blob").mapInArrow(_tables, _CHUNK_DDL)
 
+    def meet(shelf, messages, fn, ddl):
+        return shelf.select("place", "blob").groupBy("place").cogroup(messages.groupBy("place")).applyInArrow(fn, ddl)
+
     g, letters = totals(state), Letters()
     words, tokens = g["V"], g["C"]
     rng = np.random.default_rng([seed, 0])
@@ -588,8 +622,7 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
         fn = _sweep(spark.sparkContext.broadcast((g, letters)), number, keep, seed)
         sums = (tables(state).repartition(shards, "place").sortWithinPartitions("place", "chunk")
                 .mapInArrow(_reply, _CHUNK_DDL))
-        state = work.keep(as_rows(state).unionAll(sums).repartition(shards, "place")
-                          .sortWithinPartitions("place", "role", "chunk").mapInArrow(fn, _STATE_DDL), f"state_{number}")
+        state = work.keep(meet(state, sums, fn, _STATE_DDL), f"state_{number}", buckets=(shards, "place"))
         work.drop(f"state_{number - 1}")
         g = totals(state)
         rows = (state.select(F.explode(F.arrays_zip("letters", "times")).alias("x"))
@@ -599,12 +632,20 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
                                      np.array([r[1] for r in rows], np.int64), letters)
     if not letters.depths:  # nothing to learn from
         letters = Letters.sample(rng, np.array([LAST], np.int64), np.array([0], np.int64), letters)
-    both = as_rows(state).unionAll(tables(state)).unionAll(read.mapInArrow(_split(False), _CHUNK_DDL))
-    fn = _answer(spark.sparkContext.broadcast((g, letters)))
-    answers = (both.repartition(shards, "place").sortWithinPartitions("place", "role", "chunk")
-               .mapInArrow(fn, _CHUNK_DDL))
-    rows = answers.unionAll(read.mapInArrow(_documents, _CHUNK_DDL))
-    return (rows.repartition(shards, "place").sortWithinPartitions("place", "role")
-            .mapInArrow(_score(tokens, words),
-                        "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                        "base_score double, score double").withColumnRenamed("id", id_col))
+    fn = _known(spark.sparkContext.broadcast((g, letters)))
+    known = work.keep(meet(state, tables(state), fn, _CHUNK_DDL), "known", buckets=(shards, "place"))
+    work.drop(f"state_{BURN + SAMPLES}")
+    turn = F.pmod(F.shiftright("chunk", 32) + F.col("chunk").bitwiseAND(F.lit((1 << 32) - 1)), F.lit(BANDS))
+    out = []
+    for band in range(BANDS):
+        asked = read.filter(turn == band)
+        answers = meet(known, asked.mapInArrow(_split(False), _CHUNK_DDL), _answer, _CHUNK_DDL)
+        rows = answers.unionAll(asked.mapInArrow(_documents, _CHUNK_DDL))
+        scores = (rows.repartition(max(1, shards // BANDS), "place").sortWithinPartitions("place", "role")
+                  .mapInArrow(tu.released(_score(tokens, words)),
+                              "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                              "base_score double, score double"))
+        out.append(work.keep(scores, f"scores_{band}"))
+    work.drop("known")
+    work.drop("read")
+    return reduce(DataFrame.unionAll, out).withColumnRenamed("id", id_col)

@@ -535,3 +535,36 @@ def test_tasks_give_memory_back(monkeypatch, ends):
     assert next(task) == 1 and not calls
     list(task) if ends else task.close()
     assert calls == [1]
+
+
+def test_lm_messages_are_small_and_come_back_whole():
+    few = np.ones(100_000, np.int32)
+    some = {"t": few, "hash": np.arange(5, dtype=np.uint64) << np.uint64(60), "none": np.zeros((0, 3), np.float32),
+            "two": np.arange(6, dtype=np.float32).reshape(2, 3), "wide": np.array([1 << 40, -3]), "c": few.astype(np.int64)}
+    back = pyp_lm._unpack(pyp_lm._pack(**some))
+    assert all((back[k] == v).all() and back[k].dtype == v.dtype and back[k].shape == v.shape for k, v in some.items())
+    assert len(pyp_lm._pack(t=few)) < 10_000
+    x = np.random.default_rng(1).integers(0, 50, 1000)
+    for most in (50, 1 << 62):
+        assert all((a == b).all() for a, b in zip(pyp_lm._ranked(x, most), np.unique(x, return_inverse=True)))
+
+
+def test_lm_asks_one_band_at_a_time(spark, docs, monkeypatch):
+    tables = []
+    keep, drop = pyp_lm.Work.keep, pyp_lm.Work.drop
+    monkeypatch.setattr(pyp_lm.Work, "keep", lambda self, df, name, **kw: (tables.append((name, kw)), keep(self, df, name, **kw))[1])
+    monkeypatch.setattr(pyp_lm.Work, "drop", lambda self, name: (tables.append((f"-{name}", {})), drop(self, name))[1])
+    scores = []
+    for bands in (1, 3):
+        monkeypatch.setattr(pyp_lm, "BANDS", bands)
+        tables.clear()
+        scores.append(sorted(tuple(r) for r in pyp_lm.score_texts(docs.repartition(5, "doc_id"), "doc_id", "text", shards=3).collect()))
+    assert len(scores[0]) == docs.count() and np.allclose([r[1:] for r in scores[0]], [r[1:] for r in scores[1]])
+    names = [name for name, _ in tables]
+    assert names[-6:] == ["-state_3", "scores_0", "scores_1", "scores_2", "-known", "-read"]
+    assert all(kw["buckets"] == (3, "place") for name, kw in tables if name.startswith(("state_", "known")))
+    # a shard's groups meet messages without a shuffle of the shards
+    shelf = pyp_lm.Work(spark, "test").keep(spark.range(10).withColumnRenamed("id", "place"), "t", buckets=(3, "place"))
+    both = shelf.groupBy("place").cogroup(docs.select(F.lit(1).cast("long").alias("place")).groupBy("place")).applyInArrow(
+        lambda a, b: a, "place long")
+    assert both._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1 and both.count() == 10
