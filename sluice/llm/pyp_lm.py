@@ -47,6 +47,7 @@ BURN, SAMPLES = 1, 2
 STRENGTH = 1.0
 CHUNK_BYTES = 4 << 20
 BANDS = 4  # chunks ask their questions in so many turns
+TURNS = 2  # chunks send their words to the shards in so many turns
 END_HASH = np.uint64(0x2545F4914F6CDD1D)
 START_HASH = np.uint64(0x9E3779B97F4A7C15)  # the context that starts a text
 LAST = 256  # the symbol that ends a word
@@ -178,9 +179,9 @@ def _pairs(d: dict):
     return pairs, inv, np.searchsorted(pairs, d["cut"].astype(np.int64) * words)
 
 
-def _split(counted: bool):
-    """A chunk's words and pairs for each shard: with spelling and training counts
-    (role 0), or as questions, hashes alone (role 1)."""
+def _split(counted: bool, turn: int = 0, turns: int = 1):
+    """A chunk's words and pairs for each shard of this turn: with spelling and training
+    counts (role 0), or as questions, hashes alone (role 1)."""
     def rows(chunk, d):
         pairs, inv, pcut = _pairs(d)
         cut, words = d["cut"], int(d["cut"][-1])
@@ -191,6 +192,8 @@ def _split(counted: bool):
             follow = np.bincount(px[inv[train]], minlength=words).astype(np.int32)
             at = np.concatenate(([0], np.cumsum(d["len"])))
         for k in np.flatnonzero(np.diff(cut)).tolist():
+            if k % turns != turn:
+                continue
             own, mine = slice(cut[k], cut[k + 1]), slice(pcut[k], pcut[k + 1])
             near, x = _ranked(px[mine], words)
             out = {"hash": d["hash"][own], "ctx": d["hash"][near], "px": x.astype(np.int32),
@@ -597,9 +600,11 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, shards: int | None
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     shards = shards or max(16, 2 * base.rdd.getNumPartitions())
     read = work.keep(base.mapInArrow(tu.released(_read(shards)), _CHUNK_DDL), "read", batch=str(2 * CHUNK_BYTES))
-    state = work.keep(read.mapInArrow(tu.released(_split(True)), _CHUNK_DDL).select("place", "blob").repartition(shards, "place")
-                      .sortWithinPartitions("place").mapInArrow(tu.released(_first_state(shards)), _STATE_DDL),
-                      "state_0", buckets=(shards, "place"))
+    for turn in range(TURNS):
+        sent = read.mapInArrow(tu.released(_split(True, turn, TURNS)), _CHUNK_DDL).select("place", "blob")
+        state = work.keep(sent.repartition(shards, "place").sortWithinPartitions("place")
+                          .mapInArrow(tu.released(_first_state(shards)), _STATE_DDL),
+                          "state_0", buckets=(shards, "place"), more=turn > 0)
 
     def totals(df):
         rows = np.array([r.totals for r in df.select("totals").collect()], np.int64)

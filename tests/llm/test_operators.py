@@ -563,6 +563,7 @@ def test_lm_asks_one_band_at_a_time(spark, docs, monkeypatch):
     names = [name for name, _ in tables]
     assert names[-6:] == ["-state_3", "scores_0", "scores_1", "scores_2", "-known", "-read"]
     assert all(kw["buckets"] == (3, "place") for name, kw in tables if name.startswith(("state_", "known")))
+    assert [kw["more"] for name, kw in tables if name == "state_0"] == [False, True]
     # a shard's groups meet messages without a shuffle of the shards
     shelf = pyp_lm.Work(spark, "test").keep(spark.range(10).withColumnRenamed("id", "place"), "t", buckets=(3, "place"))
     both = shelf.groupBy("place").cogroup(docs.select(F.lit(1).cast("long").alias("place")).groupBy("place")).applyInArrow(
