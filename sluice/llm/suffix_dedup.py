@@ -42,6 +42,7 @@ SPAN = WINDOW - RUN + 1
 MASK = 64
 PIECE = 1 << 20
 BLOCK_BYTES = 16 << 20
+BATCH = "2m"                              # of an Arrow batch on its way to Python
 HOT = 13                                  # log2 of the places of one hash that stay together
 _U = np.uint64
 _STEP = _U(0x9E6C63D0876A9A4B | 1)
@@ -570,6 +571,16 @@ def _cut(docs, back):
     return pa.Table.from_batches(out, schema=_schema(_CUT))
 
 
+def _freed(run):
+    """``run``, a function of two groups, that gives freed memory back after each."""
+    def group(left, right):
+        try:
+            return run(left, right)
+        finally:
+            tu.release()
+    return group
+
+
 def remove_repeats(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, hot: int = HOT) -> DataFrame:
     """Per row: the id, n_bytes (UTF-8), spans ([start, end) of the removed bytes, maximal), kept (binary)."""
     spark = docs.sparkSession
@@ -585,9 +596,11 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, block_bytes: int
     (base.withColumn("block", block.cast("long")).write.bucketBy(ranges, "block").option("path", f"{work.root}/texts")
      .format("parquet").saveAsTable(name))
     texts = spark.table(name)
-    lists = texts.select("block", "doc_id", "text").mapInArrow(_listed(ranges), _LISTS)
-    shared = work.keep(lists.repartition("range").sortWithinPartitions("range").mapInArrow(_shared, _LISTS), "shared")
-    sent = texts.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send(ranges, hot), _SENT)
-    back = work.keep(sent.repartition("range").sortWithinPartitions("range").mapInArrow(_decide, _BACK), "back")
-    return (texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_cut, _CUT)
+    lists = texts.select("block", "doc_id", "text").mapInArrow(tu.released(_listed(ranges)), _LISTS)
+    shared = work.keep(lists.repartition("range").sortWithinPartitions("range").mapInArrow(tu.released(_shared), _LISTS),
+                       "shared", batch=BATCH)
+    sent = texts.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_freed(_send(ranges, hot)), _SENT)
+    back = work.keep(sent.repartition("range").sortWithinPartitions("range").mapInArrow(tu.released(_decide), _BACK),
+                     "back", batch=BATCH)
+    return (texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_freed(_cut), _CUT)
             .withColumnRenamed("doc_id", id_col))

@@ -135,3 +135,15 @@ def test_byte_sort_is_left_to_collisions(monkeypatch):
     h = np.full(2, sd._run_hashes(text)[:27].min())
     mask = sd.repeated_windows(text, first, np.array([16, 16]), h, np.array([1, 2]), np.zeros(2, np.int64), None)
     assert mask.tolist() == [0, (1 << 16) - 1] and not fell
+
+
+def test_tasks_give_memory_back_and_batches_are_bounded(spark, monkeypatch):
+    gone, sizes = [], {}
+    monkeypatch.setattr(sd.tu, "release", lambda: gone.append(1))
+    keep = sd.Work.keep
+    monkeypatch.setattr(sd.Work, "keep", lambda self, df, name, batch=None, **kw: (sizes.update({name: batch}), keep(self, df, name, batch, **kw))[1])
+    empty = sd._CUT, sd._schema("doc_id long, text binary").empty_table(), sd._schema(sd._BACK).empty_table()
+    assert sd._freed(sd._cut)(*empty[1:]).num_rows == 0 and len(gone) == 1
+    df = spark.createDataFrame([(1, "a" * 60), (2, "b" + "a" * 60)], "doc_id long, text string")
+    assert sorted(bytes(r.kept) for r in sd.remove_repeats(df, "doc_id", "text").collect()) == [b"a" * 60, b"b"]
+    assert sizes == {"shared": "2m", "back": "2m"}
