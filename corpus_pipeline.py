@@ -35,7 +35,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines leave; a document that this empties leaves with them."""
-    out = dedup_lines(docs.select(*COLUMNS), "doc_id", "text")
+    out = dedup_lines(docs.select(*COLUMNS), "doc_id", "text", bands=2)
     return _sized(out.filter("n_removed = 0 or trim(text) <> ''"))
 
 

@@ -18,7 +18,7 @@ turn one short word into another.
    2 * EDITS are candidates; a bit-parallel edit distance in a diagonal band decides.
 5. Classes are the components of the verified pairs.
 
-Distinct lines are combined one band of hashes at a time, and keys are made one half of the
+Distinct lines are combined one band of hashes at a time, and keys are made one band of the
 segments at a time: a band's shuffle files are deleted before the next band is made.
 
 Null texts stay null and empty ones empty.  A text whose lines all leave becomes
@@ -39,7 +39,6 @@ from .work import Work, components
 
 EDITS, MIN_CHARS = 2, 20
 BITS = 1 << 23
-BANDS = 2  # of the lines' hashes, and of the segments
 BAND = 32
 LETTERS = "etanrioshdlugwyc"
 
@@ -55,10 +54,10 @@ def segment_probes(edits: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def _keys(long: DataFrame, edits: int, band: int) -> DataFrame:
+def _keys(long: DataFrame, edits: int, band: int, bands: int) -> DataFrame:
     """(key, hash with the role in its lowest bit) of the lines (h, line, n), for the segments of a band."""
     probes = F.expr("array(%s)" % ", ".join(f"named_struct('delta', {d}, 'i', {i}, 'shift', {s}, 'role', {r})"
-                                            for d, i, s, r in segment_probes(edits) if i % BANDS == band))
+                                            for d, i, s, r in segment_probes(edits) if i % bands == band))
     # four bytes a character: a segment is cut at once, without counting characters up to it
     rows = long.select("h", "n", F.encode("line", "UTF-32").alias("codes"), F.explode(probes).alias("p")).select(
         "h", "n", "codes", "p.*")
@@ -108,14 +107,14 @@ def _letter_counts(line: str) -> Column:
     return F.array(*[F.length(line) - F.length(F.replace(F.col(line), F.lit(c))) for c in LETTERS])
 
 
-def near_pairs(work: Work, distinct: DataFrame, edits: int) -> DataFrame:
+def near_pairs(work: Work, distinct: DataFrame, edits: int, bands: int = 1) -> DataFrame:
     """(a, b): hashes of the distinct lines (h, line) within ``edits`` edits."""
     long = distinct.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= MIN_CHARS)
     w = Window.partitionBy("key")
     line = F.expr("h & -2L")
     kept = []
-    for band in range(BANDS):  # lines meet in one segment, so in one band
-        keys = _keys(long, edits, band)
+    for band in range(bands):  # lines meet in one segment, so in one band
+        keys = _keys(long, edits, band, bands)
         shared = (keys.withColumn("lo", F.min(line).over(w)).withColumn("hi", F.max(line).over(w))
                   .withColumn("index", F.min(F.expr("h & 1L")).over(w))
                   .filter("lo <> hi and index = 0").select("key", "h").distinct())
@@ -142,29 +141,29 @@ def near_pairs(work: Work, distinct: DataFrame, edits: int) -> DataFrame:
     chars = work.keep(pairs.select("a", "b", F.split("la", "").alias("ca"), F.split("lb", "").alias("cb")),
                       "chars")  # written, or the split would run again for every character
     pairs = work.keep(chars.filter(banded_distance("cb", "ca", edits) <= edits).select("a", "b"), "pairs")
-    for name in (*(f"shared_{band}" for band in range(BANDS)), "texts", "chars"):
+    for name in (*(f"shared_{band}" for band in range(bands)), "texts", "chars"):
         work.drop(name)
     return pairs
 
 
-def dedup_lines(docs: DataFrame, id_col: str, text_col: str, edits: int = EDITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str, text_col: str, edits: int = EDITS, bands: int = 1) -> DataFrame:
     """``docs`` with the repeated lines taken out of the text, plus n_lines and
-    n_removed (long)."""
+    n_removed (long).  More ``bands`` (of hashes, and of segments) hold less disk and split the lines more often."""
     spark = docs.sparkSession
     work = Work(spark, "lines")
     key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), key.alias("dkey"))
     at = F.struct("id", "dkey", "pos")
-    hash_band = F.pmod(F.shiftright("h", 1), F.lit(BANDS))
+    hash_band = F.pmod(F.shiftright("h", 1), F.lit(bands))
     distinct = reduce(DataFrame.unionAll, [
         work.keep(_lines(base).filter(hash_band == band).groupBy("h").agg(
             F.min(at).alias("at"), F.count("*").alias("c"), F.first("line").alias("line")), f"distinct_{band}")
-        for band in range(BANDS)])
-    labels = components(work, near_pairs(work, distinct, edits)).withColumnRenamed("node", "h")
+        for band in range(bands)])
+    labels = components(work, near_pairs(work, distinct, edits, bands)).withColumnRenamed("node", "h")
     first = (distinct.select("h", "at", "c").join(labels, "h", "left").filter("c > 1 or label is not null")
              .withColumn("label", F.coalesce("label", "h")))
     first = work.keep(first.select("h", "at", "label"), "first")
-    for band in range(BANDS):
+    for band in range(bands):
         work.drop(f"distinct_{band}")
     keeper = first.groupBy("label").agg(F.min("at").alias("keeper"))
     keeper = first.select("h", "label").join(keeper, "label").select("h", "keeper")

@@ -577,6 +577,6 @@ def test_line_dedup_makes_one_band_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(line_dedup.Work, "keep", lambda self, df, name, **kw: (tables.append(name), keep(self, df, name, **kw))[1])
     line = "a line of more than twenty characters"
     rows = [(1, f"{line}\nx"), (2, f"{line}!\nx"), (3, f"b{line}\ny"), (4, line[:15] + "#" + line[15:]), (5, f"{line[::-1]}")]
-    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", bands=2).collect()
     assert {r.doc_id: r.text for r in got} == {1: f"{line}\nx", 2: "", 3: "y", 4: "", 5: line[::-1]}
     assert tables[:4] == ["distinct_0", "distinct_1", "shared_0", "shared_1"]
