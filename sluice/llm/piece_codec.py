@@ -1,9 +1,11 @@
 """SentencePiece encoding and decoding by a batched numpy Viterbi.
 
-Distinct words of equal length advance together, one character a step.  At each
-end position every substring that ends there is hashed from prefix sums and probed
-in the sorted keys of the pieces; the best admissible piece and its start are
-stored as backpointers, picked by vectorised maxima.
+Texts are cut where no piece holds the two characters side by side, so no merge
+crosses a cut; equal units are found by their hashes and compared character by
+character.  Distinct words advance together, one character a step, the longest
+first.  At each end position every substring that ends there is hashed from prefix
+sums and probed in the sorted keys of the pieces; the best admissible piece and its
+length are stored as backpointers, picked by vectorised maxima.
 
 The public model file holds a BPE model: its encoding is the order of merges, not
 the largest sum of scores.  The lattice therefore admits a piece after another only
@@ -19,9 +21,6 @@ text (a text that holds the space mark itself comes back with a space there).
 
 from __future__ import annotations
 
-import re
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,6 +32,9 @@ SPACE = "▁"
 MEMO_BYTES = 64 << 20  # of the units that a task remembers
 ENTRY = 150  # bytes of an entry besides its unit and ids
 PAIRS = 1 << 20
+BATCH = 1 << 20  # characters of the words that advance together
+UNITS = 1 << 16  # units hashed at once
+OTHER, SINGLE, MARK = 0, 1, 2  # classes of characters: in no piece, never beside another, the space mark
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -79,12 +81,13 @@ class Model(Pieces):
         self.split = {}
         words = [i for i in words if self._reaches(i)]
         self.longest = max(len(self.pieces[i]) for i in words)
-        chars = sorted({c for i in words for c in self.pieces[i]} - {SPACE})
-        known = re.escape("".join(chars))
-        self.units = re.compile(f"{SPACE}*[{known}]+|{SPACE}+|[^{known}{SPACE}]")
-        self.known = set(chars)
-        keys = np.concatenate([self._hashes([self.pieces[i]], len(self.pieces[i]))[1][:, 0, len(self.pieces[i])]
-                               for i in words])
+        self.known = {c for i in words for c in self.pieces[i]} - {SPACE}
+        self.classes = self._classes(words)
+        self.power = _powers(self.longest)
+        by_len = sorted(words, key=lambda i: -len(self.pieces[i]))
+        size = np.array([len(self.pieces[i]) for i in by_len])
+        h, base, _ = self._hashes([self.pieces[i] for i in by_len], size)
+        words, keys = by_len, tu.mix64(h[base[size] + np.arange(len(size))] + size.astype(np.uint64))
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(words, np.int64)[order]
         if len(np.unique(self.keys)) != len(self.keys):
@@ -161,56 +164,84 @@ class Model(Pieces):
             self.edges[i, side] = out
         return out
 
-    def _hashes(self, words: list[str], m: int):
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), m).astype(np.uint64)
-        h = np.zeros((m + 1, len(words)), np.uint64)
-        for j in range(m):
-            h[j + 1] = h[j] * _P + codes[:, j] + np.uint64(1)
-        power = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(m, _P), dtype=np.uint64)))
-        sub = np.zeros((len(words), 1, m + 1), np.uint64)
-        sub[:, 0, m] = tu.mix64(h[m] + np.uint64(m))
-        return (h, power), sub
-
-    def _solve(self, words: list[str], m: int) -> list[bytes]:
-        """Ids of words of m characters each."""
-        (h, power), _ = self._hashes(words, m)
-        n = len(words)
-        last = np.full((m + 1, n), -1, np.int64)
-        back = np.zeros((m + 1, n), np.int32)
-        for end in range(1, m + 1):
-            rows = np.arange(n)
-            for size in range(min(end, self.longest), 0, -1):
-                at = end - size
-                key = tu.mix64(h[end, rows] - h[at, rows] * power[size] + np.uint64(size))
-                hit = self.near[(key & np.uint64(PAIRS - 1)).view(np.int64)]
-                if at:
-                    hit &= last[at, rows] >= 0
-                hit = np.flatnonzero(hit)
+    def _classes(self, words: list[int]) -> np.ndarray:
+        """Class of every code point.  Characters that stand side by side in a piece share one."""
+        group = {}
+        for i in words:
+            beside = self.pieces[i].lstrip(SPACE)
+            if len(beside) > 1:
+                one = set(beside).union(*(group.get(c, ()) for c in beside))
+                group.update(dict.fromkeys(one, one))
+        out = np.full(0x110000, OTHER, np.uint16)
+        out[[ord(c) for c in self.known]] = SINGLE
+        out[ord(SPACE)] = MARK
+        for k, one in enumerate({id(g): g for g in group.values()}.values(), MARK + 1):
+            out[[ord(c) for c in one]] = k
+        return out
+
+    def _hashes(self, words: list[str], size: np.ndarray):
+        """(hash of every prefix, where the prefixes of each length begin, words that reach each length).
+
+        The words come longest first, so those that reach a length are the first ones;
+        the prefix of length j of word i stands at base[j] + i.
+        """
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        first, m = np.cumsum(size) - size, int(size[0])
+        alive = np.searchsorted(-size, -np.arange(m + 1), "right")
+        base = np.cumsum(alive) - alive
+        h = np.zeros(int(alive.sum()), np.uint64)
+        for j, (k, lo, at) in enumerate(zip(alive[1:].tolist(), base[:-1].tolist(), base[1:].tolist())):
+            h[at:at + k] = h[lo:lo + k] * _P + (codes[first[:k] + j] + np.uint64(1))
+        return h, base, alive
+
+    def _solve(self, words: list[str]) -> list[bytes]:
+        """Ids of words, which come longest first."""
+        n, size = len(words), np.array([len(w) for w in words])
+        h, base, alive = self._hashes(words, size)
+        last = np.full(len(h), -1, np.int32)
+        back = np.zeros(len(h), np.int32)
+        start = base.tolist()
+        for end, k in enumerate(alive.tolist()):
+            rows, here = np.arange(k), h[start[end]:start[end] + k]
+            for length in range(min(end, self.longest), 0, -1):
+                before = rows + start[end - length]
+                key = tu.mix64(here - h[before] * self.power[length] + np.uint64(length))
+                hit = np.flatnonzero(self.near[(key & np.uint64(PAIRS - 1)).view(np.int64)])
+                if end > length and len(hit):
+                    hit = hit[last[before[hit]] >= 0]
                 if not len(hit):
                     continue
-                k = np.searchsorted(self.keys, key[hit])
-                k[k == len(self.keys)] = 0
-                same = self.keys[k] == key[hit]
-                hit, piece = hit[same], self.ids[k[same]]
+                probe = key[hit]
+                at = np.searchsorted(self.keys, probe)
+                at[at == len(self.keys)] = 0
+                same = self.keys[at] == probe
+                hit, piece = hit[same], self.ids[at[same]]
+                if end > length and len(hit):
+                    ok = self._allowed(last[before[hit]] * np.int64(len(self.pieces)) + piece)
+                    hit, piece = hit[ok], piece[ok]
                 if not len(hit):
                     continue
-                if at:
-                    ok = self._allowed(last[at, rows[hit]] * len(self.pieces) + piece)
-                    hit, piece = hit[ok], piece[ok]
-                last[end, rows[hit]] = piece
-                back[end, rows[hit]] = at
-                rows = np.delete(rows, hit)
+                last[start[end] + rows[hit]] = piece
+                back[start[end] + rows[hit]] = length
+                left = np.ones(len(rows), bool)
+                left[hit] = False
+                rows, here = rows[left], here[left]
                 if not len(rows):
                     break
-        # all words walk back together; a piece is kept in the column of its end
-        on = np.zeros((n, m), bool)
-        at, rows = np.full(n, m), np.arange(n)
+        # all words walk back together; a piece is kept at its end
+        on = np.zeros(len(h), bool)
+        rows, at = np.arange(n), size
+        if last[base[at] + rows].min() < 0:
+            raise ValueError("a word has no path")
         while len(rows):
-            on[rows, at - 1] = True
-            at = back[at, rows]
+            place = base[at] + rows
+            on[place] = True
+            at = at - back[place]
             rows, at = rows[at > 0], at[at > 0]
-        data = last[1:].T[on].astype("<i4").tobytes()
-        ends = (4 * np.cumsum(on.sum(1))).tolist()
+        place = np.flatnonzero(on)
+        word = place - base[np.searchsorted(base, place, "right") - 1]
+        data = last[place[np.argsort(word, kind="stable")]].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(word, minlength=n))).tolist()
         return [data[a:b] for a, b in zip([0, *ends], ends)]
 
     def _allowed(self, pair: np.ndarray) -> np.ndarray:
@@ -254,31 +285,88 @@ class Model(Pieces):
             return self._run(run) + got[4:]
         return self._run(run - 1) + got
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        units = [self.units.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        seen = set(chain.from_iterable(units))
-        need = seen - self.memo.keys()
-        by_len: dict[int, set[str]] = {}
+    def _cut(self, codes: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        """Where units begin: runs of space marks with the characters of one class that follow."""
+        cls = self.classes[codes]
+        before, cls = cls[:-1], cls[1:]
+        cut = np.ones(len(codes), bool)
+        cut[1:] = ((cls != before) | (cls <= SINGLE)) & ((before != MARK) | (cls == OTHER))
+        cut[texts] = True
+        return np.flatnonzero(cut)
+
+    def _distinct(self, whole: str, codes: np.ndarray, start: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """(the distinct units, which of them each unit is)."""
+        size = np.diff(start, append=len(codes))
+        power = _powers(int(size.max()))
+        h = np.empty(len(start), np.uint64)
+        for lo in range(0, len(start), UNITS):
+            first, n = start[lo:lo + UNITS], size[lo:lo + UNITS]
+            a, b = first[0], first[-1] + n[-1]
+            place = np.arange(a, b) - np.repeat(first, n)
+            h[lo:lo + UNITS] = np.add.reduceat((codes[a:b] + np.uint64(1)) * power[place], first - a)
+        _, one, which = np.unique(h, return_index=True, return_inverse=True)
+        ends = start + size
+        units = [whole[a:b] for a, b in zip(start[one].tolist(), ends[one].tolist())]
+        same = (size == size[one][which]).all()
+        for lo in range(0, len(start), UNITS) if same else ():
+            first, n = start[lo:lo + UNITS], size[lo:lo + UNITS]
+            a, b = first[0], first[-1] + n[-1]
+            twin = np.arange(a, b) + np.repeat(start[one[which[lo:lo + UNITS]]] - first, n)
+            same = same and (codes[a:b] == codes[twin]).all()
+        if not same:  # two units with one hash
+            number: dict[str, int] = {}
+            which = np.array([number.setdefault(whole[a:b], len(number))
+                              for a, b in zip(start.tolist(), ends.tolist())])
+            units = list(number)
+        return units, which
+
+    def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and where each text's ids begin and end."""
+        whole = "".join([SPACE + t for t in texts if t]).replace(" ", SPACE)
+        if not whole:
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        offs = np.concatenate(([0], np.cumsum([len(t) + 1 if t else 0 for t in texts])))
+        start = self._cut(codes, offs[offs < len(codes)])
+        units, which = self._distinct(whole, codes, start)
+        self._learn(units)
+        ids = [self.memo[u] for u in units]
+        pool = np.frombuffer(b"".join(ids), "<i4")
+        n = np.array([len(i) // 4 for i in ids])
+        first = (np.cumsum(n) - n)[which]
+        n = n[which]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        return pool[np.arange(ends[-1]) + np.repeat(first - ends[:-1], n)], ends[np.searchsorted(start, offs)]
+
+    def _learn(self, units: list[str]) -> None:
+        """Puts the ids of distinct units into the memo."""
+        need = [u for u in units if u not in self.memo]
+        todo = set()
         for u in need:
             word = u.lstrip(SPACE)
             if word and (len(word) > 1 or word in self.known):
-                w = SPACE + word if len(u) > len(word) else word
-                by_len.setdefault(len(w), set()).add(w)
+                todo.add(SPACE + word if len(u) > len(word) else word)
+        todo = sorted(todo, key=len, reverse=True)
         solved: dict[str, bytes] = {}
-        for m, ws in by_len.items():
-            part = sorted(ws)
-            step = max(1, (1 << 20) // m)
-            for lo in range(0, len(part), step):
-                solved.update(zip(part[lo:lo + step], self._solve(part[lo:lo + step], m)))
+        cut = np.cumsum([len(w) for w in todo]) // BATCH
+        for part in np.split(np.arange(len(todo)), np.flatnonzero(np.diff(cut)) + 1) if todo else ():
+            words = todo[part[0]:part[-1] + 1]
+            solved.update(zip(words, self._solve(words)))
         if self.held > MEMO_BYTES:
-            self.memo = {u: self.memo[u] for u in seen - need}
+            self.memo = {u: self.memo[u] for u in units if u in self.memo}
             self.held = sum(map(_entry, self.memo.items()))
         for u in need:
             self.memo[u] = self._unit(u, solved)
             self.held += _entry((u, self.memo[u]))
-        get = self.memo.__getitem__
-        return [b"".join(map(get, u)) for u in units]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit numbers."""
+        ids, offs = self.rows(texts)
+        return [ids[a:b].tobytes() for a, b in zip(offs.tolist(), offs[1:].tolist())]
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _P, np.uint64))), dtype=np.uint64)
 
 
 def _entry(item: tuple[str, bytes]) -> int:
@@ -315,9 +403,8 @@ def encode(docs: DataFrame, text_col: str, path: str, ids_col: str = "piece_ids"
             tu.release()
 
     def ids_of(m, c):
-        ids = m.encode([t or "" for t in c.column(text_col).to_pylist()])
-        ends = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        ids, offs = m.rows([t or "" for t in c.column(text_col).to_pylist()])
+        return pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids))
     return docs.mapInArrow(run, f"{ddl}`{ids_col}` array<int>")
 
 

@@ -483,6 +483,45 @@ def test_codec_forgets_between_tasks_and_bounds_its_memo(monkeypatch):
     assert not m.memo and not m.held
 
 
+def test_codec_solves_a_word_once_beside_any_marks_and_all_lengths_together(monkeypatch):
+    import sentencepiece
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    sp, m = sentencepiece.SentencePieceProcessor(model_file=path), piece_codec.model(path)
+    m.forget()
+    calls, solve = [], m._solve
+    monkeypatch.setattr(m, "_solve", lambda words, *more: calls.append(len(words)) or solve(words, *more))
+    words = ["retion", "thonheretions", "a", "приветствие"]
+    texts = [w + mark for w in words for mark in ("", ".", ",", "?!", "1", "漢字", "%%%", "\U0001f600")] + ["漢字获取数据" * 3000]
+    assert [x.tolist() for x in map(lambda i: np.frombuffer(i, np.int32), m.encode(texts))] == sp.encode(texts)
+    assert len(calls) == 1 and calls[0] < 25
+    m.forget()
+
+
+def test_codec_equals_the_library_on_mixed_scripts():
+    import random
+    import sentencepiece
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    sp, m = sentencepiece.SentencePieceProcessor(model_file=path), piece_codec.model(path)
+    rng = random.Random(5)
+    parts = [*(m.pieces[i].replace("▁", " ") for i in m.split), *" \n\t.,-'▁é0\0", "  ", "\U0001f600", "\u200b"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(3000)]
+    assert [np.frombuffer(i, np.int32).tolist() for i in m.encode(texts)] == sp.encode(texts)
+    m.forget()
+
+
+@pytest.mark.parametrize("step", [None, np.uint64(1)])  # 1: words of the same letters have one hash
+def test_codec_compares_units_of_one_hash(monkeypatch, step):
+    m = piece_codec.model(queries.tokenizer_path("piece_bpe_32k.model"))
+    monkeypatch.setattr(piece_codec, "UNITS", 3)
+    if step:
+        monkeypatch.setattr(piece_codec, "_P", step)
+    words = ["▁ab", "▁ba", "▁ab", ",", "▁▁▁x", "1", "1", "▁bc", "▁▁▁x", "▁ad"]
+    whole = "".join(words)
+    codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    units, which = m._distinct(whole, codes, m._cut(codes, np.zeros(1, np.int64)))
+    assert [units[i] for i in which] == words and len(units) == len(set(words))
+
+
 def test_matrix_rows_of_large_tables():
     sizes, cols = np.full(8, 5 * 10**9), np.full(16, 25 * 10**8)
     m = np.array([shards.matrix_row(shards._upto(sizes), cols, b, 3) for b in range(8)])
